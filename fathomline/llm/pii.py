@@ -1,0 +1,227 @@
+"""Personal data: exact base kinds by pattern, more kinds by weak supervision.
+
+Base spans (email, ip, card, phone) are the leftmost matches of fixed patterns that pass their checks. Further
+candidates (secrets, spelt-out emails, local phone numbers, national numbers, bank accounts, titled names) are found by a
+wide pattern; regex, gazetteer and context labelers vote on each (for, against, nothing). Votes are counted by pattern
+over all documents: that table has at most 3 ** 5 rows a kind, whatever the input. Expectation-maximisation on it
+estimates how reliable each labeler is and how likely each pattern is right; a logistic span classifier is trained on
+those probabilities, and its weights go back into the query as literals. Candidates that it accepts, and that overlap no
+base span, are added; base spans always stay.
+
+Only built-in functions run on the data. Patterns are written so that each starts where a match can start and never
+goes back into a run: long texts take time in proportion. Places come from the lengths of what is between matches.
+
+Defined results: null and empty texts have no spans, and the digest of an empty string; places count code points; repeated
+rows get equal results; an empty table gives an empty result; without candidates nothing is added. Other columns don't
+matter, whatever their names.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from fathomline.llm.common import packed
+
+#: Base kinds in their order: pattern, and what a text must hold for the pattern to be tried.
+#: \G lets a match start where the last one ended; else it starts where its first run starts.
+_LOCAL = r"[A-Za-z0-9._%+-]"
+BASE = {
+    "email": (rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", lambda t: t.contains("@")),
+    "ip": (r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}", lambda t: t.rlike(r"[0-9]\.[0-9]")),
+    "card": (r"(?:\G|(?<![0-9])(?<![0-9][\x20-]))[0-9](?:[\x20-]?[0-9])++", lambda t: t.rlike("[0-9]")),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: t.contains("+")),
+}
+
+#: Added kinds: pattern of a candidate, then a strict form. In this order they come after the base kinds.
+ADDED = {
+    "secret": (r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{20,200}+(?![A-Za-z0-9_+/-])", r"^(?=.*[0-9])(?=.*[A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,}|(?=.*[A-Z])(?=.*[a-z]).{20,})$"),
+    "email_spelt": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[(\[]at[)\]] ?[A-Za-z0-9-]{1,63}+(?: ?(?:[(\[]dot[)\]]|\.) ?[A-Za-z0-9-]{1,63}+){1,8}+", r"[(\[]dot[)\]]"),
+    "phone_local": (r"(?<![0-9+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}(?![0-9.-])", r"^\([0-9]{3}\) |^[0-9]{3}([.-])[0-9]{3}\1"),
+    "national_id": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)"),
+    "account": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", r"^[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){2}"),
+    "name": (r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof)\.? \p{Lu}\p{Ll}{1,30}+(?: \p{Lu}\p{Ll}{1,30}+)?", r" \p{Lu}\p{Ll}+ \p{Lu}"),
+}
+
+#: What tells a candidate's kind; a secret is none of these.
+FORMS = {
+    "email_spelt": r"[(\[]at[)\]]",
+    "name": r"^(?:Mr|Mrs|Ms|Dr|Prof)\.? ",
+    "national_id": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$",
+    "phone_local": r"^\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}$",
+    "account": r"^[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?$",
+}
+
+# Words that speak for a kind in the 40 characters before a candidate, and words that speak against any.
+GAZETTEER = {
+    "secret": ["token", "key", "secret", "password", "passwd", "api", "auth", "bearer"],
+    "email_spelt": ["mail", "contact", "write", "reach"],
+    "phone_local": ["phone", "tel", "call", "fax", "mobile", "cell"],
+    "national_id": ["ssn", "social", "security", "national", "id"],
+    "account": ["iban", "account", "bank", "konto", "cuenta", "compte"],
+    "name": ["by", "dear", "from", "contact", "patient", "signed"],
+}
+AGAINST = ["sha", "md5", "commit", "checksum", "digest", "isbn", "version", "http", "href", "src"]
+LABELERS = ("strict", "words", "before", "after", "shape")
+#: A text must hold one of these for candidates to be looked for.
+HINT = r"[A-Za-z0-9_+/-]{20}|[(\[]at[)\]]|[0-9]{3}[ .-][0-9]{2,3}[.-][0-9]{4}|[0-9]{3}\) [0-9]{3}|[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}|(?:Mr|Mrs|Ms|Dr|Prof)\.? "
+
+
+def located(text: Column, pattern: str, when: Column) -> tuple[Column, Column]:
+    """Matches, and what is between them (one more), where ``when``; else null."""
+    return F.when(when, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))), F.when(when, F.split(text, pattern, -1))
+
+
+def placed(matches: Column, gaps: Column) -> Column:
+    """Structs m, s, e, before, after of matches. Sums of lengths go by blocks of the root of their number, not quadratically."""
+    n = F.size(matches)
+    lengths = F.transform(matches, lambda m, i: F.length(m) + F.length(F.get(gaps, i)))
+    block = F.greatest(F.lit(1), F.ceil(F.sqrt(n)).cast("int"))
+    add = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + x)
+    sums = lambda ls: F.transform(F.sequence(F.lit(0), F.floor((n - 1) / block).cast("int")), lambda b: add(F.slice(ls, b * block + 1, block)))
+    both = F.struct(lengths.alias("ls"), sums(lengths).alias("sums"))
+
+    def place(parts: Column) -> Column:
+        def one(m: Column, i: Column) -> Column:
+            at = F.floor(i / block).cast("int")
+            s = add(F.slice(parts["sums"], F.lit(1), at)) + add(F.slice(parts["ls"], at * block + 1, i - at * block)) + F.length(F.get(gaps, i))
+            return F.struct(m.alias("m"), s.alias("s"), (s + F.length(m)).alias("e"), F.right(F.get(gaps, i), F.lit(40)).alias("before"), F.substring(F.get(gaps, i + 1), 1, 1).alias("after"))
+
+        return F.transform(matches, one)
+
+    return F.when(n > 0, F.element_at(F.transform(F.array(both), place), 1))
+
+
+def luhn(digits: Column) -> Column:
+    n = F.length(digits)
+
+    def value(i: Column) -> Column:
+        d = F.substring(digits, n - i, F.lit(1)).cast("int")
+        twice = F.when(d > 4, d * 2 - 9).otherwise(d * 2)
+        return F.when(i % 2 == 1, twice).otherwise(d)
+
+    return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), lambda a, i: a + value(i)) % 10 == 0
+
+
+def checked(kind: str, m: Column) -> Column:
+    if kind == "ip":
+        part = lambda p: F.regexp_replace(p, "^0+(?=[0-9])", "")
+        return F.forall(F.split(m, r"\."), lambda p: (F.length(part(p)) <= 3) & (F.when(F.length(part(p)) <= 3, part(p).cast("int")).otherwise(999) <= 255))
+    if kind == "card":
+        digits = F.regexp_replace(m, "[ -]", "")
+        return F.when(F.length(digits).between(12, 19), luhn(digits)).otherwise(F.lit(False))
+    if kind == "phone":
+        return F.length(F.regexp_replace(m, "[^0-9]", "")).between(9, 15)
+    return F.lit(True)
+
+
+_SPAN = "array<struct<s: int, e: int, r: int>>"
+
+
+def base_spans(docs: DataFrame) -> DataFrame:
+    """id, text, and for each base kind its spans (s, e, r: rank of the kind)."""
+    row, at = packed(docs)
+    df = row.select(at["doc_id"].alias("id"), F.coalesce(at["text"], F.lit("")).alias("text"))
+    found = {k: located(F.col("text"), p, hint(F.col("text"))) for k, (p, hint) in BASE.items()}
+    df = df.select("id", "text", *[x for k, (m, g) in found.items() for x in (m.alias(f"{k}_m"), g.alias(f"{k}_g"))])
+    df = df.select("id", "text", *[placed(F.col(f"{k}_m"), F.col(f"{k}_g")).alias(k) for k in BASE])
+
+    def kept(kind: str, rank: int) -> Column:
+        spans = F.transform(F.filter(F.col(kind), lambda x: checked(kind, x["m"])), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(rank).alias("r")))
+        return F.coalesce(spans, F.array().cast(_SPAN)).alias(kind)
+
+    return df.select("id", "text", *[kept(k, r) for r, k in enumerate(BASE)])
+
+
+def votes(kind: Column, m: Column, before: Column, after: Column) -> list[Column]:
+    """One column a labeler: 1 for, -1 against, 0 nothing."""
+    by_kind = lambda f: F.coalesce(*[F.when(kind == k, f(k)) for k in ADDED])
+    vote = lambda yes, no: F.when(yes, 1).when(no, -1).otherwise(0)
+    low = F.lower(before)
+    strict = by_kind(lambda k: vote(m.rlike(ADDED[k][1]), F.lit(True)))
+    words = by_kind(lambda k: vote(low.rlike(r"(?<![a-z])(?:" + "|".join(GAZETTEER[k]) + ")"), low.rlike(r"(?<![a-z])(?:" + "|".join(AGAINST) + ")")))
+    prior = vote(before.rlike(r"[=:]\s*[\"']?$"), before.rlike(r"[/.@#\\_-]$"))
+    next_ = vote(after.rlike(r"[\"'\s,;.!?)]") | (after == ""), after.rlike(r"[\w/@=]"))
+    digits = F.length(F.regexp_replace(m, "[^0-9]", "")) / F.greatest(F.length(m), F.lit(1))
+    shape = F.when(kind == "secret", vote(digits.between(0.1, 0.9), digits == 0)).when(kind.isin("phone_local", "national_id", "account"), vote(digits >= 0.6, digits < 0.4)).otherwise(0)
+    return [v.cast("int") for v in (strict, words, prior, next_, shape)]
+
+
+def candidates(df: DataFrame) -> DataFrame:
+    """``df`` with ``found``: candidates of added kinds that overlap no base span, with their votes."""
+    pattern = "|".join(f"(?:{p})" for p, _ in reversed(ADDED.values()))
+    m, g = located(F.col("text"), pattern, F.col("text").rlike(HINT))
+    df = df.select("*", m.alias("c_m"), g.alias("c_g")).select(*df.columns, placed(F.col("c_m"), F.col("c_g")).alias("c"))
+    kind = lambda x: F.coalesce(*[F.when(x["m"].rlike(f), F.lit(k)) for k, f in FORMS.items()], F.lit("secret"))
+    taken = F.concat(*[F.col(k) for k in BASE])
+    free = lambda x: ~F.exists(taken, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
+    rows = F.transform(F.filter(F.col("c"), free), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), kind(x).alias("kind"), F.array(*votes(kind(x), x["m"], x["before"], x["after"])).alias("v")))
+    return df.select(*[c for c in df.columns if c != "c"], rows.alias("found"))
+
+
+def estimated(patterns: dict[tuple[str, tuple[int, ...]], int], rounds: int = 60) -> dict[tuple[str, tuple[int, ...]], float]:
+    """How likely each pattern of votes is right, by expectation-maximisation over labelers that err independently.
+
+    ``patterns``: (kind, votes) -> count. Starts from the share of votes for; a small prior says labelers are right more
+    often than not, which keeps the classes from changing places."""
+    right = {x: min(0.95, max(0.05, 0.5 + sum(x[1]) / (2 * len(LABELERS)))) for x in patterns}
+    for _ in range(rounds):
+        total = sum(patterns.values()) + 2.0
+        share = (sum(n * right[x] for x, n in patterns.items()) + 1.0) / total
+        says: list[dict[tuple[int, int], float]] = []
+        for k in range(len(LABELERS)):
+            t = {(y, v): (3.0 if (v == 1) == bool(y) and v else 1.0) for y in (0, 1) for v in (-1, 0, 1)}
+            for x, n in patterns.items():
+                t[1, x[1][k]] += n * right[x]
+                t[0, x[1][k]] += n * (1 - right[x])
+            says.append({(y, v): c / sum(t[y, w] for w in (-1, 0, 1)) for (y, v), c in t.items()})
+        for x in patterns:
+            z = math.log(share / (1 - share)) + sum(math.log(says[k][1, v] / says[k][0, v]) for k, v in enumerate(x[1]))
+            right[x] = 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
+    return right
+
+
+def trained(patterns: dict[tuple[str, tuple[int, ...]], int], steps: int = 400) -> tuple[float, dict[str, float], list[list[float]]]:
+    """A logistic classifier (bias, weight by kind, weights by labeler for votes against, none and for) on estimated labels."""
+    right = estimated(patterns)
+    bias, kinds, weights = 0.0, dict.fromkeys(ADDED, 0.0), [[0.0] * 3 for _ in LABELERS]
+    total = max(1, sum(patterns.values()))
+    for _ in range(steps):
+        slope, by_kind, by_vote = 0.0, dict.fromkeys(ADDED, 0.0), [[0.0] * 3 for _ in LABELERS]
+        for (kind, vs), n in patterns.items():
+            z = bias + kinds[kind] + sum(weights[k][v + 1] for k, v in enumerate(vs))
+            miss = n / total * (1 / (1 + math.exp(-max(-50.0, min(50.0, z)))) - right[kind, vs])
+            slope += miss
+            by_kind[kind] += miss
+            for k, v in enumerate(vs):
+                by_vote[k][v + 1] += miss
+        bias -= slope
+        for kind in kinds:
+            kinds[kind] -= by_kind[kind] + 1e-3 * kinds[kind]
+        for k in range(len(weights)):
+            for v in range(3):
+                weights[k][v] -= by_vote[k][v] + 1e-3 * weights[k][v]
+    return bias, kinds, weights
+
+
+def vote_patterns(df: DataFrame) -> dict[tuple[str, tuple[int, ...]], int]:
+    """Counts of votes by kind over all documents: at most 3 ** 5 rows a kind."""
+    rows = df.select(F.explode("found").alias("x")).groupBy(F.col("x.kind").alias("kind"), F.col("x.v").alias("v")).agg(F.count("*").alias("n")).collect()
+    return {(r["kind"], tuple(r["v"])): r["n"] for r in sorted(rows)}
+
+
+def find_pii(docs: DataFrame) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (base and added)."""
+    df = candidates(base_spans(docs))
+    bias, kinds, weights = trained(vote_patterns(df))
+    number = {k: r for r, k in enumerate([*BASE, *ADDED])}
+    pick = lambda of, key: F.element_at(F.map_from_arrays(F.array(*[F.lit(x) for x in of]), F.array(*[F.lit(of[x]) for x in of])), key)
+    z = lambda x: F.lit(bias) + pick(kinds, x["kind"]) + sum((F.element_at(F.array(*[F.lit(w) for w in ws]), x["v"][k] + 2) for k, ws in enumerate(weights)), F.lit(0.0))
+    more = F.coalesce(F.transform(F.filter(F.col("found"), lambda x: z(x) >= 0), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), pick(number, x["kind"]).alias("r"))), F.array().cast(_SPAN))
+    names = F.array(*[F.lit(k) for k in number])
+    # by start, then kind as listed
+    ordered = lambda spans: F.transform(F.array_sort(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["r"].alias("r"), x["e"].alias("e")))), lambda x: F.concat_ws(":", F.element_at(names, x["r"] + 1), x["s"].cast("string"), x["e"].cast("string")))
+    df = df.select("id", *BASE, F.concat(*[F.col(k) for k in BASE]).alias("base"), more.alias("more"))
+    return df.select(F.col("id").alias("doc_id"), *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE], F.sha2(F.array_join(ordered(F.col("base")), ","), 256).alias("base_sha256"), F.array_join(ordered(F.concat("base", "more")), ",").alias("spans"))
