@@ -6,8 +6,8 @@ between single letters may be nothing, a repeated letter may be nothing. The bes
 language model is found by Viterbi decoding; states are the last three characters. All other text has one reading.
 
 The language model (four characters) is counted over all documents, whole. The classifier is a logistic regression on
-which words a restored text has; it is fitted with an L1 penalty, so words that others explain get no weight. It is
-fitted on at most ``SAMPLE`` labelled rows, those with the least hash of their id; nothing else is sampled. Labels of
+the words of a restored text and their beginnings (how many different words have each, up to ``TIMES``). An L1 penalty
+first finds those that others don't explain; weights are then fitted to these alone. It is fitted on at most ``SAMPLE`` labelled rows, those with the least hash of their id; nothing else is sampled. Labels of
 held-out rows, languages, sources and ids never reach a score.
 
 Defined results: null and empty texts get the score of a text without words; repeated rows score alike; rows without a
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,9 +31,12 @@ from fathomline.llm.common import cut, packed, picked, small_or_not
 
 SAMPLE = 20_000
 WORDS = 400
-#: Words that take part must be in this many toxic sampled texts.
+#: Words and beginnings that take part must be in this many toxic sampled texts.
 SEEN = 3
-REMEMBERED = 300_000
+#: Lengths of beginnings.
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
+TIMES = 3
+REMEMBERED = 500_000
 BEAM = 48
 
 # What signs may stand for.
@@ -41,8 +45,9 @@ SIGNS = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
 SEPARATORS = " .-_*"
-#: Costs in nats of the channel: a sign for a letter, a sign as itself, a separator left out, a repetition left out, kept.
-AS_LETTER, AS_SIGN, NO_SPACE, NO_REPEAT, REPEAT = 0.7, 4.0, 1.0, 0.7, 3.0
+#: Costs in nats of the channel: a sign for a letter, a sign as itself, a separator left out, a repetition left out, a
+#: second letter of a kind kept, a third or later one kept.
+AS_LETTER, AS_SIGN, NO_SPACE, NO_REPEAT, DOUBLE, REPEAT = 0.7, 4.0, 1.0, 0.7, 0.2, 3.0
 
 #: The model's alphabet: 0 is anything that parts words, 1 to 26 letters, 27 any other letter.
 SIZE = 28
@@ -99,7 +104,8 @@ def readings(segment: str) -> list[list[tuple[str, float]]]:
             options = [(" ", 0.0), ("", NO_SPACE)]
         elif c.isalpha():
             again = i > 0 and segment[i - 1] == c
-            options = [(c, REPEAT if again else 0.0)] + ([("", NO_REPEAT)] if again else [])
+            keep = 0.0 if not again else REPEAT if i > 1 and segment[i - 2] == c else DOUBLE
+            options = [(c, keep)] + ([("", NO_REPEAT)] if again else [])
         else:
             options = [(" ", 0.0)]
         if i > 0 and c == segment[i - 1] and c in SIGNS:
@@ -194,28 +200,50 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
+def features(word: str) -> list[str]:
+    """The word (with an end mark) and its beginnings."""
+    return [word + ".", *[word[:k] for k in BEGINNINGS if len(word) >= k]]
+
+
 class Classifier:
-    """Weights of words and a bias."""
+    """Weights of words and beginnings, and a bias."""
 
     def __init__(self, weights: dict[str, float], bias: float) -> None:
         self.weights, self.bias = weights, bias
-        self.vocabulary = frozenset(weights)
+        self.of: dict[str, tuple[str, ...]] = {}
+
+    def known(self, word: str) -> tuple[str, ...]:
+        """Those of a word's features that have a weight; remembered."""
+        if (found := self.of.get(word)) is None:
+            found = tuple(f for f in features(word) if f in self.weights)
+            if len(self.of) >= REMEMBERED:
+                self.of.clear()
+            self.of[word] = found
+        return found
+
+    def counts(self, words: set[str]) -> dict[str, int]:
+        n: dict[str, int] = {}
+        for fs in map(self.known, words):
+            if fs:
+                for f in fs:
+                    n[f] = n.get(f, 0) + 1
+        return n
 
     def score(self, words: set[str]) -> float:
-        z = self.bias + sum(self.weights[w] for w in self.vocabulary.intersection(words))
+        z = self.bias + sum(self.weights[f] * min(n, TIMES) for f, n in sorted(self.counts(words).items()))
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 2e-3, steps: int = 400) -> tuple[np.ndarray, float]:
-    """L1-penalised logistic regression by accelerated proximal gradient steps; the bias has no penalty."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, l1: float = 0.0, l2: float = 0.0, steps: int = 600) -> tuple[np.ndarray, float]:
+    """Logistic regression by accelerated proximal gradient steps; the bias has no penalty."""
     n = max(len(y), 1)
-    rate = 4.0 / max((x.sum(axis=1).max(initial=0) + 1), 1)
+    rate = 4.0 / (float((x * x).sum(axis=1).max(initial=0)) + 1)
     w, b = np.zeros(x.shape[1]), float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
     v, c, t = w.copy(), b, 1.0
     for _ in range(steps):
         miss = (1 / (1 + np.exp(-np.clip(x @ v + c, -30, 30))) - y) / n
-        new = v - rate * n / n * (x.T @ miss)
-        new = np.sign(new) * np.maximum(np.abs(new) - rate * penalty, 0)
+        new = v - rate * (x.T @ miss + l2 * v)
+        new = np.sign(new) * np.maximum(np.abs(new) - rate * l1, 0)
         bias = c - rate * miss.sum()
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         v, c = new + (t - 1) / t2 * (new - w), bias + (t - 1) / t2 * (bias - b)
@@ -238,25 +266,45 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample: int = S
                 words = [sorted(r.words(t)) for t in part.column(0).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array(words, pa.list_(pa.string()))], names=["toxic", "words"])
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, b.num_rows, 1024):
+                toxic, of = Counter(), Counter()
+                for y, words in zip(b.column(0).slice(k, 1024).to_pylist(), b.column(1).slice(k, 1024).to_pylist(), strict=True):
+                    fs = {f for w in words for f in features(w)}
+                    of.update(fs)
+                    if y:
+                        toxic.update(fs)
+                yield pa.RecordBatch.from_arrays([pa.array(list(of), pa.string()), pa.array([toxic[f] for f in of], pa.int64()), pa.array(list(of.values()), pa.int64())], names=["f", "t", "n"])
+
     rows = cut(texts.mapInArrow(restored, "toxic int, words array<string>"))
     n, bad = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not bad:
         return Classifier({}, -10.0)
-    seen = rows.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.sum("toxic").alias("t"), F.count("*").alias("all"))
     share = bad / n
-    gain = (F.col("t") - F.col("all") * share) / F.sqrt(F.col("all") * share * (1 - share) + 1e-9)
-    words = [r[0] for r in seen.filter((F.col("t") >= SEEN) & (F.col("t") > F.col("all") * share)).orderBy(gain.desc(), "word").limit(WORDS).collect()]
-    keep = F.array_intersect("words", F.array(*[F.lit(w) for w in words])) if words else F.array().cast("array<string>")
-    number = {w: i for i, w in enumerate(words)}
-    sampled = rows.select("toxic", keep.alias("w")).groupBy("w", "toxic").agg(F.count("*").alias("n")).collect()  # at most the sample
-    x = np.zeros((n, len(words)), np.float32)
-    y, i = np.zeros(n), 0
-    for ws, toxic, many in sorted(sampled, key=lambda r: (sorted(r[0]), r[1])):
-        x[i : i + many, [number[w] for w in ws]] = 1
-        y[i : i + many] = toxic
-        i += many
-    w, b = fit_logistic(x, y)
-    return Classifier({k: float(v) for k, v in zip(words, w, strict=True) if v}, b)
+    seen = rows.mapInArrow(counted, "f string, t long, n long").groupBy("f").agg(F.sum("t").alias("t"), F.sum("n").alias("n")).filter((F.col("t") >= SEEN) & (F.col("t") > F.col("n") * share))
+    gain = (F.col("t") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1e-9)
+    best = seen.orderBy(gain.desc(), "f").limit(8 * WORDS).collect()
+    # of a word and beginnings that are in the same texts, the longest
+    longer = {(f[:k].rstrip("."), r[1], r[2]) for r in best for f in [r[0]] for k in range(1, len(f))}
+    chosen_features = [r[0] for r in best if (r[0], r[1], r[2]) not in longer][:WORDS]
+    number = {f: i for i, f in enumerate(chosen_features)}
+    finder = Classifier(dict.fromkeys(chosen_features, 1.0), 0.0)
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [finder.counts(set(words)) for words in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([[number[f] for f in c] for c in found], pa.list_(pa.int32())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))], names=["toxic", "at", "times"])
+
+    x, y = np.zeros((n, len(number)), np.float32), np.zeros(n)
+    sampled = rows.mapInArrow(vectors, "toxic int, at array<int>, times array<int>").collect()  # at most the sample
+    for i, (toxic, at, times) in enumerate(sorted(sampled, key=lambda r: (r[0], sorted(zip(r[1], r[2], strict=True))))):
+        y[i] = toxic
+        x[i, at] = np.minimum(times, TIMES)
+    w, _ = fit_logistic(x, y, l1=1e-3)
+    some = np.flatnonzero(w > 1e-6)
+    w, b = fit_logistic(x[:, some], y, l2=1e-6, steps=5000)
+    return Classifier({chosen_features[i]: float(v) for i, v in zip(some, w, strict=True)}, b)
 
 
 def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, Classifier]:
