@@ -24,6 +24,8 @@ def brackets(queries: DataFrame, samples: DataFrame, by: Sequence[str], t: str,
 
     lo is the last sample at or before (``strict_low``: before) the row, hi the first at or after it. With ``extrapolate``,
     rows before the first or after the last sample get the two nearest samples; else the missing side is null."""
+    # a union that claims its inputs' partitioning can be joined with the wrong number of partitions (Spark 4.1)
+    queries.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
     qcols = [c for c in queries.columns if c not in by and c != t]
     s = F.struct(F.col(t).alias("t"), *[F.col(c).alias(c) for c in cols])
     # each sample also carries its neighbours, for rows outside the samples

@@ -54,7 +54,7 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _r(c: Column | str, name: str, digits: int = 6) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, digits).alias(name)
+    return (F.round(F.col(c) if isinstance(c, str) else c, digits) + 0.0).alias(name)  # no negative zero
 
 
 # -- scans, filters
