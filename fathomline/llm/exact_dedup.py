@@ -18,7 +18,13 @@ from pyspark.sql import functions as F
 
 from fathomline.llm.common import SPACE, cut, remove, scratch, small_or_not
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk. Changes are checkpointed, not whole files, and no space is allocated ahead: with many partitions of
+#: little state, each would otherwise hold megabytes of nothing.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -53,16 +59,15 @@ def keepers(spark: SparkSession, path: str, max_bytes: int = 256 << 30, max_file
     def upsert(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{out}/batch={batch}")
 
-    was = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    was = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         query = state.writeStream.outputMode("update").option("checkpointLocation", at).foreachBatch(upsert).trigger(availableNow=True).start()
         query.awaitTermination()
     finally:
-        if was is None:
-            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
-        else:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", was)
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     shape = "key string, rank struct<points: bigint, has: boolean, low: bigint>, place string, n bigint, batch bigint"
     spark.createDataFrame([], shape.replace(", batch bigint", "")).write.mode("overwrite").parquet(f"{out}/batch=-1")
     last = spark.read.schema(shape).parquet(out).groupBy("key").agg(F.max_by(F.struct("rank", "place", "n"), "batch").alias("s"))
