@@ -65,6 +65,7 @@ def document_rates(light: DataFrame, targets: DataFrame, cap: float) -> DataFram
     k = targets.select("source", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("k"))
     if "importance" not in light.columns:
         return k
+    k = k.select("source", F.lit(0.0).alias("k"))  # rises as documents reach the cap
     for _ in range(50):
         at_cap = F.col("importance") * F.col("k") >= cap
         parts = light.join(small_or_not(k), light.source.eqNullSafe(k.source)).select(light.source, "size", "importance", at_cap.alias("full"), "k").groupBy("source").agg(
