@@ -59,7 +59,11 @@ def test_base_spans_against_the_patterns(spark):
 
 
 def test_long_texts_take_linear_time(spark):
-    check(spark, ["a" * 200_000, "1" * 200_000, "1 " * 50_000, "a@" * 50_000, "+1" * 50_000, "a@b.c " * 3_000, "1.2.3.4 " * 3_000, "." * 200_000])
+    """What they hold is known; the plain patterns would take quadratic time on these."""
+    texts = {"a" * 200_000: (0, 0), "1" * 200_000: (0, 0), "1 " * 50_000: (0, 0), "a@" * 50_000: (0, 0), "+1" * 50_000: (0, 0), "a@b.c " * 3_000: (3_000, 0), "1.2.3.4 " * 3_000: (0, 3_000), "." * 200_000: (0, 0)}
+    df = spark.createDataFrame([(i, t, "a", 0) for i, t in enumerate(texts)], SCHEMA)
+    got = {r["doc_id"]: (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) for r in pii.find_pii(df).collect()}
+    assert got == {i: (*n, 0, 0) for i, n in enumerate(texts.values())}
 
 
 @settings(max_examples=2, deadline=None)
