@@ -28,9 +28,11 @@ from fathomline.llm.common import free_name
 
 MARK = "▁"
 #: Distinct words that a Python worker remembers.
-REMEMBERED = 500_000
-#: Characters of new words that are indexed at a time: bounds the arrays (about 300 bytes a character).
-INDEXED = 1_500_000
+REMEMBERED = 400_000
+#: Characters of new words that are indexed at a time: bounds the arrays (about 800 bytes a character, edges included).
+INDEXED = 150_000
+#: Texts that are encoded at a time.
+TEXTS = 1024
 NONE = -1
 
 
@@ -352,8 +354,8 @@ def encoded(docs: DataFrame, model: str, columns: list[str] | None = None) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(model)
         for whole in batches:
-            for k in range(0, whole.num_rows, 4096):
-                b = whole.slice(k, 4096)
+            for k in range(0, whole.num_rows, TEXTS):
+                b = whole.slice(k, TEXTS)
                 texts = b.column(width).to_pylist()
                 ids, begin = e.encode(texts)
                 same = [d == (t or "").replace(MARK, " ") for d, t in zip(e.decode(ids, begin), texts, strict=True)]
