@@ -105,9 +105,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return light.join(by_fp, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
 
 
-def first_of_each(docs: DataFrame) -> DataFrame:
-    """The documents whose doc_id is their component's: one row of each group of near-duplicates, with all columns."""
-    found = near_duplicates(docs)
+def first_of_each(docs: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    """The documents whose doc_id is their component's: one row of each group of near-duplicates, with all columns.
+
+    ``found``: doc_id and component_id of every row, by fingerprints unless given."""
+    found = near_duplicates(docs) if found is None else found
     firsts = cut(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n")))
     row, at = packed(docs)
     kept = row.join(firsts, at["doc_id"].eqNullSafe(F.col("doc_id")))
