@@ -65,8 +65,8 @@ GAZETTEER = {
 }
 AGAINST = ["sha", "md5", "commit", "checksum", "digest", "isbn", "version", "http", "href", "src"]
 LABELERS = ("strict", "words", "before", "after", "shape")
-#: A text must hold one of these for candidates to be looked for.
-HINT = r"[A-Za-z0-9_+/-]{20}|[(\[]at[)\]]|[0-9]{3}[ .-][0-9]{2,3}[.-][0-9]{4}|[0-9]{3}\) [0-9]{3}|[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}|(?:Mr|Mrs|Ms|Dr|Prof)\.? "
+#: A text must hold one of these for candidates to be looked for; whatever a pattern of ADDED matches holds one.
+HINT = r"[A-Za-z0-9_+/-]{20}|[(\[]at[)\]]|[0-9]{3}\)?[ .-][0-9]{2,3}[.-][0-9]{4}|[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}|(?:Mr|Mrs|Ms|Dr|Prof)\.? "
 
 
 def located(text: Column, pattern: str, when: Column) -> tuple[Column, Column]:

@@ -104,3 +104,30 @@ def test_awkward_rows(spark):
 def test_only_built_in_functions(spark):
     plan = pii.find_pii(spark.createDataFrame([(1, "a@b.cc", "a", 0)], SCHEMA))._jdf.queryExecution().executedPlan().toString()
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
+
+
+def test_the_hint_is_in_all_candidates(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(11)
+    pick = lambda xs: rng.choice(xs)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    make = {
+        "secret": lambda: "".join(rng.choice("aZ09_+/-") for _ in range(rng.randrange(20, 60))),
+        "email_spelt": lambda: f"ab.c{pick(['', ' '])}{pick('([')}at{pick(')]')}{pick(['', ' '])}d-e{pick(['.', ' . ', '(dot)', ' [dot] '])}org",
+        "phone_local": lambda: f"{pick(['', '('])}{digits(3)}{pick(['', ')'])}{pick(' .-')}{digits(3)}{pick('.-')}{digits(4)}",
+        "national_id": lambda: f"{digits(3)}-{digits(2)}-{digits(4)}",
+        "account": lambda: f"DE{digits(2)}" + "".join(f"{pick(['', ' '])}{pick(['ABCD', digits(4)])}" for _ in range(rng.randrange(3, 8))),
+        "name": lambda: f"{pick(['Mr', 'Mrs', 'Ms', 'Dr', 'Prof'])}{pick(['', '.'])} {pick(['Ann', 'Élan'])}{pick(['', ' Lee'])}",
+    }
+    assert set(make) == set(pii.ADDED)
+    df = spark.createDataFrame([(k, f()) for k, f in make.items() for _ in range(200)], "kind string, text string")
+    matches = F.coalesce(*[F.when(F.col("kind") == k, F.col("text").rlike(p)) for k, (p, _) in pii.ADDED.items()])
+    assert df.filter(matches).groupBy("kind").count().count() == len(make)
+    assert df.filter(matches & ~F.col("text").rlike(pii.HINT)).collect() == []
+
+
+def test_phones_with_a_bracket_and_a_dash_are_candidates(spark):
+    texts = ["call (415)-555-0134 today", "tel (415).555.0134"]
+    df = pii.candidates(pii.base_spans(spark.createDataFrame([(i, t, "a", 0) for i, t in enumerate(texts)], SCHEMA)))
+    assert {r["id"]: [(x["kind"], x["s"], x["e"]) for x in r["found"]] for r in df.collect()} == {0: [("phone_local", 5, 19)], 1: [("phone_local", 4, 18)]}
