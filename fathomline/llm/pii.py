@@ -37,7 +37,7 @@ BASE = {
 
 #: Added kinds: pattern of a candidate, then a strict form. In this order they come after the base kinds.
 ADDED = {
-    "secret": (r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{20,200}+(?![A-Za-z0-9_+/-])", r"^(?=.*[0-9])(?=.*[A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,}|(?=.*[A-Z])(?=.*[a-z]).{20,})$"),
+    "secret": (r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{20,}+", r"^(?=.*[0-9])(?=.*[A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,}|(?=.*[A-Z])(?=.*[a-z]).{20,})$"),
     "email_spelt": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[(\[]at[)\]] ?[A-Za-z0-9-]{1,63}+(?: ?(?:[(\[]dot[)\]]|\.) ?[A-Za-z0-9-]{1,63}+){1,8}+", r"[(\[]dot[)\]]"),
     "phone_local": (r"(?<![0-9+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}(?![0-9.-])", r"^\([0-9]{3}\) |^[0-9]{3}([.-])[0-9]{3}\1"),
     "national_id": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)"),

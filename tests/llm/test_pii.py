@@ -131,3 +131,10 @@ def test_phones_with_a_bracket_and_a_dash_are_candidates(spark):
     texts = ["call (415)-555-0134 today", "tel (415).555.0134"]
     df = pii.candidates(pii.base_spans(spark.createDataFrame([(i, t, "a", 0) for i, t in enumerate(texts)], SCHEMA)))
     assert {r["id"]: [(x["kind"], x["s"], x["e"]) for x in r["found"]] for r in df.collect()} == {0: [("phone_local", 5, 19)], 1: [("phone_local", 4, 18)]}
+
+
+def test_secrets_of_any_length_are_candidates(spark):
+    texts = [f'token = "{"aB3dE5" * 10}" and', f'token = "{"aB3dE5" * 33}xyz" and', f'token = "{"aB3dE5" * 5000}" and', f'key: {hashlib.sha512(b"x").hexdigest() * 2}.']
+    df = pii.candidates(pii.base_spans(spark.createDataFrame([(i, t, "a", 0) for i, t in enumerate(texts)], SCHEMA)))
+    lengths = {0: [60], 1: [201], 2: [30_000], 3: [256]}
+    assert {r["id"]: [x["e"] - x["s"] for x in r["found"] if x["kind"] == "secret"] for r in df.collect()} == lengths
