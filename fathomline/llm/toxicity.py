@@ -37,7 +37,6 @@ SEEN = 3
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 TIMES = 3
 REMEMBERED = 500_000
-BEAM = 48
 
 # What signs may stand for.
 SIGNS = {
@@ -114,8 +113,8 @@ def readings(segment: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def decode(segment: str, model: np.ndarray, beam: int = BEAM) -> str:
-    """The best reading of a lower-case segment that stands between spaces."""
+def decode(segment: str, model: np.ndarray, beam: int | None = None) -> str:
+    """The best reading of a lower-case segment of any length that stands between spaces; exact unless ``beam`` bounds the states."""
     paths: dict[tuple[int, int, int], tuple[float, tuple]] = {(0, 0, 0): (0.0, ())}
     for options in [*readings(segment), [(" ", 0.0)]]:
         then: dict[tuple[int, int, int], tuple[float, tuple]] = {}
@@ -129,7 +128,7 @@ def decode(segment: str, model: np.ndarray, beam: int = BEAM) -> str:
                     state, total, way = (b, c, d), cost + price - float(after[d]), (path, said)
                 if (old := then.get(state)) is None or total < old[0]:
                     then[state] = (total, way)
-        if len(then) > beam:
+        if beam is not None and len(then) > beam:
             then = dict(sorted(then.items(), key=lambda x: x[1][0])[:beam])
         paths = then
     way, said = min(paths.values(), key=lambda x: x[0])[1], []
@@ -145,8 +144,6 @@ SPACED = re.compile(rf"(?<![^\W_])(?:{_single})(?:[ .\-_*]{{1,2}}(?:{_single})(?
 SIGNED = re.compile(r"[^\W\d_][0-9@$!|+(€£]+[^\W\d_]|^[0-9@$!|+(€£]+[^\W\d_]{2}|[^\W\d_]{2}[0-9@$€£]+$")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
 LETTERS = re.compile(r"[^\W\d_]+").findall
-#: Longer runs without white space are cut here for decoding: disguised words are short.
-LONGEST = 64
 
 
 class Restorer:
@@ -161,10 +158,9 @@ class Restorer:
         if (found := self.runs.get(run)) is None:
             plain = run.rstrip("!?.,;:*#%&$)\"'")
             if SIGNED.search(plain) or REPEATED.search(plain):
-                read = " ".join(decode(plain[k : k + LONGEST], self.model) for k in range(0, len(plain), LONGEST))
-                found = tuple(LETTERS(read))
+                found = tuple(LETTERS(decode(plain, self.model)))
                 if plain != run and SIGNED.search(run):  # the signs at the end may be letters
-                    found += tuple(LETTERS(" ".join(decode(run[k : k + LONGEST], self.model) for k in range(0, len(run), LONGEST))))
+                    found += tuple(LETTERS(decode(run, self.model)))
             else:
                 found = tuple(LETTERS(run))
             if len(self.runs) >= REMEMBERED:
@@ -186,9 +182,7 @@ class Restorer:
         for r in runs - plain if not odd else (runs - plain) | set(odd):
             plain.update(self.run(r))
         for m in SPACED.finditer(low):
-            s = m.group()
-            for k in range(0, len(s), 2 * LONGEST):
-                plain.update(LETTERS(decode(s[k : k + 2 * LONGEST], self.model)))
+            plain.update(LETTERS(decode(m.group(), self.model)))
         return plain
 
 

@@ -43,6 +43,29 @@ def test_restores(model, text, word):
     assert word in tx.Restorer(model).words(text)
 
 
+def test_the_decoder_that_runs_is_exact(model):
+    rng = random.Random(4)
+    for n in (1, 3, 5, 7, 8):
+        for _ in range(12):
+            segment = "".join(rng.choice("1!|i10lo.") for _ in range(n))
+            got, cost = tx.decode(segment, model), brute(segment, model)[0]
+            ways = {"".join(c for c, _ in w): sum(p for _, p in w) for w in sorted(itertools.product(*tx.readings(segment)), key=lambda w: -sum(p for _, p in w))}
+            c = [0, 0, 0] + [tx._LETTER.get(x, 27 if x.isalpha() else 0) for x in got + " "]
+            assert ways[got] - sum(float(model[tuple(c[i : i + 4])]) for i in range(len(got) + 1)) == pytest.approx(cost, abs=1e-4)
+    long = "1!|i" * 40
+    assert tx.decode(long, model) == tx.decode(long, model, beam=10**6)
+
+
+@pytest.mark.parametrize("shift", range(8))
+def test_words_across_any_place_of_long_passages(model, shift):
+    spaced = " ".join("a" * shift + "idiot" * 60)
+    assert tx.decode(spaced, model).count("idiot") == 60
+    run = "x" * shift + "-1d10t" * 40
+    assert tx.decode(run, model).count("idiot") == 40
+    text = " ".join("the" * (20 + shift) + "worthless" + "the" * 20)
+    assert "worthless" in "".join(sorted(tx.Restorer(model).words(text), key=lambda w: "worthless" not in w)[:1])
+
+
 def test_plain_text_is_left_alone(model):
     t = "The cat, sat on 12 mats (2 books) at http://a.example/x1"
     assert {"the", "cat", "sat", "mats", "books"} <= tx.Restorer(model).words(t)
