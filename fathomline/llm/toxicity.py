@@ -1,9 +1,10 @@
 """Toxicity: noisy-channel deobfuscation, then a score of the restored text.
 
-Words may be disguised: signs for letters (leetspeak), letters spaced out, letters repeated. Wherever a text looks like
-that, the characters become a lattice: each may be read as itself or as the letters its sign stands for, a separator
+Words may be disguised: signs for letters (leetspeak), letters spaced out, letters repeated. Any run that holds such a
+sign or a doubled letter, and any passage of three single letters or more, becomes a lattice: each may be read as itself or as the letters its sign stands for, a separator
 between single letters may be nothing, a repeated letter may be nothing. The best path by channel costs and a character
-language model is found by Viterbi decoding; states are the last three characters. All other text has one reading.
+language model is found by Viterbi decoding; states are the last three characters. All other text has one reading, numbers too.
+Runs that have double letters only, and spaced passages, count as they are written as well.
 
 The language model (four characters) is counted over all documents, whole. The classifier is a logistic regression on
 the words of a restored text and their beginnings (how many different words have each, up to ``TIMES``). An L1 penalty
@@ -43,7 +44,7 @@ SIGNS = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
-SEPARATORS = " .-_*"
+SEPARATORS = " .-_*/"
 #: Costs in nats of the channel: a sign for a letter, a sign as itself, a separator left out, a repetition left out, a
 #: second letter of a kind kept, a third or later one kept.
 AS_LETTER, AS_SIGN, NO_SPACE, NO_REPEAT, DOUBLE, REPEAT = 0.7, 4.0, 1.0, 0.7, 0.2, 3.0
@@ -139,9 +140,12 @@ def decode(segment: str, model: np.ndarray, beam: int | None = None) -> str:
 
 
 _single = r"[^\W_]|[@$!|+(]"
-#: Single letters or signs with separators between them, four at least.
-SPACED = re.compile(rf"(?<![^\W_])(?:{_single})(?:[ .\-_*]{{1,2}}(?:{_single})(?![^\W_])){{3,}}")
-SIGNED = re.compile(r"[^\W\d_][0-9@$!|+(€£]+[^\W\d_]|^[0-9@$!|+(€£]+[^\W\d_]{2}|[^\W\d_]{2}[0-9@$€£]+$")
+#: Single letters or signs with one to three separators between them, three at least.
+SPACED = re.compile(rf"(?<![^\W_])(?:{_single})(?:[ .\-_*/]{{1,3}}(?:{_single})(?![^\W_])){{2,}}")
+_sign = "[" + re.escape("".join(SIGNS)) + "]"
+#: A sign in a run that has a letter, or a sign that is no digit: numbers have one reading.
+SIGNED = re.compile(rf"(?=.*(?:[^\W\d_]|(?!\d){_sign})).*?{_sign}", re.DOTALL)
+DOUBLED = re.compile(r"([^\W\d_])\1")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
 LETTERS = re.compile(r"[^\W\d_]+").findall
 
@@ -157,12 +161,15 @@ class Restorer:
         """The words that a run of characters between white space is read as."""
         if (found := self.runs.get(run)) is None:
             plain = run.rstrip("!?.,;:*#%&$)\"'")
-            if SIGNED.search(plain) or REPEATED.search(plain):
+            signed = SIGNED.match(plain)
+            if signed or DOUBLED.search(plain):
                 found = tuple(LETTERS(decode(plain, self.model)))
-                if plain != run and SIGNED.search(run):  # the signs at the end may be letters
-                    found += tuple(LETTERS(decode(run, self.model)))
+                if not signed and not REPEATED.search(plain):  # words have double letters, too
+                    found += tuple(LETTERS(run))
             else:
                 found = tuple(LETTERS(run))
+            if any(c in SIGNS for c in run[len(plain) :]):  # the signs at the end may be letters
+                found += tuple(LETTERS(decode(run, self.model)))
             if len(self.runs) >= REMEMBERED:
                 self.runs.clear()
             self.runs[run] = found
@@ -174,12 +181,8 @@ class Restorer:
         low = unicodedata.normalize("NFKC", text).lower() if not text.isascii() else text.lower()
         runs = set(low.split())
         plain = {r for r in runs if r.isalpha()}
-        if REPEATED.search(low):
-            odd = {r for r in plain if REPEATED.search(r)}
-            plain -= odd
-        else:
-            odd = ()
-        for r in runs - plain if not odd else (runs - plain) | set(odd):
+        plain -= {r for r in plain if DOUBLED.search(r)}
+        for r in runs - plain:
             plain.update(self.run(r))
         for m in SPACED.finditer(low):
             plain.update(LETTERS(decode(m.group(), self.model)))

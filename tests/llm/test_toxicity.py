@@ -43,6 +43,23 @@ def test_restores(model, text, word):
     assert word in tx.Restorer(model).words(text)
 
 
+@pytest.mark.parametrize(("text", "word"), [("you iiddiioott", "idiot"), ("i   d   i   o   t", "idiot"), ("c/l/o/w/n", "clown"), ("y o u", "you"), ("y/o/u", "you"), ("a c7", "ct"), ("1d!07 here", "idiot"), ("cllown", "clown")])
+def test_restores_all_forms_of_disguise(model, text, word):
+    assert word in tx.Restorer(model).words(text)
+
+
+@pytest.mark.parametrize("run", ["a55", "a$$", "@$$"])
+def test_short_runs_with_signs_are_read(run):
+    c = tx.codes("   " + "such an ass sat on a mat " * 50).astype(np.int64)
+    m = tx.language_model(np.bincount(((c[:-3] * 28 + c[1:-2]) * 28 + c[2:-1]) * 28 + c[3:], minlength=28**4).astype(float))
+    assert "ass" in tx.Restorer(m).words(f"you {run}")
+
+
+def test_numbers_and_double_letters_stay(model):
+    assert {"books", "all"} <= tx.Restorer(model).words("all books 455 1,234.50")
+    assert tx.Restorer(model).words("455 1,234.50 2024") == set()
+
+
 def test_the_decoder_that_runs_is_exact(model):
     rng = random.Random(4)
     for n in (1, 3, 5, 7, 8):
