@@ -515,7 +515,7 @@ def ekf_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def particle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return folds.particle_filter(measurements(spark, sf_dir), ["dive"], particles=100)
+    return folds.particle_filter(measurements(spark, sf_dir), ["dive"])
 
 
 @query()

@@ -35,3 +35,16 @@ def test_against_sql(spark, duck, name):
     cols = [c[0] for c in got.description]
     assert sorted(cols) == sorted(df.columns)
     assert norm([tuple(r) for r in df.collect()], df.columns) == norm(got.fetchall(), cols)
+
+
+def test_the_particle_query_has_as_many_particles_as_the_operator(monkeypatch):
+    from inspect import signature
+
+    from fathomline import queries as q
+
+    seen = {}
+    default = signature(q.folds.particle_filter).parameters["particles"].default
+    monkeypatch.setattr(q, "measurements", lambda spark, sf_dir: None)
+    monkeypatch.setattr(q.folds, "particle_filter", lambda rows, by, particles=default: seen.update(n=particles))
+    q.QUERIES["particle"](None, "")
+    assert seen == {"n": 300}
