@@ -22,18 +22,22 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from fathomline.llm.common import free_name
 
 MARK = "▁"
-#: Distinct words that a Python worker remembers.
+#: Distinct words that a Python worker remembers, and pieces that it keeps for them.
 REMEMBERED = 400_000
-#: Characters of new words that are indexed at a time: bounds the arrays (about 800 bytes a character, edges included).
-INDEXED = 150_000
-#: Texts that are encoded at a time.
+STORED = 4_000_000
+#: Characters that are indexed at a time: bounds the arrays (about 800 bytes a character, edges included). A longer word is
+#: indexed window by window, and relaxed from each window to the next.
+INDEXED = 100_000
+#: Characters of the texts that are encoded at a time (one text is never split), and their number.
+CHARACTERS = 500_000
 TEXTS = 1024
-NONE = -1
+NONE, UNREACHED = -1, -(2**31)
 
 
 class Vocabulary:
@@ -119,11 +123,17 @@ class Judged:
 class Encoder:
     def __init__(self, path: str) -> None:
         self.v = Vocabulary(path)
-        self.names = list(self.v.score)
-        self.ids = np.array([self.v.score[p][1] for p in self.names], np.int64)
-        self.lengths = np.array([len(p) for p in self.names], np.int64)
-        self.judged = Judged()
-        self.forget()
+        names = list(self.v.score)
+        self.ids = np.array([self.v.score[p][1] for p in names], np.int64)
+        self.lengths = np.array([len(p) for p in names], np.int64)
+        self.depth = -(-self.v.longest // 4)
+        #: characters of all pieces, one piece a row, 0 past its end
+        self.spelt = np.zeros((len(names), 4 * self.depth), np.uint32)
+        inside = np.arange(4 * self.depth) < self.lengths[:, None]
+        self.spelt[inside] = np.frombuffer("".join(names).encode("utf-32-le"), np.uint32)
+        self.single = np.unique(self.spelt[self.lengths == 1, 0])
+        self.codes, spelt = np.unique(self.spelt, return_inverse=True)
+        self.code_at = spelt.reshape(self.spelt.shape)
         # the bytes that each piece stands for: a byte piece for itself, the space mark for a space
         said = [bytes([self.v.byte_of[i]]) if i in self.v.byte_of else p.replace(MARK, " ").encode() for i, p in enumerate(self.v.piece)]
         self.said = np.frombuffer(b"".join(said), np.uint8)
@@ -139,7 +149,7 @@ class Encoder:
 
     def edges(self, words: list[str]) -> tuple[np.ndarray, ...]:
         """start, end, piece, place in the word of every occurrence of every piece (or of a character without one), by place."""
-        depth = -(-self.v.longest // 4)
+        depth = self.depth
         text = "\0".join(words) + "\0"
         code = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
         lens = np.array([len(w) for w in words], np.int64)
@@ -167,15 +177,12 @@ class Encoder:
             rank[order] = np.concatenate([[0], np.cumsum(np.diff(both[order]) != 0)])
             span *= 2
         # pieces whose characters all occur, as keys of four characters: lowest and highest with that beginning
-        known = {int(c): i + 2 for i, c in enumerate(alphabet) if c}
-        rows = [[known.get(ord(c), 0) for c in p] for p in self.names]
-        here = np.array([all(r) for r in rows])
-        which = np.flatnonzero(here)
-        low = np.zeros((len(which), 4 * depth), np.int64)
-        high = np.full((len(which), 4 * depth), (1 << bits) - 1, np.int64)
-        for i, w in enumerate(which):
-            low[i, : len(rows[w])] = high[i, : len(rows[w])] = rows[w]
-        low, high = (four(x.reshape(len(which), depth, 4)) for x in (low, high))
+        slot = np.minimum(np.searchsorted(alphabet, self.codes), len(alphabet) - 1)
+        known = np.where(alphabet[slot] == self.codes, slot + 2, 0)
+        known[self.codes == 0] = 1
+        which = np.flatnonzero(known[self.code_at].all(axis=1))
+        rows, past = known[self.code_at[which]], self.spelt[which] == 0
+        low, high = (four(np.where(past, x, rows).reshape(len(which), depth, 4)) for x in (0, (1 << bits) - 1))
 
         def bound(want: np.ndarray, after: bool) -> np.ndarray:
             lo, hi = np.zeros(len(want), np.int64), np.full(len(want), n, np.int64)
@@ -197,7 +204,7 @@ class Encoder:
         offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         start = order[np.repeat(start_of, count) + offset]
         end, ids = start + self.lengths[piece], self.ids[piece]
-        single = np.array([chr(c) in self.v.score for c in alphabet])[np.searchsorted(alphabet, code)]
+        single = np.isin(code, self.single)
         lone = np.flatnonzero(~single & (code != 0))  # characters without a piece
         start, end, ids = (np.concatenate(x) for x in ((start, lone), (end, lone + 1), (ids, -2 - code[lone])))
         inside = end <= word_end[start]
@@ -208,12 +215,26 @@ class Encoder:
 
     # -- relaxation
 
+    def relax(self, words: list[str], at: int, own: int | None, last: np.ndarray, back: np.ndarray) -> None:
+        """Relax all edges of words that stand from ``at`` on (of a window only those from its ``own`` first characters)."""
+        start, end, ids, place, _, _ = self.edges(words)
+        if own is not None:
+            inside = start < own
+            start, end, ids, place = start[inside], end[inside], ids[inside], place[inside]
+        start, end = start + at, end + at
+        steps = np.concatenate([[0], np.flatnonzero(np.diff(place)) + 1, [len(place)]])
+        for k in range(len(steps) - 1):
+            s = slice(steps[k], steps[k + 1])
+            from_, piece = start[s], ids[s]
+            ok = self.fits(last[from_], piece)
+            last[end[s][ok]], back[end[s][ok]] = piece[ok], from_[ok]
+
     def fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """For each pair of a last piece and a next one: do they stay whole?"""
         if self.judged.size > 1 << Judged.BITS - 1:
             self.judged.clear()
         size = len(self.v.piece) + 1
-        pair = (left + 1) * size + right
+        pair = (left.astype(np.int64) + 1) * size + right
         plain = (left >= NONE) & (right >= 0)
         pair[~plain] = 0
         good, todo = self.judged.get(pair)
@@ -225,16 +246,16 @@ class Encoder:
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The pieces of all words one after the other, and where each word's begin (and the last one's end)."""
-        start, end, ids, place, begin, lens = self.edges(words)
-        last = np.full(int(begin[-1] + lens[-1] + 1), NONE - 1 << 40, np.int64)
+        lens = np.array([len(w) for w in words], np.int64)
+        begin = np.cumsum(lens + 1) - lens - 1
+        last = np.full(int(begin[-1] + lens[-1] + 1), UNREACHED, np.int32)
         last[begin] = NONE
-        back = np.zeros(len(last), np.int64)
-        steps = np.searchsorted(place, np.arange(1, int(lens.max()) + 2))
-        for k in range(len(steps) - 1):
-            s = slice(steps[k], steps[k + 1])
-            from_, piece = start[s], ids[s]
-            ok = self.fits(last[from_], piece)
-            last[end[s][ok]], back[end[s][ok]] = piece[ok], from_[ok]
+        back = np.zeros(len(last), np.int32 if len(last) < 1 << 31 else np.int64)
+        if len(words) > 1 or lens[0] <= INDEXED:
+            self.relax(words, 0, None, last, back)
+        else:  # edges from a window's own characters; they may end in the next one
+            for at in range(0, int(lens[0]), INDEXED):
+                self.relax([words[0][at : at + INDEXED + self.v.longest]], at, INDEXED, last, back)
         # walk back from the ends of all words together
         at, out, live = begin + lens, [], np.arange(len(words))
         while len(live):
@@ -299,7 +320,7 @@ class Encoder:
         """The pieces of all texts one after the other, and where each text's begin (and the last one's end)."""
         split = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
         cut = [split((" " + t).replace(" ", MARK)) if t else [] for t in texts]
-        if len(self.number) > REMEMBERED:
+        if len(self.number) > REMEMBERED or len(self.store) > STORED:
             self.forget()
         new: set[str] = set()
         for words in cut:
@@ -307,7 +328,7 @@ class Encoder:
         new.difference_update(self.number)
         batch, size = [], 0
         for w in new:
-            if size > INDEXED:
+            if batch and size + len(w) >= INDEXED:
                 self.learn(batch)
                 batch, size = [], 0
             batch.append(w)
@@ -342,6 +363,17 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def portions(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``TEXTS`` rows and, unless it is one row, ``CHARACTERS`` bytes of text."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    k = 0
+    while k < batch.num_rows:
+        to = int(np.searchsorted(upto, (upto[k - 1] if k else 0) + CHARACTERS, "right"))
+        to = min(max(to, k + 1), k + TEXTS)
+        yield batch.slice(k, to - k)
+        k = to
+
+
 def encoded(docs: DataFrame, model: str, columns: list[str] | None = None) -> DataFrame:
     """``docs`` (or some of its columns) with n_pieces, piece_ids, round_trip: does decoding give the text back?"""
     keep = docs.columns if columns is None else columns
@@ -354,8 +386,7 @@ def encoded(docs: DataFrame, model: str, columns: list[str] | None = None) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(model)
         for whole in batches:
-            for k in range(0, whole.num_rows, TEXTS):
-                b = whole.slice(k, TEXTS)
+            for b in portions(whole, width):
                 texts = b.column(width).to_pylist()
                 ids, begin = e.encode(texts)
                 same = [d == (t or "").replace(MARK, " ") for d, t in zip(e.decode(ids, begin), texts, strict=True)]

@@ -32,6 +32,32 @@ def test_against_the_library(both):
         assert back == (t or "").replace("▁", " ")
 
 
+def test_long_words_are_indexed_by_windows(both, monkeypatch):
+    from fathomline.llm import pieces
+
+    e, sp = both
+    monkeypatch.setattr(pieces, "INDEXED", 40)
+    e.forget()
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("aeinrsthTé1日") for _ in range(n)) for n in (39, 40, 41, 80, 81, 500, 4000)] + ["the" * 100, "a" * 1000]
+    ids, begin = e.encode(texts)
+    for t, got in zip(texts, split(ids, begin), strict=True):
+        assert got == sp.encode(t), t
+
+
+def test_portions_hold_all_rows(monkeypatch):
+    import pyarrow as pa
+
+    from fathomline.llm import pieces
+
+    monkeypatch.setattr(pieces, "CHARACTERS", 10)
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * n if n >= 0 else None for n in (3, 30, 0, -1, 5, 5, 1, 12, 12)]})
+    parts = [b.column(0).to_pylist() for b in pieces.portions(batch, 0)]
+    assert sum(parts, []) == batch.column(0).to_pylist()
+    assert all(len(x) == 1 or sum(len(t or "") for t in x) <= 10 for x in parts)
+    assert list(pieces.portions(batch.slice(0, 0), 0)) == []
+
+
 def test_forgetting_words_changes_nothing(both):
     e, sp = both
     a = split(*e.encode(["some words here", "and there"]))
@@ -43,7 +69,7 @@ def test_all_pieces_are_found_by_the_index(both):
     e, _ = both
     start, end, ids, place, begin, lens = e.edges(["banana", "nab"])
     text = "banana\0nab"
-    want = {(i, i + len(p), e.v.score[p][1]) for p in e.names for i in range(len(text)) if text.startswith(p, i)}
+    want = {(i, i + len(p), e.v.score[p][1]) for p in e.v.score for i in range(len(text)) if text.startswith(p, i)}
     assert set(zip(start.tolist(), end.tolist(), ids.tolist(), strict=True)) == want
     assert np.all(np.diff(place) >= 0)
 
