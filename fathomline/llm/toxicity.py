@@ -8,11 +8,13 @@ Runs that have double letters only, and spaced passages, count as they are writt
 
 The language model (four characters) is counted over all documents, whole. The classifier is a logistic regression on
 the words of a restored text and their beginnings (how many different words have each, up to ``TIMES``). An L1 penalty
-first finds those that others don't explain; weights are then fitted to these alone. It is fitted on at most ``SAMPLE`` labelled rows, those with the least hash of their id; nothing else is sampled. Labels of
-held-out rows, languages, sources and ids never reach a score.
+first finds those that others don't explain; weights are then fitted to these alone. It is fitted on at most ``SAMPLE``
+labelled ids, those with the least hash of their id, each with one text (the least, if rows repeat the id), and its
+words and beginnings are at most ``WORDS``: both bound the classifier, whatever the input. Nothing else is sampled.
+Labels of held-out rows, languages, sources and ids never reach a score.
 
 Defined results: null and empty texts get the score of a text without words; repeated rows score alike; rows without a
-doc_id aren't held out; without any toxic label nothing is predicted toxic; an empty table gives an empty result. Other
+doc_id aren't held out; an id that labels repeat is toxic if one of its labels says so; without any toxic label nothing is predicted toxic; an empty table gives an empty result. Other
 columns don't matter, whatever their names; ``rejected_toxic`` keeps all columns.
 """
 
@@ -21,15 +23,17 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.llm.common import cut, packed, picked, small_or_not
 
+#: Labelled ids that the classifier is fitted on, and words and beginnings that it knows, at most.
 SAMPLE = 20_000
 WORDS = 400
 #: Words and beginnings that take part must be in this many toxic sampled texts.
@@ -37,7 +41,8 @@ SEEN = 3
 #: Lengths of beginnings.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 TIMES = 3
-REMEMBERED = 500_000
+#: Runs and words that a task remembers.
+REMEMBERED = 150_000
 
 # What signs may stand for.
 SIGNS = {
@@ -252,7 +257,8 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample: int = S
     """The classifier, from labelled training rows among ``docs``."""
     known = picked(labels, doc_id="doc_id", toxic="toxic").filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & in_training(F.col("doc_id")))
     chosen = cut(known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    texts = picked(docs, doc_id="doc_id", text="text").join(small_or_not(chosen.withColumnRenamed("doc_id", "d")), F.col("doc_id") == F.col("d")).select("text", "toxic")
+    # one text an id, so that the bound on ids is one on rows
+    texts = picked(docs, doc_id="doc_id", text="text").join(small_or_not(chosen.withColumnRenamed("doc_id", "d")), F.col("doc_id") == F.col("d")).groupBy("d").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # SIZE ** 4 numbers, whatever the input
 
     def restored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,16 +315,28 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np
     return model, train(docs, labels, model, sample)
 
 
+def shared_scorer(docs: DataFrame, labels: DataFrame, sample: int) -> Broadcast:
+    """The model's SIZE ** 4 numbers, at most WORDS weights and the bias: a size that doesn't grow with the input."""
+    model, classifier = fitted(docs, labels, sample)
+    return docs.sparkSession.sparkContext.broadcast((model, classifier.weights, classifier.bias))
+
+
+def scorer(parts: tuple[np.ndarray, dict[str, float], float]) -> Callable[[str | None], float]:
+    """A task's own scorer: what it remembers goes with the task."""
+    model, weights, bias = parts
+    r, classifier = Restorer(model), Classifier(weights, bias)
+    return lambda text: classifier.score(r.words(text))
+
+
 def scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, sample))
+    shared = shared_scorer(docs, labels, sample)
     kind = dict(docs.dtypes)["doc_id"]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, classifier = shared.value
-        r = Restorer(model)
+        score = scorer(shared.value)
         for b in batches:
-            out = [classifier.score(r.words(t.as_py())) for t in b.column(1)]
+            out = [score(t.as_py()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.float64())], names=["doc_id", "score"])
 
     row, at = packed(docs)
@@ -328,14 +346,13 @@ def scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
 
 def rejected_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The documents with a score under 0.5, with all columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, sample))
+    shared = shared_scorer(docs, labels, sample)
     text = docs.columns.index("text")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, classifier = shared.value
-        r = Restorer(model)
+        score = scorer(shared.value)
         for b in batches:
-            yield b.filter(pa.array([classifier.score(r.words(t.as_py())) < 0.5 for t in b.column(text)], pa.bool_()))
+            yield b.filter(pa.array([score(t.as_py()) < 0.5 for t in b.column(text)], pa.bool_()))
 
     flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     return flat.mapInArrow(clean, flat.schema).toDF(*docs.columns)
