@@ -33,7 +33,7 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_duplicates(spark, f"{sf_dir}/documents.parquet")
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,22 +5,23 @@ import pytest
 from pyspark.sql import functions as F
 
 from fathomline.llm import exact_dedup
-from tests.llm.helpers import HARD, SCHEMA
+from tests.llm.helpers import HARD, SCHEMA, hard
 
 
 def brute(rows):
     groups = {}
     for i, text in rows:
-        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", text or ""), []).append((-len(text or ""), i is None, i or 0, i))
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", text or ""), []).append((-len(text or ""), i is None, "" if i is None else i))
     out = []
     for i, text in rows:
         n = re.sub(r"[\x20\x09-\x0D]", "", text or "")
-        out.append((i, min(groups[n])[3], len(groups[n]), hashlib.sha256(n.encode()).hexdigest()))
+        _, none, least = min(groups[n])
+        out.append((i, None if none else least, len(groups[n]), hashlib.sha256(n.encode()).hexdigest()))
     return sorted(out, key=str)
 
 
-def run(spark, path, **more):
-    rows = exact_dedup.exact_duplicates(spark, path, **more).collect()
+def run(docs, **more):
+    rows = exact_dedup.exact_duplicates(docs, **more).collect()
     kept = {}
     for r in rows:
         kept[r["text_sha256"]] = kept.get(r["text_sha256"], 0) + r["kept"]
@@ -35,32 +36,67 @@ def rows():
 
 
 @pytest.fixture(scope="module")
-def path(spark, rows, tmp_path_factory):
-    p = str(tmp_path_factory.mktemp("d") / "documents.parquet")
-    df = spark.createDataFrame(rows, "doc_id long, text string").select("*", F.lit("x").alias("key"), F.lit(1).alias("rank"))
-    df.repartition(4).write.parquet(p)
-    return p
+def docs(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
 
 
-def test_against_brute_force(spark, path, rows):
-    assert run(spark, path) == brute(rows)
+def test_against_brute_force(docs, rows):
+    assert run(docs) == brute(rows)
 
 
-def test_state_carries_over_between_batches(spark, path, rows):
-    assert run(spark, path, max_files=1) == brute(rows)
+@pytest.mark.parametrize("waves", [1, 5])
+def test_state_carries_over_between_batches(docs, rows, waves):
+    assert run(docs, waves=waves) == brute(rows)
 
 
-def test_colliding_digests_are_split_by_bytes(spark, path, rows):
-    assert run(spark, path, digest=lambda sha: F.substring(sha, 1, 1)) == brute(rows)
+@pytest.mark.parametrize("waves", [1, 4])
+def test_colliding_digests_are_split_by_bytes(docs, rows, waves):
+    assert run(docs, waves=waves, digest=lambda sha: F.substring(sha, 1, 1)) == brute(rows)
 
 
-def test_single_file_and_empty_table(spark, tmp_path):
-    import pyarrow as pa
-    import pyarrow.parquet as pq
+def test_many_hits_and_hot_digests(docs, rows, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", 2)
+    assert run(docs) == brute(rows)
+    assert run(docs, digest=lambda sha: F.substring(sha, 1, 1)) == brute(rows)
+    monkeypatch.undo()
+    monkeypatch.setattr(exact_dedup, "HOT", 3)
+    assert run(docs) == brute(rows)
 
-    one = str(tmp_path / "documents.parquet")
-    pq.write_table(pa.table({"doc_id": pa.array([1, 2]), "text": pa.array(["a b", "ab"])}), one)
-    assert [(r[0], r[1], r[2]) for r in run(spark, one)] == [(1, 1, 2), (2, 1, 2)]
-    none = str(tmp_path / "none.parquet")
-    spark.createDataFrame([], SCHEMA).write.parquet(none)
-    assert run(spark, none) == []
+
+def test_clashing_columns_and_other_types_of_id(spark):
+    rows = [(r[0], r[1]) for r in HARD]
+    assert run(hard(spark)) == brute(rows)
+    words = [(None if i is None else f"id{i}", t) for i, t in rows]
+    text = spark.createDataFrame(words, "doc_id string, text string")
+    got = run(text)
+    assert got == brute(words)
+
+
+def test_runs_add_up_and_stopped_runs_go_on(spark, rows, tmp_path, monkeypatch):
+    at = str(tmp_path / "state")
+    df = lambda part: spark.createDataFrame(part, "doc_id long, text string")
+    first, second = rows[:30], rows[30:]
+    assert run(df(first), state_dir=at, run="a") == brute(first)
+    # the second run stops in the middle of its first wave, twice in different places
+    for name in ("settle", "stream_wave"):
+        def broken(*_, **__):
+            raise RuntimeError("stopped")
+
+        monkeypatch.setattr(exact_dedup, name, broken)
+        with pytest.raises(Exception):
+            exact_dedup.exact_duplicates(df(second), state_dir=at, run="b")
+        monkeypatch.undo()
+    assert run(df(second), state_dir=at, run="b") == brute(rows)
+    assert run(df(second), state_dir=at, run="b") == brute(rows)  # nothing twice
+
+
+def test_nothing_is_left_behind(spark, docs):
+    from fathomline.llm.common import exists, shared_dir
+
+    before = exists(spark, f"{shared_dir(spark)}/dedup-*")
+    run(docs)
+    assert exists(spark, f"{shared_dir(spark)}/dedup-*") == before
+
+
+def test_empty_table(spark):
+    assert run(spark.createDataFrame([], SCHEMA)) == []
