@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import cut, picked
+from fathomline.llm.common import cut, picked, tidied
 
 LEAST = 100
 IP, DATE, AGENT = "0.0.0.0", "20000101000000", "fathomline"
@@ -206,7 +206,7 @@ def pages_to_archives(pages: DataFrame) -> DataFrame:
                     out += arc_record(r["url"], r["page_id"], r["html"], version, name, len(out))
                 yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([bytes(out)], pa.binary())], names=["name", "arc"])
 
-    return rows.mapInArrow(archive, "name string, arc binary")
+    return rows.mapInArrow(tidied(archive), "name string, arc binary")
 
 
 def convert_archives(archives: DataFrame) -> DataFrame:
@@ -216,7 +216,7 @@ def convert_archives(archives: DataFrame) -> DataFrame:
         rows = (r for b in batches for name, arc in zip(b.column(0), b.column(1), strict=True) for r in converted(name.as_py(), [arc.as_py()]))
         yield from _in_batches(rows, CONVERTED)
 
-    return archives.mapInArrow(convert, CONVERTED)
+    return archives.mapInArrow(tidied(convert), CONVERTED)
 
 
 def read_arc_files(spark: SparkSession, path: str) -> DataFrame:
@@ -247,7 +247,7 @@ def read_arc_files(spark: SparkSession, path: str) -> DataFrame:
 
         yield from _in_batches(files(), CONVERTED)
 
-    return whole.mapInArrow(convert, CONVERTED)
+    return whole.mapInArrow(tidied(convert), CONVERTED)
 
 
 # -- WARC
@@ -336,7 +336,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
         yield from _in_batches(rows(), READ)
 
-    return parts.mapInArrow(read, READ)
+    return parts.mapInArrow(tidied(read), READ)
 
 
 def convert_pages(spark: SparkSession, pages: DataFrame, path: str) -> DataFrame:

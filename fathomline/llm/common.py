@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, a temporary one, in local mode only."""
     sc = spark.sparkContext
     if (at := sc.getCheckpointDir()) is None:
-        at = sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="fathomline-")
+        at = sc.getConf().get("spark.checkpoint.dir")
+        if not at and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = at or tempfile.mkdtemp(prefix="fathomline-")
         sc.setCheckpointDir(at)
         at = sc.getCheckpointDir()
     return at
@@ -40,6 +47,38 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def exists(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, in order."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    return sorted(s.getPath().toString() for s in found or [])
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; the one above the target is made if need be."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(target).getParent())
+    if not fs.rename(path(source), path(target)):
+        raise OSError(f"{source} couldn't be moved to {target}")
+
+
+def tidied(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``f`` for mapInArrow; at the end of a task the worker gives back what it no longer needs. Workers wait for more tasks
+    in the memory that an executor has for all of them, and allocators would keep their most ever."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from f(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+                trim(0)
+
+    return run
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write a light table to the shared folder and go on from there: lost executors don't cost its lineage again."""
     shared_dir(df.sparkSession)

@@ -25,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from fathomline.llm.common import free_name
+from fathomline.llm.common import free_name, tidied
 
 MARK = "▁"
 #: Distinct words that a Python worker remembers, and pieces that it keeps for them.
@@ -393,7 +393,7 @@ def encoded(docs: DataFrame, model: str, columns: list[str] | None = None) -> Da
                 lists = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*b.columns[:width], pa.array(np.diff(begin)), lists, pa.array(same, pa.bool_())], names=[*[f"k{j}" for j in range(width)], "n_pieces", "piece_ids", "round_trip"])
 
-    out = chosen.mapInArrow(run, schema)
+    out = chosen.mapInArrow(tidied(run), schema)
     names = list(keep)
     for extra in ("n_pieces", "piece_ids", "round_trip"):
         names.append(free_name(names, extra))

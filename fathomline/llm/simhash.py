@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import cut, packed
+from fathomline.llm.common import cut, packed, tidied
 from fathomline.llm.components import components
 
 WIDTHS = (13, 13, 13, 13, 12)
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
             fps = [_signed(fingerprint(t.as_py(), width)) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 
-    return row.select(at["doc_id"].alias("doc_id"), at["text"].alias("text")).mapInArrow(hashed, f"doc_id {kind}, fp long")
+    return row.select(at["doc_id"].alias("doc_id"), at["text"].alias("text")).mapInArrow(tidied(hashed), f"doc_id {kind}, fp long")
 
 
 def links(fps: DataFrame, most: int = 2) -> DataFrame:

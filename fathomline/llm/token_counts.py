@@ -23,7 +23,7 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fathomline.llm.common import packed
+from fathomline.llm.common import packed, tidied
 
 REMEMBERED = 700_000
 #: Longer words are counted anew each time.
@@ -168,4 +168,4 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 2048) -> DataFra
                 tokens.append(c.text(s))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(tokens, pa.int64()), pa.array([n > limit for n in tokens], pa.bool_())], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return row.select(at["doc_id"].alias("doc_id"), at["text"].alias("text")).mapInArrow(counted, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return row.select(at["doc_id"].alias("doc_id"), at["text"].alias("text")).mapInArrow(tidied(counted), f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")

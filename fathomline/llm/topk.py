@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from fathomline.llm.common import picked
+from fathomline.llm.common import picked, tidied
 
 SCALE = 1024
 QUERIES, CANDIDATES = 512, 8192
@@ -108,7 +108,7 @@ def _packed(rows: DataFrame, size: int) -> DataFrame:
                     m[i, : len(v)] = v
                 yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()], pa.binary()), pa.array([width], pa.int32()), pa.array([np.floor(SCALE * m).tobytes()], pa.binary())], names=["ids", "width", "m"])
 
-    return rows.mapInArrow(pack, "ids binary, width int, m binary")
+    return rows.mapInArrow(tidied(pack), "ids binary, width int, m binary")
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
@@ -132,7 +132,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
                 a, c, s = best_of_block(qs, q_id, xs, x_id, k)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64()), pa.array(s, pa.int64())], names=["query_id", "vec_id", "score"])
 
-    some = met.mapInArrow(meet, "query_id long, vec_id long, score long")
+    some = met.mapInArrow(tidied(meet), "query_id long, vec_id long, score long")
     # the k best of a query: each task first keeps the k best of what it has met
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return some.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

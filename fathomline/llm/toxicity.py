@@ -31,7 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import cut, packed, picked, small_or_not
+from fathomline.llm.common import cut, packed, picked, small_or_not, tidied
 
 #: Labelled ids that the classifier is fitted on, and words and beginnings that it knows, at most.
 SAMPLE = 20_000
@@ -83,7 +83,7 @@ def count_characters(docs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["code", "n"])
 
     out = np.zeros(SIZE**4)
-    sums = picked(docs, text="text").mapInArrow(counted, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    sums = picked(docs, text="text").mapInArrow(tidied(counted), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     for code, n in sums.collect():  # at most SIZE ** 4 rows, whatever the input
         out[code] = n
     return out
@@ -280,12 +280,12 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample: int = S
                         toxic.update(fs)
                 yield pa.RecordBatch.from_arrays([pa.array(list(of), pa.string()), pa.array([toxic[f] for f in of], pa.int64()), pa.array(list(of.values()), pa.int64())], names=["f", "t", "n"])
 
-    rows = cut(texts.mapInArrow(restored, "toxic int, words array<string>"))
+    rows = cut(texts.mapInArrow(tidied(restored), "toxic int, words array<string>"))
     n, bad = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not bad:
         return Classifier({}, -10.0)
     share = bad / n
-    seen = rows.mapInArrow(counted, "f string, t long, n long").groupBy("f").agg(F.sum("t").alias("t"), F.sum("n").alias("n")).filter((F.col("t") >= SEEN) & (F.col("t") > F.col("n") * share))
+    seen = rows.mapInArrow(tidied(counted), "f string, t long, n long").groupBy("f").agg(F.sum("t").alias("t"), F.sum("n").alias("n")).filter((F.col("t") >= SEEN) & (F.col("t") > F.col("n") * share))
     gain = (F.col("t") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1e-9)
     best = seen.orderBy(gain.desc(), "f").limit(8 * WORDS).collect()
     # of a word and beginnings that are in the same texts, the longest
@@ -300,7 +300,7 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample: int = S
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([[number[f] for f in c] for c in found], pa.list_(pa.int32())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))], names=["toxic", "at", "times"])
 
     x, y = np.zeros((n, len(number)), np.float32), np.zeros(n)
-    sampled = rows.mapInArrow(vectors, "toxic int, at array<int>, times array<int>").collect()  # at most the sample
+    sampled = rows.mapInArrow(tidied(vectors), "toxic int, at array<int>, times array<int>").collect()  # at most the sample
     for i, (toxic, at, times) in enumerate(sorted(sampled, key=lambda r: (r[0], sorted(zip(r[1], r[2], strict=True))))):
         y[i] = toxic
         x[i, at] = np.minimum(times, TIMES)
@@ -340,7 +340,7 @@ def scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.float64())], names=["doc_id", "score"])
 
     row, at = packed(docs)
-    return row.select(at["doc_id"].alias("doc_id"), at["text"].alias("text")).mapInArrow(scored, f"doc_id {kind}, score double").select(
+    return row.select(at["doc_id"].alias("doc_id"), at["text"].alias("text")).mapInArrow(tidied(scored), f"doc_id {kind}, score double").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -355,4 +355,4 @@ def rejected_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
             yield b.filter(pa.array([score(t.as_py()) < 0.5 for t in b.column(text)], pa.bool_()))
 
     flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    return flat.mapInArrow(clean, flat.schema).toDF(*docs.columns)
+    return flat.mapInArrow(tidied(clean), flat.schema).toDF(*docs.columns)
