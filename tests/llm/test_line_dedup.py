@@ -39,6 +39,32 @@ def test_against_brute_force(spark):
         assert got == brute(docs, sites)
 
 
+def test_hot_lines_and_many_lines(spark, monkeypatch):
+    docs = documents(3)
+    df = spark.createDataFrame(docs, SCHEMA)
+    want = brute(docs)
+    for hot, rows in ((2, 50_000), (20, 50_000), (2, 1), (1000, 1)):
+        monkeypatch.setattr(line_dedup, "HOT", hot)
+        monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", rows)
+        got = {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["text_sha256"]) for r in line_dedup.line_report(df).collect()}
+        assert got == want, (hot, rows)
+
+
+def test_many_lines_in_one_text_take_linear_time(spark):
+    import time
+
+    def took(n):
+        text = "\n".join(f"shared line number {i}" for i in range(n))
+        df = spark.createDataFrame([(1, text, "a", 0), (2, text, "b", 0)], SCHEMA)
+        start = time.time()
+        assert sorted(r["n_dropped"] for r in line_dedup.line_report(df).collect()) == [0, n]
+        return time.time() - start
+
+    took(100)
+    few, many = took(15_000), took(120_000)
+    assert many < 5 * few + 5  # by the square it would be 64 times
+
+
 def test_texts_and_lengths(spark):
     docs = [(1, "keep me here now\nshared line of boilerplate", "a", 44), (2, "shared line of boilerplate\nother words stand here", "b", 48), (3, "shared line of boilerplate", "b", 26)]
     out = {r["doc_id"]: r for r in line_dedup.dedup_lines(spark.createDataFrame(docs, SCHEMA)).collect()}
