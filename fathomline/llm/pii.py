@@ -2,14 +2,18 @@
 
 Base spans (email, ip, card, phone) are the leftmost matches of fixed patterns that pass their checks. Further
 candidates (secrets, spelt-out emails, local phone numbers, national numbers, bank accounts, titled names) are found by a
-wide pattern; regex, gazetteer and context labelers vote on each (for, against, nothing). Votes are counted by pattern
-over all documents: that table has at most 3 ** 5 rows a kind, whatever the input. Expectation-maximisation on it
-estimates how reliable each labeler is and how likely each pattern is right; a logistic span classifier is trained on
-those probabilities, and its weights go back into the query as literals. Candidates that it accepts, and that overlap no
-base span, are added; base spans always stay.
-
-Only built-in functions run on the data. Patterns are written so that each starts where a match can start and never
-goes back into a run: long texts take time in proportion. Places come from the lengths of what is between matches.
+wide pattern. Labelers vote on each, for, against or not at all: by a strict form, by check digits and number plans, by
+gazetteers of words before it and of words inside it, by the signs around it, by its shape. Votes and what a span itself
+looks like (length, digits, capitals, different characters, the sign before it) are counted over all documents: a table
+whose size is bounded by the numbers of kinds, votes and classes, whatever the input. Expectation-maximisation estimates
+how reliable each labeler is for each kind, and how likely each pattern of votes is right; a logistic span classifier over
+the span's looks and the votes is trained on those probabilities, and its weights go back into the query as literals.
+Candidates that it accepts, and that overlap no base span, are added; base spans always stay.
+
+Texts are searched once: spans and candidates are written to the shared folder without the texts, and both the counts
+and the result are read from there. Only built-in functions run on the data. Patterns are written so that each starts
+where a match can start and never goes back into a run: long texts take time in proportion. Places come from the lengths
+of what is between matches.
 
 Defined results: null and empty texts have no spans, and the digest of an empty string; places count code points; repeated
 rows get equal results; an empty table gives an empty result; without candidates nothing is added. Other columns don't
@@ -23,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import packed
+from fathomline.llm.common import packed, scratch
 
 #: Base kinds in their order: pattern, and what a text must hold for the pattern to be tried.
 #: \G lets a match start where the last one ended; else it starts where its first run starts.
@@ -38,11 +42,11 @@ BASE = {
 #: Added kinds: pattern of a candidate, then a strict form. In this order they come after the base kinds.
 ADDED = {
     "secret": (r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{20,}+", r"^(?=.*[0-9])(?=.*[A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,}|(?=.*[A-Z])(?=.*[a-z]).{20,})$"),
-    "email_spelt": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[(\[]at[)\]] ?[A-Za-z0-9-]{1,63}+(?: ?(?:[(\[]dot[)\]]|\.) ?[A-Za-z0-9-]{1,63}+){1,8}+", r"[(\[]dot[)\]]"),
+    "email_spelt": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[(\[]at[)\]] ?[A-Za-z0-9-]++(?: ?(?:[(\[]dot[)\]]|\.) ?[A-Za-z0-9-]++)++", r"[(\[]dot[)\]]"),
     "phone_local": (r"(?<![0-9+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}(?![0-9.-])", r"^\([0-9]{3}\) |^[0-9]{3}([.-])[0-9]{3}\1"),
     "national_id": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)"),
     "account": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", r"^[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){2}"),
-    "name": (r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof)\.? \p{Lu}\p{Ll}{1,30}+(?: \p{Lu}\p{Ll}{1,30}+)?", r" \p{Lu}\p{Ll}+ \p{Lu}"),
+    "name": (r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof)\.? \p{Lu}\p{Ll}++(?: \p{Lu}\p{Ll}++)?", r" \p{Lu}\p{Ll}+ \p{Lu}"),
 }
 
 #: What tells a candidate's kind; a secret is none of these.
@@ -54,17 +58,28 @@ FORMS = {
     "account": r"^[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?$",
 }
 
-# Words that speak for a kind in the 40 characters before a candidate, and words that speak against any.
+# Words (of the four languages) that speak for a kind in the 40 characters before a candidate.
 GAZETTEER = {
-    "secret": ["token", "key", "secret", "password", "passwd", "api", "auth", "bearer"],
-    "email_spelt": ["mail", "contact", "write", "reach"],
-    "phone_local": ["phone", "tel", "call", "fax", "mobile", "cell"],
-    "national_id": ["ssn", "social", "security", "national", "id"],
-    "account": ["iban", "account", "bank", "konto", "cuenta", "compte"],
-    "name": ["by", "dear", "from", "contact", "patient", "signed"],
+    "secret": ["token", "key", "secret", "password", "passwd", "pwd", "api", "auth", "bearer", "credential", "private", "access", "signature", "contraseña", "clave", "passwort", "schlüssel", "clé", "jeton", "passe"],
+    "email_spelt": ["mail", "contact", "write", "reach", "address", "correo", "contacto", "escrib", "kontakt", "schreib", "adresse", "courriel", "écri"],
+    "phone_local": ["phone", "tel", "call", "fax", "mobile", "cell", "dial", "contact", "number", "móvil", "llam", "ruf", "handy", "nummer", "appel", "portable", "numéro"],
+    "national_id": ["ssn", "social", "security", "national", "insurance", "tax", "id", "seguro", "identidad", "ausweis", "steuer", "sécurité", "identité"],
+    "account": ["iban", "account", "bank", "swift", "bic", "transfer", "payment", "cuenta", "banco", "konto", "überweis", "compte", "banque", "virement"],
+    "name": ["by", "dear", "from", "contact", "patient", "signed", "attn", "author", "client", "customer", "sr", "estimad", "herr", "frau", "monsieur", "madame"],
+}
+# Words that speak against any kind there.
+AGAINST = ["sha", "md5", "commit", "checksum", "digest", "hash", "isbn", "issn", "doi", "version", "release", "build", "http", "href", "src", "img", "version", "serial", "model", "part", "order", "page", "figure", "table", "chapter", "section"]
+# What a candidate of a kind may hold: prefixes that services give their keys, ends of mail domains, countries
+# of bank accounts, frequent given names.
+INSIDE = {
+    "secret": r"^(?:AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|sk_live_|sk_test_|sk-|pk_live_|rk_live_|xox[abprs]-|AIza|ya29|eyJ|SG\.|hf_|npm_|pypi-)",
+    "email_spelt": r"(?i)(?:com|org|net|edu|gov|info|io|co|uk|de|fr|es|it|nl|ch|at|be|pt|pl|se|no|dk|fi|ie|eu|us|ca|mx|ar|br|au|nz|jp|in|example)$",
+    "account": r"^(?:AD|AE|AL|AT|AZ|BA|BE|BG|BH|BR|BY|CH|CR|CY|CZ|DE|DK|DO|EE|EG|ES|FI|FO|FR|GB|GE|GI|GL|GR|GT|HR|HU|IE|IL|IQ|IS|IT|JO|KW|KZ|LB|LC|LI|LT|LU|LV|MC|MD|ME|MK|MR|MT|MU|NL|NO|PK|PL|PS|PT|QA|RO|RS|SA|SC|SE|SI|SK|SM|ST|SV|TL|TN|TR|UA|VA|VG|XK)",
+    "name": r" (?:James|Mary|John|Patricia|Robert|Jennifer|Michael|Linda|William|Elizabeth|David|Barbara|Richard|Susan|Joseph|Jessica|Thomas|Sarah|Charles|Karen|Daniel|Nancy|Matthew|Lisa|Anthony|Betty|Mark|Sandra|Paul|Ashley|Steven|Emily|Andrew|Donna|George|Anna|Maria|José|Juan|Carmen|Antonio|Ana|Luis|Lucía|Carlos|Elena|Hans|Peter|Klaus|Wolfgang|Ursula|Monika|Petra|Stefan|Sabine|Jürgen|Pierre|Jean|Marie|Michel|Philippe|Nathalie|Isabelle|Claude|Sophie|Julien)\b",
 }
-AGAINST = ["sha", "md5", "commit", "checksum", "digest", "isbn", "version", "http", "href", "src"]
-LABELERS = ("strict", "words", "before", "after", "shape")
+LABELERS = ("strict", "check", "words", "inside", "before", "after", "shape")
+#: How many classes each look of a span has.
+LOOKS = {"length": 5, "digits": 4, "capitals": 3, "different": 3, "sign": 4}
 #: A text must hold one of these for candidates to be looked for; whatever a pattern of ADDED matches holds one.
 HINT = r"[A-Za-z0-9_+/-]{20}|[(\[]at[)\]]|[0-9]{3}\)?[ .-][0-9]{2,3}[.-][0-9]{4}|[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}|(?:Mr|Mrs|Ms|Dr|Prof)\.? "
 
@@ -135,91 +150,144 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return df.select("id", "text", *[kept(k, r) for r, k in enumerate(BASE)])
 
 
+def iban_ok(m: Column) -> Column:
+    """Letters count from 10; the number, its first four signs moved to the end, leaves 1 when divided by 97."""
+    text = F.regexp_replace(m, " ", "")
+    turned = F.concat(F.substring(text, F.lit(5), F.length(text)), F.substring(text, 1, 4))
+    digit = lambda c: F.when(c.between("0", "9"), c.cast("int")).otherwise(F.ascii(c) - 55)
+    return F.aggregate(F.split(turned, "", -1), F.lit(0), lambda a, c: F.when(c == "", a).otherwise((a * F.when(digit(c) > 9, 100).otherwise(10) + digit(c)) % 97)) == 1
+
+
 def votes(kind: Column, m: Column, before: Column, after: Column) -> list[Column]:
     """One column a labeler: 1 for, -1 against, 0 nothing."""
-    by_kind = lambda f: F.coalesce(*[F.when(kind == k, f(k)) for k in ADDED])
+    by_kind = lambda f, of=ADDED: F.coalesce(*[F.when(kind == k, f(k)) for k in of], F.lit(0))
     vote = lambda yes, no: F.when(yes, 1).when(no, -1).otherwise(0)
     low = F.lower(before)
+    listed = lambda words: r"(?<!\p{L})(?:" + "|".join(dict.fromkeys(words)) + ")"
     strict = by_kind(lambda k: vote(m.rlike(ADDED[k][1]), F.lit(True)))
-    words = by_kind(lambda k: vote(low.rlike(r"(?<![a-z])(?:" + "|".join(GAZETTEER[k]) + ")"), low.rlike(r"(?<![a-z])(?:" + "|".join(AGAINST) + ")")))
+    check = F.when(kind == "account", vote(iban_ok(m), F.lit(True))).when(kind == "phone_local", vote(m.rlike(r"^\(?[2-9][0-9]{2}\)?[ .-][2-9]"), m.rlike(r"^\(?[01]"))).when(kind == "national_id", vote(m.rlike(r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)"), F.lit(True))).otherwise(0)
+    words = by_kind(lambda k: vote(low.rlike(listed(GAZETTEER[k])), low.rlike(listed(AGAINST))))
+    inside = by_kind(lambda k: vote(m.rlike(INSIDE[k]), F.lit(False)), INSIDE)
     prior = vote(before.rlike(r"[=:]\s*[\"']?$"), before.rlike(r"[/.@#\\_-]$"))
     next_ = vote(after.rlike(r"[\"'\s,;.!?)]") | (after == ""), after.rlike(r"[\w/@=]"))
     digits = F.length(F.regexp_replace(m, "[^0-9]", "")) / F.greatest(F.length(m), F.lit(1))
     shape = F.when(kind == "secret", vote(digits.between(0.1, 0.9), digits == 0)).when(kind.isin("phone_local", "national_id", "account"), vote(digits >= 0.6, digits < 0.4)).otherwise(0)
-    return [v.cast("int") for v in (strict, words, prior, next_, shape)]
+    return [v.cast("int") for v in (strict, check, words, inside, prior, next_, shape)]
+
+
+def looks(m: Column, before: Column) -> list[Column]:
+    """Classes of what a span itself looks like, as ``LOOKS``: by length, shares of digits and capitals, number of different characters, sign before it."""
+    n = F.greatest(F.length(m), F.lit(1))
+    share = lambda p: F.length(F.regexp_replace(m, p, "")) / n
+    cut_at = lambda x, *edges: sum((F.when(x >= e, 1).otherwise(0) for e in edges), F.lit(0))
+    different = F.size(F.array_distinct(F.split(m, "", -1)))
+    sign = F.when(before.rlike(r"[=:]\s*[\"']?$"), 1).when(before.rlike(r"\s$"), 2).when(before == "", 3).otherwise(0)
+    return [c.cast("int") for c in (cut_at(n, 12, 20, 32, 48), cut_at(share("[^0-9]"), 0.1, 0.4, 0.8), cut_at(share("[^A-Z]"), 0.1, 0.4), cut_at(different, 8, 14), sign)]
 
 
 def candidates(df: DataFrame) -> DataFrame:
-    """``df`` with ``found``: candidates of added kinds that overlap no base span, with their votes."""
+    """``df`` with ``found``: candidates of added kinds that overlap no base span, with their votes (v) and looks (w)."""
     pattern = "|".join(f"(?:{p})" for p, _ in reversed(ADDED.values()))
     m, g = located(F.col("text"), pattern, F.col("text").rlike(HINT))
     df = df.select("*", m.alias("c_m"), g.alias("c_g")).select(*df.columns, placed(F.col("c_m"), F.col("c_g")).alias("c"))
     kind = lambda x: F.coalesce(*[F.when(x["m"].rlike(f), F.lit(k)) for k, f in FORMS.items()], F.lit("secret"))
     taken = F.concat(*[F.col(k) for k in BASE])
     free = lambda x: ~F.exists(taken, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
-    rows = F.transform(F.filter(F.col("c"), free), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), kind(x).alias("kind"), F.array(*votes(kind(x), x["m"], x["before"], x["after"])).alias("v")))
+    rows = F.transform(F.filter(F.col("c"), free), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), kind(x).alias("kind"), F.array(*votes(kind(x), x["m"], x["before"], x["after"])).alias("v"), F.array(*looks(x["m"], x["before"])).alias("w")))
     return df.select(*[c for c in df.columns if c != "c"], rows.alias("found"))
 
 
-def estimated(patterns: dict[tuple[str, tuple[int, ...]], int], rounds: int = 60) -> dict[tuple[str, tuple[int, ...]], float]:
-    """How likely each pattern of votes is right, by expectation-maximisation over labelers that err independently.
+Votes = tuple[int, ...]
+#: (kind, votes, looks) -> how many spans
+Patterns = dict[tuple[str, Votes, Votes], int]
+
 
-    ``patterns``: (kind, votes) -> count. Starts from the share of votes for; a small prior says labelers are right more
-    often than not, which keeps the classes from changing places."""
+def estimated(patterns: dict[tuple[str, Votes], int], rounds: int = 60) -> dict[tuple[str, Votes], float]:
+    """How likely each pattern of votes is right, by expectation-maximisation over labelers that err independently, each with a reliability of its own for each kind.
+
+    Starts from the votes for, less those against; a small prior says labelers are right more often than not, which keeps
+    the classes from changing places."""
     right = {x: min(0.95, max(0.05, 0.5 + sum(x[1]) / (2 * len(LABELERS)))) for x in patterns}
-    for _ in range(rounds):
-        total = sum(patterns.values()) + 2.0
-        share = (sum(n * right[x] for x, n in patterns.items()) + 1.0) / total
-        says: list[dict[tuple[int, int], float]] = []
-        for k in range(len(LABELERS)):
-            t = {(y, v): (3.0 if (v == 1) == bool(y) and v else 1.0) for y in (0, 1) for v in (-1, 0, 1)}
-            for x, n in patterns.items():
-                t[1, x[1][k]] += n * right[x]
-                t[0, x[1][k]] += n * (1 - right[x])
-            says.append({(y, v): c / sum(t[y, w] for w in (-1, 0, 1)) for (y, v), c in t.items()})
-        for x in patterns:
-            z = math.log(share / (1 - share)) + sum(math.log(says[k][1, v] / says[k][0, v]) for k, v in enumerate(x[1]))
-            right[x] = 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
+    for kind in {k for k, _ in patterns}:
+        own = {x: n for x, n in patterns.items() if x[0] == kind}
+        for _ in range(rounds):
+            share = (sum(n * right[x] for x, n in own.items()) + 1.0) / (sum(own.values()) + 2.0)
+            says: list[dict[tuple[int, int], float]] = []
+            for k in range(len(LABELERS)):
+                t = {(y, v): (3.0 if (v == 1) == bool(y) and v else 1.0) for y in (0, 1) for v in (-1, 0, 1)}
+                for x, n in own.items():
+                    t[1, x[1][k]] += n * right[x]
+                    t[0, x[1][k]] += n * (1 - right[x])
+                says.append({(y, v): c / sum(t[y, w] for w in (-1, 0, 1)) for (y, v), c in t.items()})
+            for x in own:
+                z = math.log(share / (1 - share)) + sum(math.log(says[k][1, v] / says[k][0, v]) for k, v in enumerate(x[1]))
+                right[x] = 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
     return right
 
 
-def trained(patterns: dict[tuple[str, tuple[int, ...]], int], steps: int = 400) -> tuple[float, dict[str, float], list[list[float]]]:
-    """A logistic classifier (bias, weight by kind, weights by labeler for votes against, none and for) on estimated labels."""
-    right = estimated(patterns)
-    bias, kinds, weights = 0.0, dict.fromkeys(ADDED, 0.0), [[0.0] * 3 for _ in LABELERS]
-    total = max(1, sum(patterns.values()))
+#: Weights of a classifier: for each kind, of its looks and of its votes by place and value, and a bias.
+Weights = dict[tuple[str, str, int, int], float]
+
+
+def parts_of(kind: str, vs: Votes, ws: Votes) -> list[tuple[str, str, int, int]]:
+    """What a span has a weight for."""
+    return [(kind, "bias", 0, 0), *[(kind, "look", i, w) for i, w in enumerate(ws)], *[(kind, "vote", i, v) for i, v in enumerate(vs)]]
+
+
+def trained(patterns: Patterns, steps: int = 400) -> Weights:
+    """The span classifier: a logistic regression for each kind on estimated labels."""
+    by_votes: dict[tuple[str, Votes], int] = {}
+    for (kind, vs, _), n in patterns.items():
+        by_votes[kind, vs] = by_votes.get((kind, vs), 0) + n
+    right = estimated(by_votes)
+    weights: Weights = {}
+    totals: dict[str, int] = {}
+    for (kind, _, _), n in patterns.items():
+        totals[kind] = totals.get(kind, 0) + n
+    cases = [(n / totals[kind], right[kind, vs], parts_of(kind, vs, ws)) for (kind, vs, ws), n in sorted(patterns.items())]
     for _ in range(steps):
-        slope, by_kind, by_vote = 0.0, dict.fromkeys(ADDED, 0.0), [[0.0] * 3 for _ in LABELERS]
-        for (kind, vs), n in patterns.items():
-            z = bias + kinds[kind] + sum(weights[k][v + 1] for k, v in enumerate(vs))
-            miss = n / total * (1 / (1 + math.exp(-max(-50.0, min(50.0, z)))) - right[kind, vs])
-            slope += miss
-            by_kind[kind] += miss
-            for k, v in enumerate(vs):
-                by_vote[k][v + 1] += miss
-        bias -= slope
-        for kind in kinds:
-            kinds[kind] -= by_kind[kind] + 1e-3 * kinds[kind]
-        for k in range(len(weights)):
-            for v in range(3):
-                weights[k][v] -= by_vote[k][v] + 1e-3 * weights[k][v]
-    return bias, kinds, weights
-
-
-def vote_patterns(df: DataFrame) -> dict[tuple[str, tuple[int, ...]], int]:
-    """Counts of votes by kind over all documents: at most 3 ** 5 rows a kind."""
-    rows = df.select(F.explode("found").alias("x")).groupBy(F.col("x.kind").alias("kind"), F.col("x.v").alias("v")).agg(F.count("*").alias("n")).collect()
-    return {(r["kind"], tuple(r["v"])): r["n"] for r in sorted(rows)}
+        slope: Weights = {}
+        for share, y, parts in cases:
+            z = sum(weights.get(p, 0.0) for p in parts)
+            miss = share * (1 / (1 + math.exp(-max(-50.0, min(50.0, z)))) - y)
+            for p in parts:
+                slope[p] = slope.get(p, 0.0) + miss
+        for p, g in slope.items():
+            weights[p] = weights.get(p, 0.0) - 0.3 * (g + 1e-3 * weights.get(p, 0.0))
+    return weights
+
+
+def span_patterns(df: DataFrame) -> Patterns:
+    """Counts over all documents of the candidates' kinds, votes and looks: at most 6 x 3 ** 7 x 720 rows, in practice hundreds."""
+    rows = df.select(F.explode("found").alias("x")).groupBy(F.col("x.kind").alias("kind"), F.col("x.v").alias("v"), F.col("x.w").alias("w")).agg(F.count("*").alias("n")).collect()
+    return {(r["kind"], tuple(r["v"]), tuple(r["w"])): r["n"] for r in sorted(rows)}
+
+
+def score(weights: Weights, x: Column) -> Column:
+    """Log odds of a candidate by its kind, votes and looks."""
+
+    def of(kind: str) -> Column:
+        one = lambda what, i, value: weights.get((kind, what, i, value), 0.0)
+        z = F.lit(one("bias", 0, 0))
+        for i in range(len(LABELERS)):
+            z = z + F.element_at(F.array(*[F.lit(one("vote", i, v)) for v in (-1, 0, 1)]), x["v"][i] + 2)
+        for i, classes in enumerate(LOOKS.values()):
+            z = z + F.element_at(F.array(*[F.lit(one("look", i, w)) for w in range(classes)]), x["w"][i] + 1)
+        return z
+
+    return F.coalesce(*[F.when(x["kind"] == k, of(k)) for k in ADDED])
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (base and added)."""
-    df = candidates(base_spans(docs))
-    bias, kinds, weights = trained(vote_patterns(df))
+    spark = docs.sparkSession
+    path = scratch(spark, "pii")
+    candidates(base_spans(docs)).select("id", *BASE, "found").write.parquet(path)
+    df = spark.read.parquet(path)
+    weights = trained(span_patterns(df))
     number = {k: r for r, k in enumerate([*BASE, *ADDED])}
-    pick = lambda of, key: F.element_at(F.map_from_arrays(F.array(*[F.lit(x) for x in of]), F.array(*[F.lit(of[x]) for x in of])), key)
-    z = lambda x: F.lit(bias) + pick(kinds, x["kind"]) + sum((F.element_at(F.array(*[F.lit(w) for w in ws]), x["v"][k] + 2) for k, ws in enumerate(weights)), F.lit(0.0))
-    more = F.coalesce(F.transform(F.filter(F.col("found"), lambda x: z(x) >= 0), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), pick(number, x["kind"]).alias("r"))), F.array().cast(_SPAN))
+    rank = lambda kind: F.coalesce(*[F.when(kind == k, number[k]) for k in ADDED])
+    more = F.coalesce(F.transform(F.filter(F.col("found"), lambda x: score(weights, x) >= 0), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), rank(x["kind"]).alias("r"))), F.array().cast(_SPAN))
     names = F.array(*[F.lit(k) for k in number])
     # by start, then kind as listed
     ordered = lambda spans: F.transform(F.array_sort(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["r"].alias("r"), x["e"].alias("e")))), lambda x: F.concat_ws(":", F.element_at(names, x["r"] + 1), x["s"].cast("string"), x["e"].cast("string")))
