@@ -1,16 +1,19 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-A source's target is a number of words. Each of its documents is due ``rate`` copies on average; the whole part of that
-is taken for certain, and of the rest a sample of a fixed size in words is drawn: documents are ranked by their random
-odds divided by their inclusion odds, and taken in that order until the source's words are used up; one last document,
-the one whose size is nearest to the words that are left, closes the gap.
+A source's target is a number of words. Each of its documents is due ``rate`` copies on average: in proportion to its
+importance, up to the cap, such that all of them make up the target. A document's importance is the number of binary
+digits of its size, so that longer ones are likelier, but not by their length; any column may be given instead. The whole
+part of the rate is taken for certain, and of the rest a sample of a fixed size in words is drawn, with unequal
+probabilities: documents are ranked by their random odds divided by their inclusion odds, and taken in that order until
+the source's words are used up; one last document, the one whose size is nearest to the words that are left, closes the
+gap.
 
 No source is ever gathered in one task. Ranks are cut in equal slices per source; the slices' words are summed, the
 slice that holds the cut is found from those sums, and only that slice's documents (about the square root of the
 table) are ordered.
 
 Defined results: a null text has size 0; a null source is a source of its own, last in the order of weights; documents
-of size 0 take part and take 0 words; rows that are equal in id (or, with null ids, in text) are drawn together;
+of size 0 take part and take 0 words; importances that are null count as 1, those under 0 as 0; rows that are equal in id (or, with null ids, in text) are drawn together;
 an empty table gives an empty result. Other columns are ignored, whatever their names.
 """
 
@@ -60,36 +63,47 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], cap: float) -> Da
     return s.select("source", "source_size", share.alias("target"))
 
 
+def size_class(size: Column) -> Column:
+    """The number of binary digits of a size."""
+    return F.length(F.bin(size)).cast("double")
+
+
 def document_rates(light: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
-    """source -> k such that documents due min(cap, k x importance) copies make up the source's target."""
-    k = targets.select("source", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("k"))
-    if "importance" not in light.columns:
-        return k
-    k = k.select("source", F.lit(0.0).alias("k"))  # rises as documents reach the cap
-    for _ in range(50):
+    """source -> k such that documents due min(cap, k x importance) copies make up the source's target.
+
+    k rises from 0; each step shares what documents at the cap leave of the target. Sums are taken once for each source
+    and importance."""
+    mass = cut(light.groupBy(F.col("source").alias("s"), "importance").agg(F.sum("size").alias("size")))
+    full = F.col("target") >= F.col("source_size") * F.lit(cap * (1 - 1e-12))
+    k = cut(targets.select("source", "target", "source_size", F.lit(0.0).alias("k")))
+    while True:
         at_cap = F.col("importance") * F.col("k") >= cap
-        parts = light.join(small_or_not(k), light.source.eqNullSafe(k.source)).select(light.source, "size", "importance", at_cap.alias("full"), "k").groupBy("source").agg(
-            F.sum(F.when(F.col("full"), F.col("size") * cap).otherwise(0.0)).alias("used"), F.sum(F.when(F.col("full"), 0.0).otherwise(F.col("size") * F.col("importance"))).alias("free"), F.max("k").alias("was"))
-        new = cut(parts.join(targets, parts.source.eqNullSafe(targets.source)).select(parts.source, F.when(F.col("free") > 0, F.greatest(F.col("was"), (F.col("target") - F.col("used")) / F.col("free"))).otherwise(F.col("was")).alias("k"), "was"))
-        moved = new.filter(F.abs(F.col("k") - F.col("was")) > 1e-9 * F.col("k")).limit(1).count()
-        k = new.select("source", "k")
-        if not moved:
-            break
-    return k
+        parts = mass.join(small_or_not(k), F.col("s").eqNullSafe(F.col("source"))).groupBy("source", "target", "source_size").agg(
+            F.sum(F.when(at_cap, F.col("size") * cap).otherwise(0.0)).alias("used"), F.sum(F.when(at_cap, 0.0).otherwise(F.col("size") * F.col("importance"))).alias("free"), F.max("k").alias("was"))
+        new = cut(parts.select("source", "target", "source_size", "was", F.when(F.col("free") > 0, F.greatest(F.col("was"), (F.col("target") - F.col("used")) / F.col("free"))).otherwise(F.col("was")).alias("k")))
+        k = new.drop("was")
+        if not new.filter(F.col("k") > F.col("was") * (1 + 1e-12)).limit(1).count():
+            # a source that is wanted to the cap takes all its documents so often, whatever their importance
+            return k.select("source", F.when(full & (F.col("source_size") > 0), F.lit(float("inf"))).otherwise(F.col("k")).alias("k"))
+
+
+def weight_of(size: Column, given: Column | None) -> Column:
+    """Importance: by size, or as given."""
+    return size_class(size) if given is None else F.greatest(F.lit(0.0), F.coalesce(given.cast("double"), F.lit(1.0)))
 
 
 def plan_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0, seed: str = SEED, importance: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(light rows: id, source, size, key[, importance]; per source: source_size, target, k, cut, odd one).
+    """(light rows: id, source, size, key, importance; per source: source_size, target, k, cut, odd one).
 
     Sizes and keys come from one pass over the texts; all else reads those light rows."""
     row, at = packed(docs)
-    more = {} if importance is None else {"importance": F.coalesce(at[importance].cast("double"), F.lit(1.0))}
-    light = cut(row.select(at["doc_id"].alias("doc_id"), at["source"].alias("source"), word_count(at["text"]).alias("size"), draw_key(at["doc_id"], at["text"], seed).alias("key"), *[c.alias(n) for n, c in more.items()]))
+    sized = row.select(at["doc_id"].alias("doc_id"), at["source"].alias("source"), word_count(at["text"]).alias("size"), draw_key(at["doc_id"], at["text"], seed).alias("key"), *([] if importance is None else [at[importance].alias("given")]))
+    light = cut(sized.select("doc_id", "source", "size", "key", weight_of(F.col("size"), None if importance is None else F.col("given")).alias("importance")))
     targets = cut(source_targets(light.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap))
     k = cut(document_rates(light, targets, cap))
     base = cut(targets.join(k.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).select("source", "source_size", "target", "k"))
     slices = int(max(16, light.count() ** 0.5))
-    ranked = light.join(small_or_not(base.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))).select("source", "size", "key", "target", *due("importance" in light.columns, cap))
+    ranked = light.join(small_or_not(base.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))).select("source", "size", "key", "target", *due(cap))
     whole = ranked.withColumn("slice", F.floor(F.col("rank") / (1 + F.col("rank")) * slices))
     sums = cut(whole.groupBy("source", "slice").agg(F.sum(F.col("whole") * F.col("size")).alias("sure"), F.sum(F.when(F.col("part") > 0, F.col("size")).otherwise(0)).alias("words"), F.max("target").alias("target")))
     of = W.partitionBy("source")
@@ -108,17 +122,17 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float =
     return light, cut(per_source)
 
 
-def due(weighed: bool, cap: float) -> list[Column]:
+def due(cap: float) -> list[Column]:
     """whole: certain copies; part: what is left of the copies that are due; rank: random odds over inclusion odds."""
-    rate = F.least(F.lit(float(cap)), F.col("k") * F.col("importance")) if weighed else F.least(F.lit(float(cap)), F.col("k"))
+    rate = F.when(F.col("importance") > 0, F.least(F.lit(float(cap)), F.col("k") * F.col("importance"))).otherwise(0.0)
     part = rate - F.floor(rate)
     odds = uniform(F.col("key")) / (1 - uniform(F.col("key")))
     return [F.floor(rate).cast("long").alias("whole"), part.alias("part"), F.when(part > 0, odds / (part / (1 - part))).otherwise(F.lit(0.0)).alias("rank")]
 
 
-def copies(weighed: bool = False, cap: float = 3.0) -> Column:
-    """A row's copies, from its key, size and its source's row of ``plan_mix``; decided where the row is."""
-    whole, part, rank = due(weighed, cap)
+def copies(cap: float = 3.0) -> Column:
+    """A row's copies, from its key, importance and its source's row of ``plan_mix``; decided where the row is."""
+    whole, part, rank = due(cap)
     slice_ = F.floor(rank / (1 + rank) * F.col("slices"))
     mark = F.struct(rank.alias("rank"), F.col("key").alias("key"))
     drawn = F.col("cut_slice").isNull() | (slice_ < F.col("cut_slice")) | ((slice_ == F.col("cut_slice")) & F.coalesce(mark <= F.col("cut"), F.lit(False))) | F.coalesce(F.col("key") == F.col("odd"), F.lit(False))
@@ -129,14 +143,14 @@ def mix_sizes(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float
     """doc_id, size, source_size, target, taken for every row."""
     light, per_source = plan_mix(docs, weights, cap, seed, importance)
     both = light.join(small_or_not(per_source.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s")))
-    return both.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), (copies(importance is not None, cap) * F.col("size")).alias("taken"))
+    return both.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), (copies(cap) * F.col("size")).alias("taken"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0, seed: str = SEED) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0, seed: str = SEED, importance: str | None = None) -> DataFrame:
     """The mixed documents: each row as often as the mix takes it, with the columns of ``docs``. Texts aren't shuffled."""
-    _, per_source = plan_mix(docs, weights, cap, seed)
+    _, per_source = plan_mix(docs, weights, cap, seed, importance)
     row, at = packed(docs)
-    keyed = row.select("row", at["source"].alias("source"), draw_key(at["doc_id"], at["text"], seed).alias("key"))
+    keyed = row.select("row", at["source"].alias("source"), draw_key(at["doc_id"], at["text"], seed).alias("key"), weight_of(word_count(at["text"]), None if importance is None else at[importance]).alias("importance"))
     both = keyed.join(small_or_not(per_source.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s")))
-    taken = both.select("row", copies(False, cap).cast("int").alias("n")).filter("n > 0")
+    taken = both.select("row", copies(cap).cast("int").alias("n")).filter("n > 0")
     return unpacked(taken.select("row", F.explode(F.array_repeat(F.lit(0), F.col("n"))).alias("again")), docs.columns)

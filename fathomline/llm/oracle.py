@@ -16,11 +16,16 @@ s2 AS (
   FROM s1),
 level AS (SELECT (total - used) / free AS l FROM s2 WHERE fill >= (total - used) / free ORDER BY fill, source NULLS LAST LIMIT 1),
 t AS (SELECT source, source_size, least(most, w * coalesce((SELECT l FROM level), 'infinity'::DOUBLE)) AS target FROM s1),
+m AS (SELECT d.source, target, source_size, length(bin(size))::DOUBLE AS imp, sum(size)::DOUBLE AS mass FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source GROUP BY ALL),
+c AS (
+  SELECT *, (target - 3.0::DOUBLE * coalesce(sum(mass) OVER above, 0)) / nullif(sum(mass * imp) OVER below, 0) AS k
+  FROM m WINDOW above AS (PARTITION BY source ORDER BY imp DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), below AS (PARTITION BY source ORDER BY imp DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+k AS (SELECT source, CASE WHEN any_value(target) >= any_value(source_size) * (3.0::DOUBLE * (1 - 1e-12::DOUBLE)) THEN 'infinity'::DOUBLE ELSE coalesce(arg_max(k, imp) FILTER (WHERE k * imp < 3.0::DOUBLE), 0) END AS k FROM c GROUP BY source),
 r AS (
   SELECT d.doc_id, d.source, d.size, d.key, t.source_size, t.target,
-         least(3.0::DOUBLE, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END) AS rate,
+         CASE WHEN t.source_size > 0 THEN least(3.0::DOUBLE, k.k * length(bin(d.size))::DOUBLE) ELSE 0 END AS rate,
          (('0x' || substr(d.key, 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE AS u
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source JOIN k ON d.source IS NOT DISTINCT FROM k.source),
 q AS (
   SELECT *, floor(rate)::BIGINT AS whole, rate - floor(rate) AS part,
          CASE WHEN rate - floor(rate) > 0 THEN (u / (1 - u)) / ((rate - floor(rate)) / (1 - (rate - floor(rate)))) ELSE 0 END AS rank FROM r),
