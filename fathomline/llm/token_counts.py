@@ -33,6 +33,13 @@ MASK = (1 << BITS) - 1
 END = "</w>"
 
 
+# Letters that the library folds otherwise than Python does: sigma without regard to its place, and two that
+# are newer than Python's tables.
+FOLDED = {"\u03a3": "\u03c3", "\ua7cb": "\u0264", "\ua7dc": "\u019b"}
+# Unassigned characters that the regex module takes for letters.
+NO_LETTERS = "\U00032808\U0003285c\U00032988\U0003d808\U0003d85c\U0003d988\U0003e808\U0003e85c\U0003e988\U0003f808\U0003f85c\U0003f988"
+
+
 def byte_symbols() -> list[str]:
     """The printable stand-in of each byte: itself if it is a visible Latin-1 character, else the next from U+0100 on."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -112,7 +119,7 @@ class Counter(dict):
         merges = Merges(path)
         self.of = Words(merges)
         # fixed pattern of the vocabulary file: contractions, letters, single digits, other signs
-        self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
+        self.words = regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{NO_LETTERS}]]+|[\p{{N}}]|[[^\s\p{{L}}\p{{N}}]||[{NO_LETTERS}]]+").findall
         #: str.split takes these for white space; the pattern doesn't
         self.odd = regex.compile("[\x1c-\x1f]").search
         self.special = regex.compile("|".join(map(regex.escape, sorted(merges.special, key=len, reverse=True)))) if merges.special else None
@@ -128,7 +135,9 @@ class Counter(dict):
 
     def plain(self, text: str) -> int:
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # sigma is folded without regard to its place
+            text = unicodedata.normalize("NFC", text)
+            for upper, lower in FOLDED.items():
+                text = text.replace(upper, lower)
         text = text.lower()
         if self.odd(text):
             return sum(map(self.of.__getitem__, self.words(text)))

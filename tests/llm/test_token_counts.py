@@ -23,6 +23,16 @@ def test_against_the_library(both):
     assert [c.text(x) for x in texts] == [len(e.ids) for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_every_character_against_the_library(both):
+    c, t = both
+    points = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    for form in ("{0}", "a{0}b"):
+        for k in range(0, len(points), 100_000):
+            texts = [form.format(x) for x in points[k : k + 100_000]]
+            want = [len(e.ids) for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+            assert [(x, c.text(x), n) for x, n in zip(texts, want, strict=True) if c.text(x) != n] == []
+
+
 def test_rows(spark, both):
     df = hard(spark)
     rows = count_tokens(df, VOCABULARY).collect()
