@@ -63,11 +63,11 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} couldn't be moved to {target}")
 
 
-def tidied(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``f`` for mapInArrow; at the end of a task the worker gives back what it no longer needs. Workers wait for more tasks
+def tidied(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``f`` for mapInArrow (or over a column's arrays); at the end of a task the worker gives back what it no longer needs. Workers wait for more tasks
     in the memory that an executor has for all of them, and allocators would keep their most ever."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator) -> Iterator:
         try:
             yield from f(batches)
         finally:

@@ -121,7 +121,8 @@ class Judged:
 
 
 class Encoder:
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
+        self.remembered = remembered
         self.v = Vocabulary(path)
         names = list(self.v.score)
         self.ids = np.array([self.v.score[p][1] for p in names], np.int64)
@@ -320,7 +321,7 @@ class Encoder:
         """The pieces of all texts one after the other, and where each text's begin (and the last one's end)."""
         split = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
         cut = [split((" " + t).replace(" ", MARK)) if t else [] for t in texts]
-        if len(self.number) > REMEMBERED or len(self.store) > STORED:
+        if len(self.number) > self.remembered or len(self.store) > STORED:
             self.forget()
         new: set[str] = set()
         for words in cut:
@@ -353,14 +354,14 @@ class Encoder:
         return [raw[x:y].decode("utf-8", "replace").removeprefix(" ") for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     """One per Python worker."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, remembered) not in _encoders:
+        _encoders[path, remembered] = Encoder(path, remembered)
+    return _encoders[path, remembered]
 
 
 def portions(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
@@ -374,8 +375,10 @@ def portions(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
         k = to
 
 
-def encoded(docs: DataFrame, model: str, columns: list[str] | None = None) -> DataFrame:
-    """``docs`` (or some of its columns) with n_pieces, piece_ids, round_trip: does decoding give the text back?"""
+def encoded(docs: DataFrame, model: str, columns: list[str] | None = None, remembered: int = REMEMBERED) -> DataFrame:
+    """``docs`` (or some of its columns) with n_pieces, piece_ids, round_trip: does decoding give the text back?
+
+    ``remembered``: distinct words that a Python worker keeps; fewer cost time, not results."""
     keep = docs.columns if columns is None else columns
     flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     at = [docs.columns.index(c) for c in keep] if columns is not None else list(range(len(keep)))
@@ -384,7 +387,7 @@ def encoded(docs: DataFrame, model: str, columns: list[str] | None = None) -> Da
     schema = ", ".join([f"k{j} {chosen.schema[j].dataType.simpleString()}" for j in range(width)] + ["n_pieces long", "piece_ids array<int>", "round_trip boolean"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(model)
+        e = encoder(model, remembered)
         for whole in batches:
             for b in portions(whole, width):
                 texts = b.column(width).to_pylist()

@@ -347,12 +347,11 @@ def scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
 def rejected_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The documents with a score under 0.5, with all columns."""
     shared = shared_scorer(docs, labels, sample)
-    text = docs.columns.index("text")
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = scorer(shared.value)
-        for b in batches:
-            yield b.filter(pa.array([score(t.as_py()) < 0.5 for t in b.column(text)], pa.bool_()))
+    # only texts go to Python and only scores come back
+    @F.arrow_udf("double")
+    def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from tidied(lambda parts: (pa.array([score(t.as_py()) for t in part], pa.float64()) for score in [scorer(shared.value)] for part in parts))(texts)
 
     flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    return flat.mapInArrow(tidied(clean), flat.schema).toDF(*docs.columns)
+    return flat.filter(scored(F.col(f"c{docs.columns.index('text')}")) < 0.5).toDF(*docs.columns)

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from fathomline.llm import near_copies, simhash
 from tests.llm.helpers import SCHEMA, hard
@@ -58,3 +60,12 @@ def test_hard_rows(spark):
     got = {r["doc_id"] for r in corpus_pipeline.near_dedup_stage(spark, hard(spark), "").collect()}
     assert got == {1, 2, None, 7, 8}
     assert corpus_pipeline.near_dedup_stage(spark, hard(spark).limit(0), "").count() == 0
+
+
+def test_keys_are_the_same_in_both_ways(spark):
+    from fathomline.llm.near_copies import key_column, key_of, line_of
+
+    texts = ["", None, " ", "A b\t\x0b\x0c\r\nC", "  ÄÉ x ", "İ ß", "日本 語\u00a0x\u2003y", "x" * 5000, "\x1c a \x85 b", "a\0b"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = {r["i"]: r["k"] for r in df.select("i", key_column(F.col("text")).alias("k")).collect()}
+    assert got == {i: key_of(line_of(t)) for i, t in enumerate(texts)}
