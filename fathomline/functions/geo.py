@@ -162,5 +162,10 @@ def speed_between(lat0: Column, lon0: Column, lat1: Column, lon1: Column, dt: Co
     return F.lit(111139.0) * F.sqrt((lat1 - lat0) ** 2 + (lon1 - lon0) ** 2) / dt
 
 
+def depth_of_pressure(pascal: Column, density: float = 1030.0, gravity: float = 9.80665) -> Column:
+    """Metres of sea water that weigh as much."""
+    return pascal / (density * gravity)
+
+
 def mean_radius() -> float:
     return math.sqrt((2 * A * A + B * B) / 3)

@@ -59,8 +59,9 @@ def no_nans(rows: DataFrame, cols: Sequence[str]) -> DataFrame:
     return rows.filter(ok)
 
 
-def sentinel_to_null(c: Column, least: float = -32.0, most: float = 32.0) -> Column:
-    return F.when((c > least) & (c < most), c)
+def sentinel_to_null(c: Column, least: float = -32.0, most: float = 32.0, inclusive: bool = True) -> Column:
+    """Null for values outside the range; the bounds themselves stay if ``inclusive``."""
+    return F.when((c >= least) & (c <= most) if inclusive else (c > least) & (c < most), c)
 
 
 def during(rows: DataFrame, others: DataFrame, by: Sequence[str], t: str, margin: float = 1.0) -> DataFrame:

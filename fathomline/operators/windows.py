@@ -88,12 +88,23 @@ def segments(rows: DataFrame, by: Sequence[str], order: str, starts: Column, nam
 
 
 def repaired_zeros(rows: DataFrame, by: Sequence[str], t: str, cols: Sequence[str]) -> DataFrame:
-    """A single 0 becomes the mean of its neighbours by time; runs of zeros stay."""
-    from fathomline.operators.interp import linear
+    """A 0 becomes the value, at its time, of the line from the row before (as repaired) to the row after (as it is).
 
+    In a run of zeros each goes on from the one before, so the value before the run is scaled down step by step: a running
+    product, not a loop. The first and the last row of a group stay as they are."""
     w = over(by, t)
-    fix = lambda c: F.when((F.col(c) == 0) & F.lag(c).over(w).isNotNull() & F.lead(c).over(w).isNotNull(), linear(F.col(t), F.lag(t).over(w), F.lead(t).over(w), F.lag(c).over(w), F.lead(c).over(w))).otherwise(F.col(c)).alias(c)
-    return rows.select(*[c for c in rows.columns if c not in cols], *[fix(c) for c in cols])
+    inner = F.lag(t).over(w).isNotNull() & F.lead(t).over(w).isNotNull()
+    part = F.when(F.lead(t).over(w) == F.lag(t).over(w), 0.0).otherwise((F.col(t) - F.lag(t).over(w)) / (F.lead(t).over(w) - F.lag(t).over(w)))
+    out = rows
+    for c in cols:
+        zero = (F.col(c) == 0) & inner
+        out = out.withColumns({"_zero": F.coalesce(zero, F.lit(False)), "_part": part, "_next": F.lead(c).over(w)})
+        out = out.withColumn("_run", F.sum(F.when(F.col("_zero"), 0).otherwise(1)).over(upto(w)))
+        run = upto(over([*by, "_run"], t))
+        from_ = F.first(c).over(run) * F.product(F.when(F.col("_zero"), 1 - F.col("_part")).otherwise(1.0)).over(run)
+        fixed = F.when(F.col("_zero"), from_ + F.col("_next") * F.col("_part")).otherwise(F.col(c))
+        out = out.withColumn(c, fixed).drop("_zero", "_part", "_next", "_run")
+    return out.select(*[c for c in rows.columns if c not in cols], *cols)
 
 
 def step_lengths(rows: DataFrame, by: Sequence[str], t: str, coords: Sequence[str], name: str = "step") -> DataFrame:

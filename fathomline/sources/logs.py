@@ -13,7 +13,7 @@ from pyspark.sql.window import Window as W
 from fathomline.functions import geo, times
 from fathomline.functions.frames import mount_yaw, wrap_360
 from fathomline.functions.text import sentence_ok
-from fathomline.operators.interp import brackets, linear
+from fathomline.operators.interp import brackets, linear, next_observation
 from fathomline.operators.windows import forward_filled
 from fathomline.sources.lines import name_of, num, part
 
@@ -159,37 +159,116 @@ def eiva_attitude(lines: DataFrame, heading_offset: float = 0.0) -> DataFrame:
     return s.select("file", "seq", times.string_to_epoch(p(2), "yyyy:MM:dd:HH:mm:ss[.SSSSSS][.SSS]").alias("t"), r.alias("roll"), pt.alias("pitch"), wrap_360(y).alias("yaw")).filter(F.col("roll").isNotNull())
 
 
-def eiva_fixes(lines: DataFrame, beacon: int) -> DataFrame:
-    """Position lines of a beacon."""
-    return lines.filter(F.col("line").startswith("P  D") & (F.substring("line", 7, 4).try_cast("int") == beacon))
+def _navipac(i: int) -> Column:
+    """i-th field between blanks."""
+    return F.get(F.split(F.trim("line"), r"\s+"), F.lit(i))
+
+
+def _navipac_time(i: int) -> Column:
+    return times.string_to_epoch(_navipac(i), "yyyy:MM:dd:HH:mm:ss[.SSSSSS][.SSS]")
 
 
-def eiva_depths(lines: DataFrame, beacon: int) -> DataFrame:
-    return lines.filter(F.substring("line", 1, 14) == f"D     {beacon}  19  1")
+def eiva_fixes(lines: DataFrame, beacon: int) -> DataFrame:
+    """Fixes of a beacon from its position lines; heights become depths."""
+    ours = lines.filter(F.col("line").startswith("P  D") & (F.trim(F.substring("line", 7, 4)).try_cast("int") == beacon))
+    n = lambda i: _navipac(i).try_cast("double")
+    out = ours.select("file", "seq", _navipac_time(3).alias("t"), n(7).alias("latitude"), n(8).alias("longitude"), (-n(6)).alias("depth"))
+    return out.filter(F.col("t").isNotNull() & F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+
+
+def eiva_depths(lines: DataFrame, beacon: int, factor: float = 0.0) -> DataFrame:
+    """Depths of a beacon from its depth lines."""
+    head = f"D     {beacon}  19  1"
+    ours = lines.filter(F.substring("line", 1, 14) == head)
+    d = _navipac(5).try_cast("double")
+    out = ours.select("file", "seq", _navipac_time(4).alias("t"), d.alias("depth"), (d * factor).alias("depth_std"))
+    return out.withColumn("t_depth", F.col("t")).filter(F.col("t").isNotNull() & F.col("depth").isNotNull())
+
+
+#: The fields that all records of an observation log have after their type, and each type's own after those.
+MRT_BASE = ["obs_uid", "source_uid", "source_name", "parent_uid", "parent_name", "assoc_uid", "time_stamp", "filter_uid", "fix_number"]
+MRT_TYPES = {
+    "AccelerationObs": ["x_acceleration", "y_acceleration", "z_acceleration", "x_valid", "y_valid", "z_valid"],
+    "PitchRollObs": ["pitch", "roll", "pitch_valid", "roll_valid"],
+    "PitchRollHeadingObs": ["pitch", "roll", "heading", "pitch_valid", "roll_valid", "heading_valid"],
+    "DisplacementObs": ["surge", "heave", "sway", "surge_valid", "heave_valid", "sway_valid"],
+    "DepthObs": ["depth", "valid"],
+    "HeadingObs": ["heading", "valid"],
+    "GPSLatLongObs": ["latitude", "longitude", "altitude", "latitude_valid", "longitude_valid", "altitude_valid", "quality", "hdop", "satellites", "utc_time", "geoidal_separation"],
+    "LatLongObs": ["latitude", "longitude", "altitude", "latitude_valid", "longitude_valid", "altitude_valid"],
+    "GridPositionObs": ["x", "y", "z", "valid_x", "valid_y", "valid_z", "horizontal_position_sd", "vertical_position_sd", "utm_zone"],
+    "USBLVectorObs": ["jx", "jy", "jz", "valid_jx", "valid_jy", "valid_jz", "frequency", "qj_sum", "n_good_samples", "direction_sd"],
+    "USBLRangeObs": [],
+    "VelocityObs": ["velocity_x", "velocity_y", "velocity_z", "validity_x", "validity_y", "validity_z"],
+    "Event": ["event_type", "message"],
+    "EstimateTrackerMetrics": ["estimate_type", "estimate_uid", "filter_uid2", "weight", "predicted", "mde", "w_test"],
+    "Time": [],
+    "Alarm": ["type_id", "severity", "state", "summary", "description", "url", "origin", "category"],
+    "AlarmStateChange": ["alarm_uid", "alarm_type_id", "severity", "prev_state", "new_state", "owner", "purged"],
+}
+#: Fields that are text; those with "valid" in their names are flags, all others numbers.
+MRT_TEXT = {"utm_zone", "event_type", "message", "estimate_type", "estimate_uid", "filter_uid2", "type_id", "severity", "state", "summary", "description", "url", "origin", "category", "alarm_uid", "alarm_type_id", "prev_state", "new_state", "owner", "purged"}
 
 
 def mrt(lines: DataFrame) -> DataFrame:
-    """Observations: type and values. A field that starts with a space belongs to the one before; lines 2 to 36 are a header."""
-    v = F.split("line", ",(?! )", -1)
-    return lines.filter((F.col("seq") == 1) | (F.col("seq") > 36)).select("file", "seq", F.get(v, F.lit(0)).alias("type"), F.slice(v, 2, 1000).alias("values")).filter(F.col("type").endswith("Obs"))
+    """Records of the known types: type and values. A field that starts with a space belongs to the one before; lines 2 to 36 are a header."""
+    v = F.split(F.rtrim("line"), ",(?! )", -1)
+    return lines.filter((F.col("seq") == 1) | (F.col("seq") > 36)).select("file", "seq", F.get(v, F.lit(0)).alias("type"), F.slice(v, F.lit(2), F.size(v)).alias("values")).filter(F.col("type").isin(list(MRT_TYPES)))
+
+
+def mrt_observations(records: DataFrame, kind: str) -> DataFrame:
+    """Records of one type with typed columns: those that all have, t, and the type's own."""
+    at = lambda i: F.get("values", F.lit(i))
+
+    def own(i: int, name: str) -> Column:
+        v = at(len(MRT_BASE) + i)
+        if name in MRT_TEXT:
+            return v.alias(name)
+        return (F.lower(F.trim(v)).isin("true", "1") if "valid" in name else F.trim(v).try_cast("double")).alias(name)
+
+    stamp = times.string_to_epoch(at(MRT_BASE.index("time_stamp")), "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]")
+    return records.filter(F.col("type") == kind).select("file", "seq", *[at(i).alias(n) for i, n in enumerate(MRT_BASE)], stamp.alias("t"), *[own(i, n) for i, n in enumerate(MRT_TYPES[kind])])
+
+
+def mrt_fixes(records: DataFrame, target: str = "AUV 1", ship: str = "GNSS 1", compass: str = "MRT-USBL", offset_s: float = 0.0, by: str = "dive") -> DataFrame:
+    """Fixes of the target with the ship's position and heading, each the first at or after the fix (past the end, the last).
+
+    All files of ``records`` are one log unless they have a column ``by``."""
+    rows = records if by in records.columns else records.withColumn(by, F.lit(""))
+    grouped = lambda kind: mrt_observations(rows, kind).join(rows.select("file", "seq", by), ["file", "seq"])
+    at = grouped("LatLongObs")
+    fixes = at.filter(F.col("source_name") == target).select(by, "file", "seq", "t", "latitude", "longitude", (-F.col("altitude")).alias("depth"))
+    ships = at.filter(F.col("source_name") == ship).select(by, "t", F.col("latitude").alias("ship_latitude"), F.col("longitude").alias("ship_longitude"))
+    headings = grouped("PitchRollHeadingObs").filter(F.col("source_name") == compass).select(by, "t", F.col("heading").alias("ship_heading"))
+    near = next_observation(fixes.filter("t IS NOT NULL"), ships.filter("t IS NOT NULL"), [by], "t", ["ship_latitude", "ship_longitude"]).drop("sample_t")
+    out = next_observation(near, headings.filter("t IS NOT NULL"), [by], "t", ["ship_heading"]).drop("sample_t")
+    return out.filter(F.col("ship_latitude").isNotNull() & F.col("ship_heading").isNotNull()).withColumn("t", F.col("t") + offset_s)
 
 
-#: Places of beacon, time, latitude and longitude in the four dialects of GGA logs (hemispheres follow their values).
-GGA = {1: {"id": 9, "time": 1, "lat": 5, "lon": 7}, 2: {"id": 7, "time": 1, "lat": 3, "lon": 5}, 3: {"id": 8, "time": 1, "lat": 4, "lon": 6}, 4: {"id": 10, "time": 1, "lat": 6, "lon": 8}}
+#: Places of beacon, latitude and longitude in the four dialects of GGA logs (hemispheres follow their values);
+#: "dated" logs have their date in field 0 and their time in field 1, the others only the time in field 1.
+GGA = {1: {"id": 9, "lat": 5, "lon": 7, "dated": 0}, 2: {"id": 19, "lat": 8, "lon": 10, "dated": 1}, 3: {"id": 20, "lat": 8, "lon": 10, "dated": 1}, 4: {"id": 17, "lat": 5, "lon": 7, "dated": 0}}
 
 
 def gga(lines: DataFrame, beacon: int, dialect: int = 1, places: dict[str, int] | None = None) -> DataFrame:
-    """Fixes of a beacon; the day is in the file's name; rows that don't parse are left out."""
+    """Fixes of a beacon; undated logs have the day in the file's name; rows that don't parse are left out."""
     at = places or GGA[dialect]
     f = lambda i: F.get(F.split("line", r"[, *]", -1), F.lit(i))
-    deg = lambda i, n: F.when(f(i + 1).isin("S", "W"), -1).otherwise(1) * (F.substring(f(i), 1, n).try_cast("double") + F.substring(f(i), n + 1, 20).try_cast("double") / 60)
-    clock = F.regexp_replace(f(at["time"]), ":", "")
-    out = lines.filter(f(at["id"]).try_cast("int") == beacon).select("file", "seq", times.clock_of_day(clock, day_of()).alias("t"), deg(at["lat"], 2).alias("latitude"), deg(at["lon"], 3).alias("longitude"))
+    # hemispheres other than S and W count as N and E
+    deg = lambda i, n, minus: F.when(f(i + 1) == minus, -1).otherwise(1) * (F.substring(f(i), 1, n).try_cast("double") + F.substring(f(i), n + 1, 20).try_cast("double") / 60)
+    if at.get("dated"):
+        n = lambda i, a, k: F.substring(f(i), a, k).try_cast("int")
+        fraction = F.concat(F.lit("0."), F.substring(f(1), 10, 6)).try_cast("double")
+        t = times.epoch_from_parts(n(0, 1, 4), n(0, 6, 2), n(0, 9, 2), n(1, 1, 2), n(1, 4, 2), n(1, 7, 2)) + F.coalesce(fraction, F.lit(0.0))
+    else:
+        t = times.clock_of_day(F.regexp_replace(f(1), ":", ""), day_of())
+    out = lines.filter(f(at["id"]).try_cast("int") == beacon).select("file", "seq", t.alias("t"), deg(at["lat"], 2, "S").alias("latitude"), deg(at["lon"], 3, "W").alias("longitude"))
     fixed = {"latitude_std": 1e-4, "longitude_std": 1e-4, "northings_std": 5.0, "eastings_std": 5.0, "depth": 0.0}
-    return out.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select("*", *[F.lit(v).alias(k) for k, v in fixed.items()])
+    return out.filter(F.col("t").isNotNull() & F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select("*", *[F.lit(v).alias(k) for k, v in fixed.items()])
 
 
 def poll_times(lines: DataFrame) -> DataFrame:
-    """Pairs of clocks from ``poll_time: a b`` lines."""
-    p = r"poll_time:\s*([0-9.]+)[,\s]+([0-9.]+)"
-    return lines.filter(F.col("line").rlike(p)).select("file", "seq", F.regexp_extract("line", p, 1).cast("double").alias("t"), F.regexp_extract("line", p, 2).cast("double").alias("other"))
+    """Pairs of clocks from ``poll_time:`` lines, in seconds: t is the mean of the camera's clock before and after the vehicle's answer, ``other`` the vehicle's."""
+    ms = lambda i: num("line", i) / 1000
+    rows = lines.filter(F.col("line").contains("poll_time:")).select("file", "seq", ((ms(1) + ms(7)) / 2).alias("t"), ms(5).alias("other"), ms(1).alias("asked"), ms(7).alias("answered"))
+    return rows.filter(F.col("t").isNotNull() & F.col("other").isNotNull())

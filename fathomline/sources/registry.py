@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fathomline.sources import images, logs, tables
+from fathomline.sources import images, logs, matlab, rov, tables
 from fathomline.sources.lines import read_lines
 
 Reader = Callable[..., DataFrame]
@@ -58,7 +58,8 @@ register("usbl", "usbl_dump")(_from_lines(logs.usbl_dump))
 register("usbl", "NOC_nmea")(_from_lines(logs.noc_nmea))
 for _d in (1, 2, 3, 4):
     register("usbl", f"sonardyne_gga{_d if _d > 1 else ''}")(_from_lines(lambda ls, beacon, _d=_d: logs.gga(ls, beacon, _d)))
-register("usbl", "sonardyne_mrt")(_from_lines(logs.mrt))
+register("usbl", "sonardyne_mrt")(_from_lines(lambda ls, **o: logs.mrt_fixes(logs.mrt(ls), **o)))
+register("clock", "alr_biocam")(_from_lines(logs.poll_times))
 register("tide", "NOC_polpred")(_from_lines(logs.tide_polpred))
 register("tide", "tide_CTI")(_from_lines(logs.tide_cti))
 register("orientation", "eiva_navipac")(_from_lines(logs.eiva_attitude))
@@ -66,3 +67,12 @@ register("usbl", "eiva_navipac")(_from_lines(logs.eiva_fixes))
 register("depth", "eiva_navipac")(_from_lines(logs.eiva_depths))
 for _s in ("acfr", "biocam", "ntnu", "mtime"):
     register("image", _s)(lambda spark, path, _s=_s, **o: images.camera_listing(images.listing(spark, path), _s, **o))
+register("image", "seaxerocks_3")(lambda spark, path, file_time, **o: images.seaxerocks(images.listing(spark, path), spark.read.option("header", True).csv(file_time), **o))
+register("image", "stereo_gopro")(lambda spark, path, left, right: images.gopro_pairs(spark.read.option("header", True).csv(path), images.listing(spark, left), images.listing(spark, right)))
+register("image", "voyis")(lambda spark, path, **o: images.voyis(images.listing(spark, path, "*.tif"), **o))
+for _c in ("velocity", "orientation", "depth", "altitude"):
+    register(_c, "autosub")(lambda spark, path, _c=_c, **o: matlab.autosub(matlab.read(spark, path), _c, **o))
+register("position", "koyo20rov")(rov.koyo20_positions)
+register("orientation", "koyo20rov")(rov.koyo20_attitudes)
+register("image", "koyo20rov")(rov.koyo20_images)
+register("position", "hybis")(rov.hybis_positions)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -126,11 +126,17 @@ def acfr_fields(lines: DataFrame, stereo: bool = False) -> DataFrame:
     return rows.select("file", "seq", *[F.degrees(n).alias(n) if n in ("roll", "pitch", "yaw") else F.col(n) for n in names])
 
 
+def track_of(file: str = "file") -> Column:
+    """What a pose file and its covariance file share: the path without the suffix and without ``_cov``."""
+    return F.regexp_replace(F.regexp_replace(F.col(file), r"\.[^./]*$", ""), "_cov$", "")
+
+
 def states(poses: DataFrame, covariances: DataFrame, start: str | None = None, end: str | None = None, path: str = "relative_path") -> DataFrame:
-    """Poses with their covariances by position, between two images."""
-    p = poses.withColumn("_n", F.row_number().over(W.partitionBy("file").orderBy("seq")))
-    c = covariances.withColumn("_n", F.row_number().over(W.partitionBy("file").orderBy("seq"))).drop("file", "seq")
-    both = p.join(c.drop(*[x for x in c.columns if x in p.columns and x != "_n"]), "_n").drop("_n")
+    """Poses with their covariances by position in the pair of files ``x.csv`` and ``x_cov.csv``, between two images."""
+    numbered = lambda d: d.withColumn("_track", track_of()).withColumn("_n", F.row_number().over(W.partitionBy("_track").orderBy("seq")))
+    c = numbered(covariances)
+    more = c.select("_track", "_n", *[x for x in covariances.columns if x not in poses.columns])
+    both = numbered(poses).join(more, ["_track", "_n"]).drop("_track", "_n")
     return between_marks(both, ["file"], "seq", path, start, end) if start and end else both
 
 
