@@ -1,6 +1,8 @@
-"""Sequential filters over one dive's time-ordered measurements: each group is one fold, run as an Arrow-grouped function.
+"""Sequential filters over dives' time-ordered measurements.
 
-A dive is bounded by how long a vehicle can stay down, so a group fits a worker; dives run in parallel.
+The Kalman filter and its smoother step through many dives side by side: rows come partitioned and sorted by dive, a task
+takes as many whole dives as ``CELLS`` allows, and each step is one array operation over all of them. Other folds take a
+dive as one group. A dive is bounded by how long a vehicle can stay down, so it fits a worker; partitions run in parallel.
 
 Measurements are one long table: by..., t, kind (orientation, usbl, depth, velocity, query), a, b, c, a_std, b_std, c_std:
   orientation: roll, pitch, yaw in degrees; usbl: northings, eastings, depth; depth: a; velocity: x, y, z of the body.
@@ -9,8 +11,8 @@ Measurements are one long table: by..., t, kind (orientation, usbl, depth, veloc
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -22,6 +24,7 @@ N = 12
 POSITION, ANGLES, SPEEDS, RATES = slice(0, 3), slice(3, 6), slice(6, 9), slice(9, 12)
 #: Order in which measurements of one moment are taken in.
 ORDER = {"orientation": 0, "usbl": 1, "depth": 2, "velocity": 3, "query": 4}
+KINDS = list(ORDER)
 STATE = ["northings", "eastings", "depth", "roll", "pitch", "yaw", "x_velocity", "y_velocity", "z_velocity", "vroll", "vpitch", "vyaw"]
 
 
@@ -46,32 +49,42 @@ class EkfConfig:
     stds: dict[str, StdModel] = field(default_factory=lambda: {k: StdModel(0.1, 0.01) for k in ("orientation", "usbl", "depth", "velocity")})
 
 
-def rotation(roll: float, pitch: float, yaw: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rotations about x, y and z, in radians; their product z y x takes the body to north, east, down."""
-    (cr, sr), (cp, sp), (cy, sy) = ((math.cos(a), math.sin(a)) for a in (roll, pitch, yaw))
-    return np.array([[1, 0, 0], [0, cr, -sr], [0, sr, cr]]), np.array([[cp, 0, sp], [0, 1, 0], [-sp, 0, cp]]), np.array([[cy, -sy, 0], [sy, cy, 0], [0, 0, 1]])
-
-
-_SPIN = {"x": np.array([[0, 0, 0], [0, 0, -1], [0, 1, 0]]), "y": np.array([[0, 0, 1], [0, 0, 0], [-1, 0, 0]]), "z": np.array([[0, -1, 0], [1, 0, 0], [0, 0, 0]])}
-
-
-def motion(x: np.ndarray, dt: float) -> tuple[np.ndarray, np.ndarray]:
-    """Transition matrix at a state, and the Jacobian of transition-times-state."""
-    roll, pitch, yaw = x[ANGLES]
-    rx, ry, rz = rotation(roll, pitch, yaw)
-    turn = rz @ ry @ rx
-    (cr, sr), cp, tp = (math.cos(roll), math.sin(roll)), math.cos(pitch), math.tan(pitch)
-    rates = np.array([[1, sr * tp, cr * tp], [0, cr, -sr], [0, sr / cp, cr / cp]])
-    f = np.eye(N)
-    f[POSITION, SPEEDS], f[ANGLES, RATES] = turn * dt, rates * dt
+_SPIN = np.array([[[0, 0, 0], [0, 0, -1], [0, 1, 0]], [[0, 0, 1], [0, 0, 0], [-1, 0, 0]], [[0, -1, 0], [1, 0, 0], [0, 0, 0]]], float)
+#: Dives times steps that are filtered at a time.
+CELLS = 1 << 19
+
+
+def rotations(angles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rotations about x, y and z for rows of roll, pitch, yaw in radians; their product z y x takes the body to north, east, down."""
+    out = []
+    for k, (i, j) in enumerate(((1, 2), (2, 0), (0, 1))):
+        m = np.zeros((len(angles), 3, 3))
+        c, s = np.cos(angles[:, k]), np.sin(angles[:, k])
+        m[:, k, k], m[:, i, i], m[:, j, j], m[:, i, j], m[:, j, i] = 1, c, c, -s, s
+        out.append(m)
+    return out[0], out[1], out[2]
+
+
+def motion(x: np.ndarray, dt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Transition matrices at states (one a row), and the Jacobians of transition-times-state."""
+    rx, ry, rz = rotations(x[:, ANGLES])
+    zy = rz @ ry
+    turn = zy @ rx
+    roll, pitch = x[:, 3], x[:, 4]
+    cr, sr, cp, tp = np.cos(roll), np.sin(roll), np.cos(pitch), np.tan(pitch)
+    one, zero = np.ones(len(x)), np.zeros(len(x))
+    stack = lambda rows: np.array(rows).transpose(2, 0, 1)
+    rates = stack([[one, sr * tp, cr * tp], [zero, cr, -sr], [zero, sr / cp, cr / cp]])
+    f = np.tile(np.eye(N), (len(x), 1, 1))
+    f[:, POSITION, SPEEDS], f[:, ANGLES, RATES] = turn * dt[:, None, None], rates * dt[:, None, None]
     j = f.copy()
-    v, w = x[SPEEDS], x[RATES]
-    for k, d in enumerate((rz @ ry @ rx @ _SPIN["x"], rz @ ry @ _SPIN["y"] @ rx, rz @ _SPIN["z"] @ ry @ rx)):
-        j[POSITION, 3 + k] += d @ v * dt
-    by_roll = np.array([[0, cr * tp, -sr * tp], [0, -sr, -cr], [0, cr / cp, -sr / cp]])
-    by_pitch = np.array([[0, sr / cp**2, cr / cp**2], [0, 0, 0], [0, sr * tp / cp, cr * tp / cp]])
-    j[ANGLES, 3] += by_roll @ w * dt
-    j[ANGLES, 4] += by_pitch @ w * dt
+    v, w, by = x[:, SPEEDS, None], x[:, RATES, None], dt[:, None]
+    for k, d in enumerate((turn @ _SPIN[0], zy @ _SPIN[1] @ rx, rz @ _SPIN[2] @ ry @ rx)):
+        j[:, POSITION, 3 + k] += (d @ v)[:, :, 0] * by
+    by_roll = stack([[zero, cr * tp, -sr * tp], [zero, -sr, -cr], [zero, cr / cp, -sr / cp]])
+    by_pitch = stack([[zero, sr / cp**2, cr / cp**2], [zero, zero, zero], [zero, sr * tp / cp, cr * tp / cp]])
+    j[:, ANGLES, 3] += (by_roll @ w)[:, :, 0] * by
+    j[:, ANGLES, 4] += (by_pitch @ w)[:, :, 0] * by
     return f, j
 
 
@@ -80,81 +93,125 @@ def wrapped(angle: np.ndarray) -> np.ndarray:
     return np.where(np.abs(angle) <= np.pi, angle, (angle + np.pi) % (2 * np.pi) - np.pi)
 
 
-def measured(kind: str, v: np.ndarray, s: np.ndarray, x: np.ndarray, c: EkfConfig) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """(state indices, values, variances) of one measurement."""
-    model = c.stds[kind]
-    turn = lambda arm: np.linalg.multi_dot(rotation(*x[ANGLES])[::-1]) @ np.asarray(arm, float)
-    if kind == "orientation":
-        own = s if s[0] > 0 else model.offset + v * model.factor
-        return [3, 4, 5], np.radians(v), np.radians(own) ** 2
-    if kind == "usbl":
-        own = s[:2] if s[0] > 0 else np.full(2, model.offset + model.factor * math.sqrt(float(np.nansum(v**2))))
-        return [0, 1], v[:2] + turn(c.usbl_to_dvl)[:2], own**2
-    if kind == "depth":
-        own = s[:1] if s[0] > 0 else model.offset + v[:1] * model.factor
-        return [2], v[:1] + turn(c.depth_to_dvl)[2], own**2
-    own = s if s[0] > 0 else model.offset + np.abs(v) * model.factor
-    return [6, 7, 8], v, own**2
-
-
-def filter_dive(t: np.ndarray, kind: np.ndarray, v: np.ndarray, s: np.ndarray, t0: float, x0: np.ndarray, c: EkfConfig) -> tuple[list, list]:
-    """States [(t, x, P)] and a report [(t, kind, valid)] of the forward pass over events after t0."""
-    q = np.diag(c.process_noise).astype(float) if np.ndim(c.process_noise) == 1 else np.asarray(c.process_noise, float)
-    p = np.diag(c.initial_covariance).astype(float) if np.ndim(c.initial_covariance) == 1 else np.asarray(c.initial_covariance, float)
-    x, last = x0.astype(float).copy(), t0
-    states, report = [(t0, x.copy(), p.copy())], []
-    events = pd.DataFrame({"t": t, "k": [ORDER[k] for k in kind], "i": np.arange(len(t))})
+def measured(kind: int, v: np.ndarray, s: np.ndarray, x: np.ndarray, c: EkfConfig) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(state indices, values, variances) of measurements of a kind, one a row."""
+    model = c.stds[KINDS[kind]]
+    own = s[:, :1] > 0
+
+    def turned(arm: Sequence[float]) -> np.ndarray:
+        rx, ry, rz = rotations(x[:, ANGLES])
+        return (rz @ ry @ rx) @ np.asarray(arm, float)
+
+    if kind == ORDER["orientation"]:
+        return np.array([3, 4, 5]), np.radians(v), np.radians(np.where(own, s, model.offset + v * model.factor)) ** 2
+    if kind == ORDER["usbl"]:
+        far = np.sqrt(np.nansum(v**2, axis=1))[:, None]
+        return np.array([0, 1]), v[:, :2] + turned(c.usbl_to_dvl)[:, :2], np.where(own, s[:, :2], model.offset + model.factor * far) ** 2
+    if kind == ORDER["depth"]:
+        return np.array([2]), v[:, :1] + turned(c.depth_to_dvl)[:, 2:], np.where(own, s[:, :1], model.offset + v[:, :1] * model.factor) ** 2
+    return np.array([6, 7, 8]), v, np.where(own, s, model.offset + np.abs(v) * model.factor) ** 2
+
+
+def _square(of: Sequence) -> np.ndarray:
+    return np.diag(of).astype(float) if np.ndim(of) == 1 else np.asarray(of, float)
+
+
+def update(x: np.ndarray, p: np.ndarray, at: np.ndarray, z: np.ndarray, r: np.ndarray, c: EkfConfig) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """States and covariances after measurements of the state's entries ``at``, and which of them the gate let through."""
+    pht = p[:, :, at]
+    inv = np.linalg.inv(pht[:, at] + r[:, :, None] * np.eye(len(at)))
+    gain, miss = pht @ inv, z - x[:, at]
+    angle = (at >= 3) & (at < 6)
+    miss[:, angle] = wrapped(miss[:, angle])
+    ok = np.einsum("di,dij,dj->d", miss, inv, miss) < c.mahalanobis**2
+    new = x + (gain @ miss[:, :, None])[:, :, 0]
+    new[:, ANGLES] = wrapped(new[:, ANGLES])
+    rest = np.tile(np.eye(N), (len(x), 1, 1))
+    rest[:, :, at] -= gain
+    cov = rest @ p @ rest.transpose(0, 2, 1) + (gain * r[:, None, :]) @ gain.transpose(0, 2, 1)
+    return np.where(ok[:, None], new, x), np.where(ok[:, None, None], cov, p), ok
+
+
+@dataclass
+class Steps:
+    """Filtered dives side by side: for each step, which dives take it (``live``), and their times, states and covariances; what was measured in it."""
+
+    live: list[np.ndarray]
+    t: list[np.ndarray]
+    x: list[np.ndarray]
+    p: list[np.ndarray]
+    #: (step, dive, kind, taken)
+    report: list[tuple[int, np.ndarray, int, np.ndarray]]
+
+
+def filter_dives(dive: np.ndarray, t: np.ndarray, kind: np.ndarray, v: np.ndarray, s: np.ndarray, t0: np.ndarray, x0: np.ndarray, c: EkfConfig) -> Steps:
+    """The forward pass. ``dive`` numbers the dives from 0 on; ``t0`` and ``x0`` have one row a dive; events after t0 count."""
+    events = pd.DataFrame({"d": dive, "t": t, "k": kind, "i": np.arange(len(t))})
     # measurements of one kind and moment come in one after the other, each after a step of its own
-    events["turn"] = events.groupby(["t", "k"]).cumcount()
-    events = events[events.t > t0].sort_values(["t", "turn", "k", "i"], kind="stable")
-    for (now, _), group in events.groupby(["t", "turn"], sort=True):
-        dt = now - last
-        f, j = motion(x, dt)
-        x = f @ x
-        p = j @ p @ j.T + abs(dt) * q
-        last = now
-        x[ANGLES] = wrapped(x[ANGLES])
-        for k, i in zip(group.k, group.i, strict=True):
-            if k == ORDER["query"]:
+    events["turn"] = events.groupby(["d", "t", "k"]).cumcount()
+    events = events[t > t0[dive]].sort_values(["d", "t", "turn", "k", "i"], kind="stable")
+    d, at, turn, k, i = (events[n].to_numpy() for n in ("d", "t", "turn", "k", "i"))
+    new = np.ones(len(d), bool)
+    new[1:] = (np.diff(d) != 0) | (np.diff(at) != 0) | (np.diff(turn) != 0)
+    number = np.cumsum(new)
+    first = np.zeros(len(t0), np.int64)
+    first[d[::-1]] = number[::-1]  # the first step of each dive
+    step = number - first[d] + 1 if len(d) else number
+    by = np.argsort(step, kind="stable")
+    d, at, k, i, step = d[by], at[by], k[by], i[by], step[by]
+    q, p0 = _square(c.process_noise), _square(c.initial_covariance)
+    x, p, now = x0.astype(float).copy(), np.tile(p0, (len(t0), 1, 1)), t0.astype(float).copy()
+    out = Steps([np.arange(len(t0))], [now.copy()], [x.copy()], [p.copy()], [])
+    edge = np.searchsorted(step, np.arange(1, (int(step[-1]) if len(step) else 0) + 2))
+    for n in range(len(edge) - 1):
+        span = slice(edge[n], edge[n + 1])
+        live, where = np.unique(d[span], return_index=True)
+        dt = at[span][where] - now[live]
+        f, j = motion(x[live], dt)
+        xl = (f @ x[live][:, :, None])[:, :, 0]
+        pl = j @ p[live] @ j.transpose(0, 2, 1) + np.abs(dt)[:, None, None] * q
+        xl[:, ANGLES] = wrapped(xl[:, ANGLES])
+        for kk in range(ORDER["query"]):
+            rows = np.flatnonzero(k[span] == kk)
+            if not len(rows):
                 continue
-            at, z, r = measured(kind[i], v[i], s[i], x, c)
+            who = np.searchsorted(live, d[span][rows])
+            idx, z, r = measured(kk, v[i[span][rows]], s[i[span][rows]], xl[who], c)
+            r = np.maximum(np.abs(r), 1e-9)
             keep = ~np.isnan(z)
-            at, z, r = np.array(at)[keep], z[keep], np.maximum(np.abs(r[keep]), 1e-9)
-            if not len(at):
-                continue
-            pht = p[:, at]
-            inv = np.linalg.inv(p[np.ix_(at, at)] + np.diag(r))
-            gain, miss = pht @ inv, z - x[at]
-            turned = (at >= 3) & (at < 6)
-            miss[turned] = wrapped(miss[turned])
-            ok = bool(miss @ inv @ miss < c.mahalanobis**2)
-            report.append((now, kind[i], ok))
-            if ok:
-                x = x + gain @ miss
-                rest = np.eye(N)
-                rest[:, at] -= gain
-                p = rest @ p @ rest.T + gain @ np.diag(r) @ gain.T
-                x[ANGLES] = wrapped(x[ANGLES])
-        states.append((now, x.copy(), p.copy()))
-    return states, report
-
-
-def smoothed(states: list, c: EkfConfig) -> list:
-    """Rauch-Tung-Striebel pass from the last state back."""
-    q = np.diag(c.process_noise).astype(float) if np.ndim(c.process_noise) == 1 else np.asarray(c.process_noise, float)
-    out = list(states)
-    for i in range(len(states) - 2, -1, -1):
-        (t, x, p), (t1, xs, ps) = states[i], out[i + 1]
-        f, j = motion(x, t1 - t)
-        ahead = j @ p @ j.T + q * (t1 - t)
-        inv = np.linalg.pinv(ahead)
-        gain = p * j.T * inv if c.smoother_mode == "as_coded" else p @ j.T @ inv
-        miss = xs - f @ x
-        miss[ANGLES] = np.arctan2(np.sin(miss[ANGLES]), np.cos(miss[ANGLES]))
-        out[i] = (t, x + gain @ miss, p + gain @ (ps - ahead) @ gain.T)
+            for pattern in np.unique(keep, axis=0):  # entries that are missing are left out
+                if not pattern.any():
+                    continue
+                same = np.flatnonzero((keep == pattern).all(axis=1))
+                w = who[same]
+                xl[w], pl[w], ok = update(xl[w], pl[w], idx[pattern], z[same][:, pattern], r[same][:, pattern], c)
+                out.report.append((n + 1, live[w], kk, ok))
+        x[live], p[live], now[live] = xl, pl, at[span][where]
+        out.live.append(live)
+        out.t.append(now[live])
+        out.x.append(xl)
+        out.p.append(pl)
     return out
 
 
+def smooth_dives(steps: Steps, c: EkfConfig) -> None:
+    """Rauch-Tung-Striebel pass from the last states back, in place."""
+    q = _square(c.process_noise)
+    for n in range(len(steps.live) - 2, -1, -1):
+        on = steps.live[n + 1]  # a dive that takes a step has taken the one before
+        here = np.searchsorted(steps.live[n], on)
+        x, p, dt = steps.x[n][here], steps.p[n][here], steps.t[n + 1] - steps.t[n][here]
+        f, j = motion(x, dt)
+        ahead = j @ p @ j.transpose(0, 2, 1) + q * dt[:, None, None]
+        inv = np.linalg.pinv(ahead)
+        back = j.transpose(0, 2, 1)
+        gain = p * back * inv if c.smoother_mode == "as_coded" else p @ back @ inv
+        miss = steps.x[n + 1] - (f @ x[:, :, None])[:, :, 0]
+        miss[:, ANGLES] = np.arctan2(np.sin(miss[:, ANGLES]), np.cos(miss[:, ANGLES]))
+        steps.x[n][here] = x + (gain @ miss[:, :, None])[:, :, 0]
+        steps.p[n][here] = p + gain @ (steps.p[n + 1] - ahead) @ gain.transpose(0, 2, 1)
+
+
 def _schema(rows: DataFrame, by: Sequence[str], more: str) -> T.StructType:
     head = T.StructType([rows.schema[c] for c in by])
     for f in T._parse_datatype_string(more).fields:
@@ -162,59 +219,106 @@ def _schema(rows: DataFrame, by: Sequence[str], more: str) -> T.StructType:
     return head
 
 
-def _initial(pdf: pd.DataFrame) -> tuple[float, np.ndarray]:
-    """Start: the first moment by which each kind of measurement (fixes aside) has been seen, from the latest of each."""
-    first = {k: g.iloc[0] for k, g in pdf[pdf.kind.isin(["orientation", "depth", "velocity"])].groupby("kind")}
-    t0 = max([float(r.t) for r in first.values()], default=float(pdf.t.min()))
-    seen = pdf[(pdf.t <= t0) & pdf.kind.isin(list(first))].sort_values("t", kind="stable")
+def start_of(t: np.ndarray, kind: np.ndarray, v: np.ndarray) -> tuple[float, np.ndarray]:
+    """Start of a dive: the first moment by which each kind of measurement (fixes aside) has been seen, from the latest of each."""
+    main = [ORDER[k] for k in ("orientation", "depth", "velocity")]
+    t0 = max((t[kind == k].min() for k in main if (kind == k).any()), default=t.min())
     x = np.zeros(N)
-    for k, at in (("orientation", ANGLES), ("velocity", SPEEDS)):
-        if len(g := seen[seen.kind == k]):
-            got = g.iloc[-1][["a", "b", "c"]].to_numpy(float)
-            x[at] = np.radians(got) if k == "orientation" else got
-    if len(g := seen[seen.kind == "depth"]):
-        x[2] = float(g.iloc[-1].a)
-    if len(g := pdf[(pdf.kind == "usbl") & (pdf.t <= t0)]):
-        x[:2] = g.iloc[-1][["a", "b"]].to_numpy(float)
-    return t0, x
+
+    def last(k: str) -> np.ndarray | None:
+        at = np.flatnonzero((kind == ORDER[k]) & (t <= t0))
+        return v[at[np.flatnonzero(t[at] == t[at].max())[-1]]] if len(at) else None
+
+    for k, at, width in (("orientation", ANGLES, 3), ("velocity", SPEEDS, 3), ("depth", slice(2, 3), 1), ("usbl", slice(0, 2), 2)):
+        if (got := last(k)) is not None:
+            x[at] = np.radians(got) if k == "orientation" else got[:width]
+    return float(t0), x
+
+
+def _initial(pdf: pd.DataFrame) -> tuple[float, np.ndarray]:
+    t, kind, v, _ = _arrays(pdf)
+    return start_of(t, np.array([ORDER[k] for k in kind]), v)
 
 
 def _arrays(pdf: pd.DataFrame) -> tuple[np.ndarray, ...]:
     return pdf.t.to_numpy(float), pdf.kind.to_numpy(), pdf[["a", "b", "c"]].to_numpy(float), pdf[["a_std", "b_std", "c_std"]].fillna(0.0).to_numpy(float)
 
 
-def ekf(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig()) -> DataFrame:
-    """States of the (smoothed) extended Kalman filter: by..., t, the twelve states (angles in degrees), covariance (144)."""
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["t", "kind", "a"], kind="stable").reset_index(drop=True)
-        states, _ = filter_dive(*_arrays(pdf), *_initial(pdf), config)
+def ekf_steps(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig()) -> DataFrame:
+    """States of the (smoothed) extended Kalman filter: by..., t, the twelve states (angles in degrees), covariance (144), and
+    report: type and valid (did the gate let it through?) of the measurements that the state took in."""
+    deg = np.array([1, 1, 1, *[180 / math.pi] * 3, 1, 1, 1, *[180 / math.pi] * 3])
+    by = list(by)
+
+    def filtered(part: pd.DataFrame) -> pd.DataFrame:
+        """Whole dives, sorted by dive."""
+        key = part.groupby(by, sort=False, dropna=False).ngroup().to_numpy()
+        t, names, v, s = _arrays(part)
+        kind = np.array([ORDER[k] for k in names])
+        begin = np.flatnonzero(np.diff(key, prepend=-1))
+        starts = [start_of(t[a:b], kind[a:b], v[a:b]) for a, b in zip(begin, [*begin[1:], len(key)], strict=True)]
+        steps = filter_dives(key, t, kind, v, s, np.array([x[0] for x in starts]), np.array([x[1] for x in starts]), config)
+        taken: dict[tuple[int, int], list[dict]] = {}
+        for n, who, k, ok in steps.report:
+            for d, o in zip(who.tolist(), ok.tolist(), strict=True):
+                taken.setdefault((d, n), []).append({"type": KINDS[k], "valid": o})
         if config.smooth:
-            states = smoothed(states, config)
-        deg = [1, 1, 1, *[180 / math.pi] * 3, 1, 1, 1, *[180 / math.pi] * 3]
-        out = pd.DataFrame(np.array([x for _, x, _ in states]) * deg, columns=STATE)
-        out.insert(0, "t", [t for t, _, _ in states])
-        for c, k in zip(reversed(list(by)), reversed(key), strict=True):
-            out.insert(0, c, k)
-        out["covariance"] = [p.ravel().tolist() for _, _, p in states]
+            smooth_dives(steps, config)
+        d = np.concatenate(steps.live)
+        n = np.repeat(np.arange(len(steps.live)), [len(x) for x in steps.live])
+        order = np.lexsort((n, d))
+        out = part.iloc[begin[d[order]]][by].reset_index(drop=True)
+        out["t"] = np.concatenate(steps.t)[order]
+        out[STATE] = (np.concatenate(steps.x) * deg)[order]
+        out["covariance"] = list(np.concatenate(steps.p)[order].reshape(-1, N * N))
+        out["report"] = [taken.get((a, b), []) for a, b in zip(d[order].tolist(), n[order].tolist(), strict=True)]
         return out
 
-    more = "t double, " + ", ".join(f"{c} double" for c in STATE) + ", covariance array<double>"
-    return rows.groupBy(*by).applyInPandas(run, _schema(rows, by, more))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        cells = 0
+        for pdf in batches:
+            held.append(pdf)
+            cells += len(pdf)
+            if cells >= CELLS:  # all dives but the last are whole
+                both = pd.concat(held, ignore_index=True)
+                number = both.groupby(by, sort=False, dropna=False).ngroup().to_numpy()
+                whole = number < number[-1]
+                if whole.any():
+                    yield from portions(both[whole], number[whole])
+                held = [both[~whole]]
+                cells = len(held[0]) if whole.any() else 0  # a dive that is longer than CELLS is waited for
+        if held and len(both := pd.concat(held, ignore_index=True)):
+            yield from portions(both, both.groupby(by, sort=False, dropna=False).ngroup().to_numpy())
+
+    def portions(part: pd.DataFrame, number: np.ndarray) -> Iterator[pd.DataFrame]:
+        """Dives in portions of at most CELLS dives times steps."""
+        begin = [*np.flatnonzero(np.diff(number, prepend=-1)).tolist(), len(part)]
+        a, longest = 0, 0
+        for k in range(len(begin) - 1):
+            longest = max(longest, begin[k + 1] - begin[k])
+            if k > a and longest * (k - a + 1) > CELLS:
+                yield filtered(part.iloc[begin[a] : begin[k]].reset_index(drop=True))
+                a, longest = k, begin[k + 1] - begin[k]
+        yield filtered(part.iloc[begin[a] :].reset_index(drop=True))
+
+    more = "t double, " + ", ".join(f"{c} double" for c in STATE) + ", covariance array<double>, report array<struct<type: string, valid: boolean>>"
+    needed = rows.select(*by, "t", "kind", "a", "b", "c", "a_std", "b_std", "c_std")
+    return needed.repartition(*by).sortWithinPartitions(*by, "t", "kind", "a").mapInPandas(run, _schema(rows, by, more))
 
 
-def ekf_report(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig()) -> DataFrame:
-    """by..., t, type, valid: each measurement and whether the gate let it through."""
+def ekf(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig()) -> DataFrame:
+    """States of the (smoothed) extended Kalman filter: by..., t, the twelve states (angles in degrees), covariance (144)."""
+    return ekf_steps(rows, by, config).drop("report")
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["t", "kind", "a"], kind="stable").reset_index(drop=True)
-        _, report = filter_dive(*_arrays(pdf), *_initial(pdf), config)
-        out = pd.DataFrame(report, columns=["t", "type", "valid"])
-        for c, k in zip(reversed(list(by)), reversed(key), strict=True):
-            out.insert(0, c, k)
-        return out
 
-    return rows.groupBy(*by).applyInPandas(run, _schema(rows, by, "t double, type string, valid boolean"))
+def report_of(steps: DataFrame, by: Sequence[str]) -> DataFrame:
+    """by..., t, type, valid: each measurement that ``ekf_steps`` took in and whether the gate let it through."""
+    return steps.select(*by, "t", F.inline("report"))
+
+
+def ekf_report(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig()) -> DataFrame:
+    return report_of(ekf_steps(rows, by, replace(config, smooth=False)), by)
 
 
 def particle_filter(rows: DataFrame, by: Sequence[str], particles: int = 300, seed: int = 0, velocity: StdModel = StdModel(0.05, 0.02), angle: StdModel = StdModel(0.1, 0.0), fix: StdModel = StdModel(5.0, 0.01), gain: float = 1.0) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -102,9 +103,10 @@ def run(s: Sensors, latitude: float, longitude: float, vehicle: Vehicle = Vehicl
         out["dead_reckoning"] = anchored(dead_reckoning(s, vehicle, c), fixes, latitude, longitude)
     m = measurements(Sensors(s.velocity, s.orientation, s.depth, s.altitude, fixes))
     if c.ekf:
-        states = folds.ekf(m, BY, ekf)
-        out["ekf"] = anchored(interp.interpolated(states.drop("covariance"), s.altitude.select(*BY, T, "altitude"), BY, T, ["altitude"]), None, latitude, longitude)
-        out["ekf_report"] = aggregates.accepted(folds.ekf_report(m, BY, ekf), BY)
+        # kept on disk once computed: states and report are one pass
+        steps = folds.ekf_steps(m, BY, ekf).persist(StorageLevel.DISK_ONLY)
+        out["ekf"] = anchored(interp.interpolated(steps.drop("covariance", "report"), s.altitude.select(*BY, T, "altitude"), BY, T, ["altitude"]), None, latitude, longitude)
+        out["ekf_report"] = aggregates.accepted(folds.report_of(steps, BY), BY)
     if c.particle_filter:
         out["particle_filter"] = folds.particle_filter(m, BY, c.particles)
     return out

@@ -1,4 +1,6 @@
+import itertools
 import math
+import random
 
 import numpy as np
 import pytest
@@ -91,12 +93,109 @@ def test_ekf_holds_a_steady_course(spark, mode):
 
 def test_motion_jacobian_is_the_derivative():
     x = np.array([1, 2, 3, 0.2, -0.3, 1.0, 0.5, -0.4, 0.3, 0.1, 0.05, -0.2])
-    f, j = folds.motion(x, 0.7)
+    one = lambda y: folds.motion(y[None], np.array([0.7]))[0][0] @ y
+    j = folds.motion(x[None], np.array([0.7]))[1][0]
     for k in range(12):
         h = np.zeros(12)
         h[k] = 1e-6
-        num = (folds.motion(x + h, 0.7)[0] @ (x + h) - folds.motion(x - h, 0.7)[0] @ (x - h)) / 2e-6
-        assert np.allclose(num, j[:, k], atol=1e-6)
+        assert np.allclose((one(x + h) - one(x - h)) / 2e-6, j[:, k], atol=1e-6)
+
+
+def moved(x, dt):
+    """The process model, spelt out: speeds are turned from the body to the earth, rates to angle rates."""
+    r, p, y = x[3:6]
+    about = lambda a, i, j: np.array([[1.0 if m == n and m not in (i, j) else math.cos(a) if m == n else -math.sin(a) if (m, n) == (i, j) else math.sin(a) if (m, n) == (j, i) else 0.0 for n in range(3)] for m in range(3)])
+    turn = about(y, 0, 1) @ about(p, 2, 0) @ about(r, 1, 2)
+    rates = np.array([[1, math.sin(r) * math.tan(p), math.cos(r) * math.tan(p)], [0, math.cos(r), -math.sin(r)], [0, math.sin(r) / math.cos(p), math.cos(r) / math.cos(p)]])
+    out = x.copy()
+    out[:3] += turn @ x[6:9] * dt
+    out[3:6] += rates @ x[9:] * dt
+    return out
+
+
+def slope(x, dt):
+    h = 1e-6 * np.eye(12)
+    return np.array([(moved(x + e, dt) - moved(x - e, dt)) / 2e-6 for e in h]).T
+
+
+def filtered_by_hand(events, t0, x0, c, smooth):
+    """One measurement after the other: (t, kind, values, deviations), sorted; the textbook's formulas with numeric slopes."""
+    wrap = lambda a: a if abs(a) <= math.pi else (a + math.pi) % (2 * math.pi) - math.pi
+    q, p, x, now = np.diag(c.process_noise), np.diag(c.initial_covariance), x0.copy(), t0
+    seen, states, report = {}, [(t0, x.copy(), p.copy())], []
+    turns = []
+    for t, kind, v, s in events:
+        seen[t, kind] = seen.get((t, kind), -1) + 1
+        turns.append((t, seen[t, kind], folds.ORDER[kind], kind, v, s))
+    for (t, _), group in itertools.groupby(sorted((e for e in turns if e[0] > t0), key=lambda e: e[:3]), key=lambda e: e[:2]):
+        j = slope(x, t - now)
+        x, p, now = moved(x, t - now), j @ p @ j.T + (t - now) * q, t
+        x[3:6] = [wrap(a) for a in x[3:6]]
+        for *_, kind, v, s in group:
+            if kind == "query":
+                continue
+            at = {"orientation": [3, 4, 5], "usbl": [0, 1], "depth": [2], "velocity": [6, 7, 8]}[kind]
+            z = [math.radians(a) for a in v] if kind == "orientation" else list(v)
+            sd = [math.radians(a) for a in s] if kind == "orientation" else list(s)
+            use = [i for i in range(len(at)) if not math.isnan(z[i])]
+            if not use:
+                continue
+            h = np.eye(12)[[at[i] for i in use]]
+            r = np.diag([max(sd[i] ** 2, 1e-9) for i in use])
+            gap = np.array([wrap(z[i] - x[at[i]]) if kind == "orientation" else z[i] - x[at[i]] for i in use])
+            inv = np.linalg.inv(h @ p @ h.T + r)
+            ok = gap @ inv @ gap < c.mahalanobis**2
+            report.append((t, kind, bool(ok)))
+            if ok:
+                gain = p @ h.T @ inv
+                x, p = x + gain @ gap, (np.eye(12) - gain @ h) @ p
+                x[3:6] = [wrap(a) for a in x[3:6]]
+        states.append((t, x.copy(), p.copy()))
+    if smooth:
+        for i in range(len(states) - 2, -1, -1):
+            (t, x, p), (t1, xs, ps) = states[i], states[i + 1]
+            j = slope(x, t1 - t)
+            ahead = j @ p @ j.T + (t1 - t) * q
+            gain = p @ j.T @ np.linalg.inv(ahead)
+            gap = xs - moved(x, t1 - t)
+            gap[3:6] = [math.atan2(math.sin(a), math.cos(a)) for a in gap[3:6]]
+            states[i] = (t, x + gain @ gap, p + gain @ (ps - ahead) @ gain.T)
+    return states, report
+
+
+@pytest.mark.parametrize(("smooth", "cells"), [(False, 1 << 19), (True, 1 << 19), (True, 40)])
+def test_filter_and_smoother_against_brute_force(spark, monkeypatch, smooth, cells):
+    monkeypatch.setattr(folds, "CELLS", cells)
+    rng = random.Random(5)
+    nan = float("nan")
+    dives = {"a": 60, "b": 7, "c": 25, "d": 1}
+    data = []
+    for d, n in dives.items():
+        data += [(d, 10.0, "orientation", 1.0, 2.0, 170.0, 0.5, 0.5, 0.5), (d, 10.0, "velocity", 0.1, 0.0, 0.0, 0.1, 0.1, 0.1), (d, 10.0, "depth", 5.0, None, None, 0.2, None, None)]
+        for i in range(n):
+            t = 10.0 + rng.choice([0.5, 1.0, 1.5]) * (1 + i // 2)  # several at a moment
+            kind = rng.choice(["orientation", "velocity", "depth", "usbl", "query"])
+            v = {"orientation": [rng.gauss(0, 2), rng.gauss(0, 2), rng.choice([175.0, -175.0]) + rng.gauss(0, 2)], "velocity": [rng.gauss(0.3, 0.1), rng.gauss(0, 0.1), rng.choice([0.0, nan])], "depth": [rng.gauss(5, 0.3), None, None], "usbl": [rng.gauss(0, 1), rng.choice([rng.gauss(0, 1), 500.0]), 5.0], "query": [None] * 3}[kind]
+            data.append((d, t, kind, *v, 0.5, 0.6, 0.7))
+    df = rows(spark, data, "dive string, t double, kind string, a double, b double, c double, a_std double, b_std double, c_std double")
+    c = folds.EkfConfig(smooth=smooth, initial_covariance=[0.1] * 12)
+    got = {}
+    for r in folds.ekf_steps(df, ["dive"], c).collect():
+        got.setdefault(r["dive"], []).append(r)
+    for d in dives:
+        order = lambda e: (e[0], e[1], -math.inf if e[2][0] is None else e[2][0])
+        events = sorted(((t, k, [nan if x is None else x for x in v][: 2 if k == "usbl" else 1 if k == "depth" else 3], s) for dd, t, k, *v, s1, s2, s3 in data if dd == d for s in [[s1, s2, s3]]), key=order)
+        x0 = np.zeros(12)
+        x0[2], x0[3:6], x0[6] = 5.0, np.radians([1.0, 2.0, 170.0]), 0.1
+        states, report = filtered_by_hand(events, 10.0, x0, c, smooth)
+        mine = sorted(got[d], key=lambda r: r["t"])
+        assert len(mine) == len(states)
+        deg = np.array([1, 1, 1, *[180 / math.pi] * 3, 1, 1, 1, *[180 / math.pi] * 3])
+        steps = [(r["t"], np.array([r[n] for n in folds.STATE]) / deg, np.array(r["covariance"]).reshape(12, 12)) for r in got[d]]
+        for (t, x, p), (t1, x1, p1) in zip(states, steps, strict=True):
+            assert t == t1 and np.allclose(x, x1, atol=1e-5) and np.allclose(p, p1, atol=1e-5)
+        flat = [(r["t"], m["type"], m["valid"]) for r in got[d] for m in r["report"]]
+        assert flat == report
 
 
 def test_particle_filter_follows_fixes(spark):
