@@ -66,17 +66,16 @@ def scan_filter_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.tagged(e, "ew").unionByName(filters.tagged(e, "click")).select("dive", "seq", F.col("category").alias("kind"), "value")
 
 
-@query(f"""WITH {_EV} SELECT dive, seq, round(t - value / 500, 6) AS t FROM ev WHERE abs(value / 500) < 0.5""")
+@query(f"""WITH {_EV} SELECT dive, seq, round(t - value / 50, 6) AS t FROM ev WHERE abs(t - (t - value / 50)) < 1.0""")
 def clock_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = stream(spark, sf_dir).withColumn("device_t", F.col("t") - F.col("value") / 500)
-    ok = e.filter(F.abs(F.col("value") / 500) < 0.5)
-    return filters.sane_clock(ok, "t", "device_t").select("dive", "seq", _r("t", "t"))
+    e = stream(spark, sf_dir).withColumn("device_t", F.col("t") - F.col("value") / 50)
+    return filters.sane_clock(e, "t", "device_t").select("dive", "seq", _r("t", "t"))
 
 
 @query("""SELECT event_id AS seq, (json_extract(props, '$.k'))::BIGINT AS k, CASE WHEN value > 0 AND value < 32 THEN value END AS value FROM events WHERE (json_extract(props, '$.k'))::BIGINT > 10""")
 def nested_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
-    return e.filter(F.col("k") > 10).select(F.col("event_id").alias("seq"), "k", filters.sentinel_to_null(F.col("value"), 0.0, 32.0).alias("value"))
+    return e.filter(F.col("k") > 10).select(F.col("event_id").alias("seq"), "k", filters.sentinel_to_null(F.col("value"), 0.0, 32.0, inclusive=False).alias("value"))
 
 
 @query(f"""WITH {_EV}, span AS (SELECT dive, min(t) AS a, max(t) AS b FROM ev WHERE kind = 'click' GROUP BY dive)
@@ -168,32 +167,41 @@ def exact_merge_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.one_to_one(day("view"), r, ["dive", "d"], "seq").select("dive", "d", "seq", "other")
 
 
-@query("""WITH p AS (SELECT page_id, regexp_replace(regexp_extract(url, '([^/]*)$', 1), '\\.[^.]*$', '') AS stem FROM pages),
-f AS (SELECT stem, min(page_id) AS first_page FROM p GROUP BY stem) SELECT page_id, first_page FROM p JOIN f USING (stem)""")
+_STEM = "regexp_replace(regexp_extract({}, '([^/]*)$', 1), '\\.[^.]*$', '')"
+
+
+@query(f"""WITH p AS (SELECT page_id, url, {_STEM.format('url')} AS stem FROM pages), f AS (SELECT stem, arg_min(url, page_id) AS first_url FROM p GROUP BY stem)
+SELECT page_id, first_url FROM p JOIN f USING (stem)""")
 def stem_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages").select("page_id", "url")
-    first = p.withColumn("_s", text.stem(F.col("url"))).groupBy("_s").agg(F.min("page_id").alias("first_page"))
-    return p.withColumn("_s", text.stem(F.col("url"))).join(first, "_s").select("page_id", "first_page")
+    p = table(spark, sf_dir, "pages")
+    return joins.by_stem(p.select("page_id", "url"), p.select(F.col("url").alias("first_url"), F.col("page_id").alias("n")), "url", "first_url", "n").select("page_id", "first_url")
 
 
-@query("""SELECT page_id FROM pages WHERE regexp_replace(regexp_extract(url, '([^/]*)$', 1), '\\.[^.]*$', '') IN (SELECT regexp_replace(regexp_extract(url, '([^/]*)$', 1), '\\.[^.]*$', '') FROM pages WHERE page_id % 7 = 0)""")
+@query(f"""SELECT page_id FROM pages WHERE {_STEM.format('url')} IN (SELECT {_STEM.format("regexp_replace(url, '[?#].*$', '')")} FROM pages WHERE regexp_matches(url, '[?#]'))""")
 def semi_join_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages").select("page_id", "url")
-    names = p.filter("page_id % 7 = 0").select(F.col("url").alias("name"))
+    names = p.filter(F.col("url").rlike("[?#]")).select(F.regexp_replace("url", "[?#].*$", "").alias("name"))
     return joins.listed(p, names, "url", "name").select("page_id")
 
 
+@query(f"""SELECT page_id FROM pages WHERE {_STEM.format('url')} NOT IN (SELECT {_STEM.format("regexp_replace(url, '[?#].*$', '')")} FROM pages WHERE regexp_matches(url, '[?#]'))""")
+def anti_join_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    names = p.filter(F.col("url").rlike("[?#]")).select(F.regexp_replace("url", "[?#].*$", "").alias("name"))
+    return joins.listed(p, names, "url", "name", missing=True).select("page_id")
+
+
 @query("""SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45)""")
 def anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     big = table(spark, sf_dir, "lineitem").filter("l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey"))
     return sampling.without(table(spark, sf_dir, "orders").select("o_orderkey"), big, ["o_orderkey"])
 
 
-@query("""SELECT n.n_nationkey, r.r_regionkey FROM nation n JOIN region r ON contains(lower(n.n_name), lower(substr(r.r_name, 1, 2)))""")
+@query("""WITH w AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part) SELECT p_partkey, word FROM part JOIN w ON contains(p_name, word)""")
 def containment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation").select("n_nationkey", F.lower("n_name").alias("name"))
-    r = table(spark, sf_dir, "region").select("r_regionkey", F.lower(F.substring("r_name", 1, 2)).alias("part"))
-    return joins.containing(n, r, "name", "part").select("n_nationkey", "r_regionkey")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    words = p.select(F.explode(F.split("p_name", " ")).alias("word")).distinct()
+    return joins.containing(p, words, "p_name", "word").select("p_partkey", "word")
 
 
 @query(f"""WITH {_EV}, p AS (SELECT l.dive, l.seq, r.seq AS peak, row_number() OVER (PARTITION BY l.dive, l.t ORDER BY r.t) AS n FROM (SELECT * FROM ev WHERE kind = 'view') l JOIN (SELECT * FROM ev WHERE kind = 'click') r
@@ -221,12 +229,12 @@ def angular_rate_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.angular_rates(e, ["dive"], "t", ["yaw"]).filter(F.col("yaw_rate").isNotNull()).select("dive", "seq", _r("yaw_rate", "yaw_rate", 9))
 
 
-_NEAR = " AND ".join(f"coalesce(sqrt((value - {f}(value, {k}) OVER w) ** 2) < 3 * (sqrt(2.0) * value / 10 + sqrt(2.0) * {f}(value, {k}) OVER w / 10 + abs(t - {f}(t, {k}) OVER w) * 0.001), false)" for k in (1, 2) for f in ("lag", "lead"))
+_NEAR = " AND ".join(f"coalesce(sqrt((value - {f}(value, {k}) OVER w) ** 2 + (value / 3 - {f}(value / 3, {k}) OVER w) ** 2) < 3 * (sqrt(2.0) * value / 10 + sqrt(2.0) * {f}(value, {k}) OVER w / 10 + abs(t - {f}(t, {k}) OVER w) * 0.001), false)" for k in (1, 2) for f in ("lag", "lead"))
 
 
 @query(f"WITH {_EV}, f AS (SELECT dive, seq, {_NEAR} AS ok FROM ev WINDOW w AS (PARTITION BY dive ORDER BY t)) SELECT dive, seq FROM f WHERE ok")
 def continuity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = stream(spark, sf_dir).select("dive", "seq", "t", F.col("value").alias("n"), F.lit(0.0).alias("e"), (F.col("value") / 10).alias("ns"), (F.col("value") / 10).alias("es"))
+    e = stream(spark, sf_dir).select("dive", "seq", "t", F.col("value").alias("n"), (F.col("value") / 3).alias("e"), (F.col("value") / 10).alias("ns"), (F.col("value") / 10).alias("es"))
     return windows.continuous_fixes(e, ["dive"], "t", "n", "e", "ns", "es", 3.0, 0.001).select("dive", "seq")
 
 
@@ -270,8 +278,11 @@ def ensembles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.select("dive", "seq", F.col("segment").cast("long").alias("segment"))
 
 
-@query(f"""WITH {_EV}, z AS (SELECT dive, seq, t, CASE WHEN value < 5 THEN 0 ELSE value END AS value FROM ev), n AS (SELECT *, lag(t) OVER w AS t0, lead(t) OVER w AS t1, lag(value) OVER w AS v0, lead(value) OVER w AS v1 FROM z WINDOW w AS (PARTITION BY dive ORDER BY t))
-SELECT dive, seq, round(CASE WHEN value = 0 AND v0 IS NOT NULL AND v1 IS NOT NULL THEN CASE WHEN t1 = t0 THEN v0 ELSE (v1 - v0) / (t1 - t0) * (t - t0) + v0 END ELSE value END, 6) AS value FROM n""")
+@query(f"""WITH {_EV}, z AS (SELECT dive, seq, t, CASE WHEN value < 5 THEN 0 ELSE value END AS value FROM ev),
+n AS (SELECT *, lag(t) OVER w AS t0, lead(t) OVER w AS t1, lead(value) OVER w AS v1 FROM z WINDOW w AS (PARTITION BY dive ORDER BY t)),
+p AS (SELECT *, value = 0 AND t0 IS NOT NULL AND t1 IS NOT NULL AS zero, CASE WHEN t1 = t0 THEN 0 ELSE (t - t0) / (t1 - t0) END AS part FROM n),
+r AS (SELECT *, sum(CASE WHEN zero THEN 0 ELSE 1 END) OVER (PARTITION BY dive ORDER BY t ROWS UNBOUNDED PRECEDING) AS run FROM p)
+SELECT dive, seq, round(CASE WHEN zero THEN first_value(value) OVER w * product(CASE WHEN zero THEN 1 - part ELSE 1 END) OVER w + v1 * part ELSE value END, 6) AS value FROM r WINDOW w AS (PARTITION BY dive, run ORDER BY t ROWS UNBOUNDED PRECEDING)""")
 def zero_gap_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     z = stream(spark, sf_dir).withColumn("value", F.when(F.col("value") < 5, 0.0).otherwise(F.col("value")))
     return windows.repaired_zeros(z, ["dive"], "t", ["value"]).select("dive", "seq", _r("value", "value"))
@@ -318,16 +329,24 @@ def format_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("seq", "stamp", _r(local, "t", 3))
 
 
-@query("""SELECT doc_id, lpad(upper(to_hex(list_reduce(list_prepend(0, list_transform(string_split(substr(text, 1, 40), ''), lambda c: CASE WHEN c = '' THEN 0 ELSE unicode(c) END)), lambda a, b: xor(a, b)))), 2, '0') AS checksum FROM documents WHERE regexp_full_match(substr(text, 1, 40), '[\\x01-\\x7F\\n]+')""")
+_LINES = "l AS (SELECT doc_id, generate_subscripts(ls, 1)::INTEGER - 1 AS n, unnest(ls) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL))"
+
+
+def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n, line of all lines of all texts"""
+    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.lines_of(F.col("text"))).alias("n", "line"))
+
+
+@query(f"""WITH {_LINES} SELECT doc_id, n, lpad(upper(to_hex(list_reduce(list_prepend(0, list_transform(regexp_extract_all(line, '(?s).'), lambda c: unicode(c))), lambda a, b: xor(a, b)))), 2, '0') AS checksum FROM l""")
 def log_parse_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 40).alias("line"))
-    return d.filter(F.col("line").rlike(r"^[\x01-\x7F]+$")).select("doc_id", text.xor_checksum(F.col("line")).alias("checksum"))
+    return text_lines(spark, sf_dir).select("doc_id", "n", text.xor_checksum(F.col("line")).alias("checksum"))
 
 
-@query("""SELECT doc_id, substr(text, 1, 10) AS a, trim(substr(text, 11, 8)) AS b, try_cast(substr(text, 19, 6) AS DOUBLE) AS c FROM documents""")
+@query(f"""WITH {_LINES} SELECT doc_id, n, trim(substr(line, 1, 10)) AS a, trim(substr(line, 11, 8)) AS b,
+CASE WHEN regexp_full_match(trim(substr(line, 19, 6)), '[+-]?[0-9]+(\\.[0-9]*)?') THEN trim(substr(line, 19, 6))::DOUBLE END AS c FROM l""")
 def fixed_width(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", F.substring("text", 1, 10).alias("a"), F.trim(F.substring("text", 11, 8)).alias("b"), F.substring("text", 19, 6).try_cast("double").alias("c"))
+    at = lambda start, width: text.fixed(F.col("line"), start, width)
+    return text_lines(spark, sf_dir).select("doc_id", "n", at(1, 10).alias("a"), at(11, 8).alias("b"), text.plain_number(at(19, 6)).alias("c"))
 
 
 # -- aggregates
@@ -411,7 +430,8 @@ def union_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_EV}, r AS (SELECT dive, seq, (row_number() OVER (PARTITION BY dive ORDER BY t, seq))::INTEGER AS n FROM ev) SELECT * FROM r")
 def interlace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stream(spark, sf_dir).withColumn("n", F.row_number().over(W.partitionBy("dive").orderBy("t", "seq"))).select("dive", "seq", "n")
+    inline = sampling.interlaced(stream(spark, sf_dir), "t", "seq").withColumn("place", F.monotonically_increasing_id())
+    return inline.withColumn("n", F.row_number().over(W.partitionBy("dive").orderBy("place"))).select("dive", "seq", "n")
 
 
 @query(f"""WITH {_EV}, c AS (SELECT dive, seq, sum(value) OVER w / sum(value) OVER (PARTITION BY dive) AS hi, coalesce((sum(value) OVER w - value) / sum(value) OVER (PARTITION BY dive), 0) AS lo FROM ev WINDOW w AS (PARTITION BY dive ORDER BY seq ROWS UNBOUNDED PRECEDING))

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window as W
 
 from fathomline.functions import geo, times
 from fathomline.functions.frames import mount_yaw, wrap_360
-from fathomline.functions.text import sentence_ok
+from fathomline.functions.text import fixed, plain_number, sentence_ok
 from fathomline.operators.interp import brackets, linear, next_observation
 from fathomline.operators.windows import forward_filled
 from fathomline.sources.lines import name_of, num, part
@@ -137,8 +137,8 @@ def noc_nmea(lines: DataFrame, beacon: int, tz_hours: float = 0.0, offset_s: flo
 
 def tide_polpred(lines: DataFrame, tz_hours: float = 0.0, offset_s: float = 0.0, factor: float = 0.0) -> DataFrame:
     """Fixed-width tides: ``dd/mm/yyyy  HH:MM  level``; the first six lines are a header."""
-    n = lambda a, k: F.trim(F.substring("line", a, k)).try_cast("int")
-    h = F.trim(F.substring("line", 23, 6)).try_cast("double")
+    n = lambda a, k: fixed(F.col("line"), a, k).try_cast("int")
+    h = plain_number(fixed(F.col("line"), 23, 6))
     t = times.epoch_from_parts(n(7, 4), n(4, 2), n(1, 2), n(13, 2), n(16, 2), 0, tz_hours) + offset_s
     return lines.filter((F.col("seq") > 6) & h.isNotNull()).select("file", "seq", t.alias("t"), h.alias("height"), (h * factor).alias("height_std"))
 
