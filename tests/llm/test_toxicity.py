@@ -117,6 +117,35 @@ def test_held_out_accuracy(spark):
     assert kept == {r["doc_id"] for r in rows if not r["predicted"]}
 
 
+def test_held_out_recall_on_the_tables(spark):
+    import os
+
+    sf = "/root/testdata/sf0.1"
+    if not os.path.isdir(sf):
+        pytest.skip("the driver's tables aren't here")
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    toxic = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    held = [r for r in tx.scores(docs, labels).collect() if r["held_out"] and toxic.get(r["doc_id"]) is not None]
+    bad = [r["predicted"] for r in held if toxic[r["doc_id"]]]
+    assert bad and sum(bad) / len(bad) >= 0.9
+    assert sum(r["predicted"] for r in held if not toxic[r["doc_id"]]) <= 0.02 * len(held)
+
+
+def test_repeated_ids_count_once_in_the_sample(spark):
+    docs, labels = docs_and_labels(60)
+    d = spark.createDataFrame(docs * 20, SCHEMA)
+    l = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = tx.language_model(tx.count_characters(d))
+    seen = {}
+    fit = tx.fit_logistic
+    try:
+        tx.fit_logistic = lambda x, y, **more: seen.update(n=len(y)) or fit(x, y, **more)
+        tx.train(d, l, model, sample=10)
+    finally:
+        tx.fit_logistic = fit
+    assert seen["n"] == 10
+
+
 def test_held_out_labels_are_not_used(spark):
     docs, labels = docs_and_labels(200)
     flipped = [(i, q, 1 - t if zlib.crc32(str(i).encode()) % 5 == 0 else t) for i, q, t in labels]
