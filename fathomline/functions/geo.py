@@ -135,6 +135,13 @@ def usbl_stds(distance: Column, offset: float, factor: float, latitude: Column,
     return {"northings_std": n, "eastings_std": e, "latitude_std": F.abs((e if parity else n) / DEGREE), "longitude_std": F.abs((n if parity else e) / (DEGREE * cos))}
 
 
+def nmea_stds(depth: Column, offset: float, factor: float, latitude: Column) -> dict[str, Column]:
+    """Standard deviations of a fix from a position sentence: they grow with its depth; longitude's is latitude's times the cosine, as the reference has it."""
+    metres = depth * factor + offset
+    lat = depth / 111111.0
+    return {"northings_std": metres, "eastings_std": metres, "depth_std": metres, "latitude_std": lat, "longitude_std": lat * F.cos(F.radians(latitude))}
+
+
 def degrees_from_minutes(text: Column) -> Column:
     """Decimal degrees of ``5950.89694N``: whole degrees, two-digit minutes with decimals, hemisphere. Null if it isn't one."""
     p = r"^\s*(\d{1,3})(\d{2}(?:\.\d+)?)\s*([NSEWnsew])\s*$"

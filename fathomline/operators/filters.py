@@ -117,3 +117,20 @@ def rejected_views(views: DataFrame, error: str, least: float = 0.25, rounds: in
             break
         views = kept
     return views
+
+
+def acquisition(rows: DataFrame, t: str, altitude: str, start: float | None = None, end: float | None = None, below: float | None = None) -> DataFrame:
+    """Images between two times (both taken in) and under an altitude."""
+    ok = F.lit(True)
+    if start is not None:
+        ok &= F.col(t) >= start
+    if end is not None:
+        ok &= F.col(t) <= end
+    if below is not None:
+        ok &= F.col(altitude) < below
+    return rows.filter(ok)
+
+
+def placed(rows: DataFrame, depth: str = "depth") -> DataFrame:
+    """Rows whose depth is known: laser frames outside the filtered track have none."""
+    return rows.filter(F.col(depth).isNotNull())

@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 
 def point_plane(a, b, c, d, x: str = "x", y: str = "y", z: str = "z") -> Column:
@@ -180,18 +181,42 @@ def projected(x: Column, y: Column, z: Column, fx: float, fy: float, cx: float,
     return fx * x / z + cx, fy * y / z + cy
 
 
-def uncertainty_planes(points: DataFrame, key: str, least: float, planes: int = 300, min_sine: float = 0.866, seed: int = 0) -> DataFrame:
-    """Planes through random triples of a bounded sample of points, at least ``least`` apart and no flatter than ``min_sine``."""
-    rows = points.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(2000).select("x", "y", "z").collect()
-    xyz, rng, found = np.array([tuple(r) for r in rows], float), np.random.default_rng(seed), []
-    for _ in range(200 * planes):
-        if len(found) >= planes or len(xyz) < 3:
-            break
-        p, q, r = xyz[rng.choice(len(xyz), 3, replace=False)]
-        u, v = q - p, r - p
-        sizes = np.linalg.norm(u), np.linalg.norm(v), np.linalg.norm(q - r)
-        n = np.cross(u, v)
-        if min(sizes) >= least and np.linalg.norm(n) / (sizes[0] * sizes[1]) >= min_sine:
-            n = n / np.linalg.norm(n)
-            found.append((*map(float, n), float(-n @ p)))
-    return points.sparkSession.createDataFrame(found, "a double, b double, c double, d double")
+def uncertainty_planes(points: DataFrame, key: str, least: float, planes: int = 300, min_sine: float = 0.866, seed: int = 0, tries: int = 200) -> DataFrame:
+    """a, b, c, d of planes through random triples of all points, at least ``least`` apart and no flatter than ``min_sine``.
+
+    Points are dealt to triples by a hash: ``tries`` triples for each plane that is wanted, from as many rounds over the
+    points as that takes. Nothing is collected, and the number of triples is bounded by the parameters alone."""
+    wanted = 3 * planes * tries
+    rounds = max(1, -(-wanted // max(1, points.limit(wanted).count())))
+    rows = points.select(F.col(key).alias("k"), *[F.col(c).cast("double").alias(c) for c in "xyz"]).withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
+    drawn = rows.orderBy(F.xxhash64(F.lit(seed), "round", "k"), "round", "k").limit(wanted)
+    placed = drawn.withColumn("n", F.row_number().over(W.orderBy(F.xxhash64(F.lit(seed), "round", "k"), "round", "k")) - 1)
+    at = lambda i: F.max(F.when(F.col("n") % 3 == i, F.struct("x", "y", "z")))
+    triples = placed.groupBy(F.floor(F.col("n") / 3).alias("triple")).agg(at(0).alias("p"), at(1).alias("q"), at(2).alias("r")).filter(F.col("p").isNotNull() & F.col("q").isNotNull() & F.col("r").isNotNull())
+    less = lambda s, t: tuple(F.col(f"{s}.{c}") - F.col(f"{t}.{c}") for c in "xyz")
+    size = lambda v: F.sqrt(v[0] * v[0] + v[1] * v[1] + v[2] * v[2])
+    u, v, w = less("q", "p"), less("r", "p"), less("q", "r")
+    n = (u[1] * v[2] - u[2] * v[1], u[2] * v[0] - u[0] * v[2], u[0] * v[1] - u[1] * v[0])
+    sized = triples.select("triple", "p", *[c.alias(k) for c, k in zip(n, ("nx", "ny", "nz"), strict=True)], size(u).alias("su"), size(v).alias("sv"), F.least(size(u), size(v), size(w)).alias("near"))
+    norm = size((F.col("nx"), F.col("ny"), F.col("nz")))
+    good = sized.filter((F.col("near") >= least) & (norm > 0) & (norm >= min_sine * F.col("su") * F.col("sv")))
+    a, b, c = (F.col(k) / norm for k in ("nx", "ny", "nz"))
+    return good.orderBy("triple").limit(planes).select(a.alias("a"), b.alias("b"), c.alias("c"), (-(a * F.col("p.x") + b * F.col("p.y") + c * F.col("p.z"))).alias("d"))
+
+
+def triangulated_between(points: DataFrame, matrix: Sequence[Sequence[float]], cols: Sequence[str] = ("u1", "v1", "u2", "v2")) -> DataFrame:
+    """x, y, z of points seen in two cameras as the middle of the shortest line between their rays.
+
+    ``cols`` are normalised coordinates; ``matrix`` (3 x 4) takes the first camera's axes to the second's."""
+    m = np.asarray(matrix, float)
+    r, t = m[:, :3], m[:, 3]
+    origin = -r.T @ t  # the second camera in the first one's axes
+    d1 = (F.col(cols[0]), F.col(cols[1]), F.lit(1.0))
+    second = (F.col(cols[2]), F.col(cols[3]), F.lit(1.0))
+    d2 = tuple(sum((F.lit(float(r[j, i])) * second[j] for j in range(3)), F.lit(0.0)) for i in range(3))
+    dot = lambda p, q: sum((a * b for a, b in zip(p, q, strict=True)), F.lit(0.0))
+    o = tuple(F.lit(float(x)) for x in origin)
+    a, b, c, d, e = dot(d1, d1), dot(d1, d2), dot(d2, d2), dot(d1, o), dot(d2, o)
+    span = a * c - b * b
+    s1, s2 = F.try_divide(d * c - e * b, span), F.try_divide(d * b - e * a, span)
+    return points.select("*", *[((s1 * d1[i] + o[i] + s2 * d2[i]) / 2).alias(k) for i, k in enumerate("xyz")])

@@ -383,9 +383,17 @@ def welford(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.pixel_stats(pixels(spark, sf_dir), ["pixel"]).select("pixel", _r("mean", "mean"), _r("std", "std"), "n")
 
 
-@query()
+@query(f"""WITH RECURSIVE {_PX}, o AS (SELECT pixel, value, row_number() OVER (PARTITION BY pixel ORDER BY image_id, value) AS i FROM px),
+f AS (
+  SELECT pixel, 0::BIGINT AS i, 0.0::DOUBLE AS mean, 0.0::DOUBLE AS m2 FROM o WHERE i = 1
+  UNION ALL
+  SELECT pixel, i, mean + (x - mean) / i, m2 + (x - mean) * (x - (mean + (x - mean) / i)) FROM (
+    SELECT f.pixel, o.i, f.mean, f.m2, CASE WHEN o.value > 0.1 THEN f.mean ELSE o.value END AS x FROM f JOIN o ON o.pixel = f.pixel AND o.i = f.i + 1)),
+z AS (SELECT *, row_number() OVER (PARTITION BY pixel ORDER BY i DESC) AS back FROM f)
+SELECT pixel, round(mean, 6) AS mean, round(CASE WHEN i > 1 THEN greatest(sqrt(m2 / i), 1e-6) END, 6) AS std, i::INTEGER AS n FROM z WHERE back = 1""")
 def clipped_running_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.clipped_running_stats(pixels(spark, sf_dir), ["pixel"], "image_id", clip=0.1)
+    c = aggregates.clipped_running_stats(pixels(spark, sf_dir), ["pixel"], "image_id", clip=0.1)
+    return c.select("pixel", _r("mean", "mean"), _r("std", "std"), "n")
 
 
 @query(f"""WITH {_EV}, l AS (SELECT dive, regr_slope(t + value, t) AS slope FROM ev GROUP BY dive) SELECT dive, round(any_value(slope), 9) AS slope, round(min(t + value - slope * t), 4) AS intercept FROM ev JOIN l USING (dive) GROUP BY dive""")
@@ -481,10 +489,145 @@ def exp_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return images.fit_attenuation(p)
 
 
-@query()
+@query(f"""WITH {_PX}, a AS (SELECT image_id, pixel // 8 AS r, pixel % 8 AS col, abs(value) AS v0 FROM px),
+w AS (SELECT *, lead(v0, 1) OVER w AS v1, lead(v0, 2) OVER w AS v2 FROM a WINDOW w AS (PARTITION BY image_id, col ORDER BY r)),
+s AS (SELECT image_id, col, r, v0 + v1 * 2 + v2 AS total, r + (v1 + 2 * v2) / nullif(v0 + v1 + v2, 0) AS centre FROM w WHERE v2 IS NOT NULL),
+b AS (SELECT *, row_number() OVER (PARTITION BY image_id, col ORDER BY total DESC, r) AS n, max(total) OVER (PARTITION BY image_id) AS top FROM s)
+SELECT image_id, col, round(centre, 6) AS row, round(total, 6) AS sum FROM b WHERE n = 1 AND total >= 0.01 * top AND total > 0""")
 def laser_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = pixels(spark, sf_dir).select("image_id", F.floor(F.col("pixel") / 8).cast("int").alias("row"), (F.col("pixel") % 8).alias("col"), F.abs("value").alias("value"))
-    return images.laser_line(p, k=3)
+    return images.laser_line(p, k=3).select("image_id", "col", _r("row", "row"), _r("sum", "sum"))
+
+
+# -- frames, places, deviations: one expression a row
+
+
+_I2B = {
+    "x": "cos(y)*cos(p)*n + sin(y)*cos(p)*e - sin(p)*d",
+    "y": "(cos(y)*sin(p)*sin(r) - sin(y)*cos(r))*n + (cos(y)*cos(r) + sin(r)*sin(p)*sin(y))*e + cos(p)*sin(r)*d",
+    "z": "(sin(y)*sin(r) + cos(y)*cos(r)*sin(p))*n + (sin(p)*sin(y)*cos(r) - cos(y)*sin(r))*e + cos(p)*cos(r)*d",
+}
+
+
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").withColumnsRenamed({"l_orderkey": "dive", "l_linenumber": "seq"})
+
+
+@query(f"""WITH {_LI}, a AS (SELECT dive, seq, radians(l_quantity) AS r, radians(l_discount * 100) AS p, radians(l_tax * 1000) AS y, 1.0 AS n, l_quantity / 10 AS e, l_tax AS d FROM li)
+SELECT dive, seq, {", ".join(f"round({v}, 6) AS {k}" for k, v in _I2B.items())} FROM a""")
+def inertial_to_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x, y, z = frames.inertial_to_body(F.col("l_quantity"), F.col("l_discount") * 100, F.col("l_tax") * 1000, F.lit(1.0), F.col("l_quantity") / 10, F.col("l_tax"))
+    return line_items(spark, sf_dir).select("dive", "seq", _r(x, "x"), _r(y, "y"), _r(z, "z"))
+
+
+@query(f"""WITH {_LI}, a AS (SELECT dive, seq, l_extendedprice / 100 - 300 AS v, l_extendedprice / 1000 - 40 AS w FROM li)
+SELECT dive, seq, round(CASE WHEN v < 0 THEN v + 360 WHEN v > 360 THEN v - 360 ELSE v END, 6) AS to_360, round(CASE WHEN v > 180 THEN v - 360 WHEN v < -180 THEN v + 360 ELSE v END, 6) AS to_180,
+round(CASE WHEN w BETWEEN -pi() AND pi() THEN w ELSE (w + pi()) - 2 * pi() * floor((w + pi()) / (2 * pi())) - pi() END, 6) AS to_pi FROM a""")
+def wrapped_angles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v, w = F.col("l_extendedprice") / 100 - 300, F.col("l_extendedprice") / 1000 - 40
+    return line_items(spark, sf_dir).select("dive", "seq", _r(frames.wrap_360(v), "to_360"), _r(frames.wrap_180(v), "to_180"), _r(frames.clamp_pi(w), "to_pi"))
+
+
+@query(f"""WITH {_LI}, a AS (SELECT dive, seq, radians(l_quantity) AS r, radians(l_discount * 100) AS p, radians(l_tax * 1000) AS y FROM li)
+SELECT dive, seq, round(10 + cos(y)*cos(p)*1.2 + (cos(y)*sin(p)*sin(r) - sin(y)*cos(r))*-0.4 + (sin(y)*sin(r) + cos(y)*cos(r)*sin(p))*0.5, 6) AS northings,
+round(20 + sin(y)*cos(p)*1.2 + (cos(y)*cos(r) + sin(r)*sin(p)*sin(y))*-0.4 + (sin(p)*sin(y)*cos(r) - cos(y)*sin(r))*0.5, 6) AS eastings, round(30 - sin(p)*1.2 + cos(p)*sin(r)*-0.4 + cos(p)*cos(r)*0.5, 6) AS depth FROM a""")
+def sensor_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n, e, d = frames.offset_position(F.col("l_quantity"), F.col("l_discount") * 100, F.col("l_tax") * 1000, F.lit(10.0), F.lit(20.0), F.lit(30.0), (0.1, 0.2, -0.3), (1.3, -0.2, 0.2))
+    return line_items(spark, sf_dir).select("dive", "seq", _r(n, "northings"), _r(e, "eastings"), _r(d, "depth"))
+
+
+@query(f"WITH {_LI} SELECT dive, seq, round(l_quantity * cos(l_tax) - l_discount * sin(l_tax), 6) AS north, round(l_quantity * sin(l_tax) + l_discount * cos(l_tax), 6) AS east FROM li")
+def declination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n, e = frames.declined(F.col("l_quantity"), F.col("l_discount"), F.col("l_tax"))
+    return line_items(spark, sf_dir).select("dive", "seq", _r(n, "north"), _r(e, "east"))
+
+
+@query(f"""WITH {_LI}, q AS (SELECT dive, seq, l_discount / n AS x, l_tax / n AS y, 0.3 / n AS z, 1.0 / n AS w FROM (SELECT *, sqrt(l_discount ** 2 + l_tax ** 2 + 0.09 + 1.0) AS n FROM li))
+SELECT dive, seq, round(atan2(2 * (w * x + y * z), 1 - 2 * (x * x + y * y)), 6) AS roll, round(asin(2 * (w * y - z * x)), 6) + 0.0 AS pitch, round(atan2(2 * (w * z + x * y), 1 - 2 * (y * y + z * z)), 6) AS yaw FROM q""")
+def quaternion_angles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.sqrt(F.col("l_discount") ** 2 + F.col("l_tax") ** 2 + 0.09 + 1.0)
+    r, p, y = frames.euler_from_quaternion(F.col("l_discount") / n, F.col("l_tax") / n, F.lit(0.3) / n, F.lit(1.0) / n)
+    return line_items(spark, sf_dir).select("dive", "seq", _r(r, "roll"), _r(p, "pitch"), _r(y, "yaw"))
+
+
+@query(f"WITH {_LI} SELECT dive, seq, round(exp(-((l_quantity - 25) ** 2) / (1 + l_tax) ** 2 / 2) / sqrt(2 * pi() * (1 + l_tax) ** 2), 9) AS density FROM li")
+def gaussian_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_items(spark, sf_dir).select("dive", "seq", _r(frames.gaussian_pdf(F.col("l_quantity"), 1 + F.col("l_tax"), F.lit(25.0)), "density", 9))
+
+
+@query("""WITH c AS (SELECT c_custkey, abs(c_acctbal) AS far, fmod(abs(c_acctbal), 60) AS lat FROM customer)
+SELECT c_custkey, round(far * 0.01 + 2, 6) AS northings_std, round(far * 0.01 + 2, 6) AS depth_std, round(far / 111111.0, 9) AS latitude_std, round(far / 111111.0 * cos(radians(lat)), 9) AS longitude_std FROM c""")
+def sentence_stds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = geo.nmea_stds(F.abs("c_acctbal"), 2.0, 0.01, F.abs("c_acctbal") % 60)
+    return table(spark, sf_dir, "customer").select("c_custkey", _r(s["northings_std"], "northings_std"), _r(s["depth_std"], "depth_std"), _r(s["latitude_std"], "latitude_std", 9), _r(s["longitude_std"], "longitude_std", 9))
+
+
+@query("SELECT c_custkey, round(c_acctbal * 100 / (1030 * 9.80665), 6) AS depth FROM customer")
+def pressure_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select("c_custkey", _r(geo.depth_of_pressure(F.col("c_acctbal") * 100), "depth"))
+
+
+@query("""WITH c AS (SELECT c_custkey, (c_custkey % 90)::INTEGER AS deg, (c_custkey % 60) + 0.25 AS m, CASE WHEN c_custkey % 2 = 0 THEN 'N' ELSE 'S' END AS h FROM customer)
+SELECT c_custkey, round(CASE h WHEN 'S' THEN -1 ELSE 1 END * (deg + m / 60), 9) AS latitude FROM c""")
+def sentence_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    said = F.format_string("%02d%02d.25%s", F.col("c_custkey") % 90, F.col("c_custkey") % 60, F.when(F.col("c_custkey") % 2 == 0, "N").otherwise("S"))
+    return c.select("c_custkey", _r(geo.degrees_from_minutes(said), "latitude", 9))
+
+
+# -- small aggregates and joins
+
+
+@query(f"WITH {_PX} SELECT image_id, round(avg(value), 6) AS mean, round(max(value), 6) AS max FROM px GROUP BY image_id")
+def image_brightness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.brightness(pixels(spark, sf_dir), ["image_id"]).select("image_id", _r("mean", "mean"), _r("max", "max"))
+
+
+@query("SELECT l_suppkey, round(avg(l_quantity), 6) AS x, round(avg(l_discount), 6) AS y, round(avg(l_tax), 6) AS z, round(stddev_pop(l_discount), 6) AS std_y, round(stddev_pop(l_tax), 6) AS std_z FROM lineitem GROUP BY l_suppkey")
+def cloud_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_quantity").alias("x"), F.col("l_discount").alias("y"), F.col("l_tax").alias("z"))
+    return aggregates.cloud_stats(points, ["l_suppkey"]).select("l_suppkey", *[_r(c, c) for c in ("x", "y", "z", "std_y", "std_z")])
+
+
+@query(f"""WITH {_EV}, m AS (SELECT dive, avg(value * 200) AS n, avg(t / 1000) AS e FROM ev GROUP BY dive) SELECT dive, round(n, 4) AS northings, round(e, 4) AS eastings, round(sqrt(n ** 2 + e ** 2), 4) AS distance, sqrt(n ** 2 + e ** 2) > 10000 AS far FROM m""")
+def mean_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fixes = stream(spark, sf_dir).select("dive", (F.col("value") * 200).alias("northings"), (F.col("t") / 1000).alias("eastings"))
+    return aggregates.mean_position(fixes, ["dive"]).select("dive", _r("northings", "northings", 4), _r("eastings", "eastings", 4), _r("distance", "distance", 4), "far")
+
+
+@query("SELECT l_returnflag, round(sqrt(avg(least(abs(l_discount - 0.05), abs(l_tax - 0.04)) ** 2)), 9) AS rms FROM lineitem GROUP BY l_returnflag")
+def epipolar_rms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = table(spark, sf_dir, "lineitem").select("l_returnflag", (F.col("l_discount") - 0.05).alias("du"), (F.col("l_tax") - 0.04).alias("dv"))
+    return aggregates.epipolar_rms(points, ["l_returnflag"], "du", "dv").select("l_returnflag", _r("rms", "rms", 9))
+
+
+@query(f"WITH {_EV} SELECT l.seq, r.seq AS other FROM (SELECT * FROM ev WHERE kind = 'purchase') l JOIN (SELECT * FROM ev WHERE kind = 'error') r ON abs(l.t - r.t) <= 1800 AND abs(l.t - r.t) < 600")
+def within_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    right = stream(spark, sf_dir, "error").select(F.col("t").alias("rt"), F.col("seq").alias("other"))
+    return joins.within(stream(spark, sf_dir, "purchase").select("t", "seq"), right, "t", "rt", 1800, 600).select("seq", "other")
+
+
+@query(f"WITH {_EV} SELECT dive, seq FROM ev WHERE t >= 86400 AND t <= 1864000 AND value < 60")
+def acquisition_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.acquisition(stream(spark, sf_dir), "t", "value", 86400, 1864000, 60).select("dive", "seq")
+
+
+@query(f"WITH {_EV}, p AS (SELECT dive, seq, CASE WHEN kind = 'click' THEN value END AS depth FROM ev) SELECT dive, seq, depth FROM p WHERE depth IS NOT NULL")
+def placed_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.placed(stream(spark, sf_dir).withColumn("depth", F.when(F.col("kind") == "click", F.col("value")))).select("dive", "seq", "depth")
+
+
+@query(f"""WITH {_EV}, a AS (SELECT dive, seq, row_number() OVER (PARTITION BY dive ORDER BY seq) AS n FROM ev WHERE kind = 'view'), b AS (SELECT dive, value, row_number() OVER (PARTITION BY dive ORDER BY t) AS n FROM ev WHERE kind = 'click')
+SELECT dive, seq, value FROM a JOIN b USING (dive, n)""")
+def side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    z = joins.zip_rows(stream(spark, sf_dir, "view").select("dive", "seq"), stream(spark, sf_dir, "click").select("dive", "t", "value"), ["dive"], "seq", "t")
+    return z.select("dive", "seq", "value")
+
+
+@query(f"""WITH s AS (SELECT page_id, url, {_STEM.format('url')} AS stem FROM pages) SELECT a.stem, a.url AS "left", b.url AS "right" FROM s a JOIN s b USING (stem)""")
+def stereo_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "pages").select(F.col("url").alias("path"))
+    return joins.stereo_by_stem(p, p)
 
 
 # -- geometry, folds
@@ -538,7 +681,14 @@ def particle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folds.particle_filter(measurements(spark, sf_dir), ["dive"])
 
 
-@query()
+@query(f"""WITH RECURSIVE {_EV}, o AS (SELECT dive, seq, t, value / 100 AS lat, value / 200 AS lon, row_number() OVER (PARTITION BY dive ORDER BY t, seq) AS i FROM ev),
+f AS (
+  SELECT dive, seq, i, t, lat, lon, true AS keep FROM o WHERE i = 1
+  UNION ALL
+  SELECT dive, seq, i, CASE WHEN ok THEN nt ELSE t END, CASE WHEN ok THEN nlat ELSE lat END, CASE WHEN ok THEN nlon ELSE lon END, ok FROM (
+    SELECT o.dive, o.seq, o.i, f.t, f.lat, f.lon, o.t AS nt, o.lat AS nlat, o.lon AS nlon, 111139 * sqrt((o.lat - f.lat) ** 2 + (o.lon - f.lon) ** 2) <= 20.0 * (o.t - f.t) AS ok
+    FROM f JOIN o ON o.dive = f.dive AND o.i = f.i + 1))
+SELECT f.dive, f.seq, o.t, o.lat, o.lon FROM f JOIN o ON f.dive = o.dive AND f.i = o.i WHERE keep""")
 def speed_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = stream(spark, sf_dir).select("dive", "seq", "t", (F.col("value") / 100).alias("lat"), (F.col("value") / 200).alias("lon"))
     return folds.speed_filtered(e, ["dive"], "t", "lat", "lon")

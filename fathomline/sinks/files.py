@@ -137,3 +137,23 @@ def write_images(images: DataFrame, folder: str) -> DataFrame:
             yield pd.DataFrame({"image_id": pdf.image_id, "file": names})
 
     return images.mapInPandas(run, "image_id string, file string")
+
+
+def ply_lines(points: DataFrame, order: str) -> DataFrame:
+    """A point cloud in text form: place, line. The header has the number of points; nothing is collected but that."""
+    n = points.count()
+    head = ["ply", "format ascii 1.0", f"element vertex {n}", "property float x", "property float y", "property float z", "end_header"]
+    top = points.sparkSession.createDataFrame([(-len(head) + i, line) for i, line in enumerate(head)], "place long, line string")
+    return top.unionByName(points.select(F.col(order).cast("long").alias("place"), F.concat_ws(" ", *[F.format_string("%.6f", F.col(c).cast("double")) for c in "xyz"]).alias("line"))).orderBy("place")
+
+
+#: Headings of pose lists of remote vehicles and the columns under them.
+POSE_LIST = {"northing [m]": "northings", "easting [m]": "eastings", "depth [m]": "depth", "roll [deg]": "roll", "pitch [deg]": "pitch", "heading [deg]": "heading", "altitude [m]": "altitude", "timestamp": "t", "latitude [deg]": "latitude", "longitude [deg]": "longitude", "relative_path": "path"}
+
+
+def pose_list(poses: DataFrame, number: str = "image_number") -> DataFrame:
+    """Poses under the headings of a pose list, by time; images without a number of their own are counted by time within a dive."""
+    from pyspark.sql.window import Window as W
+
+    n = F.col(number) if number in poses.columns else F.row_number().over(W.partitionBy("dive").orderBy("t")) - 1
+    return poses.select(n.alias("image_number"), *[F.col(c).alias(h) for h, c in POSE_LIST.items() if c in poses.columns])

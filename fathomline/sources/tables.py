@@ -146,3 +146,11 @@ def camera_times(df: DataFrame, columns: dict[str, str], tz_hours: float = 0.0)
     text = F.concat(*[F.lpad(F.col(c).cast("string"), len(f), "0") for c, f in columns.items() if "i" not in f])
     fmt = "".join(f for c, f in columns.items() if "i" not in f)
     return df.select(*[F.col(c).try_cast("long").alias("index") for c in index], times.epoch_from_stamp(text, fmt, tz_hours).alias("t"))
+
+
+def ply(spark: SparkSession, path: str) -> DataFrame:
+    """file, seq, x, y, z of point clouds in text form: rows after the header's end, as many as it says."""
+    lines = read_lines(spark, path)
+    head = lines.groupBy("file").agg(F.min(F.when(F.col("line") == "end_header", F.col("seq"))).alias("end"), F.max(F.regexp_extract("line", r"^element vertex (\d+)", 1).try_cast("long")).alias("n"))
+    at = lambda i: F.get(F.split(F.trim("line"), r"\s+"), F.lit(i)).try_cast("double")
+    return lines.join(head, "file").filter((F.col("seq") > F.col("end")) & (F.col("seq") <= F.col("end") + F.col("n"))).select("file", (F.col("seq") - F.col("end")).alias("seq"), *[at(i).alias(c) for i, c in enumerate("xyz")])
