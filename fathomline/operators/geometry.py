@@ -154,7 +154,7 @@ def triangulated(points: DataFrame, p1: np.ndarray, p2: np.ndarray, cols: Sequen
 
 
 def ray_cone(apex: np.ndarray, axis: np.ndarray, theta: float, ray: np.ndarray) -> np.ndarray | None:
-    """Nearest point in front at which a ray from the origin meets a cone."""
+    """Nearest point in front at which a ray from the origin meets a cone; its mirror image behind the apex doesn't count."""
     n, c2 = axis / np.linalg.norm(axis), math.cos(theta) ** 2
     dn, an = ray @ n, apex @ n
     a = dn * dn - c2 * (ray @ ray)
@@ -165,7 +165,7 @@ def ray_cone(apex: np.ndarray, axis: np.ndarray, theta: float, ray: np.ndarray)
     else:
         disc = b * b - 4 * a * c
         roots = [] if disc < 0 else [(-b - math.sqrt(disc)) / (2 * a), (-b + math.sqrt(disc)) / (2 * a)]
-    ahead = [t for t in roots if t > 0]
+    ahead = [t for t in roots if t > 0 and (ray * t - apex) @ n >= 0]
     return ray * min(ahead) if ahead else None
 
 
