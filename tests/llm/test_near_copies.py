@@ -36,11 +36,12 @@ def some_texts():
     return texts
 
 
-def test_against_all_pairs(spark):
+def test_against_all_pairs(spark, monkeypatch):
     texts = some_texts()
     df = spark.createDataFrame([(i, t, "a", 0) for i, t in enumerate(texts)], SCHEMA)
     want = dict(enumerate(brute(texts)))
-    for most, often in ((near_copies.HEAVY, near_copies.OFTEN), (5, 2), (1000, 2)):
+    for most, often, paired in ((near_copies.HEAVY, near_copies.OFTEN, 32), (5, 2, 2), (1000, 2, 4), (0, 8, 2)):
+        monkeypatch.setattr(near_copies, "PAIRED", paired)
         assert {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(df, most, often).collect()} == want
     assert len(set(want.values())) < len(texts) - 10
 
