@@ -120,3 +120,115 @@ class ImageConfig:
     target_mean: float = 30.0
     target_std: float = 5.0
     gamma: bool = True
+
+
+#: How a camera's pixels may be laid out.
+CAMERA_TYPES = ("grayscale", "rgb", "bgr", "rggb", "grbg", "bggr", "gbrg")
+
+
+@dataclass(frozen=True)
+class Camera:
+    """One camera of a system: how its images are laid out, where they are, and how their names give the time."""
+
+    name: str
+    type: str
+    path: str = ""
+    extension: str = ""
+    bit_depth: int = 8
+    topic: str = ""
+    filename_to_date: str = ""
+    timestamp_file: str = ""
+    columns: dict[str, str] = field(default_factory=dict)
+
+    @staticmethod
+    def of(d: dict[str, Any]) -> Camera:
+        if d["type"] not in CAMERA_TYPES:
+            raise ValueError(f"{d['type']} is no camera type; there are {CAMERA_TYPES}")
+        name = d["name"][1:].replace("/", "_") if "/" in d["name"] else d["name"]
+        listed = d.get("columns") or {}
+        columns = listed if isinstance(listed, dict) else {c["name"]: c["content"] for c in listed}
+        return Camera(name, d["type"], str(d.get("path", "")), str(d.get("extension", "")), int(d.get("bit_depth", 8)), d["name"], str(d.get("filename_to_date") or ""), str(d.get("timestamp_file") or ""), columns)
+
+
+@dataclass(frozen=True)
+class CameraSystem:
+    name: str
+    cameras: tuple[Camera, ...]
+
+    @staticmethod
+    def of(d: dict[str, Any]) -> CameraSystem:
+        for k in ("camera_system", "cameras"):
+            if k not in d:
+                raise ValueError(f"a camera system needs {k}")
+        return CameraSystem(str(d["camera_system"]), tuple(map(Camera.of, d["cameras"])))
+
+    @staticmethod
+    def load(path: str | Path) -> CameraSystem:
+        return CameraSystem.of(load_yaml(path))
+
+
+def load_calibration(path: str | Path) -> dict[str, Any]:
+    """A calibration file: its first line and matrix tags are OpenCV's; a matrix becomes rows of numbers."""
+    import yaml
+
+    class Loader(yaml.SafeLoader):
+        pass
+
+    def matrix(loader: Any, node: Any) -> list[list[float]]:
+        m = loader.construct_mapping(node, deep=True)
+        data = [float(x) for x in m["data"]]
+        return [data[i * m["cols"] : (i + 1) * m["cols"]] for i in range(m["rows"])]
+
+    Loader.add_constructor("tag:yaml.org,2002:opencv-matrix", matrix)
+    text = Path(path).read_text()
+    return yaml.load("\n".join(x for x in text.splitlines() if not x.startswith("%")), Loader) or {}  # noqa: S506 (a safe loader)
+
+
+@dataclass(frozen=True)
+class MonoCamera:
+    """A calibrated camera: size in pixels, camera matrix, distortion, rectification and projection."""
+
+    name: str
+    width: int
+    height: int
+    k: list[list[float]]
+    d: list[float]
+    r: list[list[float]]
+    p: list[list[float]]
+
+    @staticmethod
+    def of(node: dict[str, Any], ratio: float = 1.0) -> MonoCamera:
+        """``ratio`` scales the image."""
+        scaled = lambda m: [[v * ratio for v in row] for row in m]
+        return MonoCamera(
+            str(node.get("camera_name", "")), int(node["image_width"] * ratio), int(node["image_height"] * ratio),
+            scaled(node["camera_matrix"]), [v for row in node["distortion_coefficients"] for v in row], node.get("rectification_matrix") or [[1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]], scaled(node.get("projection_matrix") or []))
+
+    def to_text(self) -> str:
+        """As a calibration file."""
+        def matrix(name: str, rows: list[list[float]]) -> str:
+            return f"{name}: !!opencv-matrix\n  rows: {len(rows)}\n  cols: {len(rows[0])}\n  dt: d\n  data: [{', '.join(repr(float(v)) for row in rows for v in row)}]\n"
+
+        head = f"%YAML:1.0\nimage_width: {self.width}\nimage_height: {self.height}\ncamera_name: {self.name}\n"
+        return head + matrix("camera_matrix", self.k) + "distortion_model: plumb_bob\n" + matrix("distortion_coefficients", [self.d]) + matrix("rectification_matrix", self.r) + (matrix("projection_matrix", self.p) if self.p else "")
+
+
+@dataclass(frozen=True)
+class StereoCamera:
+    """Two calibrated cameras and the turn and shift from the first one's axes to the second's."""
+
+    left: MonoCamera
+    right: MonoCamera
+    r: list[list[float]]
+    t: list[float]
+
+    @staticmethod
+    def load(path: str | Path) -> StereoCamera:
+        d = load_calibration(path)
+        ex = d.get("extrinsics", d)
+        return StereoCamera(MonoCamera.of(d["left"]), MonoCamera.of(d["right"]), ex["rotation_matrix"], [v for row in ex["translation_vector"] for v in row])
+
+    @property
+    def matrix(self) -> list[list[float]]:
+        """Rows of turn and shift, as ``geometry.triangulated_between`` takes them."""
+        return [[*row, t] for row, t in zip(self.r, self.t, strict=True)]
