@@ -338,6 +338,7 @@ def particle_filter(rows: DataFrame, by: Sequence[str], particles: int = 300, se
         x = np.repeat(x0[None, :9], particles, axis=0)
         x[:, :2] += rng.normal(0, fix.offset, (particles, 2))
         w, past, times = np.full(particles, 1 / particles), [x.copy()], [t0]
+        drawn_at: dict[int, np.ndarray] = {}  # step -> which particle of the step before each one comes from
         angles, speeds, depth, last = np.degrees(x0[ANGLES]), x0[SPEEDS].copy(), x0[2], t0
         noisy = lambda m, model: m + rng.normal(size=(particles, len(m))) * (np.abs(m) * model.factor + model.offset) * gain
         for i in np.flatnonzero(t > t0):
@@ -366,11 +367,15 @@ def particle_filter(rows: DataFrame, by: Sequence[str], particles: int = 300, se
                     places = (np.arange(particles) + rng.random()) / particles
                     drawn = np.minimum(np.searchsorted(np.cumsum(w), places), particles - 1)
                     x, w = x[drawn], np.full(particles, 1 / particles)
-                    past = [h[drawn] for h in past]
+                    drawn_at[len(past)] = drawn
             past.append(x.copy())
             times.append(t[i])
-        best = int(np.argmax(w))
-        out = pd.DataFrame(np.array([h[best] for h in past]), columns=names)
+        best = at = int(np.argmax(w))
+        track = np.empty((len(past), len(names)))
+        for n in range(len(past) - 1, -1, -1):  # back along the best one's ancestors
+            track[n] = past[n][at]
+            at = int(drawn_at[n][at]) if n in drawn_at else at
+        out = pd.DataFrame(track, columns=names)
         out[["roll", "pitch", "yaw"]] = np.degrees(out[["roll", "pitch", "yaw"]])
         out.insert(0, "t", times)
         for c, k in zip(reversed(list(by)), reversed(key), strict=True):
