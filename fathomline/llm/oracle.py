@@ -82,10 +82,49 @@ SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)
 FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
 
+_RANKED = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+s AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS total FROM d WHERE len(w) > 0),
+i AS (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL)),
+asked AS (SELECT item_id, term, count(*)::BIGINT AS repeats FROM i GROUP BY ALL),
+p AS (SELECT r, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT r, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+df AS (SELECT term, count(*)::BIGINT AS df FROM p GROUP BY term),
+e AS (
+  SELECT r, doc_id, p.term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // total))) AS impact
+  FROM p JOIN df ON p.term = df.term, s),
+f AS (SELECT item_id, r, doc_id, sum(repeats * impact)::BIGINT AS score FROM asked JOIN e ON asked.term = e.term GROUP BY ALL),
+k AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score FROM f WHERE score > 0)
+SELECT * FROM k WHERE rank <= 10
+"""
+
+_DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT lang, source, term, count(*)::BIGINT AS n, count(DISTINCT r)::BIGINT AS docs FROM (SELECT lang, source, r, unnest(w) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n)::BIGINT AS lang_n FROM t GROUP BY ALL HAVING sum(docs) >= 10),
+l AS (SELECT lang, count(*)::BIGINT AS v, sum(lang_n)::BIGINT AS lang_total FROM kept GROUP BY lang),
+total AS (SELECT t.lang, source, sum(n)::BIGINT AS total FROM t JOIN kept ON t.lang = kept.lang AND t.term = kept.term GROUP BY ALL),
+every AS (SELECT g.lang, g.source, k.term, k.lang_n, l.v, l.lang_total, coalesce(total.total, 0) AS total FROM g JOIN kept k ON g.lang = k.lang JOIN l ON g.lang = l.lang LEFT JOIN total ON g.lang = total.lang AND g.source = total.source),
+p AS (
+  SELECT e.lang, e.source, e.term, coalesce(t.n, 0) AS n, 1 + ((1000000000::HUGEINT * (coalesce(t.n, 0) + 2)) // (total + 2 * v))::BIGINT AS p, 1 + ((1000000000::HUGEINT * (lang_n + 2)) // (lang_total + 2 * v))::BIGINT AS q
+  FROM every e LEFT JOIN t ON e.lang = t.lang AND e.source = t.source AND e.term = t.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p))::BIGINT AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+other AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source),
+own AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM (SELECT * FROM other UNION ALL SELECT * FROM own))
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": _MIX,
     "op4_topk_search": _TOPK,
     "op5_exact_dedup": _EXACT,
     "op7_archives": _WARC,
     "op9_line_dedup": _LINES,
+    "op12_divergence": _DIVERGENCE,
+    "op13_ranked_search": _RANKED,
 }

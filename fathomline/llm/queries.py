@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.llm import archives, exact_dedup, line_dedup, mixing, pieces, pii, simhash, token_counts, topk, toxicity
+from fathomline.llm import archives, crosspoly, divergence, exact_dedup, line_dedup, mixing, pieces, pii, ranked, simhash, token_counts, topk, toxicity
 from fathomline.llm.common import scratch, table
 from fathomline.llm.oracle import ORACLE_SQL
 
@@ -56,6 +56,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
 
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspoly.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_toxicity, op3_simhash, op4_topk_search, op5_exact_dedup, op6_pieces, op7_archives, op8_token_counts, op9_line_dedup, op10_pii)
+    f.__name__: f for f in (op1_mix_sources, op2_toxicity, op3_simhash, op4_topk_search, op5_exact_dedup, op6_pieces, op7_archives, op8_token_counts, op9_line_dedup, op10_pii, op11_nearest, op12_divergence, op13_ranked_search)
 }
