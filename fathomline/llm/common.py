@@ -85,6 +85,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def swept(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files and checkpoints that nothing refers to any more: it does so when the driver's garbage is collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def picked(df: DataFrame, **names: str) -> DataFrame:
     """Columns by exact name, renamed: picked(df, id="doc_id"). Other columns may clash with each other or with these."""
     flat = df.toDF(*[f"c{i}" for i in range(len(df.columns))])

@@ -105,14 +105,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return light.join(by_fp, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
 
 
-def first_of_each(docs: DataFrame, found: DataFrame | None = None) -> DataFrame:
-    """The documents whose doc_id is their component's: one row of each group of near-duplicates, with all columns.
+def grouped(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, root) of every row, mark a hash of its text: rows are near copies if their roots are one."""
+    row, at = packed(docs)
+    fps = cut(fingerprints(row.select(F.struct(at["doc_id"].alias("id"), F.xxhash64(at["text"]).alias("mark")).alias("doc_id"), at["text"].alias("text"))))
+    roots = cut(components(links(fps.select("fp").distinct())))
+    return fps.join(roots, F.col("fp") == F.col("node"), "left").select(F.col("doc_id.id").alias("doc_id"), F.col("doc_id.mark").alias("mark"), F.coalesce("root", "fp").alias("root"))
+
+
+def first_of_each(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+    """One row of each group of near-duplicates, with all columns: the one with the smallest doc_id (null last), of rows that
+    share it the one whose text has the least hash, of the same text twice the least row as JSON.
 
-    ``found``: doc_id and component_id of every row, by fingerprints unless given."""
-    found = near_duplicates(docs) if found is None else found
-    firsts = cut(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n")))
+    ``groups``: doc_id, mark (``xxhash64`` of the text) and root of every row, by fingerprints unless given."""
+    groups = grouped(docs) if groups is None else groups
+    firsts = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first"))
+    rows = groups.groupBy("doc_id", "mark").agg(F.count("*").alias("n")).withColumnsRenamed({"doc_id": "id", "mark": "m"})
+    # a text has one group, so that a row's id and mark stand for no other group's first
+    kept = cut(firsts.join(rows, F.col("first.doc_id").eqNullSafe(F.col("id")) & (F.col("first.mark") == F.col("m"))).select("id", "m", "n"))
     row, at = packed(docs)
-    kept = row.join(firsts, at["doc_id"].eqNullSafe(F.col("doc_id")))
-    if firsts.filter("n > 1").limit(1).count():  # rows that share an id: any one of them stays
-        kept = kept.filter("n = 1").unionByName(kept.filter("n > 1").dropDuplicates(["doc_id"]))
-    return kept.select("row.*").toDF(*docs.columns)
+    found = row.join(kept, at["doc_id"].eqNullSafe(F.col("id")) & (F.xxhash64(at["text"]) == F.col("m")))
+    if kept.filter("n > 1").limit(1).count():
+        again = found.filter("n > 1").groupBy("id", "m").agg(F.min_by("row", F.to_json("row")).alias("row"))
+        found = found.filter("n = 1").select("row").unionByName(again.select("row"))
+    return found.select("row.*").toDF(*docs.columns)
