@@ -1,8 +1,9 @@
 """Sequential filters over dives' time-ordered measurements.
 
-The Kalman filter and its smoother step through many dives side by side: rows come partitioned and sorted by dive, a task
-takes as many whole dives as ``CELLS`` allows, and each step is one array operation over all of them. Other folds take a
-dive as one group. A dive is bounded by how long a vehicle can stay down, so it fits a worker; partitions run in parallel.
+The filters step through many dives side by side: rows come partitioned and sorted by dive, a task takes as many whole dives
+as ``CELLS`` allows, and each step is one array operation over all of them. The Kalman filter keeps the states that its
+smoother needs, the particle filter only who descends from whom. The speed filter takes a dive as one group. A dive is bounded
+by how long a vehicle can stay down, so it fits a worker; partitions run in parallel.
 
 Measurements are one long table: by..., t, kind (orientation, usbl, depth, velocity, query), a, b, c, a_std, b_std, c_std:
   orientation: roll, pitch, yaw in degrees; usbl: northings, eastings, depth; depth: a; velocity: x, y, z of the body.
@@ -11,7 +12,7 @@ Measurements are one long table: by..., t, kind (orientation, usbl, depth, veloc
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -20,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fathomline.shared import cut
+
 N = 12
 POSITION, ANGLES, SPEEDS, RATES = slice(0, 3), slice(3, 6), slice(6, 9), slice(9, 12)
 #: Order in which measurements of one moment are taken in.
@@ -50,8 +53,8 @@ class EkfConfig:
 
 
 _SPIN = np.array([[[0, 0, 0], [0, 0, -1], [0, 1, 0]], [[0, 0, 1], [0, 0, 0], [-1, 0, 0]], [[0, -1, 0], [1, 0, 0], [0, 0, 0]]], float)
-#: Dives times steps that are filtered at a time.
-CELLS = 1 << 19
+#: Dives times steps that are filtered at a time (144 numbers of covariance each).
+CELLS = 1 << 16
 
 
 def rotations(angles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -244,36 +247,10 @@ def _arrays(pdf: pd.DataFrame) -> tuple[np.ndarray, ...]:
     return pdf.t.to_numpy(float), pdf.kind.to_numpy(), pdf[["a", "b", "c"]].to_numpy(float), pdf[["a_std", "b_std", "c_std"]].fillna(0.0).to_numpy(float)
 
 
-def ekf_steps(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig()) -> DataFrame:
-    """States of the (smoothed) extended Kalman filter: by..., t, the twelve states (angles in degrees), covariance (144), and
-    report: type and valid (did the gate let it through?) of the measurements that the state took in."""
-    deg = np.array([1, 1, 1, *[180 / math.pi] * 3, 1, 1, 1, *[180 / math.pi] * 3])
+def side_by_side(f: Callable[[pd.DataFrame], Iterator[pd.DataFrame]], by: Sequence[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """For mapInPandas over rows that are sorted by dive: ``f`` gets whole dives, in portions of at most CELLS dives times steps."""
     by = list(by)
 
-    def filtered(part: pd.DataFrame) -> pd.DataFrame:
-        """Whole dives, sorted by dive."""
-        key = part.groupby(by, sort=False, dropna=False).ngroup().to_numpy()
-        t, names, v, s = _arrays(part)
-        kind = np.array([ORDER[k] for k in names])
-        begin = np.flatnonzero(np.diff(key, prepend=-1))
-        starts = [start_of(t[a:b], kind[a:b], v[a:b]) for a, b in zip(begin, [*begin[1:], len(key)], strict=True)]
-        steps = filter_dives(key, t, kind, v, s, np.array([x[0] for x in starts]), np.array([x[1] for x in starts]), config)
-        taken: dict[tuple[int, int], list[dict]] = {}
-        for n, who, k, ok in steps.report:
-            for d, o in zip(who.tolist(), ok.tolist(), strict=True):
-                taken.setdefault((d, n), []).append({"type": KINDS[k], "valid": o})
-        if config.smooth:
-            smooth_dives(steps, config)
-        d = np.concatenate(steps.live)
-        n = np.repeat(np.arange(len(steps.live)), [len(x) for x in steps.live])
-        order = np.lexsort((n, d))
-        out = part.iloc[begin[d[order]]][by].reset_index(drop=True)
-        out["t"] = np.concatenate(steps.t)[order]
-        out[STATE] = (np.concatenate(steps.x) * deg)[order]
-        out["covariance"] = list(np.concatenate(steps.p)[order].reshape(-1, N * N))
-        out["report"] = [taken.get((a, b), []) for a, b in zip(d[order].tolist(), n[order].tolist(), strict=True)]
-        return out
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
         cells = 0
@@ -292,19 +269,58 @@ def ekf_steps(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig(
             yield from portions(both, both.groupby(by, sort=False, dropna=False).ngroup().to_numpy())
 
     def portions(part: pd.DataFrame, number: np.ndarray) -> Iterator[pd.DataFrame]:
-        """Dives in portions of at most CELLS dives times steps."""
         begin = [*np.flatnonzero(np.diff(number, prepend=-1)).tolist(), len(part)]
         a, longest = 0, 0
         for k in range(len(begin) - 1):
             longest = max(longest, begin[k + 1] - begin[k])
             if k > a and longest * (k - a + 1) > CELLS:
-                yield filtered(part.iloc[begin[a] : begin[k]].reset_index(drop=True))
+                yield from f(part.iloc[begin[a] : begin[k]].reset_index(drop=True))
                 a, longest = k, begin[k + 1] - begin[k]
-        yield filtered(part.iloc[begin[a] :].reset_index(drop=True))
+        yield from f(part.iloc[begin[a] :].reset_index(drop=True))
+
+    return run
+
+
+def ekf_steps(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig(), starts: DataFrame | None = None) -> DataFrame:
+    """States of the (smoothed) extended Kalman filter: by..., t, the twelve states (angles in degrees), covariance (144), and
+    report: type and valid (did the gate let it through?) of the measurements that the state took in.
+
+    ``starts``: by..., start_t, start (the twelve states) of each dive that is to be filtered; else each starts by itself."""
+    deg = np.array([1, 1, 1, *[180 / math.pi] * 3, 1, 1, 1, *[180 / math.pi] * 3])
+    by = list(by)
+
+    def filtered(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """Whole dives, sorted by dive."""
+        key = part.groupby(by, sort=False, dropna=False).ngroup().to_numpy()
+        t, names, v, s = _arrays(part)
+        kind = np.array([ORDER[k] for k in names])
+        begin = np.flatnonzero(np.diff(key, prepend=-1))
+        if starts is None:
+            first = [start_of(t[a:b], kind[a:b], v[a:b]) for a, b in zip(begin, [*begin[1:], len(key)], strict=True)]
+        else:
+            first = [(part.start_t.iloc[a], np.asarray(part.start.iloc[a]) / deg) for a in begin]
+        steps = filter_dives(key, t, kind, v, s, np.array([x[0] for x in first]), np.array([x[1] for x in first]), config)
+        taken: dict[tuple[int, int], list[dict]] = {}
+        for n, who, k, ok in steps.report:
+            for d, o in zip(who.tolist(), ok.tolist(), strict=True):
+                taken.setdefault((d, n), []).append({"type": KINDS[k], "valid": o})
+        if config.smooth:
+            smooth_dives(steps, config)
+        d = np.concatenate(steps.live)
+        n = np.repeat(np.arange(len(steps.live)), [len(x) for x in steps.live])
+        order = np.lexsort((n, d))
+        out = part.iloc[begin[d[order]]][by].reset_index(drop=True)
+        out["t"] = np.concatenate(steps.t)[order]
+        out[STATE] = (np.concatenate(steps.x) * deg)[order]
+        out["covariance"] = list(np.concatenate(steps.p)[order].reshape(-1, N * N))
+        out["report"] = [taken.get((a, b), []) for a, b in zip(d[order].tolist(), n[order].tolist(), strict=True)]
+        yield out
 
     more = "t double, " + ", ".join(f"{c} double" for c in STATE) + ", covariance array<double>, report array<struct<type: string, valid: boolean>>"
     needed = rows.select(*by, "t", "kind", "a", "b", "c", "a_std", "b_std", "c_std")
-    return needed.repartition(*by).sortWithinPartitions(*by, "t", "kind", "a").mapInPandas(run, _schema(rows, by, more))
+    if starts is not None:
+        needed = needed.join(starts.select(*by, "start_t", "start"), by)
+    return needed.repartition(*by).sortWithinPartitions(*by, "t", "kind", "a").mapInPandas(side_by_side(filtered, by), _schema(rows, by, more))
 
 
 def ekf(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig()) -> DataFrame:
@@ -312,6 +328,22 @@ def ekf(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig()) ->
     return ekf_steps(rows, by, config).drop("report")
 
 
+def relative_ekf(rows: DataFrame, by: Sequence[str], images: DataFrame, config: EkfConfig = EkfConfig()) -> DataFrame:
+    """Uncertainty of each image's pose relative to the first image of its dive: states and covariances at the times of
+    ``images`` (by..., t) of a filter that starts again a microsecond before the first image, from the state that a first
+    run has there, and with no uncertainty of position and angles. Dives without images are left out."""
+    by = list(by)
+    at = images.select(*by, "t").distinct()
+    asked = rows.filter(F.col("kind") != "query").unionByName(at.withColumn("kind", F.lit("query")), allowMissingColumns=True)
+    known = ekf(asked, by, config).join(at, [*by, "t"], "left_semi")
+    starts = cut(known.groupBy(*by).agg((F.min("t") - 1e-6).alias("start_t"), F.min_by(F.array(*STATE), "t").alias("start")))
+    certain = _square(config.initial_covariance)
+    certain[:6, :6] = 0
+    last = at.groupBy(*by).agg(F.max("t").alias("end_t"))
+    needed = asked.join(last, by).filter(F.col("t") <= F.col("end_t")).drop("end_t")
+    return ekf_steps(needed, by, replace(config, initial_covariance=certain), starts).drop("report").join(at, [*by, "t"], "left_semi")
+
+
 def report_of(steps: DataFrame, by: Sequence[str]) -> DataFrame:
     """by..., t, type, valid: each measurement that ``ekf_steps`` took in and whether the gate let it through."""
     return steps.select(*by, "t", F.inline("report"))
@@ -321,70 +353,159 @@ def ekf_report(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig
     return report_of(ekf_steps(rows, by, replace(config, smooth=False)), by)
 
 
+class Descent:
+    """Which particles stem from which, drawing by drawing, without branches that have died out: lines meet a few drawings back,
+    so that a dive with many drawings holds little more than one particle for each."""
+
+    def __init__(self) -> None:
+        self.steps: list[int] = []
+        #: for each drawing the particles before it that still have descendants, and where in that list each of the next drawing's
+        #: (at the last one: each present particle) comes from
+        self.alive: list[np.ndarray] = []
+        self.up: list[np.ndarray] = []
+
+    def draw(self, step: int, parents: np.ndarray) -> None:
+        ids, up = np.unique(parents, return_inverse=True)
+        if self.up:
+            self.up[-1] = self.up[-1][ids]
+        self.steps.append(step)
+        self.alive.append(ids.astype(np.int32))
+        self.up.append(up.astype(np.int32))
+        for n in range(len(self.up) - 2, -1, -1):
+            used, up = np.unique(self.up[n], return_inverse=True)
+            if len(used) == len(self.alive[n]):
+                break
+            self.alive[n], self.up[n] = self.alive[n][used], up.astype(np.int32)
+            if n:
+                self.up[n - 1] = self.up[n - 1][used]
+
+    def line(self, particle: int, steps: int) -> np.ndarray:
+        """The ancestor of a present particle at each of so many steps; a drawing's step has the particle after it."""
+        out, end, at = np.empty(steps, np.int32), steps, particle
+        name = particle
+        for n in range(len(self.steps) - 1, -1, -1):
+            out[self.steps[n] : end] = name
+            at, end = int(self.up[n][at]), self.steps[n]
+            name = int(self.alive[n][at])
+        out[:end] = name
+        return out
+
+    def __len__(self) -> int:
+        return sum(len(a) + len(u) for a, u in zip(self.alive, self.up, strict=True))
+
+
+@dataclass(frozen=True)
+class ParticleModel:
+    particles: int
+    seed: int
+    velocity: StdModel
+    angle: StdModel
+    fix: StdModel
+    gain: float
+
+
+def drift(x: np.ndarray, dt: np.ndarray, angles: np.ndarray, vel: np.ndarray) -> None:
+    """Move particles (dive, particle, state) by speeds of the body at angles in radians, in place."""
+    (cr, sr), (cp, sp), (cy, sy) = ((np.cos(a), np.sin(a)) for a in np.moveaxis(angles, 2, 0))
+    dt = dt[:, None]
+    x[:, :, 0] += dt * (cy * cp * vel[:, :, 0] + (cy * sp * sr - sy * cr) * vel[:, :, 1] + (cy * sp * cr + sy * sr) * vel[:, :, 2])
+    x[:, :, 1] += dt * (sy * cp * vel[:, :, 0] + (sy * sp * sr + cy * cr) * vel[:, :, 1] + (sy * sp * cr - cy * sr) * vel[:, :, 2])
+    x[:, :, 3:6], x[:, :, 6:9] = angles, vel
+
+
+def run_particles(m: ParticleModel, t0: np.ndarray, x0: np.ndarray, count: np.ndarray, t: np.ndarray, kind: np.ndarray, v: np.ndarray, s: np.ndarray, lines: list[np.ndarray] | None = None):
+    """One pass of the particles of dives side by side, those with most steps first: ``t``, ``kind`` (dive, step), ``v`` (dive, step, 3), ``s``.
+
+    Without ``lines``: who stems from whom, and the last weights. With ``lines`` (a particle for each step of a dive) the same draws
+    are made again, and the states of these particles are given; so no pass holds more than the present particles."""
+    n_dives, n = len(t0), m.particles
+    rng = [np.random.default_rng(m.seed) for _ in range(n_dives)]
+    x = np.repeat(x0[:, None, :9], n, axis=1)
+    for d in range(n_dives):
+        x[d, :, :2] += rng[d].normal(0, m.fix.offset, (n, 2))
+    w, descent = np.full((n_dives, n), 1 / n), [Descent() for _ in range(n_dives)]
+    track = [np.empty((c + 1, 9)) for c in count] if lines is not None else []
+    for d, own in enumerate(track):
+        own[0] = x[d, lines[d][0]]
+    angles, speeds, depth, last = np.degrees(x0[:, ANGLES]), x0[:, SPEEDS].copy(), x0[:, 2].copy(), t0.copy()
+    noise = np.empty((2, n_dives, n, 3))
+    spread = lambda value, model: (np.abs(value) * model.factor + model.offset) * m.gain
+    for step in range(int(count.max(initial=0))):
+        live = int(np.searchsorted(-count, -step, side="left"))  # dives with more than ``step`` steps
+        k, value = kind[:live, step], v[:live, step]
+        for of, name in ((angles, "orientation"), (speeds, "velocity")):
+            here = np.flatnonzero(k == ORDER[name])
+            of[here] = value[here]
+        here = np.flatnonzero(k == ORDER["depth"])
+        depth[here] = value[here, 0]
+        dt, last[:live] = t[:live, step] - last[:live], t[:live, step]
+        for d in range(live):
+            rng[d].standard_normal(out=noise[0, d])
+            rng[d].standard_normal(out=noise[1, d])
+        turned = np.radians(angles[:live, None] + noise[0, :live] * spread(angles[:live], m.angle)[:, None])
+        vel = speeds[:live, None] + noise[1, :live] * spread(speeds[:live], m.velocity)[:, None]
+        drift(x[:live], dt, turned, vel)
+        x[:live, :, 2] = depth[:live, None]
+        for d in np.flatnonzero(k == ORDER["usbl"]).tolist():
+            far = np.hypot(x[d, :, 0] - value[d, 0], x[d, :, 1] - value[d, 1])
+            if not np.isnan(value[d, 2]):
+                far = np.hypot(far, x[d, :, 2] - value[d, 2])
+            sigma = s[d, step] if s[d, step] > 0 else m.fix.offset + m.fix.factor * math.hypot(value[d, 0], value[d, 1])
+            w[d] = w[d] * np.exp(-0.5 * (far / sigma) ** 2) + 1e-300
+            w[d] /= w[d].sum()
+            if 1 / (w[d] ** 2).sum() < n / 2:
+                places = (np.arange(n) + rng[d].random()) / n
+                drawn = np.minimum(np.searchsorted(np.cumsum(w[d]), places), n - 1)
+                x[d], w[d] = x[d][drawn], 1 / n
+                if lines is None:
+                    descent[d].draw(step + 1, drawn)
+        for d in range(live if lines is not None else 0):
+            track[d][step + 1] = x[d, lines[d][step + 1]]
+    return (descent, w) if lines is None else track
+
+
 def particle_filter(rows: DataFrame, by: Sequence[str], particles: int = 300, seed: int = 0, velocity: StdModel = StdModel(0.05, 0.02), angle: StdModel = StdModel(0.1, 0.0), fix: StdModel = StdModel(5.0, 0.01), gain: float = 1.0) -> DataFrame:
     """Whole trajectory of the best particle: by..., t, northings, eastings, depth, roll, pitch, yaw, x/y/z_velocity, weight.
 
     Particles move by noisy measured speeds and angles; a fix weighs them by a Gaussian of their distance, and they are drawn
-    anew when the effective number falls under half. Draws depend on the seed alone."""
-    names = STATE[:9]
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["t", "kind", "a"], kind="stable").reset_index(drop=True)
-        rng = np.random.default_rng(seed)
-        t, kind, v, s = _arrays(pdf)
-        t0, x0 = _initial(pdf)
-        if len(g := pdf[pdf.kind == "usbl"]):
-            x0[:2] = g.iloc[0][["a", "b"]].to_numpy(float)
-        x = np.repeat(x0[None, :9], particles, axis=0)
-        x[:, :2] += rng.normal(0, fix.offset, (particles, 2))
-        w, past, times = np.full(particles, 1 / particles), [x.copy()], [t0]
-        drawn_at: dict[int, np.ndarray] = {}  # step -> which particle of the step before each one comes from
-        angles, speeds, depth, last = np.degrees(x0[ANGLES]), x0[SPEEDS].copy(), x0[2], t0
-        noisy = lambda m, model: m + rng.normal(size=(particles, len(m))) * (np.abs(m) * model.factor + model.offset) * gain
-        for i in np.flatnonzero(t > t0):
-            if kind[i] == "orientation":
-                angles = v[i]
-            elif kind[i] == "velocity":
-                speeds = v[i]
-            elif kind[i] == "depth":
-                depth = v[i, 0]
-            if kind[i] == "query":
-                continue
-            dt, last = t[i] - last, t[i]
-            (r, p, y), vel = np.radians(noisy(angles, angle)).T, noisy(speeds, velocity)
-            (cr, sr), (cp, sp), (cy, sy) = ((np.cos(a), np.sin(a)) for a in (r, p, y))
-            x[:, 0] += dt * (cy * cp * vel[:, 0] + (cy * sp * sr - sy * cr) * vel[:, 1] + (cy * sp * cr + sy * sr) * vel[:, 2])
-            x[:, 1] += dt * (sy * cp * vel[:, 0] + (sy * sp * sr + cy * cr) * vel[:, 1] + (sy * sp * cr - cy * sr) * vel[:, 2])
-            x[:, 2], x[:, 3:6], x[:, 6:9] = depth, np.stack([r, p, y], 1), vel
-            if kind[i] == "usbl":
-                d = np.hypot(x[:, 0] - v[i, 0], x[:, 1] - v[i, 1])
-                if not np.isnan(v[i, 2]):
-                    d = np.hypot(d, x[:, 2] - v[i, 2])
-                sigma = s[i, 0] if s[i, 0] > 0 else fix.offset + fix.factor * math.hypot(v[i, 0], v[i, 1])
-                w = w * np.exp(-0.5 * (d / sigma) ** 2) + 1e-300
-                w /= w.sum()
-                if 1 / (w**2).sum() < particles / 2:
-                    places = (np.arange(particles) + rng.random()) / particles
-                    drawn = np.minimum(np.searchsorted(np.cumsum(w), places), particles - 1)
-                    x, w = x[drawn], np.full(particles, 1 / particles)
-                    drawn_at[len(past)] = drawn
-            past.append(x.copy())
-            times.append(t[i])
-        best = at = int(np.argmax(w))
-        track = np.empty((len(past), len(names)))
-        for n in range(len(past) - 1, -1, -1):  # back along the best one's ancestors
-            track[n] = past[n][at]
-            at = int(drawn_at[n][at]) if n in drawn_at else at
-        out = pd.DataFrame(track, columns=names)
-        out[["roll", "pitch", "yaw"]] = np.degrees(out[["roll", "pitch", "yaw"]])
-        out.insert(0, "t", times)
-        for c, k in zip(reversed(list(by)), reversed(key), strict=True):
-            out.insert(0, c, k)
-        out["weight"] = w[best]
-        return out
+    anew when the effective number falls under half. Draws depend on the seed alone. Dives are stepped through side by side,
+    twice: the first pass finds who the best particle's ancestors are, the second their states, so no history is held."""
+    names, by = STATE[:9], list(by)
+    model = ParticleModel(particles, seed, velocity, angle, fix, gain)
+
+    def filtered(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        part = part.assign(_dive=part.groupby(by, sort=False, dropna=False).ngroup()).sort_values(["_dive", "t", "kind", "a"], kind="stable").reset_index(drop=True)
+        t, names_, v, s = _arrays(part)
+        kind = np.array([ORDER[k] for k in names_])
+        begin = [*np.flatnonzero(np.diff(part._dive.to_numpy(), prepend=-1)).tolist(), len(part)]
+        dives = []
+        for a, b in zip(begin, begin[1:], strict=False):
+            t0, x0 = start_of(t[a:b], kind[a:b], v[a:b])
+            if len(g := np.flatnonzero(kind[a:b] == ORDER["usbl"])):
+                x0[:2] = v[a + g[0], :2]
+            dives.append((a, t0, x0, a + np.flatnonzero((t[a:b] > t0) & (kind[a:b] != ORDER["query"]))))
+        dives.sort(key=lambda d: -len(d[3]))
+        count = np.array([len(d[3]) for d in dives])
+        wide = max(1, int(count.max()))
+        when, what, value, std = np.zeros((len(dives), wide)), np.zeros((len(dives), wide), np.int8), np.zeros((len(dives), wide, 3)), np.zeros((len(dives), wide))
+        for d, (*_, at) in enumerate(dives):
+            when[d, : len(at)], what[d, : len(at)], value[d, : len(at)], std[d, : len(at)] = t[at], kind[at], v[at], s[at, 0]
+        given = (model, np.array([d[1] for d in dives]), np.array([d[2] for d in dives]), count, when, what, value, std)
+        descent, w = run_particles(*given)
+        best = np.argmax(w, axis=1)
+        track = run_particles(*given, lines=[descent[d].line(int(best[d]), int(count[d]) + 1) for d in range(len(dives))])
+        for d in np.argsort([x[0] for x in dives]).tolist():
+            out = pd.DataFrame(track[d], columns=names)
+            out[["roll", "pitch", "yaw"]] = np.degrees(out[["roll", "pitch", "yaw"]])
+            out.insert(0, "t", [dives[d][1], *when[d, : count[d]]])
+            for c in reversed(by):
+                out.insert(0, c, [part[c].iloc[dives[d][0]]] * len(out))
+            out["weight"] = w[d, best[d]]
+            yield out
 
     more = "t double, " + ", ".join(f"{c} double" for c in names) + ", weight double"
-    return rows.groupBy(*by).applyInPandas(run, _schema(rows, by, more))
+    needed = rows.select(*by, "t", "kind", "a", "b", "c", "a_std", "b_std", "c_std")
+    return needed.repartition(*by).sortWithinPartitions(*by).mapInPandas(side_by_side(filtered, by), _schema(rows, by, more))
 
 
 def speed_filtered(rows: DataFrame, by: Sequence[str], t: str, lat: str, lon: str, most: float = 20.0) -> DataFrame:

@@ -121,7 +121,8 @@ def slope(x, dt):
 def filtered_by_hand(events, t0, x0, c, smooth):
     """One measurement after the other: (t, kind, values, deviations), sorted; the textbook's formulas with numeric slopes."""
     wrap = lambda a: a if abs(a) <= math.pi else (a + math.pi) % (2 * math.pi) - math.pi
-    q, p, x, now = np.diag(c.process_noise), np.diag(c.initial_covariance), x0.copy(), t0
+    q, p, x, now = np.diag(c.process_noise), np.array(c.initial_covariance), x0.copy(), t0
+    p = np.diag(p) if p.ndim == 1 else p
     seen, states, report = {}, [(t0, x.copy(), p.copy())], []
     turns = []
     for t, kind, v, s in events:
@@ -198,6 +199,136 @@ def test_filter_and_smoother_against_brute_force(spark, monkeypatch, smooth, cel
         assert flat == report
 
 
+def particles_by_hand(events, particles, seed, velocity=(0.05, 0.02), angle=(0.1, 0.0), fix=(5.0, 0.01)):
+    """One dive (t, kind, values, deviation), in order, with the whole history of every particle."""
+    rng = np.random.default_rng(seed)
+    t0, x0 = folds.start_of(np.array([e[0] for e in events]), np.array([folds.ORDER[e[1]] for e in events]), np.array([e[2] for e in events], float))
+    if fixes := [e for e in events if e[1] == "usbl"]:
+        x0[:2] = fixes[0][2][:2]
+    x = np.repeat(x0[None, :9], particles, axis=0)
+    x[:, :2] += rng.normal(0, fix[0], (particles, 2))
+    history, times, w = x[None].copy(), [t0], np.full(particles, 1 / particles)
+    now = {"orientation": np.degrees(x0[3:6]), "velocity": x0[6:9], "depth": x0[2:3]}
+    for t, kind, v, s in events:
+        if t <= t0 or kind == "query":
+            continue
+        now[kind] = np.array(v, float)
+        r, p, y = np.radians(now["orientation"] + rng.normal(size=(particles, 3)) * (np.abs(now["orientation"]) * angle[1] + angle[0])).T
+        vel = now["velocity"] + rng.normal(size=(particles, 3)) * (np.abs(now["velocity"]) * velocity[1] + velocity[0])
+        for i in range(particles):
+            rx = np.array([[1, 0, 0], [0, math.cos(r[i]), -math.sin(r[i])], [0, math.sin(r[i]), math.cos(r[i])]])
+            ry = np.array([[math.cos(p[i]), 0, math.sin(p[i])], [0, 1, 0], [-math.sin(p[i]), 0, math.cos(p[i])]])
+            rz = np.array([[math.cos(y[i]), -math.sin(y[i]), 0], [math.sin(y[i]), math.cos(y[i]), 0], [0, 0, 1]])
+            x[i, :2] += (t - times[-1]) * (rz @ ry @ rx @ vel[i])[:2]
+        x[:, 2], x[:, 3:6], x[:, 6:9] = now["depth"][0], np.stack([r, p, y], 1), vel
+        history = np.concatenate([history, x[None]])
+        times.append(t)
+        if kind == "usbl":
+            d = np.sqrt(((x[:, :2] - v[:2]) ** 2).sum(axis=1) + (0 if math.isnan(v[2]) else (x[:, 2] - v[2]) ** 2))
+            w = w * np.exp(-0.5 * (d / (s if s > 0 else fix[0] + fix[1] * math.hypot(*v[:2]))) ** 2) + 1e-300
+            w = w / w.sum()
+            if 1 / (w**2).sum() < particles / 2:
+                drawn = np.minimum(np.searchsorted(np.cumsum(w), (np.arange(particles) + rng.random()) / particles), particles - 1)
+                history, w = history[:, drawn], np.full(particles, 1 / particles)
+                x = history[-1].copy()
+    return times, history[:, int(np.argmax(w))]
+
+
+@pytest.mark.parametrize("cells", [1 << 16, 40])
+def test_particle_filter_against_whole_histories(spark, monkeypatch, cells):
+    monkeypatch.setattr(folds, "CELLS", cells)
+    rng = random.Random(9)
+    nan, data = float("nan"), []
+    for d, n in {"a": 70, "b": 12, "c": 40, "d": 0}.items():
+        data += [(d, 10.0, "depth", 5.0, None, None, None), (d, 10.0, "orientation", 1.0, 2.0, 70.0, None), (d, 10.0, "velocity", 0.5, 0.0, 0.0, None)]
+        for i in range(n):
+            kind = rng.choice(["orientation", "velocity", "depth", "usbl", "usbl", "query"])
+            v = {"orientation": [1.0, 2.0, rng.gauss(70, 9)], "velocity": [rng.gauss(0.5, 0.1), 0.0, 0.0], "depth": [5.0, None, None], "usbl": [0.2 * i, 0.4 * i, rng.choice([5.0, None])], "query": [None] * 3}[kind]
+            data.append((d, 11.0 + i, kind, *v, rng.choice([1.0, None])))
+    df = rows(spark, [(*r, None, None) for r in data], "dive string, t double, kind string, a double, b double, c double, a_std double, b_std double, c_std double")
+    got = {}
+    for r in folds.particle_filter(df.repartition(5), ["dive"], particles=50, seed=4).collect():
+        got.setdefault(r["dive"], []).append(r)
+    for d in "abcd":
+        events = [(t, k, [nan if x is None else x for x in v], s or 0.0) for dd, t, k, *v, s in data if dd == d]
+        times, track = particles_by_hand(events, 50, 4)
+        assert [r["t"] for r in got[d]] == times
+        assert np.allclose([[r[c] for c in folds.STATE[:3]] + [math.radians(r[c]) for c in folds.STATE[3:6]] + [r[c] for c in folds.STATE[6:9]] for r in got[d]], track, atol=1e-9)
+
+
+def test_dead_branches_are_pruned():
+    rng = np.random.default_rng(1)
+    d, whole = folds.Descent(), []
+    for i in range(3000):
+        parents = np.sort(rng.integers(0, 300, 300))
+        d.draw(3 * i + 1, parents)
+        whole.append(parents)
+    assert len(d) < 3000 * 2 + 300 * 300  # of 2 x 900,000
+    line, at = d.line(17, 9001), 17
+    for i in range(2999, -1, -1):
+        assert (line[3 * i + 1 : 3 * i + 4] == at).all()
+        at = whole[i][at]
+    assert line[0] == at
+
+
+def test_the_memory_of_a_long_dive_holds_no_histories():
+    """Bytes held while 20,000 measurements pass: 500,000 take 25 times that, or less than 500 MB."""
+    import tracemalloc
+
+    n = 20_000
+    t = 10.0 + np.arange(n)
+    kind = np.where(np.arange(n) % 10 == 0, folds.ORDER["usbl"], folds.ORDER["velocity"])
+    v = np.stack([0.5 * np.arange(n), np.zeros(n), np.full(n, np.nan)], 1)
+    v[kind == folds.ORDER["velocity"]] = [0.5, 0.0, 0.0]
+    model = folds.ParticleModel(300, 0, folds.StdModel(0.05, 0.02), folds.StdModel(0.1, 0.0), folds.StdModel(5.0, 0.01), 1.0)
+    given = (model, np.array([9.0]), np.zeros((1, 12)), np.array([n]), t[None], kind[None], v[None], np.full((1, n), 1.0))
+    tracemalloc.start()
+    descent, w = folds.run_particles(*given)
+    track = folds.run_particles(*given, lines=[descent[0].line(int(np.argmax(w[0])), n + 1)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak * 25 < 500e6 and len(descent[0].steps) > 100 and track[0].shape == (n + 1, 9)
+    assert abs(track[0][-1, 0] - 0.5 * n) < 20
+
+
+def test_poses_relative_to_the_first_image(spark):
+    rng = random.Random(2)
+    nan, data, images_ = float("nan"), [], []
+    for d, n in {"a": 60, "b": 30, "c": 20}.items():
+        data += [(d, 10.0, "orientation", 1.0, 2.0, 30.0, 0.5, 0.5, 0.5), (d, 10.0, "velocity", 0.1, 0.0, 0.0, 0.1, 0.1, 0.1), (d, 10.0, "depth", 5.0, None, None, 0.2, None, None)]
+        for i in range(n):
+            kind = rng.choice(["orientation", "velocity", "depth"])
+            v = {"orientation": [rng.gauss(0, 2), rng.gauss(0, 2), rng.gauss(30, 2)], "velocity": [rng.gauss(0.3, 0.1), 0.0, 0.0], "depth": [5.0, None, None]}[kind]
+            data.append((d, 11.0 + i, kind, *v, 0.5, 0.6, 0.7))
+        if d != "c":
+            images_ += [(d, 20.5 + k) for k in range(0, n - 15, 3)]
+    schema = "dive string, t double, kind string, a double, b double, c double, a_std double, b_std double, c_std double"
+    df, images_df = rows(spark, data, schema), rows(spark, images_, "dive string, t double")
+    for smooth in (False, True):
+        c = folds.EkfConfig(smooth=smooth, initial_covariance=[0.1] * 12)
+        got = {}
+        for r in folds.relative_ekf(df, ["dive"], images_df, c).collect():
+            got.setdefault(r["dive"], []).append(r)
+        assert set(got) == {"a", "b"}
+        for d in got:
+            order = lambda e: (e[0], e[1])
+            own = [t for dd, t in images_ if dd == d]
+            events = sorted([(t, k, [nan if x is None else x for x in v][: 1 if k == "depth" else 3], s) for dd, t, k, *v, s1, s2, s3 in data if dd == d for s in [[s1, s2, s3]]] + [(t, "query", [nan] * 3, [0.0] * 3) for t in own], key=order)
+            x0 = np.zeros(12)
+            x0[2], x0[3:6], x0[6] = 5.0, np.radians([1.0, 2.0, 30.0]), 0.1
+            states, _ = filtered_by_hand(events, 10.0, x0, c, smooth)
+            begin = next(x for t, x, _ in states if t == own[0])
+            p0 = np.diag([0.0] * 6 + [0.1] * 6)
+            again = folds.EkfConfig(smooth=smooth, initial_covariance=p0)
+            states, _ = filtered_by_hand([e for e in events if e[0] <= own[-1]], own[0] - 1e-6, begin, again, smooth)
+            want = {t: (x, p) for t, x, p in states}
+            assert [r["t"] for r in got[d]] == own
+            for r in got[d]:
+                assert np.allclose(np.array(r["covariance"]).reshape(12, 12), want[r["t"]][1], atol=1e-5) and abs(r["northings"] - want[r["t"]][0][0]) < 1e-5
+            spread = [np.trace(np.array(r["covariance"]).reshape(12, 12)[:2, :2]) for r in got[d]]
+            assert spread[0] < 1e-6 and spread[-1] > spread[1] > spread[0]
+
+
 def test_particle_filter_follows_fixes(spark):
     m = measurements(spark, 200)
     fixes = rows(spark, [("a", 1000.0 + 2 * i, "usbl", 0.2 * i, 0.2 * i, 5.0, 0.1, 0.1, 0.1) for i in range(10)], ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in m.schema))
