@@ -289,13 +289,15 @@ def ekf_steps(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig(
     deg = np.array([1, 1, 1, *[180 / math.pi] * 3, 1, 1, 1, *[180 / math.pi] * 3])
     by = list(by)
 
+    given = starts is not None
+
     def filtered(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
         """Whole dives, sorted by dive."""
         key = part.groupby(by, sort=False, dropna=False).ngroup().to_numpy()
         t, names, v, s = _arrays(part)
         kind = np.array([ORDER[k] for k in names])
         begin = np.flatnonzero(np.diff(key, prepend=-1))
-        if starts is None:
+        if not given:
             first = [start_of(t[a:b], kind[a:b], v[a:b]) for a, b in zip(begin, [*begin[1:], len(key)], strict=True)]
         else:
             first = [(part.start_t.iloc[a], np.asarray(part.start.iloc[a]) / deg) for a in begin]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from fathomline.functions import frames, geo, text, times
-from fathomline.operators import aggregates, filters, folds, geometry, images, interp, joins, sampling, windows
+from fathomline.operators import aggregates, calibration, filters, folds, geometry, images, interp, joins, sampling, windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -201,14 +201,14 @@ def anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def containment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     words = p.select(F.explode(F.split("p_name", " ")).alias("word")).distinct()
-    return joins.containing(p, words, "p_name", "word").select("p_partkey", "word")
+    return joins.containing(p, words, "p_name", "word", ["p_partkey"]).select("p_partkey", "word")
 
 
-@query(f"""WITH {_EV}, p AS (SELECT l.dive, l.seq, r.seq AS peak, row_number() OVER (PARTITION BY l.dive, l.t ORDER BY r.t) AS n FROM (SELECT * FROM ev WHERE kind = 'view') l JOIN (SELECT * FROM ev WHERE kind = 'click') r
+@query(f"""WITH {_EV}, p AS (SELECT l.dive, l.seq, r.seq AS peak, row_number() OVER (PARTITION BY l.dive, l.seq ORDER BY r.t, r.seq) AS n FROM (SELECT * FROM ev WHERE kind = 'view') l JOIN (SELECT * FROM ev WHERE kind = 'click') r
 ON l.dive = r.dive AND r.t >= l.t AND r.t < l.t + 3600) SELECT dive, seq, peak FROM p WHERE n = 1""")
 def band_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = stream(spark, sf_dir, "click").select("dive", F.col("t").alias("rt"), F.col("seq").alias("peak"))
-    return joins.band(stream(spark, sf_dir, "view").drop("value", "kind"), r, ["dive"], "t", "rt", 3600).select("dive", "seq", "peak")
+    return joins.band(stream(spark, sf_dir, "view").drop("value", "kind"), r, ["dive"], "t", "rt", 3600, ["seq"], ["peak"]).select("dive", "seq", "peak")
 
 
 # -- windows
@@ -601,10 +601,10 @@ def epipolar_rms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.epipolar_rms(points, ["l_returnflag"], "du", "dv").select("l_returnflag", _r("rms", "rms", 9))
 
 
-@query(f"WITH {_EV} SELECT l.seq, r.seq AS other FROM (SELECT * FROM ev WHERE kind = 'purchase') l JOIN (SELECT * FROM ev WHERE kind = 'error') r ON abs(l.t - r.t) <= 1800 AND abs(l.t - r.t) < 600")
+@query(f"WITH {_EV} SELECT l.seq, r.seq AS other FROM (SELECT * FROM ev WHERE kind = 'purchase') l JOIN (SELECT * FROM ev WHERE kind = 'error') r ON l.dive = r.dive AND abs(l.t - r.t) <= 86400 AND abs(l.t - r.t) < 43200")
 def within_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    right = stream(spark, sf_dir, "error").select(F.col("t").alias("rt"), F.col("seq").alias("other"))
-    return joins.within(stream(spark, sf_dir, "purchase").select("t", "seq"), right, "t", "rt", 1800, 600).select("seq", "other")
+    right = stream(spark, sf_dir, "error").select("dive", F.col("t").alias("rt"), F.col("seq").alias("other"))
+    return joins.within(stream(spark, sf_dir, "purchase").select("dive", "t", "seq"), right, "t", "rt", 86400, 43200, ["dive"]).select("seq", "other")
 
 
 @query(f"WITH {_EV} SELECT dive, seq FROM ev WHERE t >= 86400 AND t <= 1864000 AND value < 60")
@@ -624,7 +624,7 @@ def side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
     return z.select("dive", "seq", "value")
 
 
-@query(f"""WITH s AS (SELECT page_id, url, {_STEM.format('url')} AS stem FROM pages) SELECT a.stem, a.url AS "left", b.url AS "right" FROM s a JOIN s b USING (stem)""")
+@query(f"""WITH s AS (SELECT page_id, url, {_STEM.format('url')} AS stem FROM pages) SELECT a.stem, a.url AS "left", b."right" FROM s a JOIN (SELECT stem, min(url) AS "right" FROM s GROUP BY stem) b USING (stem)""")
 def stereo_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages").select(F.col("url").alias("path"))
     return joins.stereo_by_stem(p, p)
@@ -654,6 +654,37 @@ def geodesic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("c_custkey", "g.distance", "g.azimuth", "p.latitude", "p.longitude")
 
 
+#: A made-up camera: fx, fy, cx, cy, k1, k2, p1, p2, k3.
+_CAMERA = {"fx": 1400.0, "fy": 1390.0, "cx": 655.0, "cy": 500.0, "k1": -0.21, "k2": 0.12, "p1": 0.0012, "p2": -0.0007, "k3": -0.03}
+
+
+def board_corners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """view, x, y, z, u, v: each supplier is a photograph of a board of 9 x 7 corners, at a pose that its columns tell; where
+    s_acctbal is below zero the corners are up to 20 pixels off."""
+    s = table(spark, sf_dir, "supplier")
+    k, step = F.col("s_suppkey"), F.col("corner")
+    board = s.withColumn("corner", F.explode(F.sequence(F.lit(0), F.lit(62)))).withColumn("x", (step % 9) * 0.04).withColumn("y", F.floor(step / 9) * 0.04)
+    turned = frames.body_to_inertial(((k * 37) % 61 - 30).cast("double"), ((k * 53) % 71 - 35).cast("double"), (F.col("s_nationkey") * 14 - 168).cast("double"), F.col("x"), F.col("y"), F.lit(0.0))
+    px, py, pz = turned[0] + ((k * 17) % 23 - 15) / 100, turned[1] + ((k * 29) % 19 - 12) / 100, turned[2] + 0.8 + (F.col("s_acctbal") + 1000) / 14000
+    placed = board.select("s_suppkey", "s_acctbal", "corner", "x", "y", (px / pz).alias("a"), (py / pz).alias("b"))
+    a, b = geometry.distorted(F.col("a"), F.col("b"), [_CAMERA[c] for c in ("k1", "k2", "p1", "p2", "k3")])
+    off = lambda seed: F.when(F.col("s_acctbal") < 0, F.pmod(F.xxhash64("s_suppkey", "corner", F.lit(seed)), F.lit(41)) - 20.0).otherwise(0.0)
+    return placed.select(F.col("s_suppkey").alias("view"), "x", "y", F.lit(0.0).alias("z"), (_CAMERA["fx"] * a + _CAMERA["cx"] + off(1)).alias("u"), (_CAMERA["fy"] * b + _CAMERA["cy"] + off(2)).alias("v"))
+
+
+@query(f"""SELECT * FROM (VALUES {", ".join(f"('{k}', {v}::DOUBLE)" for k, v in _CAMERA.items())}) AS c(name, value) UNION ALL SELECT 'views', count(*)::DOUBLE FROM supplier WHERE s_acctbal >= 0""")
+def camera_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = calibration.calibrated(board_corners(spark, sf_dir), (1280, 1024))
+    rows = [(n, round(v, 4)) for n, v in zip(calibration.CAMERA, found.cameras[0], strict=True)]
+    return spark.createDataFrame([*rows, ("views", float(found.views.count()))], "name string, value double")
+
+
+@query()
+def relative_poses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = measurements(spark, sf_dir)
+    return folds.relative_ekf(m, ["dive"], m.filter(F.col("kind") == "query").select("dive", "t"), folds.EkfConfig(mahalanobis=100.0))
+
+
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as measurements of dives, for the folds."""
     kind = F.when(F.col("kind") == "click", "orientation").when(F.col("kind") == "view", "velocity").when(F.col("kind") == "purchase", "depth").when(F.col("kind") == "signup", "usbl").otherwise("query")
