@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
+from fathomline.operators import consensus
 from fathomline.operators.interp import forward_interpolated
 from fathomline.operators.windows import over, step_lengths
 
@@ -42,18 +44,38 @@ def pixel_stats(pixels: DataFrame, keys: Sequence[str], value: str = "value", ig
 def clipped_running_stats(pixels: DataFrame, keys: Sequence[str], order: str, value: str = "value", clip: float = 0.95) -> DataFrame:
     """Running mean and deviation in which a value over ``clip`` counts as the mean so far: an ordered fold per pixel.
 
-    The fold runs inside an expression over the pixel's ordered values, so there is no Python on the way."""
-    values = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).cast("double").alias("v")))), lambda x: x["v"])
-    zero = F.struct(F.lit(0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
-
-    def step(a: Column, v: Column) -> Column:
-        x = F.when(v > clip, a["mean"]).otherwise(v)
-        n = a["n"] + 1
-        mean = a["mean"] + (x - a["mean"]) / n
-        return F.struct(n.alias("n"), mean.alias("mean"), (a["m2"] + (x - a["mean"]) * (x - mean)).alias("m2"))
-
-    folded = pixels.groupBy(*keys).agg(F.aggregate(values, zero, step).alias("a"))
-    return folded.select(*keys, F.col("a.mean").alias("mean"), F.when(F.col("a.n") > 1, F.greatest(F.sqrt(F.col("a.m2") / F.col("a.n")), F.lit(1e-6))).alias("std"), F.col("a.n").alias("n"))
+    Pixels are dealt to tasks whole and pass in the order of ``order``, so that a step takes all pixels of an image side by
+    side; a task holds three numbers for each of its pixels, whatever their histories."""
+    keys = list(keys)
+    schema = T.StructType([pixels.schema[k] for k in keys] + T._parse_datatype_string("mean double, std double, n long").fields)
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place: dict[tuple, int] = {}
+        n, mean, m2 = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+        for pdf in batches:
+            names = list(pdf[keys].itertuples(index=False, name=None))
+            at = np.array([place.setdefault(k, len(place)) for k in names], np.int64)
+            if len(place) > len(n):
+                n, mean, m2 = (np.concatenate([a, np.zeros(max(len(place), 2 * len(a)) - len(a), a.dtype)]) for a in (n, mean, m2))
+            v = pdf["_v"].to_numpy(float)
+            turn = pd.Series(at).groupby(at).cumcount().to_numpy()  # rows of one pixel come in one after the other
+            for k in range(int(turn.max()) + 1 if len(turn) else 0):
+                rows = np.flatnonzero(turn == k)
+                p, x = at[rows], v[rows]
+                x = np.where(x > clip, mean[p], x)
+                n[p] += 1
+                old = mean[p]
+                mean[p] = old + (x - old) / n[p]
+                m2[p] += (x - old) * (x - mean[p])
+        k = len(place)
+        out = pd.DataFrame(list(place), columns=keys)
+        out["mean"], out["n"] = mean[:k], n[:k]
+        out["std"] = np.where(n[:k] > 1, np.maximum(np.sqrt(m2[:k] / np.maximum(n[:k], 1)), 1e-6), np.nan)
+        out["std"] = out["std"].astype(object).where(n[:k] > 1, None)
+        yield out[[*keys, "mean", "std", "n"]]
+
+    rows = pixels.select(*keys, F.col(order).alias("_o"), F.col(value).cast("double").alias("_v"))
+    return rows.repartition(*keys).sortWithinPartitions("_o", "_v", *keys).mapInPandas(fold, schema)
 
 
 def trimmed_stats(rows: DataFrame, keys: Sequence[str], value: str, rate: float = 0.2) -> DataFrame:
@@ -70,21 +92,7 @@ def medians(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 def ransac_mean(rows: DataFrame, keys: Sequence[str], value: str, threshold: float = 0.1, rounds: int = 1000, size: int = 2, seed: int = 0, signed: bool = True) -> DataFrame:
     """Mean of the inliers of the best of many means of a few samples. signed: the best has the least signed residual sum, as the reference takes it."""
-    schema = ", ".join([f"{rows.schema[k].name} {rows.schema[k].dataType.simpleString()}" for k in keys] + ["mean double", "std double", "n long"])
-
-    def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        v = np.sort(pdf[value].to_numpy(float))
-        rng = np.random.default_rng(seed)
-        best, inliers = np.inf, v
-        for guess in v[rng.integers(0, len(v), (rounds, size))].mean(axis=1):
-            near = np.abs(v - guess) < threshold
-            if near.any():
-                miss = (v[near] - guess).sum() if signed else np.abs(v[near] - guess).sum() / near.sum()
-                if miss < best:
-                    best, inliers = miss, v[near]
-        return pd.DataFrame([[*key, inliers.mean(), inliers.std(), len(inliers)]], columns=[*keys, "mean", "std", "n"])
-
-    return rows.groupBy(*keys).applyInPandas(fit, schema)
+    return consensus.consensus_means(rows, keys, value, threshold, rounds, size, seed, signed)
 
 
 def altitude_bins(images: DataFrame, altitude: str, least: float, most: float, width: float = 0.1, enough: int = 10) -> DataFrame:

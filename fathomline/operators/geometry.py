@@ -1,4 +1,5 @@
-"""Planes, cones, cameras and laser sheets. Distances and angles are expressions; fits are grouped functions on bounded samples."""
+"""Planes, cones, cameras and laser sheets. Distances and angles are expressions, plane fits are sums
+(``consensus``); cones are fitted to bounded samples."""
 
 from __future__ import annotations
 
@@ -9,7 +10,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
+
+from fathomline.operators import consensus
 
 
 def point_plane(a, b, c, d, x: str = "x", y: str = "y", z: str = "z") -> Column:
@@ -51,36 +53,13 @@ def robust_plane(xyz: np.ndarray, rounds: int = 50) -> np.ndarray:
 
 
 def fit_planes(points: DataFrame, by: Sequence[str], inlier: float = 0.05) -> DataFrame:
-    """a, b, c, d and the number of points within ``inlier`` of the plane. Groups are samples (``sampling.z_stratified``)."""
-    head = ", ".join(f"{k} {points.schema[k].dataType.simpleString()}" for k in by)
-
-    def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        xyz = pdf[["x", "y", "z"]].to_numpy(float)
-        p = robust_plane(xyz)
-        near = int((np.abs(xyz @ p[:3] + p[3]) < inlier).sum())
-        return pd.DataFrame([[*key, *p, near]], columns=[*by, "a", "b", "c", "d", "inliers"])
-
-    return points.groupBy(*by).applyInPandas(fit, f"{head}, a double, b double, c double, d double, inliers long")
+    """by..., a, b, c, d of robust planes and the number of points within ``inlier``; groups of any size."""
+    return consensus.planes_with_inliers(points, by, inlier)
 
 
 def ransac_planes(points: DataFrame, by: Sequence[str], inlier: float = 0.05, rounds: int = 200, seed: int = 0) -> DataFrame:
-    """Planes through random triples; the one with most points within ``inlier``, fitted again to these."""
-    head = ", ".join(f"{k} {points.schema[k].dataType.simpleString()}" for k in by)
-
-    def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        xyz = pdf[["x", "y", "z"]].sort_values(["x", "y", "z"]).to_numpy(float)
-        rng, best = np.random.default_rng(seed), np.zeros(len(xyz), bool)
-        for _ in range(rounds):
-            p, q, r = xyz[rng.choice(len(xyz), 3, replace=False)]
-            n = np.cross(q - p, r - p)
-            if (size := np.linalg.norm(n)) > 1e-12:
-                near = np.abs((xyz - p) @ (n / size)) < inlier
-                if near.sum() > best.sum():
-                    best = near
-        plane = robust_plane(xyz[best] if best.sum() >= 3 else xyz)
-        return pd.DataFrame([[*key, *plane, int(best.sum())]], columns=[*by, "a", "b", "c", "d", "inliers"])
-
-    return points.groupBy(*by).applyInPandas(fit, f"{head}, a double, b double, c double, d double, inliers long")
+    """Planes through random triples; the one with most points within ``inlier``, fitted again to these; groups of any size."""
+    return consensus.consensus_planes(points, by, inlier, rounds, seed)
 
 
 def cone_distance(xyz: np.ndarray, apex: np.ndarray, axis: np.ndarray, theta: float) -> np.ndarray:
@@ -181,27 +160,10 @@ def projected(x: Column, y: Column, z: Column, fx: float, fy: float, cx: float,
     return fx * x / z + cx, fy * y / z + cy
 
 
-def uncertainty_planes(points: DataFrame, key: str, least: float, planes: int = 300, min_sine: float = 0.866, seed: int = 0, tries: int = 200) -> DataFrame:
-    """a, b, c, d of planes through random triples of all points, at least ``least`` apart and no flatter than ``min_sine``.
-
-    Points are dealt to triples by a hash: ``tries`` triples for each plane that is wanted, from as many rounds over the
-    points as that takes. Nothing is collected, and the number of triples is bounded by the parameters alone."""
-    wanted = 3 * planes * tries
-    rounds = max(1, -(-wanted // max(1, points.limit(wanted).count())))
-    rows = points.select(F.col(key).alias("k"), *[F.col(c).cast("double").alias(c) for c in "xyz"]).withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
-    drawn = rows.orderBy(F.xxhash64(F.lit(seed), "round", "k"), "round", "k").limit(wanted)
-    placed = drawn.withColumn("n", F.row_number().over(W.orderBy(F.xxhash64(F.lit(seed), "round", "k"), "round", "k")) - 1)
-    at = lambda i: F.max(F.when(F.col("n") % 3 == i, F.struct("x", "y", "z")))
-    triples = placed.groupBy(F.floor(F.col("n") / 3).alias("triple")).agg(at(0).alias("p"), at(1).alias("q"), at(2).alias("r")).filter(F.col("p").isNotNull() & F.col("q").isNotNull() & F.col("r").isNotNull())
-    less = lambda s, t: tuple(F.col(f"{s}.{c}") - F.col(f"{t}.{c}") for c in "xyz")
-    size = lambda v: F.sqrt(v[0] * v[0] + v[1] * v[1] + v[2] * v[2])
-    u, v, w = less("q", "p"), less("r", "p"), less("q", "r")
-    n = (u[1] * v[2] - u[2] * v[1], u[2] * v[0] - u[0] * v[2], u[0] * v[1] - u[1] * v[0])
-    sized = triples.select("triple", "p", *[c.alias(k) for c, k in zip(n, ("nx", "ny", "nz"), strict=True)], size(u).alias("su"), size(v).alias("sv"), F.least(size(u), size(v), size(w)).alias("near"))
-    norm = size((F.col("nx"), F.col("ny"), F.col("nz")))
-    good = sized.filter((F.col("near") >= least) & (norm > 0) & (norm >= min_sine * F.col("su") * F.col("sv")))
-    a, b, c = (F.col(k) / norm for k in ("nx", "ny", "nz"))
-    return good.orderBy("triple").limit(planes).select(a.alias("a"), b.alias("b"), c.alias("c"), (-(a * F.col("p.x") + b * F.col("p.y") + c * F.col("p.z"))).alias("d"))
+def uncertainty_planes(points: DataFrame, key: str, least: float, planes: int = 300, min_sine: float = 0.866, seed: int = 0, batch: int = 6_000_000, most: int = 10**10) -> DataFrame:
+    """a, b, c, d of ``planes`` planes through random triples of all points, at least ``least`` apart and no flatter than
+    ``min_sine`` across the direction of view (in y and z); an error where there are no such triples."""
+    return consensus.planes_of_far_triples(points, key, least, planes, min_sine, seed, batch, most)
 
 
 def triangulated_between(points: DataFrame, matrix: Sequence[Sequence[float]], cols: Sequence[str] = ("u1", "v1", "u2", "v2")) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fathomline.functions import geo, times
-from fathomline.operators import aggregates, filters, folds, geometry, interp, sampling
+from fathomline.operators import aggregates, consensus, filters, folds, geometry, interp, sampling
 from fathomline.sinks import files
 from fathomline.sources import images, logs, tables
 from fathomline.sources.lines import lines_of
@@ -74,10 +74,81 @@ def test_triangulation_both_ways(spark):
 def test_uncertainty_planes_come_from_all_points(spark):
     rng = np.random.default_rng(6)
     d = rows(spark, [(i, 1.5, float(y), float(z)) for i, (y, z) in enumerate(rng.random((3000, 2)) * 4)], "k int, x double, y double, z double")
-    p = geometry.uncertainty_planes(d, "k", 0.5, planes=20, tries=20).collect()
+    p = geometry.uncertainty_planes(d, "k", 0.5, planes=20).collect()
     assert len(p) == 20 and all(abs(abs(r["a"]) - 1) < 1e-9 and abs(abs(r["d"]) - 1.5) < 1e-9 for r in p)
-    few = geometry.uncertainty_planes(d.limit(2), "k", 0.5, planes=5, tries=5)
-    assert few.count() == 0
+    assert p == geometry.uncertainty_planes(d.repartition(7), "k", 0.5, planes=20).collect()
+    with pytest.raises(ValueError, match="0 of 5 planes"):
+        geometry.uncertainty_planes(d.limit(2), "k", 0.5, planes=5)
+
+
+def test_uncertainty_planes_are_found_where_hardly_a_triple_fits(spark):
+    """Two knots far off among many points in one place: one triple in some 100,000 fits. Depth (x) doesn't count."""
+    data = [(i, float(i), 0.001 * (i % 7), 0.001 * (i % 5)) for i in range(400)] + [(1000, 1.0, 10.0, 0.0), (1001, 2.0, 5.0, 9.0)]
+    d = rows(spark, data, "k int, x double, y double, z double")
+    p = geometry.uncertainty_planes(d, "k", 5.0, planes=300, batch=2_000_000).collect()
+    assert len(p) == 300
+    for r in p:  # each goes through both knots
+        assert abs(r["a"] * 1 + r["b"] * 10 + r["d"]) < 1e-6 and abs(r["a"] * 2 + r["b"] * 5 + r["c"] * 9 + r["d"]) < 1e-6
+    with pytest.raises(ValueError, match="too close or too much in line"):
+        geometry.uncertainty_planes(d.filter("k < 1000"), "k", 5.0, planes=3, most=200_000)
+
+
+def plain_plane(xyz, rounds=50):
+    w, plane = np.ones(len(xyz)), np.zeros(4)
+    for _ in range(rounds):
+        mean = (w[:, None] * xyz).sum(axis=0) / w.sum()
+        normal = np.linalg.svd(np.sqrt(w)[:, None] * (xyz - mean), full_matrices=False)[2][-1]
+        normal = normal * (1 if normal[np.argmax(np.abs(normal))] > 0 else -1)
+        new = np.array([*normal, -normal @ mean])
+        w = 1 / np.sqrt(1 + (xyz @ new[:3] + new[3]) ** 2)
+        if np.abs(new - plane).max() < 1e-9:
+            break
+        plane = new
+    return new
+
+
+def test_consensus_against_brute_force_over_the_same_hypotheses(spark):
+    rng = np.random.default_rng(12)
+    groups = {"a": 300, "b": 40, "c": 2, None: 30}
+    data = []
+    for g, n in groups.items():
+        yz = rng.random((n, 2)) * 4
+        data += [(g, *map(float, p)) for p in np.column_stack([1.5 + 0.1 * yz[:, 0] + rng.normal(0, 0.03, n), yz])]
+        data += [(g, *map(float, p)) for p in rng.random((n // 3, 3)) * 4]
+    d = rows(spark, data, "g string, x double, y double, z double").repartition(5)
+    tried = {r["g"]: r["planes"] for r in consensus.planes_of_triples(consensus.drawn(d, ["g"], consensus.XYZ, 0), ["g"], 50, 0).collect()}
+    found = geometry.ransac_planes(d, ["g"], rounds=50)
+    assert "FlatMapGroupsInPandas" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {r["g"]: r for r in found.collect()}
+    assert set(got) == set(groups)
+    for g in groups:
+        xyz = np.array([p[1:] for p in data if p[0] == g])
+        near = [np.abs(xyz @ np.array([h["a"], h["b"], h["c"]]) + h["d"]) < 0.05 for h in tried[g]]
+        best = max(near, key=lambda m: m.sum(), default=np.zeros(len(xyz), bool))
+        want = plain_plane(xyz[best] if best.sum() >= 3 else xyz)
+        assert got[g]["inliers"] == best.sum()
+        if g != "c":
+            assert np.allclose([got[g][c] for c in "abcd"], want, atol=1e-6), g
+    fitted = {r["g"]: r for r in geometry.fit_planes(d.filter("g <> 'c'"), ["g"]).collect()}
+    for g in ("a", "b"):
+        xyz = np.array([p[1:] for p in data if p[0] == g])
+        want = plain_plane(xyz)
+        assert np.allclose([fitted[g][c] for c in "abcd"], want, atol=1e-6) and fitted[g]["inliers"] == (np.abs(xyz @ want[:3] + want[3]) < 0.05).sum()
+
+
+@pytest.mark.parametrize("signed", [True, False])
+def test_consensus_means_against_brute_force(spark, signed):
+    rng = np.random.default_rng(13)
+    data = [(g, float(v)) for g in range(4) for v in [*rng.normal(g, 0.04, 60), *rng.random(15) * 9]] + [(9, 3.0), (7, None)]
+    d = rows(spark, data, "g int, v double").repartition(4)
+    got = {r["g"]: r for r in aggregates.ransac_mean(d, ["g"], "v", rounds=200, signed=signed).collect()}
+    assert set(got) == {0, 1, 2, 3, 9}
+    for g in got:
+        v = np.sort([x for k, x in data if k == g])
+        guesses = v[np.random.default_rng(0).integers(0, len(v), (200, 2))].mean(axis=1)
+        scores = [((v[m] - q).sum() if signed else np.abs(v[m] - q).mean(), q, m) for q in guesses for m in [np.abs(v - q) < 0.1] if m.any()]
+        keep = v[min(scores, key=lambda s: s[:2])[2]]
+        assert got[g]["n"] == len(keep) and got[g]["mean"] == pytest.approx(keep.mean()) and got[g]["std"] == pytest.approx(keep.std())
 
 
 def test_ransac_planes(spark):
