@@ -4,6 +4,7 @@ expressions; operations that need neighbours (debayer, undistort, rescale) run o
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 IMAGE = "image_id string, height int, width int, channels int, data array<float>"
+#: The same without rounding to single precision.
+IMAGE_DOUBLE = IMAGE.replace("float", "double")
 
 
 # -- pixel tables
@@ -121,12 +124,13 @@ def exploded(images: DataFrame) -> DataFrame:
 
 def mapped(images: DataFrame, f, schema: str = IMAGE) -> DataFrame:
     """Each image (as a height x width x channels array) through ``f``."""
+    kind = np.float64 if schema == IMAGE_DOUBLE else np.float32
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for r in pdf.itertuples(index=False):
-                out = np.asarray(f(np.asarray(r.data, np.float32).reshape(r.height, r.width, r.channels)), np.float32)
+                out = np.asarray(f(np.asarray(r.data, kind).reshape(r.height, r.width, r.channels)), kind)
                 out = out[:, :, None] if out.ndim == 2 else out
                 rows.append((r.image_id, *out.shape, out.ravel()))
             yield pd.DataFrame(rows, columns=["image_id", "height", "width", "channels", "data"])
@@ -134,8 +138,27 @@ def mapped(images: DataFrame, f, schema: str = IMAGE) -> DataFrame:
     return images.select("image_id", "height", "width", "channels", "data").mapInPandas(run, schema)
 
 
-def debayer(image: np.ndarray, pattern: str = "rggb") -> np.ndarray:
-    """RGB from a mosaic by bilinear means of the nearest samples of each colour."""
+def neighbour_mean(raw: np.ndarray, have: np.ndarray) -> np.ndarray:
+    """Weighted mean of the samples next to each pixel, those beside it twice as heavy as those across the corner."""
+    h, w = raw.shape
+    value, mass = np.zeros((h, w)), np.zeros((h, w))
+    pv, pm = np.pad(raw * have, 1), np.pad(have, 1)
+    for dy in (-1, 0, 1):
+        for dx in (-1, 0, 1):
+            k = (2 - abs(dy)) * (2 - abs(dx)) / 4
+            value += k * pv[1 + dy : 1 + dy + h, 1 + dx : 1 + dx + w]
+            mass += k * pm[1 + dy : 1 + dy + h, 1 + dx : 1 + dx + w]
+    return value / np.maximum(mass, 1e-9)
+
+
+def debayer(image: np.ndarray, pattern: str = "rggb", edges: bool = True) -> np.ndarray:
+    """RGB from a mosaic of any of the four patterns: means of the nearest samples of each colour.
+
+    With ``edges``, green where it wasn't sampled goes along the edge: it is the mean of the two neighbours, side by side or
+    above and below, that differ less. In the outermost rows and columns it is the mean of those that are there."""
+    pattern = pattern.lower()
+    if pattern not in ("rggb", "grbg", "bggr", "gbrg"):
+        raise ValueError(f"{pattern} is no Bayer pattern")
     raw = image[:, :, 0].astype(float)
     h, w = raw.shape
     rows, cols = np.arange(h)[:, None] % 2, np.arange(w)[None, :] % 2
@@ -145,14 +168,11 @@ def debayer(image: np.ndarray, pattern: str = "rggb") -> np.ndarray:
         for i, p in enumerate(pattern):
             if p == name:
                 have = np.maximum(have, (rows == i // 2) & (cols == i % 2))
-        value, mass = np.zeros((h, w)), np.zeros((h, w))
-        pv, pm = np.pad(raw * have, 1), np.pad(have, 1)
-        for dy in (-1, 0, 1):
-            for dx in (-1, 0, 1):
-                k = (2 - abs(dy)) * (2 - abs(dx)) / 4
-                value += k * pv[1 + dy : 1 + dy + h, 1 + dx : 1 + dx + w]
-                mass += k * pm[1 + dy : 1 + dy + h, 1 + dx : 1 + dx + w]
-        out[:, :, c] = np.where(have > 0, raw, value / np.maximum(mass, 1e-9))
+        mean = neighbour_mean(raw, have)
+        if name == "g" and edges and h > 2 and w > 2:
+            up, down, left, right = raw[:-2, 1:-1], raw[2:, 1:-1], raw[1:-1, :-2], raw[1:-1, 2:]
+            mean[1:-1, 1:-1] = np.where(np.abs(left - right) > np.abs(up - down), up + down, left + right) / 2
+        out[:, :, c] = np.where(have > 0, raw, mean)
     return out
 
 
@@ -183,16 +203,56 @@ def undistort(image: np.ndarray, k: np.ndarray, d: Sequence[float]) -> np.ndarra
     return sampled(image, xd * k[0, 0] + k[0, 2], yd * k[1, 1] + k[1, 2])
 
 
-def rescale(image: np.ndarray, altitude: float, f_x: float, f_y: float, target: float, maintain_pixels: bool = False) -> np.ndarray:
-    """Resize so that a pixel covers ``target`` metres; with ``maintain_pixels``, at the old number of pixels."""
-    h, w = image.shape[:2]
-    new_h, new_w = max(1, int(h * altitude / f_y / target)), max(1, int(w * altitude / f_x / target))
+#: Half-widths of the resampling kernels.
+SUPPORT = {"bilinear": 1.0, "bicubic": 2.0, "lanczos": 3.0}
+
+
+def kernel(method: str, x: np.ndarray) -> np.ndarray:
+    x = np.abs(x)
+    if method == "bilinear":
+        return np.maximum(1 - x, 0)
+    if method == "bicubic":  # with a slope of -1/2 at 1
+        return np.where(x < 1, (1.5 * x - 2.5) * x * x + 1, np.where(x < 2, ((-0.5 * x + 2.5) * x - 4) * x + 2, 0))
+    return np.where(x < 3, np.sinc(x) * np.sinc(x / 3), 0)
+
+
+@lru_cache(maxsize=64)
+def taps(n: int, m: int, method: str) -> tuple[np.ndarray, np.ndarray]:
+    """Which of n samples make each of m, and their weights (m x taps). Kernels are stretched where there are fewer samples after."""
+    scale = n / m
+    centre = (np.arange(m) + 0.5) * scale
+    if method == "nearest_neighbour":
+        return np.minimum(np.floor(centre).astype(int), n - 1)[:, None], np.ones((m, 1))
+    wide = max(scale, 1.0)
+    reach = SUPPORT[method] * wide
+    first = np.maximum(np.floor(centre - reach + 0.5).astype(int), 0)
+    last = np.minimum(np.floor(centre + reach + 0.5).astype(int), n)
+    at = first[:, None] + np.arange(int((last - first).max()))[None, :]
+    weight = np.where(at < last[:, None], kernel(method, (at + 0.5 - centre[:, None]) / wide), 0)
+    return np.minimum(at, n - 1), weight / weight.sum(axis=1, keepdims=True)
+
+
+def resized(image: np.ndarray, height: int, width: int, method: str = "bilinear") -> np.ndarray:
+    """An image at another size by one kernel, first along its rows, then along its columns."""
+    if method != "nearest_neighbour" and method not in SUPPORT:
+        raise ValueError(f"{method} is no kernel; there are nearest_neighbour, {', '.join(SUPPORT)}")
+    out = image.astype(float)
+    for axis, m in ((1, width), (0, height)):
+        at, weight = taps(out.shape[axis], m, method)
+        shape = [1, 1, 1]
+        shape[axis] = m
+        out = sum(np.take(out, at[:, k], axis=axis) * weight[:, k].reshape(shape) for k in range(at.shape[1]))
+    return out
 
-    def resized(im: np.ndarray, hh: int, ww: int) -> np.ndarray:
-        y = (np.arange(hh) + 0.5) * im.shape[0] / hh - 0.5
-        x = (np.arange(ww) + 0.5) * im.shape[1] / ww - 0.5
-        xx, yy = np.meshgrid(np.clip(x, 0, im.shape[1] - 1), np.clip(y, 0, im.shape[0] - 1))
-        return sampled(im, xx, yy)
 
-    small = resized(image, new_h, new_w)
-    return resized(small, h, w) if maintain_pixels else small
+def rescale(image: np.ndarray, altitude: float, f_x: float, f_y: float, target: float, maintain_pixels: bool = False, method: str = "bilinear") -> np.ndarray:
+    """Resize so that a pixel covers ``target`` metres. With ``maintain_pixels`` at the old number of pixels: blurred by going
+    there and back where pixels cover less now, else the middle of the image that fills it at that size."""
+    h, w = image.shape[:2]
+    down, across = altitude / f_y / target, altitude / f_x / target
+    if not maintain_pixels:
+        return resized(image, max(1, int(h * down)), max(1, int(w * across)), method)
+    if down < 1 or across < 1:
+        return resized(resized(image, max(1, int(h * down)), max(1, int(w * across)), method), h, w, method)
+    top, left = int((h - int(h / down)) / 2), int((w - int(w / across)) / 2)
+    return resized(image[top : h - top, left : w - left], h, w, method)

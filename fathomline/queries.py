@@ -499,6 +499,39 @@ def laser_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return images.laser_line(p, k=3).select("image_id", "col", _r("row", "row"), _r("sum", "sum"))
 
 
+def mosaics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector as an image of one channel, eight pixels wide."""
+    e = table(spark, sf_dir, "embeddings").filter("embedding IS NOT NULL")
+    return e.select(F.col("vec_id").cast("string").alias("image_id"), F.floor(F.size("embedding") / 8).cast("int").alias("height"), F.lit(8).alias("width"), F.lit(1).alias("channels"), F.transform(F.col("embedding"), F.abs).alias("data"))
+
+
+@query(f"""WITH {_PX}, a AS (SELECT image_id, pixel // 8 AS r, pixel % 8 AS c, abs(value)::DOUBLE AS v, CASE WHEN (pixel // 8) % 2 = 0 AND pixel % 2 = 0 THEN 0 WHEN (pixel // 8) % 2 = 1 AND pixel % 2 = 1 THEN 2 ELSE 1 END AS own FROM px),
+n AS (SELECT a.image_id, a.r, a.c, a.own, b.own AS channel, a.v, sum(b.v * (2 - abs(a.r - b.r)) * (2 - abs(a.c - b.c))) / sum((2 - abs(a.r - b.r)) * (2 - abs(a.c - b.c))) AS mean,
+  max(CASE WHEN b.r = a.r - 1 AND b.c = a.c THEN b.v END) AS up, max(CASE WHEN b.r = a.r + 1 AND b.c = a.c THEN b.v END) AS down, max(CASE WHEN b.r = a.r AND b.c = a.c - 1 THEN b.v END) AS "left", max(CASE WHEN b.r = a.r AND b.c = a.c + 1 THEN b.v END) AS "right"
+  FROM a JOIN a b ON a.image_id = b.image_id AND abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 GROUP BY ALL)
+SELECT image_id::VARCHAR AS image_id, (r * 8 + c)::INTEGER AS pixel, channel::INTEGER AS channel, round(CASE WHEN own = channel THEN v WHEN channel = 1 AND up + down + "left" + "right" IS NOT NULL THEN CASE WHEN abs("left" - "right") > abs(up - down) THEN (up + down) / 2 ELSE ("left" + "right") / 2 END ELSE mean END, 5) AS value FROM n""")
+def debayer_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = images.exploded(images.mapped(mosaics(spark, sf_dir), images.debayer, images.IMAGE_DOUBLE))
+    return out.select("image_id", "pixel", "channel", _r(F.col("value").cast("double"), "value", 5))
+
+
+_KERNEL_SQL = """CASE m WHEN 'bilinear' THEN greatest(1 - abs(x), 0) WHEN 'bicubic' THEN CASE WHEN abs(x) < 1 THEN 1.5 * abs(x) ** 3 - 2.5 * x * x + 1 WHEN abs(x) < 2 THEN -0.5 * abs(x) ** 3 + 2.5 * x * x - 4 * abs(x) + 2 ELSE 0 END
+ELSE CASE WHEN x = 0 THEN 1 WHEN abs(x) < 3 THEN 3 * sin(pi() * x) * sin(pi() * x / 3) / (pi() * x) ** 2 ELSE 0 END END"""
+
+
+@query(f"""WITH {_PX}, k AS (SELECT * FROM (VALUES ('bilinear', 1), ('bicubic', 2), ('lanczos', 3)) AS t(m, reach)),
+p AS (SELECT m, i, j, (j + 0.5::DOUBLE - (i + 0.5::DOUBLE) * 1.6) / 1.6 AS x FROM k, range(5) AS o(i), range(8) AS n(j) WHERE j >= floor(greatest((i + 0.5::DOUBLE) * 1.6 - reach * 1.6 + 0.5, 0)) AND j < floor((i + 0.5::DOUBLE) * 1.6 + reach * 1.6 + 0.5)),
+w AS (SELECT m, i, j, w / sum(w) OVER (PARTITION BY m, i) AS w FROM (SELECT *, {_KERNEL_SQL} AS w FROM p) UNION ALL SELECT 'nearest_neighbour', i, floor((i + 0.5::DOUBLE) * 1.6)::BIGINT, 1 FROM range(5) AS o(i)),
+a AS (SELECT image_id, pixel // 8 AS r, pixel % 8 AS c, abs(value)::DOUBLE AS v FROM px)
+SELECT image_id::VARCHAR AS image_id, y.m AS method, (y.i * 5 + x.i)::INTEGER AS pixel, round(sum(v * y.w * x.w), 5) AS value FROM a JOIN w y ON a.r = y.j JOIN w x ON a.c = x.j AND x.m = y.m GROUP BY image_id, y.m, y.i, x.i""")
+def rescale_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = []
+    for m in ("nearest_neighbour", "bilinear", "bicubic", "lanczos"):
+        small = images.exploded(images.mapped(mosaics(spark, sf_dir), lambda image, m=m: images.rescale(image, 1.0, 8.0, 8.0, 0.2, method=m), images.IMAGE_DOUBLE))
+        made.append(small.select("image_id", F.lit(m).alias("method"), "pixel", _r(F.col("value").cast("double"), "value", 5)))
+    return made[0].unionByName(made[1]).unionByName(made[2]).unionByName(made[3])
+
+
 # -- frames, places, deviations: one expression a row
 
 

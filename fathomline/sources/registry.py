@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fathomline.sources import images, logs, matlab, rov, tables
+from fathomline.sources import bags, images, logs, matlab, rov, tables
 from fathomline.sources.lines import read_lines
 
 Reader = Callable[..., DataFrame]
@@ -76,3 +76,7 @@ register("position", "koyo20rov")(rov.koyo20_positions)
 register("orientation", "koyo20rov")(rov.koyo20_attitudes)
 register("image", "koyo20rov")(rov.koyo20_images)
 register("position", "hybis")(rov.hybis_positions)
+register("message", "rosbag")(bags.read)
+register("orientation", "rosbag")(bags.attitudes)
+register("depth", "rosbag")(bags.depths)
+register("position", "rosbag")(bags.positions)

@@ -381,6 +381,52 @@ def test_images(spark):
     assert np.allclose(images.undistort(flat, np.array([[50, 0, 15], [0, 50, 10], [0, 0, 1.0]]), [0, 0, 0, 0, 0]), flat)
 
 
+def test_debayer_follows_edges():
+    mosaic = np.array([[240, 120, 240], [120, 60, 120], [60, 30, 60]], np.float32)[:, :, None] / 255
+    for pattern, want in {"rggb": (150, 120, 60), "bggr": (60, 120, 150), "grbg": (75, 60, 120), "gbrg": (120, 60, 75)}.items():
+        assert np.allclose(images.debayer(mosaic, pattern)[1, 1] * 255, want) and np.allclose(images.debayer(mosaic, pattern.upper())[1, 1] * 255, want)
+    step = np.where(np.arange(8) < 5, 0.2, 0.9)[None, :].repeat(8, axis=0)[:, :, None]  # an upright edge of grey
+    for pattern in ("rggb", "grbg", "bggr", "gbrg"):
+        sharp, soft = images.debayer(step, pattern)[:, :, 1], images.debayer(step, pattern, edges=False)[:, :, 1]
+        assert np.allclose(sharp[1:-1, 1:-1], step[1:-1, 1:-1, 0]) and not np.allclose(soft[1:-1, 1:-1], step[1:-1, 1:-1, 0])
+    with pytest.raises(ValueError, match="no Bayer"):
+        images.debayer(mosaic, "rgbg")
+
+
+KERNELS = ["bicubic", "bilinear", "nearest_neighbour", "lanczos"]
+
+
+@pytest.mark.parametrize("method", KERNELS)
+def test_rescaling_kernels(method):
+    rng = np.random.default_rng(8)
+    image = rng.random((40, 30, 3))
+    assert images.rescale(np.zeros((1000, 1000, 3)), 1.0, 1000.0, 1000.0, 0.03, method=method).shape == (33, 33, 3)
+    assert images.rescale(np.zeros((1000, 1000, 3)), 1.0, 1000.0, 1000.0, 0.03, True, method).shape == (1000, 1000, 3)
+    assert np.allclose(images.resized(image, 40, 30, method), image)  # the same size is the same image
+    flat = np.full((17, 23, 2), 0.7)
+    for h, w in ((5, 6), (50, 60), (1, 1), (17, 3)):
+        assert np.allclose(images.resized(flat, h, w, method), 0.7)
+    # against a plain sum over all samples
+    k = {"bilinear": lambda x: max(1 - abs(x), 0), "bicubic": lambda x: 1.5 * abs(x) ** 3 - 2.5 * x * x + 1 if abs(x) < 1 else -0.5 * abs(x) ** 3 + 2.5 * x * x - 4 * abs(x) + 2 if abs(x) < 2 else 0,
+         "lanczos": lambda x: 1 if x == 0 else math.sin(math.pi * x) / (math.pi * x) * math.sin(math.pi * x / 3) / (math.pi * x / 3) if abs(x) < 3 else 0}
+    for m in (13, 95):
+        if method == "nearest_neighbour":
+            assert np.array_equal(images.resized(image, 40, m, method), image[:, [int((i + 0.5) * (30 / m)) for i in range(m)]])
+            continue
+        wide = max(30 / m, 1)
+        weight = np.array([[k[method]((j + 0.5 - (i + 0.5) * (30 / m)) / wide) for j in range(30)] for i in range(m)])
+        reach = {"bilinear": 1, "bicubic": 2, "lanczos": 3}[method] * wide
+        weight *= [[int(max((i + 0.5) * (30 / m) - reach + 0.5, 0)) <= j < int((i + 0.5) * (30 / m) + reach + 0.5) for j in range(30)] for i in range(m)]
+        assert np.allclose(images.resized(image, 40, m, method), np.einsum("ij,hjc->hic", weight / weight.sum(axis=1, keepdims=True), image))
+    closer = images.rescale(image, 2.0, 10.0, 10.0, 0.1, True, method)  # twice as fine: the middle half fills the image
+    assert closer.shape == image.shape and np.allclose(closer, images.resized(image[10:30, 7:23], 40, 30, method))
+
+
+def test_unknown_kernels_are_refused():
+    with pytest.raises(ValueError, match="no kernel"):
+        images.resized(np.zeros((3, 3, 1)), 2, 2, "box")
+
+
 def test_speed_filter_compares_with_the_last_accepted(spark):
     d = rows(spark, [("a", 0.0, 0.0, 0.0), ("a", 1.0, 1.0, 0.0), ("a", 2.0, 0.0001, 0.0), ("a", 3.0, 0.0002, 0.0)], "dive string, t double, lat double, lon double")
     assert folds.speed_filtered(d, ["dive"], "t", "lat", "lon").count() == 3
