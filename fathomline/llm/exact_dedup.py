@@ -5,7 +5,8 @@ there, one micro-batch a wave. Keyed state, held on disk by RocksDB under the st
 keeps for each digest the stable identifier (doc_id) and the content locator (file and row) of the row that stays, with
 the number of rows seen. Rows are combined before the shuffle, so a text that holds a third of the rows sends one row a
 task. A hit is not trusted: in the batch that makes it, the full bytes of all rows with its digest are compared with
-those at the state's locator; texts that merely share a digest are split by their bytes.
+those of the digest's first row, whose locator the state has, too: of earlier waves only the files that hold such rows are
+read. Texts that merely share a digest are split by their bytes.
 
 With ``state_dir`` all this is kept there, and a later call goes on from the state: with a new ``run`` its documents meet
 those of earlier runs; with the same ``run`` again it goes on where that one was stopped, and adds nothing twice.
@@ -59,17 +60,17 @@ class Store:
         self.staged, self.waves, self.stream, self.keepers, self.false = (f"{at}/{x}" for x in ("staged", "waves", "stream", "keepers", "false"))
         self.row = T.StructType([T.StructField("id", kind), T.StructField("points", T.LongType()), T.StructField("sha", T.StringType()), T.StructField("key", T.StringType()), T.StructField("norm", T.StringType()), T.StructField("wave", T.LongType())])
         self.best = T.StructType([T.StructField("less", T.LongType()), T.StructField("none", T.BooleanType()), T.StructField("id", kind), T.StructField("place", T.StringType())])
-        self.keeper = T.StructType([T.StructField("key", T.StringType()), T.StructField("best", self.best), T.StructField("n", T.LongType()), T.StructField("batch", T.LongType())])
+        self.keeper = T.StructType([T.StructField("key", T.StringType()), T.StructField("best", self.best), T.StructField("first", T.StructType([T.StructField("wave", T.LongType()), T.StructField("place", T.StringType())])), T.StructField("n", T.LongType()), T.StructField("batch", T.LongType())])
 
-    def rows(self, reader) -> DataFrame:
-        """Streamed waves with the locator of each row."""
+    def rows(self, reader, *files: str) -> DataFrame:
+        """Streamed waves (or some of their files) with the locator of each row."""
         place = F.concat_ws("#", F.regexp_extract("_metadata.file_path", r"(wave=[^/]*/[^/]*)$", 1), F.lpad(F.col("_metadata.row_index").cast("string"), 20, "0"))
-        return reader.schema(self.row).parquet(self.waves).select("id", "points", "sha", "key", "norm", "wave", place.alias("place"))
+        found = reader.schema(self.row).option("basePath", self.waves).parquet(*[f"{self.waves}/{f}" for f in files]) if files else reader.schema(self.row).parquet(self.waves)
+        return found.select("id", "points", "sha", "key", "norm", "wave", place.alias("place"))
 
-    def latest(self, before: int | None = None) -> DataFrame:
-        """key, best, n as of the last batch (``before`` one) that changed each digest."""
+    def latest(self) -> DataFrame:
+        """key, best, n as of the last batch that changed each digest."""
         found = self.spark.read.schema(self.keeper).parquet(self.keepers)
-        found = found if before is None else found.filter(F.col("batch") < before)
         return found.groupBy("key").agg(F.max_by(F.struct("best", "n"), "batch").alias("s")).select("key", "s.best", "s.n")
 
 
@@ -97,10 +98,11 @@ def settle(store: Store, batch: int, wave: int) -> None:
     rows = store.rows(spark.read)
     keys = hits.select(F.col("key").alias("k"))
     same = hit_rows(rows.filter(F.col("wave") == wave), keys, few)
-    if batch:  # earlier rows are known to be equal to the one that stayed until now
-        was = store.latest(before=batch).select("key", F.col("best.place").alias("p"))
-        stayed = cut(was.join(F.broadcast(keys) if few else keys, F.col("key") == F.col("k")).select("k", "p"))
-        before = rows.filter(F.col("wave") < wave).select("key", "norm", "place")
+    # earlier rows are known to be equal to the first one
+    stayed = cut(hits.filter(F.col("first.wave") < wave).select(F.col("key").alias("k"), F.col("first.place").alias("p")))
+    files = [r[0] for r in stayed.select(F.substring_index("p", "#", 1)).distinct().collect()]  # names of files
+    if files:
+        before = store.rows(spark.read, *sorted(files)).select("key", "norm", "place")
         same = same.unionByName(before.join(F.broadcast(stayed) if few else stayed, (F.col("key") == F.col("k")) & (F.col("place") == F.col("p")), "left_semi").select("key", "norm"))
     # the least and the greatest text of a digest are one and the same, or the digest lied; combined before the shuffle
     lied = same.groupBy("key").agg(F.min("norm").alias("a"), F.max("norm").alias("b")).filter("a <> b").select("key")
@@ -110,7 +112,7 @@ def settle(store: Store, batch: int, wave: int) -> None:
 def stream_wave(store: Store, wave: int) -> None:
     """One more micro-batch: all files of the wave that has just been put in place (and of one that a stopped run left)."""
     rows = store.rows(store.spark.readStream)
-    state = rows.groupBy("key").agg(F.min(F.struct((-F.col("points")).alias("less"), F.col("id").isNull().alias("none"), "id", "place")).alias("best"), F.count("*").alias("n"))
+    state = rows.groupBy("key").agg(F.min(F.struct((-F.col("points")).alias("less"), F.col("id").isNull().alias("none"), "id", "place")).alias("best"), F.min(F.struct("wave", "place")).alias("first"), F.count("*").alias("n"))
 
     def upsert(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{store.keepers}/batch={batch}")
@@ -161,15 +163,20 @@ def groups(store: Store) -> DataFrame:
     light, held = rows.select("id", "key", "place", "sha"), state
     if lied:
         light, held = light.join(bad, "key", "left_anti"), state.join(bad, "key", "left_anti")
-    # digests with many rows are few: at most a row in HOT
+    # digests with many rows meet them by broadcast or, where there are too many of them, each in SALTS tasks
     hot = cut(keeper(held.filter(F.col("n") > HOT), F.col("key").alias("k")))
     many = hot.limit(BROADCAST_ROWS + 1).count()
-    rest = keeper(held if many > BROADCAST_ROWS else held.filter(F.col("n") <= HOT), F.col("key").alias("k"))
+    rest = keeper(held.filter(F.col("n") <= HOT), F.col("key").alias("k"))
     on = F.col("key") == F.col("k")
-    if many in (0, BROADCAST_ROWS + 1):
+    if not many:
         found = shape(light.join(rest, on))
-    else:
+    elif many <= BROADCAST_ROWS:
         found = shape(light.join(F.broadcast(hot), on)).unionByName(shape(light.join(F.broadcast(hot.select("k")), on, "left_anti").join(rest, on)))
+    else:
+        dealt = light.withColumn("salt", F.pmod(F.xxhash64("place"), F.lit(SALTS)).cast("int"))
+        salted = hot.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        mine = on & (F.col("salt") == F.col("s"))
+        found = shape(dealt.join(salted, mine)).unionByName(shape(dealt.join(salted.select("k", "s"), mine, "left_anti").join(rest, on)))
     if lied:
         theirs = rows.join(bad, "key", "left_semi").select("id", "points", "key", "norm", "place", "sha")
         best = F.min(F.struct((-F.col("points")).alias("less"), F.col("id").isNull().alias("none"), "id", "place")).alias("best")

@@ -29,6 +29,8 @@ NEAR = 0.25
 LG = 11
 #: A line with more rows is a hot one: there is at most one in so many rows.
 HOT = 1000
+#: Where hot lines are too many for a broadcast, the rows of each go to so many tasks.
+SALTS = 16
 
 
 def trimmed(line: Column) -> Column:
@@ -74,8 +76,14 @@ def dropped_lines(docs: DataFrame, sites: int = SITES, words: int = WORDS) -> Da
     at = lambda d, i, name: d.select(F.col("a").alias(f"a{i}"), F.col("b").alias(f"b{i}"), F.col("first").alias(name))
     lines = _lines(docs, words).select("key", "pos", "a", "b")
     hot = cut(at(found.filter(F.col("n") > HOT), 3, "hot"))
-    if 0 < hot.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        lines = lines.join(F.broadcast(hot), (F.col("a") == F.col("a3")) & (F.col("b") == F.col("b3")), "left").select("key", "pos", "a", "b", "hot")
+    same = (F.col("a") == F.col("a3")) & (F.col("b") == F.col("b3"))
+    if many := hot.limit(BROADCAST_ROWS + 1).count():
+        if many <= BROADCAST_ROWS:
+            met = lines.join(F.broadcast(hot), same, "left")
+        else:  # each of too many hot lines in SALTS tasks
+            salted = hot.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            met = lines.withColumn("salt", F.pmod(F.xxhash64("key", "pos"), F.lit(SALTS)).cast("int")).join(salted, same & (F.col("salt") == F.col("s")), "left")
+        lines = met.select("key", "pos", "a", "b", "hot")
         # a hot line has its place already: it meets nothing, and is dealt by its own place
         free = F.col("hot").isNull()
         lines = lines.withColumn("a", F.when(free, F.col("a")).otherwise(F.xxhash64("key", "pos")))

@@ -61,6 +61,8 @@ def test_many_hits_and_hot_digests(docs, rows, monkeypatch):
     monkeypatch.undo()
     monkeypatch.setattr(exact_dedup, "HOT", 3)
     assert run(docs) == brute(rows)
+    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", 2)  # more hot digests than are broadcast
+    assert run(docs) == brute(rows)
 
 
 def test_clashing_columns_and_other_types_of_id(spark):
@@ -100,3 +102,21 @@ def test_nothing_is_left_behind(spark, docs):
 
 def test_empty_table(spark):
     assert run(spark.createDataFrame([], SCHEMA)) == []
+
+
+def test_earlier_waves_are_read_by_locator(spark, monkeypatch, tmp_path):
+    """Of twenty waves, each reads the files of its own rows and those that hold what its hits were first."""
+    read = []
+    plain = exact_dedup.Store.rows
+    monkeypatch.setattr(exact_dedup.Store, "rows", lambda self, reader, *files: read.append(files) or plain(self, reader, *files))
+    # text i comes in run i and again in run i + 1; nothing else repeats
+    at, every = str(tmp_path / "state"), []
+    for i in range(20):
+        part = [(100 * i + k, f"own {i} {k}") for k in range(5)] + [(100 * i + 50, f"shared {i}"), (100 * i + 51, f"shared {i - 1}")]
+        every += part
+        store = exact_dedup.Store(spark, at, spark.createDataFrame(part, "doc_id long, text string").schema[0].dataType)
+        exact_dedup.ingest(spark.createDataFrame(part, "doc_id long, text string").coalesce(1), store, run=str(i), waves=1)
+    found = exact_dedup.groups(store).collect()
+    assert sorted(((r["id"], r["keep_id"], r["n"], r["sha"]) for r in found), key=str) == brute(every)
+    earlier = [f for f in read if f]
+    assert len(earlier) == 19 and all(len(f) == 1 for f in earlier)  # a file each, however many waves there have been

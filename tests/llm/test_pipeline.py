@@ -158,7 +158,7 @@ def test_stages_on_awkward_rows(spark, tmp_path):
 
 
 @pytest.mark.skipif(not have_tables, reason="the driver's tables aren't here")
-@pytest.mark.parametrize("name", ["op1_mix_sources", "op4_topk_search", "op5_exact_dedup", "op7_archives", "op9_line_dedup"])
+@pytest.mark.parametrize("name", ["op1_mix_sources", "op4_topk_search", "op5_exact_dedup", "op7_archives", "op9_line_dedup", "op12_divergence", "op13_ranked_search"])
 def test_queries_against_sql(spark, name):
     import os
 
@@ -167,7 +167,7 @@ def test_queries_against_sql(spark, name):
     from fathomline.llm.queries import ORACLE_SQL, QUERIES
 
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "labels"):
+    for t in ("documents", "embeddings", "pages", "labels", "benchmark"):
         p = f"{SF}/{t}.parquet"
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{p + '/*.parquet' if os.path.isdir(p) else p}'")
     df = QUERIES[name](spark, SF)
