@@ -148,6 +148,31 @@ def ray_cone(apex: np.ndarray, axis: np.ndarray, theta: float, ray: np.ndarray)
     return ray * min(ahead) if ahead else None
 
 
+def on_cone(ray: tuple[Column, Column, Column], apex: Sequence[float], axis: Sequence[float], theta: float) -> Column:
+    """How far along a ray from the origin its nearest point in front on a cone is, in lengths of the ray; null where there is none.
+
+    ``ray_cone`` as an expression: both roots of the quadratic, and of those ahead on the cone itself the lesser."""
+    size = math.sqrt(sum(v * v for v in axis))
+    n, c2 = [v / size for v in axis], math.cos(theta) ** 2
+    dot = lambda v: sum((F.lit(float(x)) * r for x, r in zip(v, ray, strict=True)), F.lit(0.0))
+    an, dn, da = sum(x * y for x, y in zip(apex, n, strict=True)), dot(n), dot(apex)
+    a = dn * dn - c2 * (ray[0] * ray[0] + ray[1] * ray[1] + ray[2] * ray[2])
+    b = -2 * (dn * an - c2 * da)
+    c = F.lit(an * an - c2 * sum(x * x for x in apex))
+    flat, disc = F.abs(a) < 1e-15, b * b - 4 * a * c
+    root = F.sqrt(F.when(disc >= 0, disc))
+    ahead = lambda t: F.when((t > 0) & (t * dn - an >= 0), t)
+    return F.when(flat, ahead(F.try_divide(-c, b))).otherwise(F.least(ahead((-b - root) / (2 * a)), ahead((-b + root) / (2 * a))))
+
+
+def sheet_points(images: DataFrame, camera: Sequence[float], apex: Sequence[float], axis: Sequence[float], theta: float, u: str = "u", v: str = "v") -> DataFrame:
+    """x, y, z in the camera's axes of pixels on a laser sheet that is a cone; ``camera``: fx, fy, cx, cy. Pixels whose ray misses it have none."""
+    fx, fy, cx, cy = camera
+    ray = ((F.col(u) - cx) / fx, (F.col(v) - cy) / fy, F.lit(1.0))
+    t = on_cone(ray, apex, axis, theta)
+    return images.withColumn("_t", t).select(*images.columns, *[(F.col("_t") * r).alias(k) for r, k in zip(ray, "xyz", strict=True)])
+
+
 def distorted(x: Column, y: Column, d: Sequence[float]) -> tuple[Column, Column]:
     """Normalised image coordinates with k1, k2, p1, p2, k3 applied."""
     k1, k2, p1, p2, k3 = (*d, 0, 0, 0, 0, 0)[:5]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from fathomline.functions import frames, geo, text, times
-from fathomline.operators import aggregates, calibration, filters, folds, geometry, images, interp, joins, sampling, windows
+from fathomline.operators import aggregates, calibration, filters, folds, geometry, graphs, images, interp, joins, sampling, windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -672,6 +672,27 @@ def point_plane_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("dive"), F.col("l_linenumber").alias("seq"), _r(d, "distance"))
 
 
+@query("""WITH RECURSIVE e0 AS (SELECT DISTINCT 'c' || o_custkey AS a, 's' || l_suppkey AS b FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_quantity >= 50),
+e AS (SELECT a, b FROM e0 UNION SELECT b, a FROM e0), s AS (SELECT 's' || min(s_suppkey) AS node FROM supplier),
+h(node, hops) AS (SELECT node, 0 FROM s UNION SELECT e.b, hops + 1 FROM h JOIN e ON h.node = e.a WHERE hops < 4)
+SELECT node, min(hops)::INTEGER AS hops FROM h GROUP BY node""")
+def graph_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    big = table(spark, sf_dir, "lineitem").filter("l_quantity >= 50")
+    e = table(spark, sf_dir, "orders").join(big, F.col("o_orderkey") == F.col("l_orderkey")).select(F.concat(F.lit("c"), "o_custkey").alias("a"), F.concat(F.lit("s"), "l_suppkey").alias("b"))
+    start = table(spark, sf_dir, "supplier").agg(F.concat(F.lit("s"), F.min("s_suppkey")).alias("node"))
+    return graphs.hops(e, start, most=4).select("node", "hops")
+
+
+@query(f"""WITH {_LI}, r AS (SELECT dive, seq, l_discount * 10 - 0.5 AS x, l_tax * 10 - 0.4 AS y, 1.0::DOUBLE AS z, 0.28 AS ax, 0.96 AS az, cos(1.2) ** 2 AS c2 FROM li),
+q AS (SELECT *, ax * x + az * z AS dn, 0.3 * ax + 0.5 * az AS an, 0.3 * x - 0.1 * y + 0.5 * z AS da FROM r),
+k AS (SELECT *, dn * dn - c2 * (x * x + y * y + z * z) AS a, -2 * (dn * an - c2 * da) AS b, an * an - c2 * (0.09 + 0.01 + 0.25) AS c FROM q),
+t AS (SELECT *, (-b - sqrt(CASE WHEN b * b - 4 * a * c >= 0 THEN b * b - 4 * a * c END)) / (2 * a) AS t1, (-b + sqrt(CASE WHEN b * b - 4 * a * c >= 0 THEN b * b - 4 * a * c END)) / (2 * a) AS t2 FROM k)
+SELECT dive, seq, round(least(CASE WHEN t1 > 0 AND t1 * dn - an >= 0 THEN t1 END, CASE WHEN t2 > 0 AND t2 * dn - an >= 0 THEN t2 END), 6) AS along FROM t""")
+def rays_on_cone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ray = (F.col("l_discount") * 10 - 0.5, F.col("l_tax") * 10 - 0.4, F.lit(1.0))
+    return line_items(spark, sf_dir).select("dive", "seq", _r(geometry.on_cone(ray, (0.3, -0.1, 0.5), (0.28, 0.0, 0.96), 1.2), "along"))
+
+
 @query()
 def plane_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = stream(spark, sf_dir).select("dive", (F.col("t") / 1e6).alias("x"), (F.col("value") / 100).alias("y"), (F.col("t") / 2e6 + F.col("value") / 300).alias("z"))

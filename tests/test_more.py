@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fathomline.functions import geo, times
-from fathomline.operators import aggregates, consensus, filters, folds, geometry, interp, sampling
+from fathomline.operators import aggregates, consensus, filters, folds, geometry, graphs, interp, sampling
 from fathomline.sinks import files
 from fathomline.sources import images, logs, tables
 from fathomline.sources.lines import lines_of
@@ -59,6 +59,45 @@ def test_cones_and_rays(spark):
     assert geometry.cone_distance(hit[None], np.array([0, 0, 1.0]), np.array([0, 0, 1.0]), math.pi / 4)[0] == pytest.approx(0, abs=1e-9)
 
 
+def test_rays_on_cones_as_expressions(spark):
+    rng = np.random.default_rng(3)
+    rays = np.column_stack([rng.uniform(-1, 1, (300, 2)), np.ones(300)])
+    for apex, axis, theta in (((0.3, -0.1, 0.5), (0.3, 0, 1), 1.2), ((0, 0, 1), (0, 0, 1), math.pi / 4), ((0, 0, 3), (0, 1, -1), 0.5)):
+        d = rows(spark, [(i, *map(float, r)) for i, r in enumerate(rays)], "i int, x double, y double, z double")
+        got = {r["i"]: r["t"] for r in d.select("i", geometry.on_cone((F.col("x"), F.col("y"), F.col("z")), apex, axis, theta).alias("t")).collect()}
+        for i, ray in enumerate(rays):
+            want = geometry.ray_cone(np.array(apex, float), np.array(axis, float), theta, ray)
+            assert (got[i] is None) == (want is None) and (want is None or np.allclose(ray * got[i], want))
+        assert any(t is not None for t in got.values())
+    pixels = rows(spark, [(640.0, 512.0), (700.0, 300.0)], "u double, v double")
+    for r in geometry.sheet_points(pixels, (1000, 1000, 640, 512), (0.0, 0.0, 1.0), (0.0, 0.0, 1.0), 1.5).collect():
+        assert geometry.cone_distance(np.array([[r["x"], r["y"], r["z"]]]), np.array([0, 0, 1.0]), np.array([0, 0, 1.0]), 1.5)[0] < 1e-9
+
+
+def test_hops_and_paths(spark):
+    import random
+
+    rng = random.Random(4)
+    edges = {(f"n{rng.randrange(60)}", f"n{rng.randrange(60)}") for _ in range(80)} | {("x", "y")}
+    e = rows(spark, [*edges, (None, "n1"), ("n1", None)], "a string, b string")
+    for directed in (False, True):
+        near, want, front, n = {}, {"n1": 0, "n2": 0}, {"n1", "n2"}, 0
+        for a, b in edges:
+            near.setdefault(a, set()).add(b)
+            if not directed:
+                near.setdefault(b, set()).add(a)
+        while front:
+            n += 1
+            front = {b for a in front for b in near.get(a, ())} - set(want)
+            want |= dict.fromkeys(front, n)
+        found = graphs.hops(e, rows(spark, [("n1",), ("n2",), ("n2",), (None,)], "node string"), directed=directed)
+        assert {r["node"]: r["hops"] for r in found.collect()} == want
+        far = max(want, key=want.get)
+        way = graphs.path(found, far)
+        assert len(way) == want[far] + 1 and way[0] in ("n1", "n2") and all(b in near[a] for a, b in zip(way, way[1:]))
+        assert graphs.path(found, "x") == []
+
+
 def test_triangulation_both_ways(spark):
     turn = math.radians(10)
     r = np.array([[math.cos(turn), 0, -math.sin(turn)], [0, 1, 0], [math.sin(turn), 0, math.cos(turn)]])
