@@ -24,6 +24,10 @@ def brackets(queries: DataFrame, samples: DataFrame, by: Sequence[str], t: str,
 
     lo is the last sample at or before (``strict_low``: before) the row, hi the first at or after it. With ``extrapolate``,
     rows before the first or after the last sample get the two nearest samples; else the missing side is null."""
+    # both sides in one number of partitions, which adaptive execution leaves alone: a union keeps its inputs' partitioning (Spark
+    # 4.1), so that the windows need no other exchange, but takes partitions side by side
+    n = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    queries, samples = queries.repartition(n, *by), samples.repartition(n, *by)
     qcols = [c for c in queries.columns if c not in by and c != t]
     s = F.struct(F.col(t).alias("t"), *[F.col(c).alias(c) for c in cols])
     # each sample also carries its neighbours, for rows outside the samples
@@ -31,8 +35,6 @@ def brackets(queries: DataFrame, samples: DataFrame, by: Sequence[str], t: str,
     near = samples.select(*by, t, s.alias("s")).select(*by, t, F.struct("s", F.lag("s").over(w).alias("before"), F.lead("s").over(w).alias("after")).alias("s"), F.lit(None).alias("q"))
     asked = queries.select(*by, t, F.struct(*[F.col(c) for c in qcols] or [F.lit(1).alias("_")]).alias("q"))
     u = asked.select(*by, t, F.lit(None).cast(near.schema["s"].dataType).alias("s"), "q", F.lit(1).alias("is_q")).unionByName(near.select(*by, t, "s", F.lit(None).cast(asked.schema["q"].dataType).alias("q"), F.lit(0).alias("is_q")))
-    # said here, for a union that claims its inputs' partitioning can be joined with the wrong number of partitions (Spark 4.1)
-    u = u.repartition(*by)
     back = W.partitionBy(*by).orderBy(F.col(t), F.col("is_q").desc() if strict_low else F.col("is_q")).rowsBetween(W.unboundedPreceding, -1)
     ahead = W.partitionBy(*by).orderBy(F.col(t).desc(), F.col("is_q")).rowsBetween(W.unboundedPreceding, -1)
     found = u.withColumn("lo", F.last("s", ignorenulls=True).over(back)).withColumn("hi", F.last("s", ignorenulls=True).over(ahead)).filter("is_q = 1")

@@ -33,7 +33,7 @@ def write_csv(rows: DataFrame, path: str, by: Sequence[str] = (), order: str = "
     rows = enough_rows(rows, by) if by else rows
     named = rows.withColumnsRenamed({k: v for k, v in headers.items() if k in rows.columns})
     o = headers.get(order, order)
-    w = (named.repartition(*by) if by else named.coalesce(1)).sortWithinPartitions(*by, o).write.mode("overwrite").option("header", True).option("nullValue", "None")
+    w = (named.repartition(*by) if by else named.repartition(1)).sortWithinPartitions(*by, o).write.mode("overwrite").option("header", True).option("nullValue", "None")
     (w.partitionBy(*by) if by else w).csv(path)
 
 
@@ -105,7 +105,7 @@ def write_filelist(nav: DataFrame, images: DataFrame, path: str) -> None:
     """Navigation of the images that were processed, as one CSV a camera."""
     from fathomline.operators.joins import by_stem
 
-    by_stem(nav, images, "relative_path", "processed", "processed").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    by_stem(nav, images, "relative_path", "processed", "processed").repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def simplified(nav: DataFrame, columns: dict[str, str], order: str) -> DataFrame:

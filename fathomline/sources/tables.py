@@ -86,7 +86,7 @@ def koyo21(df: DataFrame, category: str) -> DataFrame:
 
 
 def ntnu_dvl(df: DataFrame, category: str, heading_offset: float = 0.0, factor: float = 0.0) -> DataFrame:
-    """Tab-separated; the day is in the file's name; without bottom lock velocities are out of range and null."""
+    """Tab-separated; the day is in the file's name; velocities without bottom lock are out of range and become null."""
     n = name_of()
     day = times.epoch_from_parts(F.substring(n, 1, 4).try_cast("int"), F.substring(n, 5, 2).try_cast("int"), F.substring(n, 7, 2).try_cast("int"), 0, 0, 0)
     t = df.withColumn("t", times.clock_of_day(F.regexp_replace("time", ":", ""), day))
@@ -95,19 +95,16 @@ def ntnu_dvl(df: DataFrame, category: str, heading_offset: float = 0.0, factor:
         return a.select("file", "seq", "t", "altitude", (F.col("altitude") * factor).alias("altitude_std"))
     v = _numbers(t, u="u_dvl", v="v_dvl", w="z_dvl")
     xyz = mount_yaw((F.col("u"), F.col("v"), F.col("w")), heading_offset)
-    out = v.select("file", "seq", "t", *[c.alias(f"{k}_velocity") for k, c in zip("xyz", xyz, strict=True)])
-    inside = F.lit(True)
-    for k in "xyz":
-        inside &= sentinel_to_null(F.col(f"{k}_velocity")).isNotNull()
-    return out.filter(inside)
+    return v.select("file", "seq", "t", *[sentinel_to_null(c).alias(f"{k}_velocity") for k, c in zip("xyz", xyz, strict=True)])
 
 
 # -- payloads, poses
 
 
-def payload(spark: SparkSession, path: str, offset_s: float = 0.0) -> DataFrame:
-    """Any CSV with ``corrected_timestamp``; other columns as they are."""
-    df = spark.read.option("header", True).option("inferSchema", True).csv(path)
+def payload(spark: SparkSession, path: str, offset_s: float = 0.0, schema: str | None = None) -> DataFrame:
+    """Any CSV with ``corrected_timestamp``; other columns as they are. Without a ``schema`` the files are read once more to find one."""
+    reader = spark.read.option("header", True)
+    df = (reader.option("enforceSchema", False).schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
     return df.withColumn("t", F.col("corrected_timestamp").cast("double") + offset_s)
 
 
