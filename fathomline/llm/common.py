@@ -71,14 +71,19 @@ def tidied(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
         try:
             yield from f(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
-                trim(0)
+            give_back()
 
     return run
 
 
+def give_back() -> None:
+    """What this process no longer needs goes back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+        trim(0)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write a light table to the shared folder and go on from there: lost executors don't cost its lineage again."""
     shared_dir(df.sparkSession)
@@ -86,8 +91,9 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def swept(spark: SparkSession) -> None:
-    """Lets Spark remove the shuffle files and checkpoints that nothing refers to any more: it does so when the driver's garbage is collected."""
-    gc.collect()
+    """Lets Spark remove the shuffle files and checkpoints that nothing refers to any more: it does so when the driver's garbage is
+    collected. The driver's two processes give back what they have gathered, too."""
+    give_back()
     spark._jvm.System.gc()
 
 

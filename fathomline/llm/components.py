@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import cut
+from fathomline.llm.common import cut, swept
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -32,3 +32,4 @@ def components(edges: DataFrame) -> DataFrame:
         if now == before:
             return e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         before = now
+        swept(edges.sparkSession)
