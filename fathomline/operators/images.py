@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from fathomline.operators.filters import fit_inputs
+from fathomline.shared import cut
+
 IMAGE = "image_id string, height int, width int, channels int, data array<float>"
 #: The same without rounding to single precision.
 IMAGE_DOUBLE = IMAGE.replace("float", "double")
@@ -59,41 +62,66 @@ def to_bytes(value: Column) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(255), F.floor(value * 255))).cast("int")
 
 
+#: Decays that are tried first, and how many between the best one's neighbours, in so many finer rounds.
+DECAYS, CLOSER, FINER = (*(-np.geomspace(10, 1e-3, 40)).tolist(), 0.0), 20, 3
+#: How often weights are found anew on the first grid, and on a finer one, which starts with those of the best.
+REWEIGHTED, AGAIN = 8, 3
+#: A key of more than HOT different samples is summed by so many tasks.
+HOT, TASKS = 100_000, 16
+
+
 def fit_attenuation(samples: DataFrame, keys: Sequence[str] = ("channel", "pixel"), x: str = "distance", y: str = "intensity") -> DataFrame:
     """a, b, c of a e^(b x) + c per key: a >= 1e-6, b <= 0, 0 <= c <= least intensity, with a soft-L1 loss; (1, 0, 0) without samples.
 
-    For a given b the curve is linear in a and c, so each b of a grid is solved in closed form with robust weights, and the
-    grid is refined around the best: bounded work per pixel, no seeds to go wrong."""
-    head = ", ".join(f"{k} {samples.schema[k].dataType.simpleString()}" for k in keys)
-
-    def curves(d: np.ndarray, v: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """a, c and cost for each b, side by side."""
-        e, w, top = np.exp(b[:, None] * d), np.ones((len(b), len(d))), float(v.min())
-        for _ in range(8):
-            s, sx, sy = w.sum(axis=1), (w * e).sum(axis=1), (w * v).sum(axis=1)
-            sxx, sxy = (w * e * e).sum(axis=1), (w * e * v).sum(axis=1)
-            det = s * sxx - sx * sx
-            flat = det <= 1e-12
-            c = np.clip(np.where(flat, 0.0, (sxx * sy - sx * sxy) / np.where(flat, 1, det)), 0.0, top)
-            a = np.maximum((sxy - c * sx) / np.maximum(sxx, 1e-300), 1e-6)
-            w = 1 / np.sqrt(1 + (v - a[:, None] * e - c[:, None]) ** 2)
-        return a, c, (2 * (np.sqrt(1 + (v - a[:, None] * e - c[:, None]) ** 2) - 1)).sum(axis=1)
-
-    def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        d, v = pdf[x].to_numpy(float), pdf[y].to_numpy(float)
-        ok = np.isfinite(d) & np.isfinite(v) & (d > 0) & (v > 0)
-        d, v = d[ok], v[ok]
-        if not len(d):
-            return pd.DataFrame([[*key, 1.0, 0.0, 0.0]], columns=[*keys, "a", "b", "c"])
-        grid = np.concatenate([-np.geomspace(10, 1e-3, 40), [0.0]])
-        for _ in range(4):  # the best of a grid, then of a finer one around it
-            a, c, cost = curves(d, v, grid)
-            i = int(np.argmin(cost))
-            best = float(a[i]), float(grid[i]), float(c[i])
-            grid = np.linspace(grid[max(i - 1, 0)], grid[min(i + 1, len(grid) - 1)], 21)
-        return pd.DataFrame([[*key, *best]], columns=[*keys, "a", "b", "c"])
-
-    return samples.groupBy(*keys).applyInPandas(fit, f"{head}, a double, b double, c double")
+    For a given b the curve is linear in a and c, so each b of a grid is solved from five weighted sums, and the grid is refined
+    around the best: bounded work per sample, no seeds to go wrong. The sums are built-in aggregates over samples that are dealt
+    once; weights come from joining the last fits, so that no key's samples are ever held together. Rows without a key are left
+    out; null, infinite and non-positive values take no part; equal samples count as often as they are there."""
+    partitions = int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = list(keys)
+    named = samples.select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    for k in keys:
+        named = named.filter(F.col(k).isNotNull())
+    good = cut(fit_inputs(named, "_x", "_y").groupBy(*keys, "_x", "_y").agg(F.count("*").alias("_n")))
+    sizes = cut(good.groupBy(*keys).agg(F.min("_y").alias("_top"), F.when(F.count("*") > HOT, TASKS).otherwise(1).alias("_parts")))
+    part = F.pmod(F.xxhash64("_x", "_y"), F.col("_parts")).cast("int")
+    dealt = cut(good.join(sizes, keys).withColumn("_part", part).drop("_parts", "_top").repartition(partitions, *keys, "_part"))
+
+    def summed(fits: DataFrame) -> DataFrame:
+        """Fits with their cost and with the sums that their weights give."""
+        spread = fits.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+        met = dealt.join(spread, [*keys, "_part"]).withColumn("_e", F.exp(F.col("b") * F.col("_x")))
+        bend = F.sqrt(1 + F.pow(F.col("_y") - F.col("a") * F.col("_e") - F.col("c"), 2))
+        w, e, v = (F.col(c) for c in ("_w", "_e", "_y"))
+        met = met.withColumn("_cost", F.col("_n") * 2 * (bend - 1)).withColumn("_w", F.col("_n") * F.coalesce(1 / bend, F.lit(1.0)))
+        sums = {"cost": F.col("_cost"), "s": w, "sx": w * e, "sy": w * v, "sxx": w * e * e, "sxy": w * e * v}
+        return met.groupBy(*keys, "b").agg(*[F.first(c).alias(c) for c in ("lo", "hi", "_top", "_parts", "a", "c")], *[F.sum(f).alias(c) for c, f in sums.items()])
+
+    def solved(fits: DataFrame) -> DataFrame:
+        s = summed(fits)
+        det = F.col("s") * F.col("sxx") - F.col("sx") * F.col("sx")
+        c = F.when(det <= 1e-12, 0.0).otherwise(F.try_divide(F.col("sxx") * F.col("sy") - F.col("sx") * F.col("sxy"), det))
+        s = s.withColumn("c", F.greatest(F.lit(0.0), F.least(F.col("_top"), c)))
+        a = (F.col("sxy") - F.col("c") * F.col("sx")) / F.greatest(F.col("sxx"), F.lit(1e-300))
+        return s.select(*keys, "b", "lo", "hi", "_top", "_parts", F.greatest(a, F.lit(1e-6)).alias("a"), "c")
+
+    def best(fits: DataFrame, turns: int) -> DataFrame:
+        for _ in range(turns):
+            fits = solved(fits)
+        least = summed(fits).groupBy(*keys).agg(F.min(F.struct("cost", "b", "a", "c", "lo", "hi", "_top", "_parts")).alias("m"))
+        return cut(least.select(*keys, "m.b", "m.a", "m.c", "m.lo", "m.hi", "m._top", "m._parts"))
+
+    grid = [F.struct(F.lit(b).alias("b"), F.lit(DECAYS[max(i - 1, 0)]).alias("lo"), F.lit(DECAYS[min(i + 1, len(DECAYS) - 1)]).alias("hi")) for i, b in enumerate(DECAYS)]
+    nothing = F.lit(None).cast("double")
+    found = best(sizes.select(*keys, F.inline(F.array(*grid)), "_top", "_parts", nothing.alias("a"), nothing.alias("c")), REWEIGHTED)
+    for _ in range(FINER):
+        at = lambda i: F.col("lo") + (F.col("hi") - F.col("lo")) * i / CLOSER
+        steps = found.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(CLOSER))))
+        i = F.col("_i")
+        closer = steps.select(*keys, at(i).alias("b"), at(F.greatest(i - 1, F.lit(0))).alias("lo"), at(F.least(i + 1, F.lit(CLOSER))).alias("hi"), "_top", "_parts", "a", "c")
+        found = best(closer, AGAIN)
+    filled = [F.coalesce(c, F.lit(v)).alias(c) for c, v in (("a", 1.0), ("b", 0.0), ("c", 0.0))]
+    return named.select(*keys).distinct().join(found.select(*keys, "a", "b", "c"), keys, "left").select(*keys, *filled)
 
 
 def laser_line(pixels: DataFrame, k: int = 7, min_ratio: float = 0.01, keys: Sequence[str] = ("image_id",)) -> DataFrame:

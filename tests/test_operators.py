@@ -346,6 +346,52 @@ def test_exponential_fit_finds_its_curve(spark):
         assert r["a"] == pytest.approx(0.5 + p / 10, rel=0.05) and r["b"] == pytest.approx(-0.4, rel=0.1) and abs(r["c"] - 0.05) < 0.02
 
 
+def plain_fit(d, v):
+    """The curve of one key, its samples side by side with all decays of a grid."""
+    def curves(b):
+        e, w, top = np.exp(b[:, None] * d), np.ones((len(b), len(d))), float(v.min())
+        for _ in range(8):
+            s, sx, sy = w.sum(axis=1), (w * e).sum(axis=1), (w * v).sum(axis=1)
+            sxx, sxy = (w * e * e).sum(axis=1), (w * e * v).sum(axis=1)
+            det = s * sxx - sx * sx
+            flat = det <= 1e-12
+            c = np.clip(np.where(flat, 0.0, (sxx * sy - sx * sxy) / np.where(flat, 1, det)), 0.0, top)
+            a = np.maximum((sxy - c * sx) / np.maximum(sxx, 1e-300), 1e-6)
+            w = 1 / np.sqrt(1 + (v - a[:, None] * e - c[:, None]) ** 2)
+        return a, c, (2 * (np.sqrt(1 + (v - a[:, None] * e - c[:, None]) ** 2) - 1)).sum(axis=1)
+
+    grid = np.concatenate([-np.geomspace(10, 1e-3, 40), [0.0]])
+    for _ in range(4):
+        a, c, cost = curves(grid)
+        i = int(np.argmin(cost))
+        best = float(a[i]), float(grid[i]), float(c[i])
+        grid = np.linspace(grid[max(i - 1, 0)], grid[min(i + 1, len(grid) - 1)], 21)
+    return best
+
+
+@pytest.mark.parametrize("hot", [100_000, 40])
+def test_exponential_fit_on_sums_is_the_plain_one(spark, monkeypatch, hot):
+    monkeypatch.setattr(images, "HOT", hot)
+    rng = np.random.default_rng(5)
+    truth = {0: (0.8, -0.3, 0.05), 1: (3.0, -1.2, 0.2), 2: (0.4, -0.02, 0.1)}
+    data = [(0, p, float(d), float(a * np.exp(b * d) + c + rng.normal() * 0.005)) for p, (a, b, c) in truth.items() for d in rng.uniform(0.5, 8, 120)]
+    data += [(0, 0, 3.0, 20.0)] * 3  # far off, and repeated
+    used = [r for r in data if r[3] > 0]
+    data += [(0, 0, None, 1.0), (0, 1, 2.0, None), (0, 2, 2.0, float("nan")), (0, 2, -1.0, 5.0), (0, 3, 1.0, -1.0), (None, 0, 1.0, 1.0)]
+    samples = rows(spark, data, "channel int, pixel int, distance double, intensity double")
+    out = images.fit_attenuation(samples)
+    assert "FlatMapGroups" not in out._jdf.queryExecution().toString() and "Python" not in out._jdf.queryExecution().toString()
+    got = {r["pixel"]: (r["a"], r["b"], r["c"]) for r in out.collect()}
+    assert set(got) == {0, 1, 2, 3} and got[3] == (1.0, 0.0, 0.0)
+    for p in truth:
+        d, v = (np.array([r[i] for r in used if r[1] == p]) for i in (2, 3))
+        a, b, c = plain_fit(d, v)
+        near = np.linspace(0.5, 8, 50)
+        assert np.abs((got[p][0] * np.exp(got[p][1] * near) + got[p][2]) - (a * np.exp(b * near) + c)).max() < 1e-4
+        assert got[p] == pytest.approx((a, b, c), abs=2e-3)
+    assert images.fit_attenuation(samples.limit(0)).count() == 0
+
+
 def test_planes(spark):
     rng = np.random.default_rng(2)
     yz = rng.random((200, 2)) * 4
