@@ -63,9 +63,9 @@ def to_bytes(value: Column) -> Column:
 
 
 #: Decays that are tried first, and how many between the best one's neighbours, in so many finer rounds.
-DECAYS, CLOSER, FINER = (*(-np.geomspace(10, 1e-3, 40)).tolist(), 0.0), 20, 3
+DECAYS, CLOSER, FINER = (*(-np.geomspace(10, 1e-3, 40)).tolist(), 0.0), 60, 2
 #: How often weights are found anew on the first grid, and on a finer one, which starts with those of the best.
-REWEIGHTED, AGAIN = 8, 3
+REWEIGHTED, AGAIN = 5, 3
 #: A key of more than HOT different samples is summed by so many tasks.
 HOT, TASKS = 100_000, 16
 
