@@ -33,3 +33,10 @@ def test_windows_reach_over_dives(spark, tmp_path):
     rows(spark, d, EVENTS).write.parquet(path)
     got = sorted(tuple(r) for r in queries.QUERIES["within_window"](spark, str(tmp_path)).collect())
     assert got == [(0, 1), (0, 3)] == by_sql("within_window", events=path)
+
+
+def test_stems_meet_all_images(spark, tmp_path):
+    path = str(tmp_path / "pages.parquet")
+    rows(spark, [(0, "http://a/x.html"), (1, "http://b/x.html"), (2, "http://a/y.html"), (3, None)], "page_id long, url string").write.parquet(path)
+    got = sorted(tuple(r) for r in queries.QUERIES["stereo_stems"](spark, str(tmp_path)).select("stem", "left", "right").collect())
+    assert len(got) == 5 and got == by_sql("stereo_stems", pages=path)
