@@ -27,6 +27,8 @@ CAMERA = ["fx", "fy", "cx", "cy", "k1", "k2", "p1", "p2", "k3"]
 OWN, POSE = len(CAMERA), 6
 #: Views that a task works on at a time.
 PORTION = 128
+#: Pixels: corners that are met so well have nothing left to tell.
+EXACT = 1e-7
 STATE = "view {view}, corners array<double>, pose array<double>, block array<double>"
 
 
@@ -83,22 +85,58 @@ def projections(shared: np.ndarray, pose: np.ndarray, camera: np.ndarray, xyz: n
     return np.stack([fx * (x * radial + 2 * p1 * x * y + p2 * (r2 + 2 * x * x)) + cx, fy * (y * radial + p1 * (r2 + 2 * y * y) + 2 * p2 * x * y) + cy], axis=1)
 
 
-def blocks(shared: np.ndarray, free: np.ndarray, pose: np.ndarray, view: np.ndarray, corners: np.ndarray) -> np.ndarray:
-    """Of each view its block (6 x 6), coupling (free x 6), gradient, shared block and gradient, squared error and corners, in a row.
+def turns(r: np.ndarray) -> np.ndarray:
+    """How the matrices of rotation vectors change with each of their three numbers: row, number, 3 x 3; central differences."""
+    step = 1e-6 * np.eye(3)
+    return np.stack([(rotation(r + h) - rotation(r - h)) / 2e-6 for h in step], axis=1)
+
 
-    ``view`` numbers the rows of ``corners`` (camera, x, y, z, u, v), in order; derivatives are central differences."""
+def slopes(shared: np.ndarray, pose: np.ndarray, view: np.ndarray, corners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each corner how its pixel changes with the shared parameters and with its view's pose, and by how much it is missed."""
     camera, xyz, uv = corners[:, 0], corners[:, 1:4], corners[:, 4:]
-    at = lambda s, p: projections(s, p[view], camera, xyz)
-    miss = uv - at(shared, pose)
+    n, own = len(uv), shared[:OWN]
+    p = (rotation(pose[:, :3])[view] @ xyz[:, :, None])[:, :, 0] + pose[view, 3:]
+    dp = np.zeros((n, 3, POSE))
+    dp[:, :, :3] = (turns(pose[:, :3])[view] @ xyz[:, None, :, None])[:, :, :, 0].transpose(0, 2, 1)
+    dp[:, :, 3:] = np.eye(3)
+    dr = np.zeros((n, 3, len(shared) - 2 * OWN if len(shared) > OWN else 0))
+    own, second = np.broadcast_to(own, (n, OWN)), camera == 1
+    if len(shared) > OWN:
+        own = np.where(second[:, None], shared[OWN : 2 * OWN], own)
+        r, by = shared[None, 2 * OWN : 2 * OWN + 3], p[second]
+        dr[second, :, :3] = np.einsum("kij,nj->nik", turns(r)[0], by)
+        dr[second, :, 3:] = np.eye(3)
+        dp[second] = rotation(r)[0] @ dp[second]
+        p[second] = by @ rotation(r)[0].T + shared[2 * OWN + 3 :]
+    fx, fy, cx, cy, k1, k2, p1, p2, k3 = own.T
+    x, y, z = p[:, 0] / p[:, 2], p[:, 1] / p[:, 2], p[:, 2]
+    r2 = x * x + y * y
+    radial, bend = 1 + r2 * (k1 + r2 * (k2 + r2 * k3)), 2 * (k1 + r2 * (2 * k2 + 3 * r2 * k3))
+    a, b = x * radial + 2 * p1 * x * y + p2 * (r2 + 2 * x * x), y * radial + p1 * (r2 + 2 * y * y) + 2 * p2 * x * y
+    js = np.zeros((n, 2, OWN))
+    js[:, 0, 0], js[:, 1, 1], js[:, 0, 2], js[:, 1, 3] = a, b, 1, 1
+    for k, (u, v) in {4: (x * r2, y * r2), 5: (x * r2**2, y * r2**2), 6: (2 * x * y, r2 + 2 * y * y), 7: (r2 + 2 * x * x, 2 * x * y), 8: (x * r2**3, y * r2**3)}.items():
+        js[:, 0, k], js[:, 1, k] = fx * u, fy * v
+    ax, ay = radial + x * x * bend + 2 * p1 * y + 6 * p2 * x, x * y * bend + 2 * p1 * x + 2 * p2 * y
+    bx, by_ = ay, radial + y * y * bend + 6 * p1 * y + 2 * p2 * x
+    to_pixel = np.stack([np.stack([fx * ax / z, fx * ay / z, -fx * (ax * x + ay * y) / z], axis=1), np.stack([fy * bx / z, fy * by_ / z, -fy * (bx * x + by_ * y) / z], axis=1)], axis=1)
+    if len(shared) > OWN:
+        js = np.concatenate([np.where(second[:, None, None], 0, js), np.where(second[:, None, None], js, 0), to_pixel @ dr], axis=2)
+    return js, to_pixel @ dp, uv - np.stack([fx * a + cx, fy * b + cy], axis=1)
+
 
-    def slope(moved, size: float) -> np.ndarray:
-        return (moved(size) - moved(-size)) / (2 * size)
+def blocks(shared: np.ndarray, free: np.ndarray, pose: np.ndarray, view: np.ndarray, corners: np.ndarray) -> np.ndarray:
+    """Of each view its block (6 x 6), coupling (free x 6), gradient, shared block and gradient, squared error and corners, in a row.
 
-    js = np.stack([slope(lambda h, i=i: at(shared + h * np.eye(len(shared))[i], pose), 1e-6 * max(1.0, abs(shared[i]))) for i in free], axis=2) if len(free) else np.zeros((len(uv), 2, 0))
-    jp = np.stack([slope(lambda h, i=i: at(shared, pose + h * np.eye(POSE)[i]), 1e-6) for i in range(POSE)], axis=2)
-    parts = [np.einsum("nki,nkj->nij", jp, jp), np.einsum("nki,nkj->nij", js, jp), np.einsum("nki,nk->ni", jp, miss), np.einsum("nki,nkj->nij", js, js), np.einsum("nki,nk->ni", js, miss), (miss**2).sum(axis=1), np.ones(len(uv))]
-    rows = np.concatenate([p.reshape(len(uv), -1) for p in parts], axis=1)
-    return np.add.reduceat(rows, np.flatnonzero(np.diff(view, prepend=-1)), axis=0)
+    ``view`` numbers the rows of ``corners`` (camera, x, y, z, u, v), in order."""
+    js, jp, miss = slopes(shared, pose, view, corners)
+    n = len(free)
+    rows = np.concatenate([js[:, :, free], jp, miss[:, :, None]], axis=2)
+    edges = [*np.flatnonzero(np.diff(view, prepend=-1)).tolist(), len(view)]
+    own = [rows[i:j].reshape(-1, n + POSE + 1) for i, j in zip(edges, edges[1:], strict=False)]
+    g = np.stack([m.T @ m for m in own])
+    parts = [g[:, n:-1, n:-1], g[:, :n, n:-1], g[:, n:-1, -1], g[:, :n, :n], g[:, :n, -1], g[:, -1, -1], np.diff(edges).astype(float)]
+    return np.concatenate([p.reshape(len(g), -1) for p in parts], axis=1)
 
 
 def unpacked(block: np.ndarray, n: int) -> list[np.ndarray]:
@@ -182,7 +220,7 @@ class Solver:
             moved = self.evaluated(self.state, shared, step, damping)
             s_new, r_new, new, _ = self.sums(moved, damping / 10)
             if np.isfinite(new) and new <= cost:
-                done = cost - new <= enough * cost
+                done = cost - new <= enough * cost or new <= EXACT**2 * n
                 self.shared, self.state, s, r, cost, damping = shared, moved, s_new, r_new, new, damping / 10
                 if done:
                     break
@@ -201,9 +239,11 @@ class Solver:
 def gathered(corners: DataFrame) -> DataFrame:
     """One row a view: its corners as camera, x, y, z, u, v one after the other. Views with fewer than four corners are left out."""
     camera = F.col("camera").cast("double") if "camera" in corners.columns else F.lit(0.0)
-    c = F.array(camera, *[F.col(k).cast("double") for k in ("x", "y", "z", "u", "v")])
-    ok = corners.filter(~F.exists(c, lambda x: x.isNull() | F.isnan(x)))
-    return cut(ok.groupBy("view").agg(F.flatten(F.array_sort(F.collect_list(c))).alias("corners")).filter(F.size("corners") >= 24))
+    # columns of their own, so that what they are computed from is computed once a row; the test is of the finished list
+    named = corners.select("view", camera.alias("c0"), *[F.col(k).cast("double").alias(f"c{i}") for i, k in enumerate(("x", "y", "z", "u", "v"), 1)])
+    listed = named.groupBy("view").agg(F.sort_array(F.collect_list(F.array(*[F.col(f"c{i}") for i in range(6)]))).alias("all"))
+    whole = F.filter("all", lambda c: ~F.exists(c, lambda x: x.isNull() | F.isnan(x)))
+    return cut(listed.select("view", F.flatten(whole).alias("corners")).filter(F.size("corners") >= 24))
 
 
 def homography(corners: np.ndarray) -> np.ndarray:

@@ -48,3 +48,13 @@ def test_draws_with_weights_that_are_null(spark, tmp_path):
     rows(spark, d, EVENTS).write.parquet(path)
     got = sorted(tuple(r) for r in queries.QUERIES["systematic_resample"](spark, str(tmp_path)).collect())
     assert got == by_sql("systematic_resample", events=path) == [(0, 36 - 16), (1, 32), (2, 32), (3, 16)]
+
+
+def test_calibration_stops_where_nothing_is_left_to_tell(spark, monkeypatch):
+    from fathomline.operators import calibration
+    from tests.test_calibration import LEFT, SCHEMA, SIZE, seen
+
+    passes, evaluated = [], calibration.Solver.evaluated
+    monkeypatch.setattr(calibration.Solver, "evaluated", lambda self, *a: passes.append(1) or evaluated(self, *a))
+    found = calibration.calibrated(rows(spark, [r for r in seen(8) if r[1] == 0], SCHEMA), SIZE)
+    assert found.cameras[0] == pytest.approx(LEFT, abs=1e-5) and len(passes) <= 12
