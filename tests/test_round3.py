@@ -58,3 +58,16 @@ def test_calibration_stops_where_nothing_is_left_to_tell(spark, monkeypatch):
     monkeypatch.setattr(calibration.Solver, "evaluated", lambda self, *a: passes.append(1) or evaluated(self, *a))
     found = calibration.calibrated(rows(spark, [r for r in seen(8) if r[1] == 0], SCHEMA), SIZE)
     assert found.cameras[0] == pytest.approx(LEFT, abs=1e-5) and len(passes) <= 12
+
+
+@pytest.mark.parametrize("few", [50_000, 0])
+def test_few_parts_move_no_rows(spark, monkeypatch, few):
+    from fathomline.operators import joins
+
+    monkeypatch.setattr(joins, "FEW", few, raising=False)
+    texts = [(1, "hot bolt"), (2, "bolt"), (3, "o"), (4, ""), (5, None)]
+    parts = ["bolt", "o", "", "hot b", "x", None]
+    d = joins.containing(rows(spark, texts, "k int, text string"), rows(spark, [(p,) for p in parts], "part string"), "text", "part", ["k"])
+    assert sorted((r["k"], r["part"]) for r in d.collect()) == sorted((k, p) for k, t in texts for p in parts if t is not None and p is not None and p in t)
+    if few:
+        assert "hashpartitioning" not in d._jdf.queryExecution().executedPlan().toString()
