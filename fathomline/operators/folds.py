@@ -147,7 +147,7 @@ class Steps:
     report: list[tuple[int, np.ndarray, int, np.ndarray]]
 
 
-def filter_dives(dive: np.ndarray, t: np.ndarray, kind: np.ndarray, v: np.ndarray, s: np.ndarray, t0: np.ndarray, x0: np.ndarray, c: EkfConfig) -> Steps:
+def filter_dives(dive: np.ndarray, t: np.ndarray, kind: np.ndarray, v: np.ndarray, s: np.ndarray, t0: np.ndarray, x0: np.ndarray, c: EkfConfig, covariances: bool = True) -> Steps:
     """The forward pass. ``dive`` numbers the dives from 0 on; ``t0`` and ``x0`` have one row a dive; events after t0 count."""
     events = pd.DataFrame({"d": dive, "t": t, "k": kind, "i": np.arange(len(t))})
     # measurements of one kind and moment come in one after the other, each after a step of its own
@@ -193,7 +193,8 @@ def filter_dives(dive: np.ndarray, t: np.ndarray, kind: np.ndarray, v: np.ndarra
         out.live.append(live)
         out.t.append(now[live])
         out.x.append(xl)
-        out.p.append(pl)
+        if covariances:
+            out.p.append(pl)
     return out
 
 
@@ -281,9 +282,10 @@ def side_by_side(f: Callable[[pd.DataFrame], Iterator[pd.DataFrame]], by: Sequen
     return run
 
 
-def ekf_steps(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig(), starts: DataFrame | None = None) -> DataFrame:
+def ekf_steps(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig(), starts: DataFrame | None = None, covariance: bool = True, asked_only: bool = False) -> DataFrame:
     """States of the (smoothed) extended Kalman filter: by..., t, the twelve states (angles in degrees), covariance (144), and
-    report: type and valid (did the gate let it through?) of the measurements that the state took in.
+    report: type and valid (did the gate let it through?) of the measurements that the state took in. Without ``covariance``
+    none leave the worker; with ``asked_only`` only states at the times of queries do.
 
     ``starts``: by..., start_t, start (the twelve states) of each dive that is to be filtered; else each starts by itself."""
     deg = np.array([1, 1, 1, *[180 / math.pi] * 3, 1, 1, 1, *[180 / math.pi] * 3])
@@ -301,7 +303,7 @@ def ekf_steps(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig(
             first = [start_of(t[a:b], kind[a:b], v[a:b]) for a, b in zip(begin, [*begin[1:], len(key)], strict=True)]
         else:
             first = [(part.start_t.iloc[a], np.asarray(part.start.iloc[a]) / deg) for a in begin]
-        steps = filter_dives(key, t, kind, v, s, np.array([x[0] for x in first]), np.array([x[1] for x in first]), config)
+        steps = filter_dives(key, t, kind, v, s, np.array([x[0] for x in first]), np.array([x[1] for x in first]), config, covariance or config.smooth)
         taken: dict[tuple[int, int], list[dict]] = {}
         for n, who, k, ok in steps.report:
             for d, o in zip(who.tolist(), ok.tolist(), strict=True):
@@ -310,24 +312,30 @@ def ekf_steps(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig(
             smooth_dives(steps, config)
         d = np.concatenate(steps.live)
         n = np.repeat(np.arange(len(steps.live)), [len(x) for x in steps.live])
-        order = np.lexsort((n, d))
+        order, when = np.lexsort((n, d)), np.concatenate(steps.t)
+        if asked_only:
+            asked, moments = kind == ORDER["query"], np.unique(t)
+            of = lambda dive, at: dive * len(moments) + np.minimum(np.searchsorted(moments, at), len(moments) - 1)
+            known = moments[np.minimum(np.searchsorted(moments, when), len(moments) - 1)] == when
+            order = order[(known & np.isin(of(d, when), of(key[asked], t[asked])))[order]]
         out = part.iloc[begin[d[order]]][by].reset_index(drop=True)
-        out["t"] = np.concatenate(steps.t)[order]
+        out["t"] = when[order]
         out[STATE] = (np.concatenate(steps.x) * deg)[order]
-        out["covariance"] = list(np.concatenate(steps.p)[order].reshape(-1, N * N))
+        if covariance:
+            out["covariance"] = list(np.concatenate(steps.p)[order].reshape(-1, N * N))
         out["report"] = [taken.get((a, b), []) for a, b in zip(d[order].tolist(), n[order].tolist(), strict=True)]
         yield out
 
-    more = "t double, " + ", ".join(f"{c} double" for c in STATE) + ", covariance array<double>, report array<struct<type: string, valid: boolean>>"
+    more = "t double, " + ", ".join(f"{c} double" for c in STATE) + (", covariance array<double>" if covariance else "") + ", report array<struct<type: string, valid: boolean>>"
     needed = rows.select(*by, "t", "kind", "a", "b", "c", "a_std", "b_std", "c_std")
     if starts is not None:
         needed = needed.join(starts.select(*by, "start_t", "start"), by)
     return needed.repartition(*by).sortWithinPartitions(*by, "t", "kind", "a").mapInPandas(side_by_side(filtered, by), _schema(rows, by, more))
 
 
-def ekf(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig()) -> DataFrame:
+def ekf(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig(), covariance: bool = True) -> DataFrame:
     """States of the (smoothed) extended Kalman filter: by..., t, the twelve states (angles in degrees), covariance (144)."""
-    return ekf_steps(rows, by, config).drop("report")
+    return ekf_steps(rows, by, config, covariance=covariance).drop("report")
 
 
 def relative_ekf(rows: DataFrame, by: Sequence[str], images: DataFrame, config: EkfConfig = EkfConfig()) -> DataFrame:
@@ -337,13 +345,13 @@ def relative_ekf(rows: DataFrame, by: Sequence[str], images: DataFrame, config:
     by = list(by)
     at = images.select(*by, "t").distinct()
     asked = rows.filter(F.col("kind") != "query").unionByName(at.withColumn("kind", F.lit("query")), allowMissingColumns=True)
-    known = ekf(asked, by, config).join(at, [*by, "t"], "left_semi")
+    known = ekf_steps(asked, by, config, covariance=False, asked_only=True)
     starts = cut(known.groupBy(*by).agg((F.min("t") - 1e-6).alias("start_t"), F.min_by(F.array(*STATE), "t").alias("start")))
     certain = _square(config.initial_covariance)
     certain[:6, :6] = 0
     last = at.groupBy(*by).agg(F.max("t").alias("end_t"))
     needed = asked.join(last, by).filter(F.col("t") <= F.col("end_t")).drop("end_t")
-    return ekf_steps(needed, by, replace(config, initial_covariance=certain), starts).drop("report").join(at, [*by, "t"], "left_semi")
+    return ekf_steps(needed, by, replace(config, initial_covariance=certain), starts, asked_only=True).drop("report")
 
 
 def report_of(steps: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -352,7 +360,7 @@ def report_of(steps: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def ekf_report(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig()) -> DataFrame:
-    return report_of(ekf_steps(rows, by, replace(config, smooth=False)), by)
+    return report_of(ekf_steps(rows, by, replace(config, smooth=False), covariance=False), by)
 
 
 class Descent:

@@ -71,3 +71,15 @@ def test_few_parts_move_no_rows(spark, monkeypatch, few):
     assert sorted((r["k"], r["part"]) for r in d.collect()) == sorted((k, p) for k, t in texts for p in parts if t is not None and p is not None and p in t)
     if few:
         assert "hashpartitioning" not in d._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_send_only_what_is_asked_for(spark):
+    from fathomline.operators import folds
+
+    m = [(d, 1.0 + i, "depth" if i % 3 else "query", 5.0 + i, None, None, 1.0, None, None) for d in (1, 2) for i in range(9)] + [(1, 4.0, "velocity", 0.1, 0.2, 0.0, 0.1, 0.1, 0.1), (3, 1.0, "depth", 1.0, None, None, 1.0, None, None)]
+    d = rows(spark, m, "dive int, t double, kind string, a double, b double, c double, a_std double, b_std double, c_std double")
+    whole = {(r["dive"], r["t"]): tuple(r)[:-2] for r in folds.ekf_steps(d, ["dive"]).collect()}
+    asked = folds.ekf_steps(d, ["dive"], covariance=False, asked_only=True).drop("report")
+    assert "covariance" not in asked.columns
+    got = {(r["dive"], r["t"]): tuple(r) for r in asked.collect()}
+    assert got == {k: v for k, v in whole.items() if k in {(x[0], x[1]) for x in m if x[2] == "query"}} and len(got) == 4
