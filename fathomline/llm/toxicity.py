@@ -119,19 +119,32 @@ def readings(segment: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def decode(segment: str, model: np.ndarray, beam: int | None = None) -> str:
+class After(dict):
+    """The model's numbers after three characters, as a list: made when first asked for, as reading an array's items is slow."""
+
+    def __init__(self, model: np.ndarray) -> None:
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, state: tuple[int, int, int]) -> list[float]:
+        self[state] = found = self.model[state].tolist()
+        return found
+
+
+def decode(segment: str, model: np.ndarray | After, beam: int | None = None) -> str:
     """The best reading of a lower-case segment of any length that stands between spaces; exact unless ``beam`` bounds the states."""
+    rows = model if isinstance(model, After) else After(model)
     paths: dict[tuple[int, int, int], tuple[float, tuple]] = {(0, 0, 0): (0.0, ())}
     for options in [*readings(segment), [(" ", 0.0)]]:
         then: dict[tuple[int, int, int], tuple[float, tuple]] = {}
-        for (a, b, c), (cost, path) in paths.items():
-            after = model[a, b, c]
-            for said, price in options:
+        said_as = [(said, price, _LETTER.get(said, 27 if said.isalpha() else 0)) for said, price in options]
+        for at, (cost, path) in paths.items():
+            after = rows[at]
+            for said, price, d in said_as:
                 if not said:
-                    state, total, way = (a, b, c), cost + price, path
+                    state, total, way = at, cost + price, path
                 else:
-                    d = _LETTER.get(said, 27 if said.isalpha() else 0)
-                    state, total, way = (b, c, d), cost + price - float(after[d]), (path, said)
+                    state, total, way = (at[1], at[2], d), cost + price - after[d], (path, said)
                 if (old := then.get(state)) is None or total < old[0]:
                     then[state] = (total, way)
         if beam is not None and len(then) > beam:
@@ -159,8 +172,9 @@ class Restorer:
     """The words of texts after deobfuscation. Decoded runs are remembered."""
 
     def __init__(self, model: np.ndarray) -> None:
-        self.model = model
+        self.model = After(model)
         self.runs: dict[str, tuple[str, ...]] = {}
+        self.plain: set[str] = set()
 
     def run(self, run: str) -> tuple[str, ...]:
         """The words that a run of characters between white space is read as."""
@@ -185,10 +199,17 @@ class Restorer:
             return set()
         low = unicodedata.normalize("NFKC", text).lower() if not text.isascii() else text.lower()
         runs = set(low.split())
-        plain = {r for r in runs if r.isalpha()}
-        plain -= {r for r in plain if DOUBLED.search(r)}
+        plain = runs & self.plain
         for r in runs - plain:
-            plain.update(self.run(r))
+            if (found := self.runs.get(r)) is not None:
+                plain.update(found)
+            elif r.isalpha() and not DOUBLED.search(r):
+                if len(self.plain) >= REMEMBERED:
+                    self.plain.clear()
+                self.plain.add(r)
+                plain.add(r)
+            else:
+                plain.update(self.run(r))
         for m in SPACED.finditer(low):
             plain.update(LETTERS(decode(m.group(), self.model)))
         return plain
@@ -213,22 +234,26 @@ class Classifier:
     def __init__(self, weights: dict[str, float], bias: float) -> None:
         self.weights, self.bias = weights, bias
         self.of: dict[str, tuple[str, ...]] = {}
+        self.silent: set[str] = set()  # words without a weight
 
     def known(self, word: str) -> tuple[str, ...]:
         """Those of a word's features that have a weight; remembered."""
         if (found := self.of.get(word)) is None:
             found = tuple(f for f in features(word) if f in self.weights)
-            if len(self.of) >= REMEMBERED:
+            if len(self.of) + len(self.silent) >= REMEMBERED:
                 self.of.clear()
-            self.of[word] = found
+                self.silent.clear()
+            if found:
+                self.of[word] = found
+            else:
+                self.silent.add(word)
         return found
 
     def counts(self, words: set[str]) -> dict[str, int]:
         n: dict[str, int] = {}
-        for fs in map(self.known, words):
-            if fs:
-                for f in fs:
-                    n[f] = n.get(f, 0) + 1
+        for fs in map(self.known, words - self.silent):
+            for f in fs:
+                n[f] = n.get(f, 0) + 1
         return n
 
     def score(self, words: set[str]) -> float:
