@@ -248,6 +248,14 @@ def _arrays(pdf: pd.DataFrame) -> tuple[np.ndarray, ...]:
     return pdf.t.to_numpy(float), pdf.kind.to_numpy(), pdf[["a", "b", "c"]].to_numpy(float), pdf[["a_std", "b_std", "c_std"]].fillna(0.0).to_numpy(float)
 
 
+def dealt(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Whole dives dealt to at least three tasks a core: a dive's rows are few bytes and much work, so that joining small
+    partitions, as Spark does with a number of its own choice, would leave cores without any."""
+    spark = rows.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(least, 3 * spark.sparkContext.defaultParallelism), *by)
+
+
 def side_by_side(f: Callable[[pd.DataFrame], Iterator[pd.DataFrame]], by: Sequence[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """For mapInPandas over rows that are sorted by dive: ``f`` gets whole dives, in portions of at most CELLS dives times steps."""
     by = list(by)
@@ -318,6 +326,8 @@ def ekf_steps(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig(
             of = lambda dive, at: dive * len(moments) + np.minimum(np.searchsorted(moments, at), len(moments) - 1)
             known = moments[np.minimum(np.searchsorted(moments, when), len(moments) - 1)] == when
             order = order[(known & np.isin(of(d, when), of(key[asked], t[asked])))[order]]
+            if not len(order):
+                return  # nobody asks in this portion; Arrow can't tell what an empty frame's reports would be
         out = part.iloc[begin[d[order]]][by].reset_index(drop=True)
         out["t"] = when[order]
         out[STATE] = (np.concatenate(steps.x) * deg)[order]
@@ -330,7 +340,7 @@ def ekf_steps(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig(
     needed = rows.select(*by, "t", "kind", "a", "b", "c", "a_std", "b_std", "c_std")
     if starts is not None:
         needed = needed.join(starts.select(*by, "start_t", "start"), by)
-    return needed.repartition(*by).sortWithinPartitions(*by, "t", "kind", "a").mapInPandas(side_by_side(filtered, by), _schema(rows, by, more))
+    return dealt(needed, by).sortWithinPartitions(*by, "t", "kind", "a").mapInPandas(side_by_side(filtered, by), _schema(rows, by, more))
 
 
 def ekf(rows: DataFrame, by: Sequence[str], config: EkfConfig = EkfConfig(), covariance: bool = True) -> DataFrame:
@@ -370,25 +380,36 @@ class Descent:
     def __init__(self) -> None:
         self.steps: list[int] = []
         #: for each drawing the particles before it that still have descendants, and where in that list each of the next drawing's
-        #: (at the last one: each present particle) comes from
+        #: (at the last one: each present particle) comes from; both ascend
         self.alive: list[np.ndarray] = []
         self.up: list[np.ndarray] = []
+        #: the dive's draws (step, angles and speeds, particle, 3), where they are held
+        self.noise: np.ndarray | None = None
 
     def draw(self, step: int, parents: np.ndarray) -> None:
-        ids, up = np.unique(parents, return_inverse=True)
+        """``parents`` ascend, as evenly spaced places draw them."""
+        ids, up = self.different(parents)
         if self.up:
             self.up[-1] = self.up[-1][ids]
         self.steps.append(step)
         self.alive.append(ids.astype(np.int32))
-        self.up.append(up.astype(np.int32))
+        self.up.append(up)
         for n in range(len(self.up) - 2, -1, -1):
-            used, up = np.unique(self.up[n], return_inverse=True)
+            used, up = self.different(self.up[n])
             if len(used) == len(self.alive[n]):
                 break
-            self.alive[n], self.up[n] = self.alive[n][used], up.astype(np.int32)
+            self.alive[n], self.up[n] = self.alive[n][used], up
             if n:
                 self.up[n - 1] = self.up[n - 1][used]
 
+    @staticmethod
+    def different(ascending: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Different values, and which of them each value is."""
+        new = np.empty(len(ascending), bool)
+        new[:1] = True
+        np.not_equal(ascending[1:], ascending[:-1], out=new[1:])
+        return ascending[new], np.cumsum(new, dtype=np.int32) - np.int32(1)
+
     def line(self, particle: int, steps: int) -> np.ndarray:
         """The ancestor of a present particle at each of so many steps; a drawing's step has the particle after it."""
         out, end, at = np.empty(steps, np.int32), steps, particle
@@ -413,73 +434,132 @@ class ParticleModel:
     fix: StdModel
     gain: float
 
-
-def drift(x: np.ndarray, dt: np.ndarray, angles: np.ndarray, vel: np.ndarray) -> None:
-    """Move particles (dive, particle, state) by speeds of the body at angles in radians, in place."""
-    (cr, sr), (cp, sp), (cy, sy) = ((np.cos(a), np.sin(a)) for a in np.moveaxis(angles, 2, 0))
-    dt = dt[:, None]
-    x[:, :, 0] += dt * (cy * cp * vel[:, :, 0] + (cy * sp * sr - sy * cr) * vel[:, :, 1] + (cy * sp * cr + sy * sr) * vel[:, :, 2])
-    x[:, :, 1] += dt * (sy * cp * vel[:, :, 0] + (sy * sp * sr + cy * cr) * vel[:, :, 1] + (sy * sp * cr - cy * sr) * vel[:, :, 2])
-    x[:, :, 3:6], x[:, :, 6:9] = angles, vel
-
-
-def run_particles(m: ParticleModel, t0: np.ndarray, x0: np.ndarray, count: np.ndarray, t: np.ndarray, kind: np.ndarray, v: np.ndarray, s: np.ndarray, lines: list[np.ndarray] | None = None):
-    """One pass of the particles of dives side by side, those with most steps first: ``t``, ``kind`` (dive, step), ``v`` (dive, step, 3), ``s``.
-
-    Without ``lines``: who stems from whom, and the last weights. With ``lines`` (a particle for each step of a dive) the same draws
-    are made again, and the states of these particles are given; so no pass holds more than the present particles."""
-    n_dives, n = len(t0), m.particles
-    rng = [np.random.default_rng(m.seed) for _ in range(n_dives)]
-    x = np.repeat(x0[:, None, :9], n, axis=1)
-    for d in range(n_dives):
-        x[d, :, :2] += rng[d].normal(0, m.fix.offset, (n, 2))
-    w, descent = np.full((n_dives, n), 1 / n), [Descent() for _ in range(n_dives)]
-    track = [np.empty((c + 1, 9)) for c in count] if lines is not None else []
-    for d, own in enumerate(track):
-        own[0] = x[d, lines[d][0]]
-    angles, speeds, depth, last = np.degrees(x0[:, ANGLES]), x0[:, SPEEDS].copy(), x0[:, 2].copy(), t0.copy()
-    noise = np.empty((2, n_dives, n, 3))
-    spread = lambda value, model: (np.abs(value) * model.factor + model.offset) * m.gain
-    for step in range(int(count.max(initial=0))):
-        live = int(np.searchsorted(-count, -step, side="left"))  # dives with more than ``step`` steps
-        k, value = kind[:live, step], v[:live, step]
-        for of, name in ((angles, "orientation"), (speeds, "velocity")):
-            here = np.flatnonzero(k == ORDER[name])
-            of[here] = value[here]
-        here = np.flatnonzero(k == ORDER["depth"])
-        depth[here] = value[here, 0]
-        dt, last[:live] = t[:live, step] - last[:live], t[:live, step]
-        for d in range(live):
-            rng[d].standard_normal(out=noise[0, d])
-            rng[d].standard_normal(out=noise[1, d])
-        turned = np.radians(angles[:live, None] + noise[0, :live] * spread(angles[:live], m.angle)[:, None])
-        vel = speeds[:live, None] + noise[1, :live] * spread(speeds[:live], m.velocity)[:, None]
-        drift(x[:live], dt, turned, vel)
-        x[:live, :, 2] = depth[:live, None]
-        for d in np.flatnonzero(k == ORDER["usbl"]).tolist():
-            far = np.hypot(x[d, :, 0] - value[d, 0], x[d, :, 1] - value[d, 1])
-            if not np.isnan(value[d, 2]):
-                far = np.hypot(far, x[d, :, 2] - value[d, 2])
-            sigma = s[d, step] if s[d, step] > 0 else m.fix.offset + m.fix.factor * math.hypot(value[d, 0], value[d, 1])
-            w[d] = w[d] * np.exp(-0.5 * (far / sigma) ** 2) + 1e-300
-            w[d] /= w[d].sum()
-            if 1 / (w[d] ** 2).sum() < n / 2:
-                places = (np.arange(n) + rng[d].random()) / n
-                drawn = np.minimum(np.searchsorted(np.cumsum(w[d]), places), n - 1)
-                x[d], w[d] = x[d][drawn], 1 / n
-                if lines is None:
-                    descent[d].draw(step + 1, drawn)
-        for d in range(live if lines is not None else 0):
-            track[d][step + 1] = x[d, lines[d][step + 1]]
-    return (descent, w) if lines is None else track
+    def spread(self, value: np.ndarray, model: StdModel) -> np.ndarray:
+        return (np.abs(value) * model.factor + model.offset) * self.gain
+
+
+#: Bytes of draws that are held for the dives that are stepped through together; those of a longer dive are made again.
+HELD = 1 << 24
+
+
+def turned(mean: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cosines and sines of mean (dive) + off (dive, particle) radians: small offsets by their series, to the last digit."""
+    if not (off.size and max(off.max(), -off.min()) < 0.1):
+        return np.cos(mean[:, None] + off), np.sin(mean[:, None] + off)
+    z = off * off
+    small = [np.ones_like(z), off.copy()]  # cosine, sine of the offset
+    for out, places in zip(small, ((90, 56, 30, 12, 2), (72, 42, 20, 6)), strict=True):
+        series = z * (-1 / places[0])
+        for place in places[1:]:
+            series += 1
+            series *= z
+            series *= -1 / place
+        series += 1
+        out *= series
+    c, s = np.cos(mean)[:, None], np.sin(mean)[:, None]
+    return c * small[0] - s * small[1], s * small[0] + c * small[1]
+
+
+def drift(m: ParticleModel, dt: np.ndarray, angles: np.ndarray, speeds: np.ndarray, noise: np.ndarray) -> np.ndarray:
+    """How far particles (north or east, dive, particle) get in ``dt`` by speeds of the body at angles in degrees (dive, 3) with noise."""
+    wide, fast = m.spread(angles, m.angle), m.spread(speeds, m.velocity)
+    (cr, sr), (cp, sp), (cy, sy) = (turned(np.radians(angles[:, k]), noise[:, 0, :, k] * np.radians(wide[:, k, None])) for k in range(3))
+    u, v, w = (noise[:, 1, :, k] * fast[:, k, None] + speeds[:, k, None] for k in range(3))
+    ahead, aside = cp * u + sp * (sr * v + cr * w), cr * v - sr * w
+    return np.stack([cy * ahead - sy * aside, sy * ahead + cy * aside]) * dt[:, None]
+
+
+def latest(t0: np.ndarray, x0: np.ndarray, t: np.ndarray, kind: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, ...]:
+    """At each step (dive, step): the time since the one before, and the angles in degrees, speeds and depth that were last measured."""
+    at = np.arange(t.shape[1])
+
+    def of(name: str, start: np.ndarray) -> np.ndarray:
+        last = np.maximum.accumulate(np.where(kind == ORDER[name], at, -1), axis=1)
+        values = v[np.arange(len(t))[:, None], np.maximum(last, 0), : start.shape[1]]
+        return np.where((last >= 0)[:, :, None], values, start[:, None])
+
+    return np.diff(t, axis=1, prepend=t0[:, None]), of("orientation", np.degrees(x0[:, ANGLES])), of("velocity", x0[:, SPEEDS]), of("depth", x0[:, 2:3])[:, :, 0]
+
+
+def run_particles(m: ParticleModel, t0: np.ndarray, x0: np.ndarray, count: np.ndarray, t: np.ndarray, kind: np.ndarray, v: np.ndarray, s: np.ndarray, lines: list[np.ndarray] | None = None, descent: list[Descent] | None = None):
+    """One pass of the particles of dives side by side: ``t``, ``kind`` (dive, step), ``v`` (dive, step, 3), ``s``.
+
+    Without ``lines``: who stems from whom, and the last weights; particles move as far as a dive's last fix. With ``lines`` (a
+    particle for each step of a dive) the states of these particles alone are found from the draws of ``descent``, which are
+    made again where they aren't held; so no pass holds more than the present particles and HELD bytes."""
+    n = m.particles
+    known = latest(t0, x0, t, kind, v)
+    if lines is not None:
+        descent = descent or run_particles(m, t0, x0, count, t, kind, v, s)[0]
+        return [retraced(m, x0[d], int(c), *[k[d] for k in known], lines[d], descent[d]) for d, c in enumerate(count)]
+    fixed = (kind == ORDER["usbl"]) & (np.arange(t.shape[1]) < count[:, None])
+    reach = np.where(fixed.any(axis=1), t.shape[1] - np.argmax(fixed[:, ::-1], axis=1), 0)
+    order = np.argsort(-reach, kind="stable")
+    dt, angles, speeds, depth, fixed, v, s, x0, reach, count = (a[order] for a in (*known, fixed, v, s, x0, reach, count))
+    sigma = np.where(s > 0, s, m.fix.offset + m.fix.factor * np.hypot(v[:, :, 0], v[:, :, 1]))
+    rng, descent = [np.random.default_rng(m.seed) for _ in order], [Descent() for _ in order]
+    x, w = np.empty((2, len(order), n)), np.full((len(order), n), 1 / n)
+    for d, r in enumerate(rng):
+        x[:, d] = (x0[d, :2] + r.normal(0, m.fix.offset, (n, 2))).T
+    held = t.size * 6 * n * 8 <= HELD
+    noise = np.empty((len(order), t.shape[1] if held else 1, 2, n, 3))
+    for step in range(int(reach.max(initial=0))):
+        live = int(np.searchsorted(-reach, -step, side="left"))  # dives that have a fix at this step or later
+        now = noise[:live, step if held else 0]
+        for r, out in zip(rng, now, strict=False):
+            r.standard_normal(out=out)
+        x[:, :live] += drift(m, dt[:live, step], angles[:live, step], speeds[:live, step], now)
+        here = np.flatnonzero(fixed[:live, step])
+        if not len(here):
+            continue
+        fix = v[here, step, :, None]
+        far = np.hypot(x[0, here] - fix[:, 0], x[1, here] - fix[:, 1])
+        deep = ~np.isnan(fix[:, 2, 0])
+        far[deep] = np.hypot(far[deep], depth[here[deep], step, None] - fix[deep, 2])
+        likely = w[here] * np.exp(-0.5 * (far / sigma[here, step, None]) ** 2) + 1e-300
+        w[here] = likely = likely / likely.sum(axis=1, keepdims=True)
+        for d in here[1 / (likely**2).sum(axis=1) < n / 2].tolist():
+            places = (np.arange(n) + rng[d].random()) / n
+            drawn = np.minimum(np.searchsorted(np.cumsum(w[d]), places), n - 1)
+            x[:, d], w[d] = x[:, d, drawn], 1 / n
+            descent[d].draw(step + 1, drawn)
+    for d, own in enumerate(descent if held else []):
+        own.noise = noise[d, : count[d]]
+        rng[d].standard_normal(out=own.noise[reach[d] :])
+    back = np.argsort(order)
+    return [descent[d] for d in back], w[back]
+
+
+def retraced(m: ParticleModel, x0: np.ndarray, count: int, dt: np.ndarray, angles: np.ndarray, speeds: np.ndarray, depth: np.ndarray, line: np.ndarray, descent: Descent) -> np.ndarray:
+    """The states (step, 9) of a line of particles of one dive, from the start on."""
+    rng, n = np.random.default_rng(m.seed), m.particles
+    start = x0[:9].copy()
+    start[:2] += rng.normal(0, m.fix.offset, (n, 2))[line[0]]
+    if descent.noise is not None:
+        noise = descent.noise[np.arange(count), :, line[:count]]
+    else:
+        noise, a = np.empty((count, 2, 3)), 0
+        for end in [*descent.steps, count]:
+            for a in range(a, end, 64):  # noqa: B020
+                b = min(a + 64, end)
+                noise[a:b] = rng.standard_normal((b - a, 2, n, 3))[np.arange(b - a), :, line[a:b]]
+            a = end
+            rng.random()  # what the drawing took
+    dt, angles, speeds, depth = dt[:count], angles[:count], speeds[:count], depth[:count]
+    out = np.empty((count + 1, 9))
+    out[0], out[1:, :2], out[1:, 2] = start, drift(m, dt, angles, speeds, noise[:, :, None])[:, :, 0].T, depth
+    out[:, :2] = np.cumsum(out[:, :2], axis=0)
+    out[1:, 3:6] = np.radians(angles + noise[:, 0] * m.spread(angles, m.angle))
+    out[1:, 6:] = speeds + noise[:, 1] * m.spread(speeds, m.velocity)
+    return out
 
 
 def particle_filter(rows: DataFrame, by: Sequence[str], particles: int = 300, seed: int = 0, velocity: StdModel = StdModel(0.05, 0.02), angle: StdModel = StdModel(0.1, 0.0), fix: StdModel = StdModel(5.0, 0.01), gain: float = 1.0) -> DataFrame:
     """Whole trajectory of the best particle: by..., t, northings, eastings, depth, roll, pitch, yaw, x/y/z_velocity, weight.
 
     Particles move by noisy measured speeds and angles; a fix weighs them by a Gaussian of their distance, and they are drawn
-    anew when the effective number falls under half. Draws depend on the seed alone. Dives are stepped through side by side,
-    twice: the first pass finds who the best particle's ancestors are, the second their states, so no history is held."""
+    anew when the effective number falls under half. Draws depend on the seed alone. Some dives at a time are stepped through
+    side by side: first for who the best particle's ancestors are, then for the states of these alone."""
     names, by = STATE[:9], list(by)
     model = ParticleModel(particles, seed, velocity, angle, fix, gain)
 
@@ -495,27 +575,31 @@ def particle_filter(rows: DataFrame, by: Sequence[str], particles: int = 300, se
                 x0[:2] = v[a + g[0], :2]
             dives.append((a, t0, x0, a + np.flatnonzero((t[a:b] > t0) & (kind[a:b] != ORDER["query"]))))
         dives.sort(key=lambda d: -len(d[3]))
-        count = np.array([len(d[3]) for d in dives])
-        wide = max(1, int(count.max()))
-        when, what, value, std = np.zeros((len(dives), wide)), np.zeros((len(dives), wide), np.int8), np.zeros((len(dives), wide, 3)), np.zeros((len(dives), wide))
-        for d, (*_, at) in enumerate(dives):
-            when[d, : len(at)], what[d, : len(at)], value[d, : len(at)], std[d, : len(at)] = t[at], kind[at], v[at], s[at, 0]
-        given = (model, np.array([d[1] for d in dives]), np.array([d[2] for d in dives]), count, when, what, value, std)
-        descent, w = run_particles(*given)
-        best = np.argmax(w, axis=1)
-        track = run_particles(*given, lines=[descent[d].line(int(best[d]), int(count[d]) + 1) for d in range(len(dives))])
-        for d in np.argsort([x[0] for x in dives]).tolist():
-            out = pd.DataFrame(track[d], columns=names)
-            out[["roll", "pitch", "yaw"]] = np.degrees(out[["roll", "pitch", "yaw"]])
-            out.insert(0, "t", [dives[d][1], *when[d, : count[d]]])
-            for c in reversed(by):
-                out.insert(0, c, [part[c].iloc[dives[d][0]]] * len(out))
-            out["weight"] = w[d, best[d]]
-            yield out
+        done: list[tuple[int, np.ndarray, np.ndarray, float]] = []
+        while len(done) < len(dives):
+            wide = max(1, len(dives[len(done)][3]))
+            some = dives[len(done) : len(done) + max(1, HELD // (wide * 6 * particles * 8))]
+            count = np.array([len(d[3]) for d in some])
+            when, what, value, std = np.zeros((len(some), wide)), np.zeros((len(some), wide), np.int8), np.zeros((len(some), wide, 3)), np.zeros((len(some), wide))
+            for d, (*_, at) in enumerate(some):
+                when[d, : len(at)], what[d, : len(at)], value[d, : len(at)], std[d, : len(at)] = t[at], kind[at], v[at], s[at, 0]
+            given = (model, np.array([d[1] for d in some]), np.array([d[2] for d in some]), count, when, what, value, std)
+            descent, w = run_particles(*given)
+            best = np.argmax(w, axis=1)
+            track = run_particles(*given, lines=[descent[d].line(int(best[d]), int(count[d]) + 1) for d in range(len(some))], descent=descent)
+            done += [(some[d][0], np.array([some[d][1], *when[d, : count[d]]]), track[d], float(w[d, best[d]])) for d in range(len(some))]
+        done.sort(key=lambda d: d[0])
+        size = [len(d[1]) for d in done]
+        out = part.iloc[np.repeat([d[0] for d in done], size)][by].reset_index(drop=True)
+        out["t"] = np.concatenate([d[1] for d in done])
+        out[names] = np.concatenate([d[2] for d in done])
+        out[["roll", "pitch", "yaw"]] = np.degrees(out[["roll", "pitch", "yaw"]])
+        out["weight"] = np.repeat([d[3] for d in done], size)
+        yield out
 
     more = "t double, " + ", ".join(f"{c} double" for c in names) + ", weight double"
     needed = rows.select(*by, "t", "kind", "a", "b", "c", "a_std", "b_std", "c_std")
-    return needed.repartition(*by).sortWithinPartitions(*by).mapInPandas(side_by_side(filtered, by), _schema(rows, by, more))
+    return dealt(needed, by).sortWithinPartitions(*by).mapInPandas(side_by_side(filtered, by), _schema(rows, by, more))
 
 
 def speed_filtered(rows: DataFrame, by: Sequence[str], t: str, lat: str, lon: str, most: float = 20.0) -> DataFrame:

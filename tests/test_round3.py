@@ -83,3 +83,41 @@ def test_filters_send_only_what_is_asked_for(spark):
     assert "covariance" not in asked.columns
     got = {(r["dive"], r["t"]): tuple(r) for r in asked.collect()}
     assert got == {k: v for k, v in whole.items() if k in {(x[0], x[1]) for x in m if x[2] == "query"}} and len(got) == 4
+
+
+def test_particles_are_moved_once_and_draws_may_be_made_again(monkeypatch):
+    """The second pass moves the best particle's ancestors alone, with draws that are held or made again."""
+    import numpy as np
+
+    from fathomline.operators import folds
+
+    rng, wide = np.random.default_rng(4), 150
+    count = np.array([150, 90, 90, 0])
+    kind = rng.choice([0, 1, 2, 3], (4, wide)).astype(np.int8)
+    kind[2] = folds.ORDER["velocity"]  # a dive without fixes
+    v = rng.normal(0, 1, (4, wide, 3))
+    model = folds.ParticleModel(40, 3, folds.StdModel(0.05, 0.02), folds.StdModel(0.1, 0.0), folds.StdModel(5.0, 0.01), 1.0)
+    given = (model, np.zeros(4), np.zeros((4, 12)), count, np.tile(1.0 + np.arange(wide), (4, 1)), kind, v, np.ones((4, wide)))
+    moved, tracks, plain = [], [], folds.drift
+    monkeypatch.setattr(folds, "drift", lambda *a: moved.append(a[-1].size // 6) or plain(*a))
+    for bytes_held in (1 << 24, 0):
+        monkeypatch.setattr(folds, "HELD", bytes_held)
+        descent, w = folds.run_particles(*given)
+        assert (descent[0].noise is not None) == (bytes_held > 0) and len(descent[0].steps) > 10
+        moved.clear()
+        tracks.append(folds.run_particles(*given, lines=[d.line(int(np.argmax(w[i])), int(count[i]) + 1) for i, d in enumerate(descent)], descent=descent))
+        assert sum(moved) == count.sum()  # before: 40 particles at each of them
+    assert all(np.array_equal(a, b) and len(a) == c + 1 for a, b, c in zip(*tracks, count, strict=True))
+    offs = np.linspace(-0.0999, 0.0999, 4001)[None]
+    for got, want in zip(folds.turned(np.array([2.5]), offs), (np.cos(2.5 + offs), np.sin(2.5 + offs)), strict=True):
+        assert np.abs(got - want).max() < 1e-15
+
+
+def test_small_tables_of_dives_are_dealt_to_all_cores(spark):
+    from fathomline.operators import folds
+
+    data = [(d, float(t), "velocity", 1.0, 0.0, 0.0, 1.0, 1.0, 1.0) for d in range(40) for t in range(5)]
+    m = rows(spark, data, "dive int, t double, kind string, a double, b double, c double, a_std double, b_std double, c_std double")
+    least = 3 * spark.sparkContext.defaultParallelism
+    for f in (folds.particle_filter(m, ["dive"], particles=20), folds.ekf(m, ["dive"])):
+        assert f.rdd.getNumPartitions() >= least  # before: one, as the table is small
