@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathomline.shared import cut
+from fathomline.shared import cut, dealt
 
 N = 12
 POSITION, ANGLES, SPEEDS, RATES = slice(0, 3), slice(3, 6), slice(6, 9), slice(9, 12)
@@ -248,14 +248,6 @@ def _arrays(pdf: pd.DataFrame) -> tuple[np.ndarray, ...]:
     return pdf.t.to_numpy(float), pdf.kind.to_numpy(), pdf[["a", "b", "c"]].to_numpy(float), pdf[["a_std", "b_std", "c_std"]].fillna(0.0).to_numpy(float)
 
 
-def dealt(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Whole dives dealt to at least three tasks a core: a dive's rows are few bytes and much work, so that joining small
-    partitions, as Spark does with a number of its own choice, would leave cores without any."""
-    spark = rows.sparkSession
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(max(least, 3 * spark.sparkContext.defaultParallelism), *by)
-
-
 def side_by_side(f: Callable[[pd.DataFrame], Iterator[pd.DataFrame]], by: Sequence[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """For mapInPandas over rows that are sorted by dive: ``f`` gets whole dives, in portions of at most CELLS dives times steps."""
     by = list(by)

@@ -10,10 +10,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from fathomline.operators.filters import fit_inputs
-from fathomline.shared import cut
+from fathomline.operators.folds import side_by_side
+from fathomline.shared import cut, dealt
 
 IMAGE = "image_id string, height int, width int, channels int, data array<float>"
 #: The same without rounding to single precision.
@@ -66,17 +68,95 @@ def to_bytes(value: Column) -> Column:
 DECAYS, CLOSER, FINER = (*(-np.geomspace(10, 1e-3, 40)).tolist(), 0.0), 60, 2
 #: How often weights are found anew on the first grid, and on a finer one, which starts with those of the best.
 REWEIGHTED, AGAIN = 5, 3
-#: A key of more than HOT different samples is summed by so many tasks.
-HOT, TASKS = 100_000, 16
+#: A key of more than HOT different samples is summed by so many tasks; others are fitted by one.
+HOT, TASKS = 1_000_000, 16
+#: Samples that are weighed with all decays of a grid at a time, and keys whose sums a task holds.
+CHUNK, TOGETHER = 1024, 1024
+
+
+class Curves:
+    """Samples of whole keys side by side, in the order of keys and distances, and sums over them for a grid of decays of each key.
+
+    Sums go through chunks, so that no more than CHUNK samples are held for each decay; a run of one distance has one exponential."""
+
+    def __init__(self, key: np.ndarray, x: np.ndarray, y: np.ndarray, n: np.ndarray) -> None:
+        self.keys = int(key[-1]) + 1
+        self.top = np.minimum.reduceat(y, np.flatnonzero(np.diff(key, prepend=-1)))
+        self.chunks = []
+        for at in range(0, len(x), CHUNK):
+            k, xs = key[at : at + CHUNK], x[at : at + CHUNK]
+            new = np.diff(k, prepend=-1) != 0
+            runs = np.flatnonzero(new | (np.diff(xs, prepend=np.nan) != 0))
+            first, size = np.flatnonzero(new), np.diff(runs, append=len(xs))
+            self.chunks.append((slice(k[0], k[-1] + 1), k[runs], xs[runs], runs, size, first, np.searchsorted(runs, first), y[at : at + CHUNK], n[at : at + CHUNK]))
+
+    def solved(self, b: np.ndarray, a: np.ndarray | None, c: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """a, c (decay, key) of least squares with the weights that the last ones give; equal weights without these."""
+        sums = np.zeros((5, len(b), self.keys))
+        for own, k, x, runs, size, _, first, y, n in self.chunks:
+            e = np.exp(b[:, k] * x)
+            w = np.broadcast_to(n, (len(b), len(n))) if a is None else n / self.bend(e, a[:, k], c[:, k], size, y)
+            s, sy = np.add.reduceat(w, runs, axis=1), np.add.reduceat(w * y, runs, axis=1)
+            sums[:, :, own] += np.add.reduceat(np.stack([s, s * e, sy, s * e * e, sy * e]), first, axis=2)
+        s, sx, sy, sxx, sxy = sums
+        det = s * sxx - sx * sx
+        flat = det <= 1e-12
+        c = np.clip(np.where(flat, 0.0, (sxx * sy - sx * sxy) / np.where(flat, 1.0, det)), 0.0, self.top)
+        return np.maximum((sxy - c * sx) / np.maximum(sxx, 1e-300), 1e-6), c
+
+    @staticmethod
+    def bend(e: np.ndarray, a: np.ndarray, c: np.ndarray, size: np.ndarray, y: np.ndarray) -> np.ndarray:
+        miss = y - np.repeat(a * e + c, size, axis=1)
+        miss *= miss
+        miss += 1
+        return np.sqrt(miss, out=miss)
+
+    def cost(self, b: np.ndarray, a: np.ndarray, c: np.ndarray) -> np.ndarray:
+        cost = np.zeros(b.shape)
+        for own, k, x, _, size, first, _, y, n in self.chunks:
+            cost[:, own] += np.add.reduceat(2 * n * (self.bend(np.exp(b[:, k] * x), a[:, k], c[:, k], size, y) - 1), first, axis=1)
+        return cost
+
+    def best(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """a, b, c of each key: the grids of ``fit_attenuation``."""
+        every, a, c = np.arange(self.keys), None, None
+        b = np.repeat(np.array(DECAYS)[:, None], self.keys, axis=1)
+        for turns in (REWEIGHTED, *[AGAIN] * FINER):
+            for _ in range(turns):
+                a, c = self.solved(b, a, c)
+            i = np.argmin(np.nan_to_num(self.cost(b, a, c), nan=np.inf), axis=0)
+            lo, hi, found = b[np.maximum(i - 1, 0), every], b[np.minimum(i + 1, len(b) - 1), every], (a[i, every], b[i, every], c[i, every])
+            b = lo + (hi - lo) * np.arange(CLOSER + 1)[:, None] / CLOSER
+            a, c = (np.repeat(v[None], len(b), axis=0) for v in (found[0], found[2]))
+        return found
+
+
+def fitted_whole(samples: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys..., b, a, c: keys of at most HOT different samples (_x, _y, _n) are dealt whole and fitted by one task each."""
+    keys = list(keys)
+
+    def fit(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        begin = np.flatnonzero(np.diff(part.groupby(keys, sort=False, dropna=False).ngroup().to_numpy(), prepend=-1))
+        x, y, n = (part[v].to_numpy(float) for v in ("_x", "_y", "_n"))
+        ends, found = np.append(begin, len(part)), []
+        for i in range(0, len(begin), TOGETHER):
+            own = ends[i : i + TOGETHER + 1]
+            at = slice(own[0], own[-1])
+            found.append(np.stack(Curves(np.repeat(np.arange(len(own) - 1), np.diff(own)), x[at], y[at], n[at]).best()))
+        a, b, c = np.concatenate(found, axis=1)
+        yield part.iloc[begin][keys].reset_index(drop=True).assign(b=b, a=a, c=c)
+
+    schema = T.StructType([*[samples.schema[k] for k in keys], *[T.StructField(v, T.DoubleType()) for v in "bac"]])
+    return dealt(samples.select(*keys, "_x", "_y", "_n"), keys).sortWithinPartitions(*keys, "_x", "_y").mapInPandas(side_by_side(fit, keys), schema)
 
 
 def fit_attenuation(samples: DataFrame, keys: Sequence[str] = ("channel", "pixel"), x: str = "distance", y: str = "intensity") -> DataFrame:
     """a, b, c of a e^(b x) + c per key: a >= 1e-6, b <= 0, 0 <= c <= least intensity, with a soft-L1 loss; (1, 0, 0) without samples.
 
     For a given b the curve is linear in a and c, so each b of a grid is solved from five weighted sums, and the grid is refined
-    around the best: bounded work per sample, no seeds to go wrong. The sums are built-in aggregates over samples that are dealt
-    once; weights come from joining the last fits, so that no key's samples are ever held together. Rows without a key are left
-    out; null, infinite and non-positive values take no part; equal samples count as often as they are there."""
+    around the best: bounded work per sample, no seeds to go wrong. A task sums and solves the keys that it was dealt, from end
+    to end. The sums of a key of more than HOT different samples are built-in aggregates over samples that several tasks were
+    dealt; weights come from joining the last fits, so that these are never held together. Rows without a key are left out; null, infinite and non-positive values take no part; equal samples count as often as they are there."""
     partitions = int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = list(keys)
     named = samples.select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
@@ -84,13 +164,18 @@ def fit_attenuation(samples: DataFrame, keys: Sequence[str] = ("channel", "pixel
         named = named.filter(F.col(k).isNotNull())
     good = cut(fit_inputs(named, "_x", "_y").groupBy(*keys, "_x", "_y").agg(F.count("*").alias("_n")))
     sizes = cut(good.groupBy(*keys).agg(F.min("_y").alias("_top"), F.when(F.count("*") > HOT, TASKS).otherwise(1).alias("_parts")))
+    hot = sizes.filter(F.col("_parts") > 1)
+    if not hot.limit(1).count():
+        return with_defaults(named, cut(fitted_whole(good, keys)), keys)
+    whole = cut(fitted_whole(good.join(hot.select(*keys), keys, "left_anti"), keys))
+    sizes = cut(hot)
     part = F.pmod(F.xxhash64("_x", "_y"), F.col("_parts")).cast("int")
-    dealt = cut(good.join(sizes, keys).withColumn("_part", part).drop("_parts", "_top").repartition(partitions, *keys, "_part"))
+    parted = cut(good.join(sizes, keys).withColumn("_part", part).drop("_parts", "_top").repartition(partitions, *keys, "_part"))
 
     def summed(fits: DataFrame) -> DataFrame:
         """Fits with their cost and with the sums that their weights give."""
         spread = fits.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-        met = dealt.join(spread, [*keys, "_part"]).withColumn("_e", F.exp(F.col("b") * F.col("_x")))
+        met = parted.join(spread, [*keys, "_part"]).withColumn("_e", F.exp(F.col("b") * F.col("_x")))
         bend = F.sqrt(1 + F.pow(F.col("_y") - F.col("a") * F.col("_e") - F.col("c"), 2))
         w, e, v = (F.col(c) for c in ("_w", "_e", "_y"))
         met = met.withColumn("_cost", F.col("_n") * 2 * (bend - 1)).withColumn("_w", F.col("_n") * F.coalesce(1 / bend, F.lit(1.0)))
@@ -120,8 +205,13 @@ def fit_attenuation(samples: DataFrame, keys: Sequence[str] = ("channel", "pixel
         i = F.col("_i")
         closer = steps.select(*keys, at(i).alias("b"), at(F.greatest(i - 1, F.lit(0))).alias("lo"), at(F.least(i + 1, F.lit(CLOSER))).alias("hi"), "_top", "_parts", "a", "c")
         found = best(closer, AGAIN)
+    return with_defaults(named, found.select(*keys, "b", "a", "c").unionByName(whole), keys)
+
+
+def with_defaults(rows: DataFrame, fits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The fit of every key of ``rows``; (1, 0, 0) where there is none."""
     filled = [F.coalesce(c, F.lit(v)).alias(c) for c, v in (("a", 1.0), ("b", 0.0), ("c", 0.0))]
-    return named.select(*keys).distinct().join(found.select(*keys, "a", "b", "c"), keys, "left").select(*keys, *filled)
+    return rows.select(*keys).distinct().join(fits, list(keys), "left").select(*keys, *filled)
 
 
 def laser_line(pixels: DataFrame, k: int = 7, min_ratio: float = 0.01, keys: Sequence[str] = ("image_id",)) -> DataFrame:

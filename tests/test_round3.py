@@ -121,3 +121,27 @@ def test_small_tables_of_dives_are_dealt_to_all_cores(spark):
     least = 3 * spark.sparkContext.defaultParallelism
     for f in (folds.particle_filter(m, ["dive"], particles=20), folds.ekf(m, ["dive"])):
         assert f.rdd.getNumPartitions() >= least  # before: one, as the table is small
+
+
+def test_pixels_are_fitted_by_the_task_that_has_them(spark, monkeypatch):
+    """One pass for keys that a task may hold; the same fits as by sums over several tasks, and both kinds of keys at once."""
+    import numpy as np
+
+    from fathomline.operators import images
+
+    rng = np.random.default_rng(8)
+    truth = [(0.8, -0.3, 0.05, 150), (3.0, -1.2, 0.2, 30), (0.4, -0.02, 0.1, 20), (1.0, -0.5, 0.0, 1)]
+    data = [(p, float(d), float(a * np.exp(b * d) + c + abs(rng.normal()) * 0.01)) for p, (a, b, c, n) in enumerate(truth) for d in rng.uniform(0.5, 8, n).round(1)]
+    samples = rows(spark, data, "pixel int, distance double, intensity double")
+    cuts, plain, got = [], images.cut, []
+    monkeypatch.setattr(images, "cut", lambda df: cuts.append(1) or plain(df))
+    monkeypatch.setattr(images, "CHUNK", 16)
+    monkeypatch.setattr(images, "TOGETHER", 3)
+    for hot in (1_000_000, 40):
+        monkeypatch.setattr(images, "HOT", hot)
+        cuts.clear()
+        got.append({r["pixel"]: (r["a"], r["b"], r["c"]) for r in images.fit_attenuation(samples, ["pixel"]).collect()})
+        assert (len(cuts) == 3) == (hot > 40)  # before: six and 14 passes for any
+    assert set(got[0]) == set(got[1]) == {0, 1, 2, 3}
+    for p in (0, 1, 2):
+        assert got[0][p] == pytest.approx(got[1][p], rel=1e-6, abs=1e-9)
