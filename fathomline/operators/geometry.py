@@ -151,7 +151,8 @@ def ray_cone(apex: np.ndarray, axis: np.ndarray, theta: float, ray: np.ndarray)
 def on_cone(ray: tuple[Column, Column, Column], apex: Sequence[float], axis: Sequence[float], theta: float) -> Column:
     """How far along a ray from the origin its nearest point in front on a cone is, in lengths of the ray; null where there is none.
 
-    ``ray_cone`` as an expression: both roots of the quadratic, and of those ahead on the cone itself the lesser."""
+    ``ray_cone`` as an expression: both roots of the quadratic, and of those ahead on the cone itself the lesser. All that is used
+    more than once stands outside of branches, so that Spark computes it once and the method it makes is short enough to be compiled."""
     size = math.sqrt(sum(v * v for v in axis))
     n, c2 = [v / size for v in axis], math.cos(theta) ** 2
     dot = lambda v: sum((F.lit(float(x)) * r for x, r in zip(v, ray, strict=True)), F.lit(0.0))
@@ -162,7 +163,8 @@ def on_cone(ray: tuple[Column, Column, Column], apex: Sequence[float], axis: Seq
     flat, disc = F.abs(a) < 1e-15, b * b - 4 * a * c
     root = F.sqrt(F.when(disc >= 0, disc))
     ahead = lambda t: F.when((t > 0) & (t * dn - an >= 0), t)
-    return F.when(flat, ahead(F.try_divide(-c, b))).otherwise(F.least(ahead((-b - root) / (2 * a)), ahead((-b + root) / (2 * a))))
+    twice = F.when(~flat, 2 * a)
+    return F.least(ahead(F.when(flat, F.try_divide(-c, b))), ahead((-b - root) / twice), ahead((-b + root) / twice))
 
 
 def sheet_points(images: DataFrame, camera: Sequence[float], apex: Sequence[float], axis: Sequence[float], theta: float, u: str = "u", v: str = "v") -> DataFrame:

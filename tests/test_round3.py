@@ -135,8 +135,8 @@ def test_pixels_are_fitted_by_the_task_that_has_them(spark, monkeypatch):
     samples = rows(spark, data, "pixel int, distance double, intensity double")
     cuts, plain, got = [], images.cut, []
     monkeypatch.setattr(images, "cut", lambda df: cuts.append(1) or plain(df))
-    monkeypatch.setattr(images, "CHUNK", 16)
-    monkeypatch.setattr(images, "TOGETHER", 3)
+    monkeypatch.setattr(images, "CHUNK", 16, raising=False)
+    monkeypatch.setattr(images, "TOGETHER", 3, raising=False)
     for hot in (1_000_000, 40):
         monkeypatch.setattr(images, "HOT", hot)
         cuts.clear()
@@ -145,3 +145,25 @@ def test_pixels_are_fitted_by_the_task_that_has_them(spark, monkeypatch):
     assert set(got[0]) == set(got[1]) == {0, 1, 2, 3}
     for p in (0, 1, 2):
         assert got[0][p] == pytest.approx(got[1][p], rel=1e-6, abs=1e-9)
+
+
+def test_the_cone_expression_is_short_enough_to_be_compiled(spark):
+    """Java compiles no method of more than 8,000 bytes: it would be interpreted row by row."""
+    import re
+
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from fathomline.operators import geometry
+
+    apex, axis, theta = (0.0, 0.0, 1.0), (0.0, 0.0, 1.0), 0.7853981633974483
+    rays = [(1.0, 0.0, 1.0), (0.0, -1.0, 1.0), (0.2, 0.1, 1.0), (2.0, 0.3, 1.0), (0.1, 0.0, -1.0)]  # the first two run along the cone
+    d = rows(spark, [*rays, (None, 0.0, 1.0)], "x double, y double, z double")
+    ray = tuple((F.col(k) * 10 - F.col(k) * 9) for k in "xyz")
+    out = d.select("x", "y", "z", F.round(geometry.on_cone(ray, apex, axis, theta), 9).alias("t"))
+    made = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", made)]
+    assert sizes and max(sizes) < 8000
+    for r in out.collect():
+        want = None if r["x"] is None else geometry.ray_cone(np.array(apex), np.array(axis), theta, np.array([r["x"], r["y"], r["z"]]))
+        assert (r["t"] is None) == (want is None) and (want is None or np.allclose(np.array([r["x"], r["y"], r["z"]]) * r["t"], want))
